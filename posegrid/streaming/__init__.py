@@ -1,0 +1,5 @@
+"""No streaming operators: all inputs are bounded captures.
+
+The projections in ``posegrid.functions`` are stateless column expressions and can be applied to a
+streaming DataFrame unchanged.
+"""
