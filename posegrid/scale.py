@@ -318,3 +318,59 @@ def smallest_sum(df: DataFrame, keys: Sequence[str], value: str, k: str, out: st
     every = hist.select(*keys).distinct()
     return every.join(full, keys, "left").join(part, keys, "left").select(
         *keys, (F.coalesce("_full", F.lit(0.0)) + F.coalesce("_part", F.lit(0.0))).alias(out))
+
+
+# ------------------------------------------------------------------ finite-state scan
+
+def state_scan(df: DataFrame, keys: Sequence[str], pos: str, steps: Sequence[str], start: str,
+               out: str, width: int = 1 << 16) -> DataFrame:
+    """State after each row of an ordered chain with a handful of states.
+
+    ``steps[s]`` is the state a row moves to from state ``s``; ``start`` (constant per key) is the
+    state before the first row. Step tables compose associatively, so each block is reduced to one
+    composed table, blocks are chained per key on those few rows, and each block is then replayed
+    from its own entry state. ``keys`` and ``pos`` must be unique; ``pos`` is an integer.
+    """
+    import pandas as pd
+
+    keys, steps = list(keys), list(steps)
+    n_states = len(steps)
+    slim = df.select(*keys, F.col(pos).alias("_p"), F.col(start).cast("int").alias("_start"),
+                     *[F.col(s).cast("int").alias(f"_t{i}") for i, s in enumerate(steps)]) \
+        .withColumn("_blk", F.floor(F.col("_p") / F.lit(width)))
+    tables = [f"_t{i}" for i in range(n_states)]
+    key_ddl = ", ".join(f"{k} {slim.schema[k].dataType.simpleString()}" for k in keys)
+
+    def reduce_block(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_p")
+        state = list(range(n_states))
+        for step in pdf[tables].to_numpy():
+            state = [int(step[s]) for s in state]
+        head = pdf.iloc[:1]
+        return head[[*keys, "_blk", "_start"]].assign(**{t: [state[i]] for i, t in
+                                                         enumerate(tables)})
+
+    def chain_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_blk")
+        state, entry = int(pdf["_start"].iloc[0]), []
+        for step in pdf[tables].to_numpy():
+            entry.append(state)
+            state = int(step[state])
+        return pdf[[*keys, "_blk"]].assign(_entry=entry)
+
+    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_p")
+        state, states = int(pdf["_entry"].iloc[0]), []
+        for step in pdf[tables].to_numpy():
+            state = int(step[state])
+            states.append(state)
+        return pdf[[*keys, "_p"]].assign(_state=states)
+
+    table_ddl = ", ".join(f"{t} int" for t in tables)
+    composed = slim.groupBy(*keys, "_blk").applyInPandas(
+        reduce_block, f"{key_ddl}, _blk bigint, _start int, {table_ddl}")
+    entries = composed.groupBy(*keys).applyInPandas(chain_blocks,
+                                                    f"{key_ddl}, _blk bigint, _entry int")
+    states = slim.join(entries, [*keys, "_blk"]).groupBy(*keys, "_blk").applyInPandas(
+        replay, f"{key_ddl}, _p bigint, _state int")
+    return df.join(states.withColumnsRenamed({"_p": pos, "_state": out}), [*keys, pos])
