@@ -16,7 +16,7 @@ over many tasks:
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -68,6 +68,9 @@ class Line:
     order: tuple[str, ...]
     width: float = BLOCK
     blocks: tuple[Column, ...] | None = None
+    #: column that orders block summaries where ``order`` has several columns; must decide between
+    #: the rows whose values are carried
+    carry_by: str | None = None
 
     def block_columns(self) -> list[Column]:
         if self.blocks is not None:
@@ -76,9 +79,10 @@ class Line:
 
 
 def line(keys: Sequence[str] | str, order: Sequence[str] | str, width: float = BLOCK,
-         blocks: Sequence[Column] | None = None) -> Line:
+         blocks: Sequence[Column] | None = None, carry_by: str | None = None) -> Line:
     as_tuple = lambda v: (v,) if isinstance(v, str) else tuple(v)
-    return Line(as_tuple(keys), as_tuple(order), width, None if blocks is None else tuple(blocks))
+    return Line(as_tuple(keys), as_tuple(order), width, None if blocks is None else tuple(blocks),
+                carry_by)
 
 
 def ordered(df: DataFrame, ln: Line, *,
@@ -129,7 +133,7 @@ def ordered(df: DataFrame, ln: Line, *,
         inner[f"_in_{out}"] = F.last(src, ignorenulls=True).over(from_here)
     rows = base.withColumns(inner) if inner else base
 
-    by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    by = F.col(ln.carry_by or order[0]) if ln.carry_by or len(order) == 1 else F.struct(*order)
     aggs: list[Column] = []
     if position or size:
         aggs.append(F.count(F.lit(1)).alias("_n"))
@@ -201,7 +205,7 @@ def bracket(targets: DataFrame, knots: DataFrame, keys: Sequence[str], time: str
     k = knots.select(*keys, F.col(time), F.lit(0).alias("_kind"),
                      *[F.col(c).alias(f"_k_{c}") for c in cols])
     merged = targets.withColumn("_kind", F.lit(1)).unionByName(k, allowMissingColumns=True)
-    out = ordered(merged, line(keys, (time, "_kind"), width),
+    out = ordered(merged, line(keys, (time, "_kind"), width, carry_by=time),
                   seen={f"prev_{c}": f"_k_{c}" for c in cols},
                   ahead={f"next_{c}": f"_k_{c}" for c in cols})
     return out.filter("_kind = 1").drop("_kind", *[f"_k_{c}" for c in cols])
@@ -217,8 +221,6 @@ def attach(fact: DataFrame, stats: DataFrame, keys: Sequence[str] | str, rows: s
     key list is broadcast. Their fact rows are spread over ``SALTS`` join partitions.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if not keys:
-        return fact.join(F.broadcast(stats), how="cross")  # stats is a single row
     hot = stats.filter(F.col(rows) > HOT_ROWS).select(*keys, F.lit(True).alias("_hot"))
     spread = fact.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]),
@@ -247,12 +249,13 @@ def value_cell(v: Column) -> Column:
     return F.when(v == 0, F.lit(0)).when(v > 0, mag).otherwise(-mag).cast("bigint")
 
 
-def order_stats(df: DataFrame, keys: Sequence[str] | str, value: str, wanted: Mapping[str, float],
+def order_stats(df: DataFrame, keys: Sequence[str] | str, value: str,
+                wanted: Mapping[str, float | Callable[[Column], Column]],
                 mode: str = "nearest") -> DataFrame:
     """Exact percentiles per key: one row per key with ``n`` and one column per wanted fraction.
 
-    ``nearest`` takes the row at ``rint(q * (n - 1))`` (half to even); ``linear`` interpolates.
-    A histogram over value cells locates the cell of each rank; only rows of those cells are
+    ``nearest`` takes the row at ``rint(q * (n - 1))`` (half to even); ``linear`` interpolates. A
+    callable maps the row count of a key to a 0-based rank instead. A histogram over value cells locates the cell of each rank; only rows of those cells are
     ordered. Equal values are merged before the shuffle, so ties cost nothing.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -266,7 +269,7 @@ def order_stats(df: DataFrame, keys: Sequence[str] | str, value: str, wanted: Ma
         "_total": F.sum("_n").over(Window.partitionBy(*keys))})
     ranks = []
     for name, q in wanted.items():
-        at = F.lit(float(q)) * (F.col("_total") - 1)
+        at = q(F.col("_total")) if callable(q) else F.lit(float(q)) * (F.col("_total") - 1)
         if mode == "nearest":
             ranks.append((name, F.rint(at).cast("bigint"), F.lit(1.0)))
         else:
