@@ -86,11 +86,16 @@ def bfs_tree(crossings: DataFrame, roots: DataFrame, max_depth: int = 1000) -> D
             F.lit(0).alias("depth"), rank.alias("path"),
             F.array("route_id").alias("ancestors")))
     frontier = tree
-    inc = checkpointed(crossings.select("route_id", "node_id", "slice", "route_rank"))
+    inc = crossings.select("route_id", "node_id", "route_rank")
+    by_route = inc.groupBy("route_id").agg(F.count(F.lit(1)).alias("_nodes"))
+    by_node = checkpointed(inc.groupBy("node_id").agg(F.count(F.lit(1)).alias("_routes")))
+    by_route = checkpointed(by_route)
+    inc = checkpointed(inc)
     for depth in range(1, max_depth + 1):
-        at_node = frontier.join(inc, "route_id").groupBy("root", "node_id").agg(
-            F.min("path").alias("_parent"))
-        reached = at_node.join(inc.select("node_id", "route_id", "route_rank"), "node_id") \
+        out = frontier.select("root", "route_id", "path").join(by_route, "route_id")
+        at_node = attach(inc, out, "route_id", rows="_nodes").groupBy("root", "node_id").agg(
+            F.min("path").alias("_parent")).join(by_node, "node_id")
+        reached = attach(inc, at_node, "node_id", rows="_routes") \
             .groupBy("root", "route_id").agg(F.min("_parent").alias("_parent"),
                                              F.min("route_rank").alias("route_rank"))
         fresh = reached.join(tree.select("root", "route_id"), ["root", "route_id"], "left_anti")

@@ -215,13 +215,13 @@ def bracket(targets: DataFrame, knots: DataFrame, keys: Sequence[str], time: str
 
 def attach(fact: DataFrame, stats: DataFrame, keys: Sequence[str] | str, rows: str = "n",
            how: str = "inner") -> DataFrame:
-    """Join one-row-per-key ``stats`` (with its row count in ``rows``) to ``fact``.
+    """Join per-key ``stats`` to ``fact``; ``rows`` is the number of fact rows of the key.
 
     Keys with more than ``HOT_ROWS`` rows number at most ``total / HOT_ROWS``; only that bounded
     key list is broadcast. Their fact rows are spread over ``SALTS`` join partitions.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hot = stats.filter(F.col(rows) > HOT_ROWS).select(*keys, F.lit(True).alias("_hot"))
+    hot = stats.filter(F.col(rows) > HOT_ROWS).select(*keys, F.lit(True).alias("_hot")).distinct()
     spread = fact.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]),
                                               F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
