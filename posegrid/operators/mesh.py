@@ -187,7 +187,7 @@ def components(nodes: DataFrame, links: DataFrame, max_rounds: int = 200) -> Dat
     knows, then itself and its smaller neighbours. Neighbour minima are map-side aggregates; the
     link list never grows and settles in a logarithmic number of rounds.
     """
-    def star(sym: DataFrame, include_self: bool) -> DataFrame:
+    def star(sym: DataFrame) -> tuple[DataFrame, DataFrame]:
         low = sym.groupBy(M, "u").agg(F.min("v").alias("_m"), F.count(F.lit(1)).alias("n")) \
             .withColumn("_m", F.least("_m", "u"))
         return attach(sym, low, [M, "u"]), low
@@ -196,10 +196,10 @@ def components(nodes: DataFrame, links: DataFrame, max_rounds: int = 200) -> Dat
     mark = None
     for _ in range(max_rounds):
         both = cur.unionByName(cur.select(M, F.col("v").alias("u"), F.col("u").alias("v")))
-        large, _ = star(both, False)
+        large, _ = star(both)
         large = large.filter("v > u").select(M, F.col("v").alias("u"), F.col("_m").alias("v")) \
             .filter("u <> v").distinct()
-        small, low = star(large, True)
+        small, low = star(large)
         small = small.filter("v <> _m").select(M, F.col("v").alias("u"), F.col("_m").alias("v")) \
             .unionByName(low.select(M, "u", F.col("_m").alias("v"))) \
             .filter("u <> v").distinct()
@@ -273,7 +273,6 @@ def grow_segments(faces: DataFrame, vertices: DataFrame, seeds: DataFrame, thres
     ``seeds``: ``mesh_id, seed_no, fid``; turns of different meshes run together.
     """
     normals = checkpointed(face_normals(faces, vertices))
-    links = checkpointed(face_links(faces))
     owned = None
     start = normals.select(M, "fid", "normal").join(seeds, [M, "fid"])
     turns = seeds.agg(F.max("seed_no")).first()[0]
@@ -377,7 +376,7 @@ def level_rotation(faces: DataFrame, vertices: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ rays
 
 def ray_hits(rays: DataFrame, faces: DataFrame, vertices: DataFrame,
-             directions: DataFrame, cells_per_axis: int = 256) -> DataFrame:
+             directions: DataFrame, max_cells_per_axis: int = 2048) -> DataFrame:
     """First hit of each ray with its mesh, all rays of a mesh sharing one direction.
 
     ``rays``: ``mesh_id, ray_id, origin``; ``directions``: ``mesh_id, direction``. Rays become
@@ -399,7 +398,8 @@ def ray_hits(rays: DataFrame, faces: DataFrame, vertices: DataFrame,
     grid = tri.groupBy(M).agg(F.min("a0").alias("ga"), F.min("b0").alias("gb"),
                               F.count(F.lit(1)).alias("n"),
                               (F.greatest(F.max("a1") - F.min("a0"), F.max("b1") - F.min("b0"))
-                               / cells_per_axis).alias("_w"),
+                               / F.least(F.sqrt(F.count(F.lit(1))), F.lit(max_cells_per_axis)))
+                              .alias("_w"),
                               F.avg(F.greatest(F.col("a1") - F.col("a0"),
                                                F.col("b1") - F.col("b0"))).alias("_s"))
     grid = grid.withColumn("cell", F.greatest("_w", "_s", F.lit(1e-9))).drop("_w", "_s")
