@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posegrid.functions import linalg as L
@@ -168,11 +168,16 @@ def manual_transform(position, rotation, footprint, scale: float, yaw_deg: float
     return move(position), L.matmul(rotation, L.transpose(r)), move(footprint)
 
 
-def local_to_geo(position, lon0, lat0, elev0) -> Column:
-    """Local metres (x east, y down, z north) around a known origin to lon, lat, elevation."""
+def with_local_geo(df: DataFrame, position: str, lon0: float, lat0: float, elev0: float,
+                   out: str) -> DataFrame:
+    """Add lon, lat, elevation of local metres (x east, y down, z north) around a known origin."""
+    o = to_utm(F.lit(lon0), F.lit(lat0), F.lit(elev0))
     x, y, z = L.xyz(position)
-    o = to_utm(lon0, lat0, elev0)
-    return from_utm(o["x"] + x, o["y"] + z, o["z"] - y, o["zone"], o["south"])
+    staged = df.withColumn("_o", o).withColumns({
+        "_e": F.col("_o.x") + x, "_n": F.col("_o.y") + z, "_z": F.col("_o.z") - y,
+        "_zone": F.col("_o.zone"), "_south": F.col("_o.south")})
+    return staged.withColumn(out, from_utm("_e", "_n", "_z", "_zone", "_south")) \
+        .drop("_o", "_e", "_n", "_z", "_zone", "_south")
 
 
 def geo_entry(geo, ms, height, angles) -> Column:

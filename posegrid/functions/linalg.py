@@ -7,10 +7,22 @@ Chains of matrix products should go through ``withColumn`` step by step.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AXES = ("x", "y", "z")
+QUAT = ("qx", "qy", "qz", "qw")
+
+
+def _built(column: Column, cells) -> Column:
+    """Remember the components a struct or matrix column was built from, so that taking one of
+    them again does not repeat the whole constructor."""
+    column.__dict__["_cells"] = tuple(cells)
+    return column
+
+
+def _cells(column) -> tuple | None:
+    return column.__dict__.get("_cells") if isinstance(column, Column) else None
 
 
 def _c(v) -> Column:
@@ -20,10 +32,13 @@ def _c(v) -> Column:
 # ------------------------------------------------------------------ points
 
 def vec(x, y, z) -> Column:
-    return F.struct(_c(x).alias("x"), _c(y).alias("y"), _c(z).alias("z"))
+    x, y, z = _c(x), _c(y), _c(z)
+    return _built(F.struct(x.alias("x"), y.alias("y"), z.alias("z")), (x, y, z))
 
 
 def xyz(v) -> tuple[Column, Column, Column]:
+    if _cells(v):
+        return _cells(v)
     v = _c(v)
     return v["x"], v["y"], v["z"]
 
@@ -83,10 +98,13 @@ def drop_axis(v, axis: str) -> Column:
 # ------------------------------------------------------------------ 3x3
 
 def mat(*cells) -> Column:
-    return F.array(*[_c(c) for c in cells])
+    cells = [_c(c) for c in cells]
+    return _built(F.array(*cells), cells)
 
 
 def entry(m, i: int, j: int, n: int = 3) -> Column:
+    if _cells(m):
+        return _cells(m)[n * i + j]
     return _c(m)[n * i + j]
 
 
@@ -215,82 +233,87 @@ def compose(scale, angle_deg, axis, offset) -> Column:
     return to_mat4(scale, rodrigues(axis, F.radians(_c(angle_deg))), offset)
 
 
+def _quat(parts) -> Column:
+    parts = list(parts)
+    return _built(F.struct(*[p.alias(q) for p, q in zip(parts, QUAT)]), parts)
+
+
+def _quat_parts(q) -> list[Column]:
+    return list(_cells(q)) if _cells(q) else [_c(q)[p] for p in QUAT]
+
+
 def quaternion(m) -> Column:
-    """Unit quaternion ``struct<qx, qy, qz, qw>`` with ``qw >= 0`` of a rotation matrix."""
+    """Quaternion ``struct<qx, qy, qz, qw>`` of a rotation matrix, up to sign."""
     e = lambda i, j: entry(m, i, j)
     trace = e(0, 0) + e(1, 1) + e(2, 2)
 
     def branch(big, parts):
         s = F.sqrt(F.greatest(big, F.lit(0.0))) * 2.0
-        vals = [p / s if p is not None else s / 4.0 for p in parts]
-        return F.array(*vals)
-
-    q = (F.when(trace > 0, branch(1 + trace, [e(2, 1) - e(1, 2), e(0, 2) - e(2, 0),
-                                              e(1, 0) - e(0, 1), None]))
-         .when((e(0, 0) >= e(1, 1)) & (e(0, 0) >= e(2, 2)),
-               branch(1 + e(0, 0) - e(1, 1) - e(2, 2),
-                      [None, e(0, 1) + e(1, 0), e(0, 2) + e(2, 0), e(2, 1) - e(1, 2)]))
-         .when(e(1, 1) >= e(2, 2),
-               branch(1 + e(1, 1) - e(0, 0) - e(2, 2),
-                      [e(0, 1) + e(1, 0), None, e(1, 2) + e(2, 1), e(0, 2) - e(2, 0)]))
-         .otherwise(branch(1 + e(2, 2) - e(0, 0) - e(1, 1),
-                           [e(0, 2) + e(2, 0), e(1, 2) + e(2, 1), None, e(1, 0) - e(0, 1)])))
-    sign = F.when(q[3] < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    return F.when(_c(m).isNotNull(), F.struct((q[0] * sign).alias("qx"), (q[1] * sign).alias("qy"),
-                                              (q[2] * sign).alias("qz"), (q[3] * sign).alias("qw")))
+        return [p / s if p is not None else s / 4.0 for p in parts]
+
+    by_w = branch(1 + trace, [e(2, 1) - e(1, 2), e(0, 2) - e(2, 0), e(1, 0) - e(0, 1), None])
+    by_x = branch(1 + e(0, 0) - e(1, 1) - e(2, 2),
+                  [None, e(0, 1) + e(1, 0), e(0, 2) + e(2, 0), e(2, 1) - e(1, 2)])
+    by_y = branch(1 + e(1, 1) - e(0, 0) - e(2, 2),
+                  [e(0, 1) + e(1, 0), None, e(1, 2) + e(2, 1), e(0, 2) - e(2, 0)])
+    by_z = branch(1 + e(2, 2) - e(0, 0) - e(1, 1),
+                  [e(0, 2) + e(2, 0), e(1, 2) + e(2, 1), None, e(1, 0) - e(0, 1)])
+    return _quat([F.when(trace > 0, w)
+                  .when((e(0, 0) >= e(1, 1)) & (e(0, 0) >= e(2, 2)), x)
+                  .when(e(1, 1) >= e(2, 2), y).otherwise(z)
+                  for w, x, y, z in zip(by_w, by_x, by_y, by_z)])
 
 
 def quaternion_angle(q) -> Column:
-    q = _c(q)
-    return 2.0 * F.atan2(F.sqrt(q["qx"] * q["qx"] + q["qy"] * q["qy"] + q["qz"] * q["qz"]), q["qw"])
+    """Rotation angle in [0, pi] of a quaternion of either sign."""
+    x, y, z, w = _quat_parts(q)
+    return 2.0 * F.atan2(F.sqrt(x * x + y * y + z * z), F.abs(w))
 
 
 def quaternion_axis(q) -> Column:
     """Rotation axis; NULL for the identity."""
-    q = _c(q)
-    n = F.sqrt(q["qx"] * q["qx"] + q["qy"] * q["qy"] + q["qz"] * q["qz"])
-    return F.when(n > 1e-12, vec(q["qx"] / n, q["qy"] / n, q["qz"] / n))
+    x, y, z, w = _quat_parts(q)
+    n = F.sqrt(x * x + y * y + z * z) * F.when(w < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+    return F.when(F.abs(n) > 1e-12, vec(x / n, y / n, z / n))
 
 
 def quaternion_matrix(q) -> Column:
-    q = _c(q)
-    x, y, z, w = q["qx"], q["qy"], q["qz"], q["qw"]
+    x, y, z, w = _quat_parts(q)
     return mat(1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w),
                2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w),
                2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y))
 
 
-def rotation_vector(m) -> Column:
-    """Axis times angle in radians; zero vector for the identity."""
-    q = quaternion(m)
-    axis = quaternion_axis(q)
-    ang = quaternion_angle(q)
-    return vec(*[F.coalesce(axis[a] * ang, F.lit(0.0)) for a in AXES])
+def with_rotation_vector(df: DataFrame, rotation: str, out: str) -> DataFrame:
+    """Add axis times angle (radians) of a rotation; zero vector for the identity."""
+    staged = df.withColumn("_q", quaternion(rotation)).withColumns({
+        "_ax": quaternion_axis("_q"), "_an": quaternion_angle("_q")})
+    value = vec(*[F.coalesce(F.col("_ax")[a] * F.col("_an"), F.lit(0.0)) for a in AXES])
+    return staged.withColumn(out, value).drop("_q", "_ax", "_an")
 
 
-def decompose(m) -> Column:
-    """``struct<scale, axis, angle_deg, offset>`` of a 4x4 similarity; identity has no axis."""
-    q = quaternion(mat4_rotation(m))
-    return F.struct(mat4_scale(m).alias("scale"), quaternion_axis(q).alias("axis"),
-                    F.degrees(quaternion_angle(q)).alias("angle_deg"),
-                    mat4_offset(m).alias("offset"))
+def with_decomposition(df: DataFrame, matrix: str, out: str) -> DataFrame:
+    """Add ``struct<scale, axis, angle_deg, offset>`` of a 4x4 similarity; identity has no axis."""
+    staged = df.withColumn("_sc", mat4_scale(matrix)).withColumn("_rot", mat(*[
+        entry(matrix, i, j, 4) / F.col("_sc") for i in range(3) for j in range(3)])) \
+        .withColumn("_q", quaternion("_rot"))
+    value = F.struct(F.col("_sc").alias("scale"), quaternion_axis("_q").alias("axis"),
+                     F.degrees(quaternion_angle("_q")).alias("angle_deg"),
+                     mat4_offset(matrix).alias("offset"))
+    return staged.withColumn(out, value).drop("_sc", "_rot", "_q")
 
 
 def slerp(q0, q1, f) -> Column:
     """Shortest-arc interpolation between two unit quaternions."""
-    q0, q1, f = _c(q0), _c(q1), _c(f)
-    parts = ("qx", "qy", "qz", "qw")
-    d = sum((q0[p] * q1[p] for p in parts[1:]), q0["qx"] * q1["qx"])
+    p0, p1, f = _quat_parts(q0), _quat_parts(q1), _c(f)
+    d = p0[0] * p1[0] + p0[1] * p1[1] + p0[2] * p1[2] + p0[3] * p1[3]
     sign = F.when(d < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    cosang = F.least(F.abs(d), F.lit(1.0))
-    ang = F.acos(cosang)
+    ang = F.acos(F.least(F.abs(d), F.lit(1.0)))
     s = F.sin(ang)
     near = s < 1e-9
-    w0 = F.when(near, 1.0 - f).otherwise(F.sin((1.0 - f) * ang) / s)
-    w1 = F.when(near, f).otherwise(F.sin(f * ang) / s) * sign
-    raw = [q0[p] * w0 + q1[p] * w1 for p in parts]
-    n = F.sqrt(raw[0] * raw[0] + raw[1] * raw[1] + raw[2] * raw[2] + raw[3] * raw[3])
-    return F.struct(*[(r / n).alias(p) for r, p in zip(raw, parts)])
+    w0 = F.when(near, 1.0 - f).otherwise(F.try_divide(F.sin((1.0 - f) * ang), s))
+    w1 = F.when(near, f).otherwise(F.try_divide(F.sin(f * ang), s)) * sign
+    return _quat([a * w0 + b * w1 for a, b in zip(p0, p1)])
 
 
 # ------------------------------------------------------------------ relations between poses
@@ -299,7 +322,7 @@ def relative_transform(main_center, main_rotation, main_center_2, sub_center, su
                        sub_center_2) -> Column:
     """4x4 taking the sub scene to the main scene from two poses seen in both: scale from the
     ratio of distances, rotation ``Rm' Rs``, offset from the first pose."""
-    scale = dist(main_center, main_center_2) / dist(sub_center, sub_center_2)
+    scale = F.try_divide(dist(main_center, main_center_2), dist(sub_center, sub_center_2))
     rot = matmul(transpose(main_rotation), sub_rotation)
     offset = sub(main_center, times(matvec(rot, sub_center), scale))
     return to_mat4(scale, rot, offset)

@@ -53,15 +53,17 @@ def log_time(ts) -> Column:
 def rainbow(i, n) -> Column:
     """``struct<red, green, blue>`` of stop ``i`` of ``n``: hue from 0 to 2/3 at full saturation."""
     i, n = _c(i), _c(n)
-    h6 = F.when(n > 1, (2.0 / 3.0) * i / (n - 1)).otherwise(F.lit(0.0)) * 6.0
-    up = lambda v: F.floor(255 * v).cast("int")
-    zero, one = F.lit(0.0), F.lit(1.0)
-    red = F.when(h6 < 1, one).when(h6 < 2, 2 - h6).otherwise(zero)
-    green = F.when(h6 < 1, h6).when(h6 < 3, one).when(h6 < 4, 4 - h6).otherwise(zero)
-    blue = F.when(h6 < 2, zero).when(h6 < 3, h6 - 2).otherwise(one)
-    clamp = lambda v: F.greatest(zero, F.least(one, v))
-    return F.struct(up(clamp(red)).alias("red"), up(clamp(green)).alias("green"),
-                    up(clamp(blue)).alias("blue"))
+    third, two_thirds, sixth = 1.0 / 3.0, 2.0 / 3.0, 1.0 / 6.0
+    hue = F.when(n > 1, two_thirds * i / (n - 1)).otherwise(F.lit(0.0))
+
+    def channel(h: Column) -> Column:
+        h = F.when(h < 0, h + 1).otherwise(h)
+        v = (F.when(h < sixth, h * 6.0).when(h < 0.5, F.lit(1.0))
+             .when(h < two_thirds, (two_thirds - h) * 6.0).otherwise(F.lit(0.0)))
+        return F.floor(255 * v).cast("int")
+
+    return F.struct(channel(hue + third).alias("red"), channel(hue).alias("green"),
+                    channel(hue - third).alias("blue"))
 
 
 def repository_base(path) -> Column:

@@ -104,7 +104,7 @@ def track_steps(fixes: DataFrame, keys: Sequence[str] = KEY, order: str = "seq")
 def step_factor(stepped: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     """Mean step and the factor that makes it the default camera height."""
     return stepped.groupBy(*keys).agg(
-        F.avg("step").alias("mean_step"), (G.DEFAULT_HEIGHT / F.avg("step")).alias("step_factor"),
+        F.avg("step").alias("mean_step"), F.try_divide(F.lit(G.DEFAULT_HEIGHT), F.avg("step")).alias("step_factor"),
         F.count(F.lit(1)).alias("n"))
 
 

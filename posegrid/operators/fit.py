@@ -84,7 +84,7 @@ def similarity_fit(prs: DataFrame, keys: Sequence[str] = ("route_id",)) -> DataF
 
 def planar_fit(prs: DataFrame, keys: Sequence[str] = ("route_id",)) -> DataFrame:
     """Rotation about the vertical axis from the x and z coordinates alone, in closed form, with
-    its planar scale and offset: ``yaw_rotation, yaw_scale, yaw_t``."""
+    its planar scale and offset: ``yaw_rotation, yaw_scale, yaw_t``; NULL for a single point."""
     return planar_solution(pair_moments(prs, keys), keys)
 
 
@@ -92,8 +92,9 @@ def planar_solution(m: DataFrame, keys: Sequence[str]) -> DataFrame:
     dots = F.col("c_txfx") + F.col("c_tzfz")
     crosses = F.col("c_tzfx") - F.col("c_txfz")
     size = F.sqrt(dots * dots + crosses * crosses)
-    scaled = m.withColumns({"yaw_scale": size / (F.col("v_fx") + F.col("v_fz")),
-                            "_cos": dots / size, "_sin": crosses / size})
+    scaled = m.withColumn("_size", size).withColumns({
+        "yaw_scale": F.try_divide("_size", F.col("v_fx") + F.col("v_fz")),
+        "_cos": F.try_divide(dots, "_size"), "_sin": F.try_divide(crosses, "_size")})
     rx = F.col("_cos") * F.col("m_fx") - F.col("_sin") * F.col("m_fz")
     rz = F.col("_sin") * F.col("m_fx") + F.col("_cos") * F.col("m_fz")
     k = F.col("yaw_scale")
@@ -125,7 +126,7 @@ def alignment_residual(prs: DataFrame, fits: DataFrame, keys: Sequence[str]) ->
 def scale_agreement(a, b) -> Column:
     """Smaller over larger magnitude of two scales; above 0.95 they agree."""
     a, b = F.abs(L._c(a)), F.abs(L._c(b))
-    return F.least(a, b) / F.greatest(a, b)
+    return F.try_divide(F.least(a, b), F.greatest(a, b))
 
 
 # ------------------------------------------------------------------ random-subset fit

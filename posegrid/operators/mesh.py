@@ -418,9 +418,9 @@ def ray_hits(rays: DataFrame, faces: DataFrame, vertices: DataFrame,
                              "_s": L.sub("origin", "p0")}) \
         .withColumn("_h", L.cross("_d", "_e2")).withColumn("_q", L.cross("_s", "_e1")) \
         .withColumn("_det", L.dot("_e1", "_h")).filter(F.abs("_det") > 1e-15)
-    pair = pair.withColumns({"_bu": L.dot("_s", "_h") / F.col("_det"),
-                             "_bv": L.dot("_d", "_q") / F.col("_det"),
-                             "_t": L.dot("_e2", "_q") / F.col("_det")})
+    pair = pair.withColumns({"_bu": F.try_divide(L.dot("_s", "_h"), "_det"),
+                             "_bv": F.try_divide(L.dot("_d", "_q"), "_det"),
+                             "_t": F.try_divide(L.dot("_e2", "_q"), "_det")})
     eps = 1e-9
     hit = pair.filter((F.col("_bu") >= -eps) & (F.col("_bv") >= -eps)
                       & (F.col("_bu") + F.col("_bv") <= 1 + eps) & (F.col("_t") >= 0))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,9 +81,6 @@ def _basis(u: Column, degree: int) -> list[Column]:
 def _fit_curve(rows: DataFrame, degree: int, keys: Sequence[str]) -> DataFrame:
     """Coefficients ``cx, cy, cz`` of every route from moment sums; the end points enter with a
     weight of a million."""
-    import numpy as np
-    import pandas as pd
-
     m = degree + 1
     cols = [f"_b{k}" for k in range(m)]
     inner = (F.col("pos") > 0) & (F.col("pos") < F.col("n") - 1)
@@ -143,9 +142,6 @@ def _curve_error(degree: int) -> Column:
 
 def _closest_parameter():
     """Vectorised golden-section search for the curve point nearest to each row."""
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("double")
     def search(u: pd.Series, lo: pd.Series, hi: pd.Series, x: pd.Series, y: pd.Series,
                z: pd.Series, cx: pd.Series, cy: pd.Series, cz: pd.Series) -> pd.Series:
@@ -207,7 +203,7 @@ def curve_filter(points: DataFrame, degree: int = 5, max_iter: int = 10,
             now = now.withColumn("done", F.lit(False))
         else:
             old = status.select(*ks, F.col("score").alias("_old"), F.col("done").alias("_was"))
-            calm = (F.col("score") <= 0) | (F.col("_old") / F.col("score") - 1 < STOP_CHANGE)
+            calm = (F.col("score") <= 0) | (F.try_divide("_old", "score") - 1 < STOP_CHANGE)
             now = now.join(old, ks).withColumn("done", F.col("_was") | calm).drop("_old", "_was")
         status = checkpointed(now)
         if status.filter(~F.col("done")).isEmpty():
@@ -242,7 +238,7 @@ def _distance2() -> Column:
            + d["z"] * d["z"] * (xx * yy - xy * xy)
            + 2 * d["x"] * d["y"] * (xz * yz - xy * zz) + 2 * d["x"] * d["z"] * (xy * yz - xz * yy)
            + 2 * d["y"] * d["z"] * (xy * xz - xx * yz))
-    return num / det
+    return F.coalesce(F.try_divide(num, det), F.lit(0.0))
 
 
 def _covariance(df: DataFrame, keys: Sequence[str], keep: Column) -> DataFrame:

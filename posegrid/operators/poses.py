@@ -184,8 +184,10 @@ def rig_center(views: DataFrame, n_cams: int) -> DataFrame:
     valid = per_frame.select("scene_id", "frame", F.explode("_s").alias("_v")) \
         .select("scene_id", F.col("_v.pos").alias("pos"), F.col("_v.center").alias("center"))
     spacing = rig_spacing(valid)
-    mean = L.vec(*[F.aggregate(F.col("centers"), F.lit(0.0), lambda s, p, a=a: s + p[a])
-                   / F.size("centers") for a in L.AXES])
+    def average(axis: str) -> Column:
+        return F.aggregate("centers", F.lit(0.0), lambda s, p: s + p[axis]) / F.size("centers")
+
+    mean = L.vec(*[average(a) for a in L.AXES])
     frames = per_frame.join(two_means(per_frame), ["scene_id", "frame"]) \
         .withColumn("mean", mean).drop("_s", "centers")
     frames = attach(frames, spacing, "scene_id").withColumn(
@@ -330,12 +332,13 @@ def attach_matrix(poses: DataFrame, transforms: DataFrame, keys: Sequence[str])
 
 
 def move_poses(df: DataFrame, matrix: str = "matrix") -> DataFrame:
+    staged = df.withColumn("_turn", L.mat4_rotation(matrix))
     cols = {"center": L.mat4_apply(matrix, "center"),
-            "rotation": L.transform_rotation("rotation", matrix)}
+            "rotation": L.matmul("rotation", L.transpose("_turn"))}
     if "footprint" in df.columns:
         cols["footprint"] = F.when(F.col("footprint").isNotNull(),
                                    L.mat4_apply(matrix, "footprint"))
-    return df.withColumns(cols)
+    return staged.withColumns(cols).drop("_turn")
 
 
 def zeroing_matrix(poses: DataFrame) -> DataFrame:
@@ -348,10 +351,12 @@ def object_pose(transforms: DataFrame) -> DataFrame:
     """Pose of an object model from its transform: offset and rotation, identity when the angle
     vanishes."""
     eps = 1.1920929e-07
-    turn = F.abs(F.degrees(L.quaternion_angle(L.quaternion(L.mat4_rotation("matrix")))))
-    return transforms.withColumns({
-        "position": L.mat4_offset("matrix"),
-        "rotation": F.when(turn > eps, L.mat4_rotation("matrix")).otherwise(L.identity3())})
+    turned = L.with_decomposition(transforms, "matrix", "_d").withColumn(
+        "_r", L.mat4_rotation("matrix"))
+    return turned.withColumns({
+        "position": F.col("_d.offset"),
+        "rotation": F.when(F.abs(F.col("_d.angle_deg")) > eps, F.col("_r"))
+        .otherwise(L.identity3())}).drop("_d", "_r")
 
 
 def route_table(frame_lens: DataFrame, views: DataFrame, poses: DataFrame,

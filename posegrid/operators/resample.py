@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from posegrid.functions import linalg as L
 from posegrid.scale import attach, bracket, line, order_stats, ordered
 
-QUAT = ("qx", "qy", "qz", "qw")
+QUAT = L.QUAT
 GRID_BLOCK = 1 << 16
 
 

@@ -137,24 +137,24 @@ def splice_order(spliced: DataFrame, key: str = "route_id") -> DataFrame:
 # ------------------------------------------------------------------ coloured points
 
 def coloured_path(points: DataFrame, order: str, key: str) -> DataFrame:
-    """Vertices of a path painted with the rainbow by position: ready for the PLY sinks.
-    ``points``: ``key, order, point``."""
+    """Vertices of a path painted with the rainbow by position among all rows, ready for the PLY
+    sinks; rows without a point are left out. ``points``: ``key, order, point``."""
     rows = ordered(points, line(key, order), position="_i", size="_n")
-    rows = rows.withColumn("_c", N.rainbow("_i", "_n"))
+    rows = rows.filter("point IS NOT NULL").withColumn("_c", N.rainbow("_i", "_n"))
     return rows.select(F.col(key).cast("string").alias("mesh_id"), F.col("_i").alias("vid"),
                        *[F.col("point")[a].alias(a) for a in L.AXES],
                        *[F.col("_c")[c].alias(c) for c in ("red", "green", "blue")])
 
 
 def route_points(frames: DataFrame, column: str = "position") -> DataFrame:
-    """Coloured vertices of a route's poses or footprints; frames without them are left out."""
-    return coloured_path(frames.filter(F.col(column).isNotNull()).select(
-        "route_id", "frame_idx", F.col(column).alias("point")), "frame_idx", "route_id")
+    """Coloured vertices of a route's poses or footprints."""
+    return coloured_path(frames.select("route_id", "frame_idx", F.col(column).alias("point")),
+                         "frame_idx", "route_id")
 
 
 def scene_pose_points(poses: DataFrame, column: str = "center") -> DataFrame:
-    return coloured_path(poses.filter(F.col(column).isNotNull()).select(
-        "scene_id", "pose_key", F.col(column).alias("point")), "pose_key", "scene_id")
+    return coloured_path(poses.select("scene_id", "pose_key", F.col(column).alias("point")),
+                         "pose_key", "scene_id")
 
 
 # ------------------------------------------------------------------ other text and tables
