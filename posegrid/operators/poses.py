@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from posegrid.functions import linalg as L
 from posegrid.functions import names as N
-from posegrid.scale import attach, line, order_stats, ordered, state_scan
+from posegrid.scale import attach, checkpointed, line, order_stats, ordered, state_scan
 
 STEP_FACTOR = 4.0
 
@@ -181,6 +181,7 @@ def rig_center(views: DataFrame, n_cams: int) -> DataFrame:
     per_frame = v.filter("center IS NOT NULL").groupBy("scene_id", "frame").agg(
         F.sort_array(F.collect_list(F.struct("pos", "center"))).alias("_s")) \
         .withColumn("centers", F.col("_s.center")).filter(F.size("centers") > n_cams // 2)
+    per_frame = checkpointed(per_frame)
     valid = per_frame.select("scene_id", "frame", F.explode("_s").alias("_v")) \
         .select("scene_id", F.col("_v.pos").alias("pos"), F.col("_v.center").alias("center"))
     spacing = rig_spacing(valid)
@@ -194,9 +195,11 @@ def rig_center(views: DataFrame, n_cams: int) -> DataFrame:
         "good", L.dist("c0", "c1") < 3 * F.col("rig_dist"))
     frames = ordered(frames.drop("n"), line("scene_id", "frame"), position="idx")
     for k in (0, 1):
-        pick = F.when(F.col("good"), F.col("mean")).otherwise(F.col(f"c{k}"))
-        frames = frames.withColumns({f"e{k}{a}": pick[a] for a in L.AXES})
-    run = longest_run(frames)
+        frames = frames.withColumns({
+            f"e{k}{a}": F.when(F.col("good"), F.col("mean")[a]).otherwise(F.col(f"c{k}")[a])
+            for a in L.AXES})
+    frames = checkpointed(frames)
+    run = checkpointed(longest_run(frames))
     chosen = _outward_choice(frames, run)
     fix = L.vec(*[F.when(F.col("choice") == 1, F.col(f"e1{a}")).otherwise(F.col(f"e0{a}"))
                   for a in L.AXES])
@@ -213,12 +216,12 @@ def _outward_choice(frames: DataFrame, run: DataFrame) -> DataFrame:
     """Choice 0/1 of every frame. Each frame is a step table over the choices of its two inner
     neighbours; ``state_scan`` runs the chains below and above the good run."""
     cand = [f"e{k}{a}" for k in (0, 1) for a in L.AXES]
-    base = attach(frames, run, "scene_id").drop("n")
+    base = checkpointed(attach(frames, run, "scene_id").drop("n"))
 
     def neighbours(df: DataFrame, side: str) -> DataFrame:
         one = ordered(df, line("scene_id", "idx"),
                       **{side: {**{f"p_{c}": c for c in cand}, "p_good": "good"}})
-        return ordered(one, line("scene_id", "idx"),
+        return ordered(checkpointed(one), line("scene_id", "idx"),
                        **{side: {**{f"q_{c}": f"p_{c}" for c in cand}, "q_good": "p_good"}})
 
     def steps(df: DataFrame, second_known: Column) -> DataFrame:
@@ -247,8 +250,9 @@ def _outward_choice(frames: DataFrame, run: DataFrame) -> DataFrame:
         | (F.col("idx") + 2 < F.col("run_beg"))
     below = steps(below, known).withColumns({"_arm": F.col("run_beg") - F.col("idx"),
                                              "_start": F.lit(0)})
-    below = state_scan(below, ["scene_id"], "_arm", tables, "_start", "_state") \
+    below = state_scan(checkpointed(below), ["scene_id"], "_arm", tables, "_start", "_state") \
         .select("scene_id", "idx", F.floor(F.col("_state") / 2).cast("int").alias("choice"))
+    below = checkpointed(below)
 
     above = neighbours(base.filter("run_length > 0"), "prev").filter("idx > run_end")
     inner = run.select("scene_id", (F.col("run_beg") - 1).alias("idx")).join(
@@ -258,7 +262,7 @@ def _outward_choice(frames: DataFrame, run: DataFrame) -> DataFrame:
         "_start", F.when(F.col("run_beg") == F.col("run_end"), F.coalesce("_inner", F.lit(0)))
         .otherwise(F.lit(0)))
     above = steps(above, F.lit(True)).withColumn("_arm", F.col("idx") - F.col("run_end"))
-    above = state_scan(above, ["scene_id"], "_arm", tables, "_start", "_state") \
+    above = state_scan(checkpointed(above), ["scene_id"], "_arm", tables, "_start", "_state") \
         .select("scene_id", "idx", F.floor(F.col("_state") / 2).cast("int").alias("choice"))
     return base.join(below.unionByName(above), ["scene_id", "idx"], "left")
 

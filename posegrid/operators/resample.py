@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from posegrid.functions import linalg as L
-from posegrid.scale import attach, bracket, line, order_stats, ordered
+from posegrid.scale import attach, bracket, checkpointed, line, order_stats, ordered
 
 QUAT = L.QUAT
 GRID_BLOCK = 1 << 16
@@ -92,7 +92,7 @@ def path_at_fixes(path: DataFrame, fixes: DataFrame, keys: Sequence[str] = ("rou
     first = fixes.groupBy(*keys).agg(F.min("ms").alias("_start"), F.count(F.lit(1)).alias("n"))
     at = attach(fixes.select(*keys, "seq", "ms"), first, keys).withColumn(
         "timestamp", (F.col("ms") - F.col("_start")) * 1e-3).drop("_start", "n")
-    inside = crop(at, path, "timestamp", keys)
+    inside = checkpointed(crop(at, path, "timestamp", keys))
     return interpolate(inside, path, "timestamp", L.AXES, keys, rotation="rotation")
 
 

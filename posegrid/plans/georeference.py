@@ -10,7 +10,7 @@ from posegrid.functions import linalg as L
 from posegrid.operators import anchor as A
 from posegrid.operators import fit
 from posegrid.operators.outliers import curve_filter
-from posegrid.scale import attach, attach_unique
+from posegrid.scale import attach, attach_unique, checkpointed
 
 ANCHORS_PER_END = 1000
 
@@ -26,7 +26,7 @@ def clean_frames(frames: DataFrame, degree: int = 5, max_iter: int = 10, num_sig
 def anchor_matches(frames: DataFrame, fixes: DataFrame, anchors: int = ANCHORS_PER_END,
                    tolerance_ms: float = A.TOLERANCE_MS, smooth: str | None = None) -> DataFrame:
     """One-to-one anchor matches with the coordinates of their fix."""
-    near = A.nearest_fix(A.anchor_frames(frames, anchors), fixes, tolerance_ms)
+    near = checkpointed(A.nearest_fix(A.anchor_frames(frames, anchors), fixes, tolerance_ms))
     matched = A.with_fix(A.one_to_one(near), fixes)
     if smooth is None:
         return matched
@@ -63,8 +63,9 @@ def _solve(xyz: DataFrame, keys: list[str], mode: str, refit_offset: bool) -> Da
     """Fit per group: ``full`` takes scale and offset from the 3-D fit and the rotation from the
     yaw fit; ``planar`` takes all three from the yaw fit. ``refit_offset`` re-centres the offset for
     the yaw rotation."""
+    xyz = checkpointed(xyz)
     zones = A.first_zone(xyz, keys)
-    moments = fit.pair_moments(xyz, keys)
+    moments = checkpointed(fit.pair_moments(xyz, keys))
     yaw = fit.planar_solution(moments, keys)
     if mode == "planar":
         fits = yaw.select(*keys, F.col("yaw_scale").alias("scale"),
@@ -93,8 +94,8 @@ def georeference_route(frames: DataFrame, fixes: DataFrame, *, anchors: int = AN
     seq, ms, lon, lat, elev, height, foot_elev``. Tracks with fewer than two fixes are left out,
     very short ones are densified.
     """
-    fr = clean_frames(frames) if clean else frames
-    fx = A.long_enough(fixes)
+    fr = checkpointed(clean_frames(frames) if clean else frames)
+    fx = checkpointed(A.long_enough(fixes))
     matched = anchor_matches(fr, fx, anchors, tolerance_ms, smooth)
     xyz = A.match_xyz(A.match_points(matched, footprint))
     fits = _solve(xyz, ["route_id"], mode, refit_offset)
@@ -105,15 +106,14 @@ def georeference_site(frames: DataFrame, fixes: DataFrame, *, site: str = "site_
                       anchors: int = ANCHORS_PER_END, tolerance_ms: float = A.TOLERANCE_MS,
                       clean: bool = True, footprint: bool = True, mode: str = "full") -> DataFrame:
     """One fit per site on the pairs of all its anchored routes, applied to every route."""
-    fr = clean_frames(frames) if clean else frames
-    fx = A.long_enough(fixes)
+    fr = checkpointed(clean_frames(frames) if clean else frames)
+    fx = checkpointed(A.long_enough(fixes))
     matched = anchor_matches(fr.drop(site), fx, anchors, tolerance_ms)
     xyz = A.match_xyz(A.match_points(matched, footprint))
-    homes = frames.groupBy("route_id").agg(F.min(site).alias(site), F.count(F.lit(1)).alias("n"))
+    homes = fr.groupBy("route_id").agg(F.min(site).alias(site), F.count(F.lit(1)).alias("n"))
     xyz = attach(xyz, homes, "route_id").drop("n")
     fits = _solve(xyz, [site], mode, False)
-    kept = frames if not clean else attach(fr.drop(site), homes, "route_id").drop("n")
-    return to_entries(apply_fit(kept, fits, [site]))
+    return to_entries(apply_fit(fr, fits, [site]))
 
 
 def georeference_by_hand(frames: DataFrame, scale: float, yaw_deg: float,
