@@ -567,9 +567,7 @@ def interpolate(spark, d):
 @query("w06_w07_path_at_fixes")
 def path_at_fixes(spark, d):
     p = V.poses(spark, d, rotation=True)
-    first = p.groupBy("route_id").agg(F.min("ms").alias("_m"), F.count(F.lit(1)).alias("n"))
-    from posegrid.scale import attach
-    path = attach(p, first, "route_id").withColumn("timestamp", (F.col("ms") - F.col("_m")) / 1000.0)
+    path = p.withColumn("timestamp", (F.col("ms") - 1704067200000) / 1000.0)
     out = RS.path_at_fixes(path.select("route_id", "timestamp", *XYZ, "rotation"), V.fixes(spark, d))
     out = out.withColumn("r00", L.entry("rotation", 0, 0)).select("route_id", "seq", "timestamp", *XYZ, "r00")
     return V.rounded(out, 5, "timestamp", *XYZ, "r00")

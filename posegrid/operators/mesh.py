@@ -317,22 +317,22 @@ def cluster_flat_vertices(vertices: DataFrame, k: int, seed: int = 7):
     feats = ["theta", "phi", "x", "y", "z"]
     flat = curvature_features(vertices).filter("is_flat")
     data = VectorAssembler(inputCols=feats, outputCol="features").transform(flat)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="label").fit(data)
+    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(data)
     centres = flat.sparkSession.createDataFrame(
         [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())],
-        "label int, centre array<double>")
+        "cluster int, centre array<double>")
     labelled = model.transform(data).withColumn("_f", vector_to_array("features"))
     return labelled.drop("features"), centres
 
 
 def cluster_seed_vertices(labelled: DataFrame, centres: DataFrame) -> DataFrame:
-    """Vertex nearest to its cluster's centre: ``label, mesh_id, vid``."""
-    c = labelled.join(F.broadcast(centres), "label")  # k rows
+    """Vertex nearest to its cluster's centre: ``cluster, mesh_id, vid``."""
+    c = labelled.join(F.broadcast(centres), "cluster")  # k rows
     d = sum((F.pow(F.col("_f")[i] - F.col("centre")[i], 2) for i in range(1, 5)),
             F.pow(F.col("_f")[0] - F.col("centre")[0], 2))
-    return c.withColumn("_d", d).groupBy("label").agg(
+    return c.withColumn("_d", d).groupBy("cluster").agg(
         F.min(F.struct("_d", M, "vid")).alias("_m")).select(
-        "label", F.col(f"_m.{M}").alias(M), F.col("_m.vid").alias("vid"))
+        "cluster", F.col(f"_m.{M}").alias(M), F.col("_m.vid").alias("vid"))
 
 
 def level_rotation(faces: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -408,12 +408,12 @@ def ray_hits(rays: DataFrame, faces: DataFrame, vertices: DataFrame,
     tcell = attach(tri, grid, M).withColumn("ca", F.explode(span("a0", "a1", "ga"))) \
         .withColumn("cb", F.explode(span("b0", "b1", "gb"))) \
         .select(M, "ca", "cb", "fid", "p0", "p1", "p2")
-    r = attach_unique(rays, d, M).withColumns({"_a": L.dot("origin", "_u"),
-                                               "_b": L.dot("origin", "_v")})
-    r = attach_unique(r, grid.drop("n"), M).withColumns({"ca": cell_no(F.col("_a"), "ga"),
-                                                         "cb": cell_no(F.col("_b"), "gb")})
-    r = r.select(M, "ca", "cb", "ray_id", "origin", "_d")
-    pair = attach_unique(r, tcell, [M, "ca", "cb"])
+    frame = checkpointed(d.join(grid.drop("n"), M))
+    r = attach_unique(rays, frame, M).withColumns({"_a": L.dot("origin", "_u"),
+                                                   "_b": L.dot("origin", "_v")})
+    r = r.withColumns({"ca": cell_no(F.col("_a"), "ga"), "cb": cell_no(F.col("_b"), "gb")})
+    r = checkpointed(r.select(M, "ca", "cb", "ray_id", "origin", "_d"))
+    pair = attach_unique(r, checkpointed(tcell), [M, "ca", "cb"])
     pair = pair.withColumns({"_e1": L.sub("p1", "p0"), "_e2": L.sub("p2", "p0"),
                              "_s": L.sub("origin", "p0")}) \
         .withColumn("_h", L.cross("_d", "_e2")).withColumn("_q", L.cross("_s", "_e1")) \
@@ -425,6 +425,5 @@ def ray_hits(rays: DataFrame, faces: DataFrame, vertices: DataFrame,
     hit = pair.filter((F.col("_bu") >= -eps) & (F.col("_bv") >= -eps)
                       & (F.col("_bu") + F.col("_bv") <= 1 + eps) & (F.col("_t") >= 0))
     first = hit.groupBy(M, "ray_id").agg(F.min("_t").alias("t"))
-    back = rays.join(first, [M, "ray_id"])
-    return attach_unique(back, d.select(M, "_d"), M).select(
+    return r.join(first, [M, "ray_id"]).select(
         M, "ray_id", "t", L.add("origin", L.times("_d", "t")).alias("hit"))

@@ -304,11 +304,11 @@ def clamp_footprints(poses: DataFrame, hits: DataFrame) -> DataFrame:
     ``poses``: ``scene_id, pose_key, center, rotation``; ``hits``: ``scene_id, pose_key,
     hit point``.
     """
-    down = poses.withColumn("_d", L.down_direction("rotation"))
+    joined = checkpointed(poses.join(hits, ["scene_id", "pose_key"], "left")
+                          .withColumn("_dist", L.dist("center", "hit")))
+    down = joined.withColumn("_d", L.down_direction("rotation"))
     mean = down.groupBy("scene_id").agg(L.vec(*[F.avg(F.col("_d")[a]) for a in L.AXES])
                                         .alias("_dir"), F.count(F.lit(1)).alias("n"))
-    joined = poses.join(hits, ["scene_id", "pose_key"], "left") \
-        .withColumn("_dist", L.dist("center", "hit"))
     stats = order_stats(joined, "scene_id", "_dist", {"p30": 0.3, "p50": 0.5, "p70": 0.7}) \
         .drop("n")
     joined = attach(joined, mean.join(stats, "scene_id", "left"), "scene_id")

@@ -54,7 +54,7 @@ def level_by_floor(vertices: DataFrame, faces: DataFrame, clusters: int = 50,
     seed_v = mesh.cluster_seed_vertices(labelled, centres)
     seed_f = mesh.vertex_flat_faces(vertices, faces, seed_v)
     seeds = seed_v.join(seed_f, ["mesh_id", "vid"]).select(
-        "mesh_id", F.col("label").alias("seed_no"), "fid")
+        "mesh_id", F.col("cluster").alias("seed_no"), "fid")
     segments = mesh.grow_segments(faces, vertices, seeds, normal_threshold)
     normals = mesh.face_normals(faces, vertices).select("mesh_id", "fid", "normal")
     seed_normals = seeds.join(normals, ["mesh_id", "fid"]).select(

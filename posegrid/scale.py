@@ -196,7 +196,8 @@ def ordered(df: DataFrame, ln: Line, *,
 
 def bracket(targets: DataFrame, knots: DataFrame, keys: Sequence[str], time: str,
             payload: Sequence[str], width: float) -> DataFrame:
-    """For each target row the knot at or before it (``prev_*``) and the next one (``next_*``).
+    """For each target row the last knot at or before it (``prev_*``) and the first knot strictly
+    after it (``next_*``).
 
     Knots must have one row per (keys, time) and non-null payload. Both sides are merged on one
     time line, so no target/knot pairs are formed.
