@@ -1,12 +1,10 @@
-"""Explicit schemas of every document and table; nothing is inferred."""
+"""Explicit schemas of every document and table as DDL text; nothing is inferred."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
 
-
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+def _struct(text: str) -> str:
+    return " ".join(text.split())
 
 
 # --- documents -----------------------------------------------------------------------------
@@ -40,7 +38,7 @@ TRACK_DOCUMENT = _struct("""
         video: string>
 """)
 
-MARKER_ENTRY = _struct("name string, begin bigint, end bigint")
+MARKER_ENTRY = "struct<name: string, begin: bigint, `end`: bigint>"
 
 TRANSFORM_LOG = _struct("""
     concatenated array<array<double>>,

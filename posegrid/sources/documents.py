@@ -142,9 +142,8 @@ def track_points(docs: DataFrame) -> DataFrame:
 def read_markers(spark: SparkSession, paths, name_pattern: str = MARKER_NAME) -> DataFrame:
     """Marker entries in document order; the route name comes from the file name. ``mask`` entries
     are dropped."""
-    entry = S.MARKER_ENTRY.simpleString()
     return spark.read.text(paths, wholetext=True).withColumn("route_id", _id(name_pattern)) \
-        .select("route_id", F.posexplode(F.from_json("value", f"array<{entry}>"))
+        .select("route_id", F.posexplode(F.from_json("value", f"array<{S.MARKER_ENTRY}>"))
                 .alias("pos", "_m")).select(
             "route_id", "pos", F.col("_m.name").alias("name"), F.col("_m.begin").alias("begin_ms"),
             F.col("_m.end").alias("end_ms")).filter(~F.col("name").startswith("mask"))
