@@ -13,6 +13,8 @@ def spark(tmp_path_factory):
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         # call-site capture costs several JVM round trips per column expression
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
          .config("spark.driver.memory", "8g").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
