@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("captures", "paths", "graphs", "meshes")
+MODULES = ("captures", "paths", "graphs", "meshes", "outputs")
 
 
 def load_catalog():
