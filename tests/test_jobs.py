@@ -280,3 +280,36 @@ def test_registry_rejects_unknown_names():
         registry.lookup("pairing", "nope")
     with pytest.raises(ValueError):
         registry.lookup("nope", "window")
+
+
+def test_alignment_recovers_a_known_move(spark):
+    from posegrid.plans.alignment import align_sub_to_main
+    rng = np.random.default_rng(9)
+    rows = [("p", i, f"{i:05d}_1.jpg", tuple(map(float, rng.normal(size=3) * 5))) for i in range(40)]
+    pt = "struct<x:double,y:double,z:double>"
+    df = spark.createDataFrame(rows, f"scene_id string, view_key long, filename string, center {pt}")
+    views = df.select("scene_id", "view_key", "filename")
+    sub = df.select("scene_id", F.col("view_key").alias("pose_key"), "center").withColumn(
+        "rotation", L.identity3())
+    move = spark.range(1).select(F.lit("p").alias("scene_id"), L.compose(
+        3.0, 25.0, L.vec(0, 0.6, 0.8), L.vec(4, 5, 6)).alias("matrix"))
+    main = poses.transform_poses(sub, move)
+    got = align_sub_to_main(views, main, views, sub).first()
+    assert got.n == 78 and got.scale == pytest.approx(3.0)
+    assert np.allclose(got.matrix, move.first().matrix, atol=1e-8)
+
+
+def test_cascade_multiplies_along_the_tree(spark):
+    parents = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("d", "a")],
+                                    "route_id string, parent_id string")
+    tree = routegraph.tree_from_parents(parents)
+    mats = {r: np.eye(4) + np.triu(np.full((4, 4), k / 10.0), 1) for k, r in enumerate("abcd", 1)}
+    table = spark.createDataFrame([("a", r, m.ravel().tolist()) for r, m in mats.items()],
+                                  "root string, route_id string, matrix array<double>")
+    got = {r.route_id: np.array(r.matrix).reshape(4, 4) for r in routegraph.cascade(
+        tree, table.filter("route_id <> 'a'"), table.filter("route_id = 'a'").drop("route_id")).collect()}
+    a, b, c, d = (mats[r] for r in "abcd")
+    for name, want in (("a", a), ("b", a @ b), ("c", a @ b @ c), ("d", a @ d)):
+        assert np.allclose(got[name], want)
+    failed = spark.createDataFrame([("a", "b")], "root string, route_id string")
+    assert {r.route_id for r in routegraph.surviving(tree, failed).collect()} == {"a", "d"}
