@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posegrid.llm import secrets
+from posegrid.llm import packing, quality_zstd, secrets
 from posegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,20 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
         count("hex").alias("n_hex"), F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
         F.array_join("found", ",").alias("spans"))
+
+
+@query("op7_compression_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = quality_zstd.fold() == 1
+    model = quality_zstd.fit(docs, table(spark, sf_dir, "labels"), usable=~held_out)
+    scored = quality_zstd.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op10_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
