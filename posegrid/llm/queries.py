@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posegrid.llm import packing, quality_zstd, secrets
+from posegrid.llm import html_cut, packing, pieces, quality_zstd, secrets
 from posegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
+
+
+@query("op6_sentencepiece")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = pieces.decode(pieces.encode(docs))
+    return back.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                       F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@query("op8_html_min_cut")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_cut.extract(pages)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
