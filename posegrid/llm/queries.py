@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posegrid.llm import html_cut, packing, pieces, quality_zstd, secrets
+from posegrid.llm import html_cut, packing, pieces, quality_zstd, risk_rules, secrets, urls
 from posegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,32 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_cut.extract(pages)
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op1_quality_rules")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = risk_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
+# Host, path and verdict of the rules that the query applies.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@query("op2_url_filter", f"""
+WITH rules(host, path, verdict) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+ u AS (SELECT row_number() OVER () AS n, page_id, CASE WHEN instr(url, '://') > 0
+       THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+ p AS (SELECT n, page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+       'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+ hit AS (SELECT n, arg_max(r.host || r.path, len(r.host) * 100000 + len(r.path)) AS rule,
+       arg_max(r.verdict, len(r.host) * 100000 + len(r.path)) AS verdict
+       FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+       GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN hit USING (n)""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
