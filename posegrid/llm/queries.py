@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posegrid.llm import html_cut, packing, pieces, quality_zstd, risk_rules, secrets, urls
+from posegrid.llm import html_cut, line_templates, packing, pieces, quality_zstd, risk_rules, secrets, urls
 from posegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op9_line_templates")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_templates(docs).select("doc_id", "n_lines", "n_dropped", "text")
