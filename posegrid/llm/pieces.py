@@ -35,8 +35,8 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 WORD = re.compile(" +[^ ]*")
 #: characters of text whose words are held at once, and words kept from block to block
-BLOCK_CHARS = 4_000_000
-KEPT_WORDS = 500_000
+BLOCK_CHARS = 2_000_000
+KEPT_WORDS = 300_000
 
 
 def default_model() -> str:
@@ -143,12 +143,12 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def _blocks(texts: list[str | None], most: int) -> Iterator[list[str | None]]:
+def _blocks(texts: pa.Array, most: int) -> Iterator[list[str | None]]:
     block: list[str | None] = []
     size = 0
     for t in texts:
-        block.append(t)
-        size += len(t or "")
+        block.append(t.as_py())
+        size += len(block[-1] or "")
         if size >= most:
             yield block
             block, size = [], 0
@@ -164,13 +164,15 @@ def encoded(text: Column, model: str | None = None) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tool = pieces(path)
         for batch in batches:
-            ids = [x for block in _blocks(batch.to_pylist(), BLOCK_CHARS) for x in tool.encode(block)]
-            ends = np.cumsum([0] + [len(x or b"") // 4 for x in ids])
-            values = pa.array(np.frombuffer(b"".join(x for x in ids if x), np.int32))
-            empty = pa.array([x is None for x in ids] + [False])
-            places = pa.array(ends.astype(np.int32), mask=np.array(empty)) if any(
-                x is None for x in ids) else pa.array(ends.astype(np.int32))
-            yield pa.ListArray.from_arrays(places, values)
+            parts, ends, gone = [], [0], []
+            for block in _blocks(batch, BLOCK_CHARS):
+                for x in tool.encode(block):
+                    parts.append(x or b"")
+                    gone.append(x is None)
+                    ends.append(ends[-1] + len(parts[-1]) // 4)
+            yield pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32(), mask=np.array([*gone, False]) if any(gone) else None),
+                pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
     return encode(text)
 
@@ -183,7 +185,10 @@ def decoded(ids: Column, model: str | None = None) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tool = pieces(path)
         for batch in batches:
-            yield pa.array([None if x is None else tool.decode(x) for x in batch.to_pylist()], pa.string())
+            # one text's ids are Python numbers at a time, never a batch's
+            ends, values = batch.offsets.to_pylist(), batch.values.to_numpy(zero_copy_only=False)
+            yield pa.array([tool.decode(values[b:e].tolist()) if there else None for b, e, there in zip(
+                ends, ends[1:], batch.is_valid().to_pylist())], pa.string())
 
     return decode(ids)
 

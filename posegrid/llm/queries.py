@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posegrid.llm import html_cut, line_templates, packing, pieces, quality_zstd, risk_rules, secrets, urls
+from posegrid.llm import html_cut, line_templates, packing, pieces, quality_zstd, risk_rules, secrets, simhash, urls
 from posegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_templates.drop_templates(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+@query("op3_simhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.cluster(table(spark, sf_dir, "documents").select("doc_id", "text"))
