@@ -11,13 +11,15 @@ The trees are built on the driver from a bounded sample of codes (the ``SAMPLE``
 only how the work is dealt: every code is routed, whatever the sample. A leaf is a shard, one group of a
 shuffle. Shards far over their expected size (many codes close together) are split into blocks of homes
 that all visitors pass, and within a task a large shard is searched by a tree of its own. A shard returns
-not its pairs but the stars of its linked codes, so a dense group gives as many rows as it has codes.
-Distinct codes are compared, never rows; copies share a code.
+not all its links but a lightest spanning forest of them, so a dense group gives fewer rows than it has
+codes. Distinct codes are compared, never rows; copies share a code.
 
 For documents with five-word shingle similarity of at least 0.8 (``near_copies``) one fingerprint with 3 bits
 misses too much. There each text has several fingerprints, of its set of words, independent of each other; a
-pair is a candidate if any of them links, and is confirmed in the shard by the estimate of the shingle
-similarity from 512 sign bits of the five-word shingles that travel with the codes.
+pair is a candidate if any of them links and 256 sign bits of the five-word shingles, which travel with the
+codes, do not speak against it. The forest that is lightest by these bits and the few lightest links of each
+text (all links, except within dense groups) are then confirmed by the exact similarity of the shingle sets of
+the two whole texts.
 
 Results for odd inputs: a null, empty or blank text has the fingerprint zero, and all such texts are linked; a
 text with fewer words than a shingle is one shingle; texts of any length are hashed whole; repeated rows
@@ -44,13 +46,15 @@ SEED = 42
 MAX_BITS = 3
 #: codes on the driver that shape the trees, homes expected in a shard, and homes from which it is split
 SAMPLE = 32_768
-PER_SHARD = 1024
+PER_SHARD = 2048
 SPLIT_FROM = 8 * PER_SHARD
-#: fingerprints of near copies, sign bits that travel with them, and how far below the wanted similarity the
-#: estimate may lie (one standard error of 512 bits)
-VIEWS = 6
-SIGN_WORDS = 8
-MARGIN = 0.03
+#: fingerprints of near copies, 64-bit words of sign bits that travel with them, and how far below the wanted
+#: similarity the estimate may lie (two and a half standard errors of 256 bits)
+VIEWS = 10
+SIGN_WORDS = 4
+MARGIN = 0.12
+#: links of each text that are confirmed beside the forest
+NEAR = 4
 _SLICE = 1 << 15
 
 
@@ -190,41 +194,64 @@ def route(codes: np.ndarray, tree: Tree, reach: int, homes: np.ndarray | None =
             np.concatenate([np.full(len(r), h) for r, _, h in out]) if out else np.empty(0, bool))
 
 
-class Stars:
-    """Union-find over the rows of a shard."""
-
-    def __init__(self, size: int):
-        self.up = np.arange(size)
-
-    def root(self, i: int) -> int:
-        up = self.up
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        """Links of many rows; those already known to be together cost one numpy pass."""
-        while len(a):
-            x, y = self.up[a], self.up[b]
-            while ((x != self.up[x]).any() or (y != self.up[y]).any()):
-                x, y = self.up[x], self.up[y]
-            open_ = x != y
-            if not open_.any():
-                return
-            pairs = np.unique(np.stack((np.minimum(x, y)[open_], np.maximum(x, y)[open_])), axis=1)
-            for i, j in pairs.T[:4096].tolist():
-                i, j = self.root(i), self.root(j)
-                self.up[max(i, j)] = min(i, j)
-            a, b = a[open_], b[open_]
-
-
-Same = Callable[[np.ndarray, np.ndarray], np.ndarray]
-
-
-def link_shard(codes: np.ndarray, homes: np.ndarray, half: int, max_bits: int, same: Same | None,
-               stars: Stars, rows: np.ndarray | None = None) -> None:
-    """Join in ``stars`` all linked pairs of a shard of which at least one lives there."""
+class Forest:
+    """The lightest spanning forest of the links met so far and the ``near`` lightest links of each row; holds
+    at most ``1 + near`` links a row, and those of the last blocks."""
+
+    def __init__(self, size: int, near: int = 0, most: int = 1 << 20):
+        self.size, self.near, self.most = size, near, most
+        self.links = [np.empty((0, 3), np.int64)]
+        self.waiting = 0
+
+    def add(self, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> None:
+        self.links.append(np.stack((a, b, weight), axis=1).astype(np.int64))
+        self.waiting += len(a)
+        if self.waiting > self.most:
+            self.reduce()
+
+    def reduce(self) -> np.ndarray:
+        """Boruvka's rounds: every component takes its lightest link out (ties by the link's place)."""
+        links = np.concatenate(self.links)
+        links = links[np.lexsort((links[:, 1], links[:, 0], links[:, 2]))]
+        label, kept = np.arange(self.size), []
+        open_ = links
+        while len(open_):
+            x, y = label[open_[:, 0]], label[open_[:, 1]]
+            apart = x != y
+            open_, x, y = open_[apart], x[apart], y[apart]
+            first = np.full(self.size, len(open_))
+            np.minimum.at(first, x, np.arange(len(open_)))
+            np.minimum.at(first, y, np.arange(len(open_)))
+            picked = np.unique(first[first < len(open_)])
+            kept.append(open_[picked])
+            up = np.arange(self.size)
+            for i, j in zip(x[picked].tolist(), y[picked].tolist()):
+                while up[i] != i:
+                    up[i] = i = up[up[i]]
+                while up[j] != j:
+                    up[j] = j = up[up[j]]
+                up[max(i, j)] = min(i, j)
+            while (up != up[up]).any():
+                up = up[up]
+            label = up[label]
+        if self.near and len(links):
+            # the links of a row in order of weight, whichever of their ends it is
+            row = np.concatenate((links[:, 0], links[:, 1]))
+            order = np.lexsort((np.tile(np.arange(len(links)), 2), row))
+            begin = np.searchsorted(row[order], row[order], side="left")
+            kept.append(links[order[np.arange(len(order)) - begin < self.near] % len(links)])
+        out = np.unique(np.concatenate(kept), axis=0) if kept else np.empty((0, 3), np.int64)
+        self.links, self.waiting = [out], 0
+        return out
+
+
+#: of pairs of rows: the weight of their link, and whether they are linked
+Weigh = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def link_shard(codes: np.ndarray, homes: np.ndarray, half: int, max_bits: int, weigh: Weigh | None,
+               forest: Forest, rows: np.ndarray | None = None) -> None:
+    """Add to ``forest`` all linked pairs of a shard of which at least one lives there."""
     rows = np.arange(len(codes)) if rows is None else rows
     living = rows[homes[rows]]
     if len(living) > 4 * PER_SHARD:
@@ -237,26 +264,28 @@ def link_shard(codes: np.ndarray, homes: np.ndarray, half: int, max_bits: int, s
             for part in np.split(order, np.nonzero(np.diff(leaf[order]))[0] + 1):
                 inner = np.zeros(len(codes), bool)
                 inner[rows[at[part][home[part]]]] = True
-                _all_pairs(codes, rows[at[part]], inner, max_bits, same, stars)
+                _all_pairs(codes, rows[at[part]], inner, max_bits, weigh, forest)
             return
-    _all_pairs(codes, rows, homes, max_bits, same, stars)
+    _all_pairs(codes, rows, homes, max_bits, weigh, forest)
 
 
-def _all_pairs(codes, rows, homes, max_bits, same, stars) -> None:
+def _all_pairs(codes, rows, homes, max_bits, weigh, forest) -> None:
     living = rows[homes[rows]]
     for i in range(0, len(living), 512):
         block = living[i:i + 512]
-        a, b = np.nonzero(np.bitwise_count(codes[block][:, None] ^ codes[rows][None, :]) <= max_bits)
+        bits = np.bitwise_count(codes[block][:, None] ^ codes[rows][None, :])
+        a, b = np.nonzero(bits <= max_bits)
+        weight = bits[a, b]
         a, b = block[a], rows[b]
         # two that both live here meet twice
         once = (a < b) | ~homes[b]
-        a, b = a[once], b[once]
+        a, b, weight = a[once], b[once], weight[once]
         for k in range(0, len(a), 1 << 18):
-            x, y = a[k:k + (1 << 18)], b[k:k + (1 << 18)]
-            if same is not None:
-                good = same(x, y)
-                x, y = x[good], y[good]
-            stars.join(x, y)
+            x, y, w = (v[k:k + (1 << 18)] for v in (a, b, weight))
+            if weigh is not None:
+                w, good = weigh(x, y)
+                x, y, w = x[good], y[good], w[good]
+            forest.add(x, y, w)
 
 
 def _reach(max_bits: int) -> int:
@@ -266,8 +295,10 @@ def _reach(max_bits: int) -> int:
 
 # ------------------------------------------------------------------ links of all codes
 
-def star_edges(codes: DataFrame, max_bits: int = MAX_BITS, sign_limit: int | None = None) -> DataFrame:
-    """``a, b``: stars whose components are those of all links between rows of ``codes``.
+def forest_edges(codes: DataFrame, max_bits: int = MAX_BITS, sign_limit: int | None = None,
+                 near: int = 0) -> DataFrame:
+    """``a, b``: links between rows of ``codes`` whose components are those of all links. Of the links of a
+    shard those with the least differing bits are taken, and the ``near`` lightest of each row besides.
 
     ``codes``: key long (distinct), codes array<long> (a pair is linked if any of its codes are) and signs
     binary (compared if ``sign_limit`` is set: at most that many bits may differ).
@@ -311,15 +342,18 @@ def star_edges(codes: DataFrame, max_bits: int = MAX_BITS, sign_limit: int | Non
         full = shard["code"].to_numpy().view(np.uint64)
         homes = shard["home"].to_numpy(zero_copy_only=False).astype(bool)
         key = shard["key"].to_numpy()
-        same = None
+        weigh = None
         if sign_limit is not None:
             signs = np.frombuffer(b"".join(shard["signs"].to_pylist()), "<u8").reshape(len(full), -1)
-            same = lambda a, b: np.bitwise_count(signs[a] ^ signs[b]).sum(1, dtype=np.int64) <= sign_limit
-        stars = Stars(len(full))
-        link_shard(full, homes, (shard["shard"][0].as_py() >> 32) % 2, max_bits, same, stars)
-        roots = np.array([stars.root(i) for i in range(len(full))], np.int64)
-        linked = roots != np.arange(len(full))
-        return pa.table({"a": pa.array(key[linked], pa.int64()), "b": pa.array(key[roots[linked]], pa.int64())})
+
+            def weigh(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                apart = np.bitwise_count(signs[a] ^ signs[b]).sum(1, dtype=np.int64)
+                return apart, apart <= sign_limit
+
+        forest = Forest(len(full), near)
+        link_shard(full, homes, (shard["shard"][0].as_py() >> 32) % 2, max_bits, weigh, forest)
+        links = forest.reduce()
+        return pa.table({"a": pa.array(key[links[:, 0]], pa.int64()), "b": pa.array(key[links[:, 1]], pa.int64())})
 
     return spread.groupBy("shard", "block").applyInArrow(search, "a long, b long").where("a <> b")
 
@@ -339,7 +373,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
     """id, fingerprint (16 hexadecimal digits) and component_id (smallest id reachable by links)."""
     prints = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text), width).alias("key")))
     reps = cut(prints.groupBy("key").agg(F.min("doc_id").alias("first")))
-    edges = star_edges(reps.select("key", F.array("key").alias("codes"), F.lit(None).cast("binary").alias("signs")), max_bits)
+    edges = forest_edges(reps.select("key", F.array("key").alias("codes"), F.lit(None).cast("binary").alias("signs")), max_bits)
     classes = _classes(reps, edges)
     return prints.join(classes, "key").select(
         "doc_id", F.lpad(F.lower(F.hex("key")), 16, "0").alias("fingerprint"), "component_id")
@@ -373,8 +407,33 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     full = F.coalesce(F.col(text), F.lit(""))
     hashed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(full).alias("key"), codes_of(full).alias("c"))
     reps = written(hashed.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("c").alias("c")))
-    edges = star_edges(reps.select("key", "c.codes", "c.signs"), MAX_BITS, sign_limit(similarity))
-    return _classes(reps.select("key", "first"), edges)
+    edges = written(forest_edges(reps.select("key", "c.codes", "c.signs"), MAX_BITS, sign_limit(similarity), NEAR)
+                    .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    ends = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    texts = written(docs.select(F.xxhash64(full).alias("key"), full.alias("t")).groupBy("key").agg(F.min("t").alias("t"))
+                    .join(ends, "key", "left_semi"))
+    of = lambda end: texts.select(F.col("key").alias(end), F.col("t").alias(f"t{end}"))
+    close = jaccard(F.col("ta"), F.col("tb"), width) >= similarity
+    linked = edges.join(of("b"), "b").join(of("a"), "a").where(close).select("a", "b")
+    return _classes(reps.select("key", "first"), linked)
+
+
+def jaccard(a: Column, b: Column, width: int) -> Column:
+    """Shared part of the sets of shingles of two texts; 1 if both have no words."""
+    @F.arrow_udf("double")
+    def shared(lefts: pa.Array, rights: pa.Array) -> pa.Array:
+        out, last, own = [], None, np.empty(0)
+        for x, y in zip(lefts, rights):
+            y = y.as_py()
+            if y != last:  # the larger clusters share an end, and its rows come together
+                last, own = y, np.unique(shingle_hashes(words_of(y), width))
+            other = np.unique(shingle_hashes(words_of(x.as_py()), width))
+            both = len(np.intersect1d(own, other, assume_unique=True))
+            whole = len(own) + len(other) - both
+            out.append(both / whole if whole else 1.0)
+        return pa.array(out, pa.float64())
+
+    return shared(a, b)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
