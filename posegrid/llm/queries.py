@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posegrid.llm import html_cut, line_templates, packing, pieces, quality_zstd, risk_rules, secrets, simhash, urls
+from posegrid.llm import html_cut, itq, line_templates, packing, pieces, quality_zstd, risk_rules, secrets, simhash, urls
 from posegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_simhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op5_embedding_itq")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.cluster(table(spark, sf_dir, "embeddings"))
