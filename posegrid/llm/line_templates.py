@@ -8,7 +8,7 @@ belongs to it, and the fields in which its lines differ are variable. A line tha
 for itself, as do lines no longer than ``depth``.
 
 A template recurs if at least ``min_texts`` lines of different texts belong to it. Equal texts count once. A
-text of whose words or lines more than ``copy_share`` recur is a near copy of others and no evidence for
+text of whose characters or lines more than ``copy_share`` recur is a near copy of others and no evidence for
 boilerplate: its lines stay unless they recur in enough other texts. Lines of recurring templates are
 dropped wherever they stand; what remains keeps its order, and blank lines stay.
 
@@ -49,10 +49,15 @@ def visible(line: Column) -> Column:
 
 
 def hashed_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, fields: int = FIELDS) -> DataFrame:
-    """text_key, line, leaf, words and field hashes of the distinct lines of each text."""
-    lines = docs.where(F.length(text) > 0).select(
-        F.xxhash64(text).alias("text_key"), F.explode(F.array_distinct(F.split(text, "\n"))).alias("l"))
-    lines = lines.where(visible(F.col("l"))).select("text_key", tokens_of(F.col("l")).alias("t"))
+    """Hashes of the distinct lines of each text: text_key, line, leaf and one number per field (f0, f1, ...),
+    with the characters of the line and the characters and lines of the text."""
+    all_lines = F.filter(F.array_distinct(F.split(text, "\n")), visible)
+    rows = docs.where(F.length(text) > 0).select(
+        F.xxhash64(text).alias("text_key"), F.length(text).alias("text_chars"), all_lines.alias("all_lines"))
+    rows = rows.select("text_key", "text_chars", F.size("all_lines").alias("text_lines"),
+                       F.explode("all_lines").alias("l"))
+    lines = rows.select("text_key", "text_chars", "text_lines", F.length("l").alias("chars"),
+                        tokens_of(F.col("l")).alias("t"))
     n = F.size("t")
     rest = n - depth
 
@@ -61,54 +66,56 @@ def hashed_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, fields
         end = F.floor((j + 1) * rest / fields).cast("int")
         return F.when((rest > 0) & (end > begin), F.hash(F.slice("t", begin + depth + 1, end - begin)))
 
-    return lines.select("text_key", F.xxhash64("t").alias("line"),
-                        F.xxhash64(n, F.slice("t", 1, depth)).alias("leaf"), n.alias("words"),
-                        F.array(*[field(j) for j in range(fields)]).alias("fields"))
+    return lines.select("text_key", "text_chars", "text_lines", "chars", F.xxhash64("t").alias("line"),
+                        F.xxhash64(n, F.slice("t", 1, depth)).alias("leaf"),
+                        *[field(j).alias(f"f{j}") for j in range(fields)])
 
 
-def recurring(pairs: DataFrame, lines: DataFrame, min_texts: int, similarity: float) -> DataFrame:
-    """``line`` of every line whose template, or which itself, stands in at least ``min_texts`` texts.
+def templates(lines: DataFrame, fields: int, min_texts: int, similarity: float) -> DataFrame:
+    """``line, template`` of the lines whose template stands in at least ``min_texts`` texts.
 
-    ``pairs``: distinct (text_key, line); ``lines``: line, leaf and fields of each distinct line.
+    ``lines``: line, texts (in which it stands), leaf and fields of each distinct line. A template is called by
+    its leaf, a line that fits none by itself.
     """
-    counted = pairs.groupBy("line").agg(F.count(F.lit(1)).alias("texts")).join(lines, "line")
-    by_leaf = counted.groupBy("leaf").agg(F.sum("texts").alias("all_texts"), F.count(F.lit(1)).alias("kinds"))
+    several = (lines.groupBy("leaf").agg(F.sum("texts").alias("n"), F.count(F.lit(1)).alias("kinds"))
+               .where((F.col("kinds") > 1) & (F.col("n") >= min_texts)).select("leaf"))
     # leaves in which generalising can matter: several lines, together often enough
-    several = by_leaf.where((F.col("kinds") > 1) & (F.col("all_texts") >= min_texts)).select("leaf")
-    open_lines = counted.join(several, "leaf")
+    open_lines = written(lines.join(several, "leaf").select(
+        "leaf", "line", "texts", F.array(*[f"f{j}" for j in range(fields)]).alias("fields")))
     votes = (open_lines.select("leaf", "texts", F.posexplode("fields").alias("j", "value"))
              .where(F.col("value").isNotNull()).groupBy("leaf", "j", "value").agg(F.sum("texts").alias("votes")))
-    template = (votes.groupBy("leaf", "j").agg(F.max_by("value", F.struct("votes", "value")).alias("value"))
-                .groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("j", "value"))).alias("template")))
-    equal = F.size(F.filter("fields", lambda v, j: F.coalesce(
-        F.try_element_at("template", j) == v, F.lit(False))))
+    usual = (votes.groupBy("leaf", "j").agg(F.max_by("value", F.struct("votes", "value")).alias("value"))
+             .groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("j", "value"))).alias("usual")))
+    equal = F.size(F.filter("fields", lambda v, j: F.coalesce(F.try_element_at("usual", j) == v, F.lit(False))))
     filled = F.size(F.filter("fields", lambda v: v.isNotNull()))
-    fitting = (open_lines.join(template, "leaf").where((equal >= similarity * filled) & (filled > 0))
-               .select("leaf", "line", "texts"))
+    fitting = written(open_lines.join(usual, "leaf").where((equal >= similarity * filled) & (filled > 0))
+                      .select("leaf", "line", "texts"))
     often = fitting.groupBy("leaf").agg(F.sum("texts").alias("n")).where(F.col("n") >= min_texts).select("leaf")
-    return (counted.where(F.col("texts") >= min_texts).select("line")
-            .union(fitting.join(often, "leaf").select("line")).distinct())
+    alone = (lines.where(F.col("texts") >= min_texts).select("line")
+             .join(fitting.select("line"), "line", "left_anti").select("line", F.col("line").alias("template")))
+    return fitting.join(often, "leaf").select("line", F.col("leaf").alias("template")).union(alone)
 
 
 def dropped_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, fields: int = FIELDS,
                   similarity: float = SIMILARITY, min_texts: int = MIN_TEXTS,
                   copy_share: float = COPY_SHARE) -> DataFrame:
     """text_key and the hashes (``dropped``) of the lines that the text loses."""
+    names = [f"f{j}" for j in range(fields)]
     seen = written(hashed_lines(docs, text, depth, fields).groupBy("line", "text_key").agg(
-        F.min("words").alias("words"), F.min("leaf").alias("leaf"), F.min("fields").alias("fields")))
-    pairs = seen.select("text_key", "line", "words")
-    lines = written(seen.groupBy("line").agg(F.min("leaf").alias("leaf"), F.min("fields").alias("fields")))
-    first = written(recurring(pairs, lines, min_texts, similarity)).withColumn("recurs", F.lit(True))
-    # only texts with a recurring line can be copies
-    marked = pairs.join(first, "line", "left")
-    copies = (marked.groupBy("text_key").agg(
-        F.sum("words").alias("words"), F.sum(F.when(F.col("recurs"), F.col("words"))).alias("said_words"),
-        F.count(F.lit(1)).alias("lines"), F.count("recurs").alias("said_lines"))
-        .where((F.col("said_words") > copy_share * F.col("words"))
-               | (F.col("said_lines") > copy_share * F.col("lines"))).select("text_key"))
-    evidence = pairs.join(first.select("line"), "line", "left_semi").join(copies, "text_key", "left_anti")
-    final = recurring(evidence, lines, min_texts, similarity)
-    return pairs.join(final, "line").groupBy("text_key").agg(F.collect_set("line").alias("dropped"))
+        *[F.min(c).alias(c) for c in ("text_chars", "text_lines", "chars", "leaf", *names)]))
+    lines = written(seen.groupBy("line").agg(
+        F.count(F.lit(1)).alias("texts"), *[F.min(c).alias(c) for c in ("leaf", *names)]))
+    # all that follows is on the few lines that recur at all
+    hits = written(seen.select("line", "text_key", "text_chars", "text_lines", "chars")
+                   .join(templates(lines, fields, min_texts, similarity), "line"))
+    copies = (hits.groupBy("text_key").agg(
+        F.min("text_chars").alias("text_chars"), F.min("text_lines").alias("text_lines"),
+        F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("lines"))
+        .where((F.col("chars") > copy_share * F.col("text_chars"))
+               | (F.col("lines") > copy_share * F.col("text_lines"))).select("text_key"))
+    final = (hits.join(copies, "text_key", "left_anti").groupBy("template").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") >= min_texts).select("template"))
+    return hits.join(final, "template").groupBy("text_key").agg(F.collect_set("line").alias("dropped"))
 
 
 def drop_templates(docs: DataFrame, text: str = "text", **options) -> DataFrame:
