@@ -50,14 +50,15 @@ CLASSES = (
     CharClass("hex", r"0-9a-fA-F", 32, 3.0),
     CharClass("base64", r"A-Za-z0-9+/_\-", 24, 3.8),
 )
-#: strings that look random but are none: identifiers, digests with their name, alphabets, samples
+#: strings that look random but are none: identifiers, alphabets, samples, numbers, words
 ALLOW = (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
-    r"(?:sha(?:1|224|256|384|512)|md5)[-:=_][0-9A-Za-z+/=]+",
     r".*(?:EXAMPLE|example|0123456789|abcdefghij|ABCDEFGHIJ).*",
     r"[0-9_\-+/=]+",
     r"[A-Za-z]+(?:[/_\-][A-Za-z]+)*",
 )
+#: what names a string as a digest when it stands right before it
+DIGEST_NAME = r"(?:sha-?(?:1|224|256|384|512)|md5)[:=_-]\Z"
 CANDIDATE = r"[A-Za-z0-9+/_=\-]{24,}"
 
 
@@ -110,6 +111,7 @@ class Scanner:
         self.hex = re.compile(HEX[:-1] + "{%d,}" % LEAST["hex"])
         self.candidate = re.compile(candidate)
         self.allow = re.compile("|".join(f"(?:{a})" for a in allow)) if allow else None
+        self.digest_name = re.compile(DIGEST_NAME, re.IGNORECASE)
         self.exact = exact
         self.classes = [(c, re.compile(f"[{c.chars}]{{{c.window},}}")) for c in classes]
 
@@ -129,7 +131,8 @@ class Scanner:
         found: list[tuple[int, int, int]] = []
         for m in self.candidate.finditer(text):
             string, shift = m.group(), m.start()
-            if string in self.exact or (self.allow and self.allow.fullmatch(string)):
+            if string in self.exact or (self.allow and self.allow.fullmatch(string)) \
+                    or self.digest_name.search(text[max(0, shift - 8):shift]):
                 continue
             spans = [(shift + r.start() + b, shift + r.start() + e)
                      for c, pattern in self.classes for r in pattern.finditer(string)

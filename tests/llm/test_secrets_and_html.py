@@ -1,0 +1,123 @@
+import itertools
+import math
+import random
+import re
+from collections import Counter
+
+from posegrid.llm import html_cut, secrets
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                    re.I | re.A)
+
+
+def base_by_hand(text):
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 32]
+    return sorted(out)
+
+
+def test_base_spans_by_brute_force():
+    scanner = secrets.Scanner(secrets.CLASSES, secrets.ALLOW, frozenset(), secrets.CANDIDATE)
+    random.seed(7)
+    parts = ["password", "TOKEN", "api_key", "apikey", "secret", "passwd", "=", ":", " ", "'", '"', "AKIA", "A1B2C3D4E5F6G7",
+             "0123abcd" * 4, "deadbeef", "short", "longer.value+1", "é", "ſecret", "\n", "toKen", "🙂"]
+    for _ in range(4000):
+        text = "".join(random.choice(parts) for _ in range(random.randint(0, 12)))
+        assert sorted(scanner.base(text)) == base_by_hand(text)
+
+
+def test_windows_by_brute_force():
+    random.seed(1)
+    for _ in range(500):
+        run = "".join(random.choice("ab01Z" if random.random() < 0.5 else "abcdefgh0123") for _ in range(random.randint(0, 40)))
+        w, bits = 8, random.choice([1.5, 2.0, 2.5])
+        hit = set()
+        for i in range(len(run) - w + 1):
+            part = run[i:i + w]
+            entropy = -sum(n / w * math.log2(n / w) for n in Counter(part).values())
+            if entropy >= bits - 1e-9 and re.search("[0-9]", part) and re.search("[a-zA-Z]", part):
+                hit |= set(range(i, i + w))
+        got = set()
+        for b, e in secrets.window_spans(run, w, bits, True):
+            assert not got & set(range(b, e))
+            got |= set(range(b, e))
+        assert got == hit
+
+
+def test_entropy_spans_and_the_allow_list(spark):
+    key = "q7Zt0bX9LmW2pRk8VsYd3HnJ5cFg1TaE"
+    texts = {"found": f"id {key} end", "base": f"token = {key}", "uuid": "123e4567-e89b-12d3-a456-426614174000",
+             "sample": key + "EXAMPLE", "words": "internationalisation/extraordinarily-straightforward",
+             "digest": "sha256:" + key, "mine": "ok " + key[::-1]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["secrets"]]
+           for r in secrets.find_secrets(docs, allow_strings=[key[::-1]]).collect()}
+    assert got == {"found": [("entropy", 3, 35)], "base": [("assign", 0, 40)], "uuid": [], "sample": [], "words": [],
+                   "digest": [], "mine": []}
+
+
+def test_secrets_of_odd_rows(odd, nothing):
+    got = secrets.find_secrets(odd)
+    assert got.count() == odd.count() and got.schema["secrets"].dataType.typeName() == "array"
+    assert got.where("size(secrets) > 0").count() == 0
+    assert secrets.find_secrets(nothing).count() == 0
+    assert secrets.redact(odd).columns == odd.columns
+    assert sorted(map(str, secrets.redact(odd).collect())) == sorted(map(str, odd.collect()))
+
+
+def test_redaction(spark):
+    hexa = "0123456789abcdef" * 2
+    docs = spark.createDataFrame([(1, f"🙂 token = '{hexa}' then {hexa}!", 5)], "doc_id long, text string, secrets long")
+    row = secrets.redact(docs).first()
+    assert row["text"] == "🙂 [SECRET]' then [SECRET]!" and row["secrets"] == 5
+
+
+def test_minimum_cut_by_brute_force():
+    random.seed(3)
+    for _ in range(300):
+        n = random.randint(1, 9)
+        odds = [random.gauss(0, 1.2) for _ in range(n)]
+        edges = [(i, j, random.random()) for i in range(n) for j in range(i) if random.random() < 0.4]
+
+        def cost(label):
+            return (sum(max(x, 0) if not y else max(-x, 0) for x, y in zip(odds, label))
+                    + sum(w for a, b, w in edges if label[a] != label[b]))
+
+        best = min(cost(x) for x in itertools.product([False, True], repeat=n))
+        assert abs(cost(html_cut.min_cut(odds, edges)) - best) < 1e-9
+
+
+PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p>";</script></head><body>
+<header><a href="/">Site name</a></header><nav><ul><li><a href="/a">Menu</a></li></ul></nav>
+<div class="sidebar"><p>A sidebar with a long paragraph that goes on for quite a few words, more than twenty of them,
+ so that only its place tells what it is.</p></div>
+<article><h1>Title &amp; more</h1><p>First   paragraph with a <a href=x>link</a>, &eacute; and &#x41;<b>bold.<br><p>Short.</p>
+<div class="cookie-notice">We use cookies</div><ul><li>One</li><li>Two</li></ul><p>Last &lt;line&gt; of it.</article>
+<section id="comments"><p>A reader wrote a long comment about the article, with many words and without any link.</p></section>
+<form><label>Your mail</label><button>Send</button></form><aside>Advert</aside><!-- <p>no</p> -->
+<footer>&copy; Somebody</footer></body></html>"""
+
+
+def test_main_text_of_a_page():
+    assert html_cut.main_text(PAGE) == ("Title & more\nFirst paragraph with a link, é and Abold.\nShort.\nOne\nTwo\n"
+                                        "Last <line> of it.")
+
+
+def test_pages_without_an_article():
+    text = "Many words of prose stand here, one after the other, so that it is a paragraph of its own and no menu entry. "
+    page = f"<div><a href=1>Home</a> <a href=2>News</a></div><div><p>{text}</p><p>{text}</p></div><div class=footer>Legal</div>"
+    assert html_cut.main_text(page) == "\n".join([text.strip()] * 2)
+
+
+def test_odd_pages(spark):
+    pages = ["", None, "<", "<p", "plain text of a page " * 10, "<article>" + "<p>" * 3000 + "deep", "<article>" + "<div>" * 3000 + "deep",
+             "<article><p>" + "long " * 50_000, "</p></p><article>&bogus; &#99999999; ok", "<article><script>x", "<!-- open <p>x",
+             '<article><p title="a > b">quoted</p>', "<article><p>a<p>b</article><nav>c"]
+    got = html_cut.extract(spark.createDataFrame([(i, p, "x") for i, p in enumerate(pages * 2)], "page_id long, html string, Text string"))
+    found = {r["page_id"]: r["text"] for r in got.collect()}
+    assert len(found) == 2 * len(pages) and None not in found.values()
+    assert found[0] == found[1] == "" and found[6] == "deep" and found[7] == " ".join(["long"] * 50_000)
+    assert found[9] == "" and found[10] == "" and found[11] == "quoted" and found[12] == "a\nb"
+    assert all(found[i] == found[i + len(pages)] for i in range(len(pages)))
+    assert html_cut.extract(got.where("false")).count() == 0
