@@ -50,8 +50,8 @@ BLOCK = 4096
 def learn_rotation(x: np.ndarray, bits: int, seed: int, iterations: int = ITERATIONS) -> np.ndarray:
     """dimension x bits: project by it, then take signs. ``x``: rows of length one."""
     rng = np.random.default_rng(seed)
-    _, _, directions = np.linalg.svd(x, full_matrices=True) if len(x) else (0, 0, np.eye(bits))
-    main = directions[:bits].T
+    _, directions = np.linalg.eigh(x.T @ x)  # ascending
+    main = directions[:, ::-1][:, :bits]
     v = x @ main
     turn, _ = np.linalg.qr(rng.standard_normal((bits, bits)))
     for _ in range(iterations):
