@@ -71,17 +71,17 @@ def edges_from_root(spark, d):
         "route_id", "other_id", "node_id", "slice", "other_slice")
 
 
-LEVELS = """l0 AS (SELECT route_id, NULL::VARCHAR AS parent_id, 0 AS depth, lpad(CAST(route_rank AS VARCHAR), 12, '0') AS path FROM root),
+LEVELS = """l0 AS (SELECT route_id, NULL::VARCHAR AS parent_id, 0 AS depth, [CAST(route_rank AS BIGINT)] AS path FROM root),
  l1 AS (SELECT c.route_id, arg_min(p.route_id, p.path) AS parent_id, 1 AS depth,
-     min(p.path) || '/' || lpad(CAST(any_value(c.route_rank) AS VARCHAR), 12, '0') AS path
+     list_append(min(p.path), CAST(any_value(c.route_rank) AS BIGINT)) AS path
    FROM l0 p JOIN crossings q ON q.route_id = p.route_id JOIN crossings c ON c.node_id = q.node_id
    WHERE c.route_id NOT IN (SELECT route_id FROM l0) GROUP BY 1),
  l2 AS (SELECT c.route_id, arg_min(p.route_id, p.path) AS parent_id, 2 AS depth,
-     min(p.path) || '/' || lpad(CAST(any_value(c.route_rank) AS VARCHAR), 12, '0') AS path
+     list_append(min(p.path), CAST(any_value(c.route_rank) AS BIGINT)) AS path
    FROM l1 p JOIN crossings q ON q.route_id = p.route_id JOIN crossings c ON c.node_id = q.node_id
    WHERE c.route_id NOT IN (SELECT route_id FROM l0 UNION ALL SELECT route_id FROM l1) GROUP BY 1),
  l3 AS (SELECT c.route_id, arg_min(p.route_id, p.path) AS parent_id, 3 AS depth,
-     min(p.path) || '/' || lpad(CAST(any_value(c.route_rank) AS VARCHAR), 12, '0') AS path
+     list_append(min(p.path), CAST(any_value(c.route_rank) AS BIGINT)) AS path
    FROM l2 p JOIN crossings q ON q.route_id = p.route_id JOIN crossings c ON c.node_id = q.node_id
    WHERE c.route_id NOT IN (SELECT route_id FROM l0 UNION ALL SELECT route_id FROM l1 UNION ALL SELECT route_id FROM l2)
    GROUP BY 1),
@@ -93,12 +93,13 @@ LEVELS = """l0 AS (SELECT route_id, NULL::VARCHAR AS parent_id, 0 AS depth, lpad
    row_number() OVER (PARTITION BY t.route_id ORDER BY o.node_id) AS k
    FROM tree t JOIN crossings o ON o.route_id = t.route_id
    JOIN crossings p ON p.route_id = t.parent_id AND p.node_id = o.node_id)""", body="""
- SELECT t.route_id, t.parent_id, t.depth, t.path, s.node_id, s.parent_slice, s.own_slice
+ SELECT t.route_id, t.parent_id, t.depth, array_to_string(t.path, '/') AS path, s.node_id, s.parent_slice, s.own_slice
  FROM tree t LEFT JOIN shared s ON s.route_id = t.route_id AND s.k = 1"""))
 def route_tree(spark, d):
     c = V.crossings(spark, d)
-    return RG.route_tree(c, _root(spark, d)).select("route_id", "parent_id", "depth", "path", "node_id",
-                                                    "parent_slice", "own_slice")
+    return RG.route_tree(c, _root(spark, d)).select(
+        "route_id", "parent_id", "depth", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"),
+        "node_id", "parent_slice", "own_slice")
 
 
 # ------------------------------------------------------------------ subtrees (ternary heap of routes)

@@ -304,20 +304,20 @@ def crop(spark, d):
 
 @query("f03_f06_curve_filter")
 def curve_filter(spark, d):
-    return OU.curve_filter(V.poses(spark, d), 5, 3, order="pose_key").select("route_id", "pose_key")
+    return OU.curve_filter(V.poses(spark, d), order="pose_key").select("route_id", "pose_key")
 
 
 @query("f05_filter_poses")
 def filter_poses(spark, d):
     p = with_center(V.poses(spark, d, rotation=True)).withColumnRenamed("route_id", "scene_id") \
         .drop(*XYZ)
-    return OU.filter_poses(p, 5, 2).select("scene_id", "pose_key", "new_key")
+    return OU.filter_poses(p).select("scene_id", "pose_key", "new_key")
 
 
 @query("f07_robust_covariance_filter")
 def robust_covariance(spark, d):
     p = V.poses(spark, d).withColumn("scene_id", F.col("route_id") % 10)
-    return OU.robust_covariance_filter(p, 0.05, rounds=4).select("scene_id", "route_id", "pose_key")
+    return OU.robust_covariance_filter(p, 0.05).select("scene_id", "route_id", "pose_key")
 
 
 @query("f09_a02_merge_lenses", W(V.RIG, body=f"""
@@ -809,15 +809,14 @@ def georeference_planar(spark, d):
 @query("g08_georeference_full")
 def georeference_full(spark, d):
     g = GE.georeference_route(_geo_frames(spark, d), A.track_footprints(V.fixes(spark, d)), anchors=8,
-                              tolerance_ms=SIX_HOURS, clean=False, smooth="anchor")
+                              tolerance_ms=SIX_HOURS, smooth="anchor")
     return _geo_out(g)
 
 
 @query("g07_georeference_site")
 def georeference_site(spark, d):
     fr = _geo_frames(spark, d).withColumn("site_id", F.col("route_id") % 5)
-    g = GE.georeference_site(fr, A.track_footprints(V.fixes(spark, d)), anchors=8, tolerance_ms=SIX_HOURS,
-                             clean=False)
+    g = GE.georeference_site(fr, A.track_footprints(V.fixes(spark, d)), anchors=8, tolerance_ms=SIX_HOURS)
     return _geo_out(g)
 
 

@@ -57,8 +57,11 @@ def _meridian_arc(phi: Column) -> Column:
                     - (35 * e6 / 3072) * F.sin(6 * phi))
 
 
-def to_utm(lon, lat, alt, zone: Column | None = None) -> Column:
-    """``struct<x, y, z, zone, south>``: transverse Mercator series of the UTM grid."""
+def to_utm(lon, lat, alt, zone: Column | None = None, south: Column | None = None) -> Column:
+    """``struct<x, y, z, zone, south>``: transverse Mercator series of the UTM grid.
+
+    ``zone`` and ``south`` put points on one grid: beyond a border of the zone eastings run on, and
+    beyond the equator northings do."""
     lon, lat, alt = L._c(lon), L._c(lat), L._c(alt)
     zone = utm_zone(lon, lat) if zone is None else zone
     phi = F.radians(lat)
@@ -74,7 +77,7 @@ def to_utm(lon, lat, alt, zone: Column | None = None) -> Column:
     north = UTM_K0 * (_meridian_arc(phi) + nu * F.tan(phi) * (
         F.pow(a, 2) / 2 + (5 - t + 9 * c + 4 * c * c) * F.pow(a, 4) / 24
         + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * F.pow(a, 6) / 720))
-    south = lat < 0
+    south = lat < 0 if south is None else south
     return F.struct((east + FALSE_EASTING).alias("x"),
                     F.when(south, north + FALSE_NORTHING).otherwise(north).alias("y"),
                     alt.alias("z"), zone.alias("zone"), south.alias("south"))

@@ -95,8 +95,10 @@ def track_footprints(fixes: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
 
 
 def track_steps(fixes: DataFrame, keys: Sequence[str] = KEY, order: str = "seq") -> DataFrame:
-    """Ground-plane step length of a track in metres."""
-    at = fixes.withColumn("_u", G.utm_to_sfm(G.to_utm("lon", "lat", "elev")))
+    """Ground-plane step length of a track in metres, on the UTM grid of its first fix."""
+    first = grid_of_first(fixes, order, keys)
+    at = attach(fixes, first, keys).withColumn(
+        "_u", G.utm_to_sfm(G.to_utm("lon", "lat", "elev", F.col("_zone"), F.col("_south")))).drop("_zone", "_south")
     flat = at.withColumns({a: F.col("_u")[a] for a in L.AXES}).drop("_u")
     return step_length(flat, order, ("x", "z"), keys).drop(*L.AXES)
 
@@ -149,10 +151,23 @@ def match_points(matches: DataFrame, footprint: bool = True, keys: Sequence[str]
         F.col("_k.point").alias("point"), F.col("_k.elev").alias("elev"))
 
 
-def match_xyz(points: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
-    """Matched points as fit pairs: own coordinates to UTM in the camera axes. The UTM zone of each
-    point is kept."""
-    u = points.withColumn("_utm", G.to_utm("lon", "lat", "elev")).withColumn(
+def grid_of_first(rows: DataFrame, order: str, keys: Sequence[str] = KEY) -> DataFrame:
+    """UTM zone (``_zone``) and hemisphere (``_south``) of the first row of each group; of several first
+    rows the one with the smallest coordinates."""
+    first = rows.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).groupBy(*keys).agg(
+        F.min(F.struct(order, "lon", "lat")).alias("_f"))
+    return first.select(*keys, G.utm_zone(F.col("_f.lon"), F.col("_f.lat")).alias("_zone"),
+                        (F.col("_f.lat") < 0).alias("_south"))
+
+
+def match_xyz(points: DataFrame, keys: Sequence[str] = KEY, grid_keys: Sequence[str] | None = None
+              ) -> DataFrame:
+    """Matched points as fit pairs: own coordinates to UTM in the camera axes. All points of a group
+    (``grid_keys``, as a rule the group that is fitted) are on the grid of its first matched fix."""
+    grid_keys = list(grid_keys or keys)
+    first = grid_of_first(points, "gps_seq", grid_keys)
+    u = attach(points, first, grid_keys).withColumn(
+        "_utm", G.to_utm("lon", "lat", "elev", F.col("_zone"), F.col("_south"))).withColumn(
         "_to", G.utm_to_sfm("_utm"))
     return u.select(*keys, "pose_key", "gps_seq", "kind",
                     *[F.col("point")[a].alias(f"f{a}") for a in L.AXES],

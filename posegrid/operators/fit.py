@@ -167,7 +167,7 @@ def ransac_fit(prs: DataFrame, order: str, keys: Sequence[str], sample_ratio: fl
     per_key = fits.groupBy(*keys).agg(
         F.collect_list(F.struct("trial", "scale", "rotation", "t")).alias("_fits"),
         F.sum("n").alias("_size"))
-    scored = attach(rows, per_key, keys, rows="_size").withColumn("_f", F.explode("_fits")) \
+    scored = attach(rows, per_key, keys).withColumn("_f", F.explode("_fits")) \
         .withColumn("_e", squared_error("_f.scale", "_f.rotation", "_f.t")) \
         .withColumn("trial", F.col("_f.trial"))
     if group:

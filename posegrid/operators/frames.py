@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate, chain, repeat
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,13 +94,8 @@ def keep_key_frames(frames: DataFrame, key_frames: DataFrame, on: Sequence[str])
 # ------------------------------------------------------------------ slices
 
 def halo_offsets(overlap: Sequence[tuple[int, int]]) -> list[int]:
-    """Cumulative halo offsets of ``[(step, count), ...]``."""
-    out, at = [], 0
-    for step, count in overlap:
-        for _ in range(count):
-            at += step
-            out.append(at)
-    return out
+    """Distances of the halo frames from a slice's edge, for ``[(step, count), ...]``."""
+    return list(accumulate(chain.from_iterable(repeat(step, count) for step, count in overlap)))
 
 
 def _numbered(frames: DataFrame, length: int, order: str = "frame_idx") -> DataFrame:
@@ -170,7 +166,7 @@ def key_frame_bounds(key_frames: DataFrame, counts: DataFrame, length: int) -> D
     starts = numbered.filter(F.col("pos") % length == 0).select(
         "scene_id", F.floor(F.col("pos") / length).alias("slice"), "n",
         ((F.col("frame_idx") + F.coalesce("_after", "frame_idx")) / 2.0).alias("_mid"))
-    starts = attach(starts, counts.withColumn("_m", F.lit(1)), "scene_id", rows="_m").drop("_m")
+    starts = attach(starts, counts.withColumn("_m", F.lit(1)), "scene_id").drop("_m")
     starts = starts.withColumn("_frac", F.col("_mid") / F.col("n_dense"))
     out = ordered(starts, line("scene_id", "slice"), following={"_next": "_frac"})
     return out.select("scene_id", "slice",
@@ -180,7 +176,7 @@ def key_frame_bounds(key_frames: DataFrame, counts: DataFrame, length: int) -> D
 
 def assign_by_fraction(dense: DataFrame, counts: DataFrame, bounds: DataFrame) -> DataFrame:
     """Slice of each dense frame by its fraction ``frame_idx / n_dense`` of the whole."""
-    with_n = attach(dense, counts.withColumn("_m", F.col("n_dense")), "scene_id", rows="_m") \
+    with_n = attach(dense, counts.withColumn("_m", F.col("n_dense")), "scene_id") \
         .drop("_m").withColumn("seconds", F.col("frame_idx") / F.col("n_dense"))
     return assign_dense_frames(with_n, bounds, width=2.0 ** -10).drop("seconds")
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posegrid.functions import linalg as L
-from posegrid.scale import attach, attach_unique, checkpointed, order_stats
+from posegrid.scale import attach, checkpointed, order_stats
 
 M = "mesh_id"
 
@@ -38,7 +38,7 @@ def curvature_features(vertices: DataFrame) -> DataFrame:
 
 def transform_vertices(vertices: DataFrame, transforms: DataFrame) -> DataFrame:
     """Rotate, scale and move all vertices of each mesh by its 4x4 ``matrix``."""
-    moved = attach_unique(vertices, transforms.select(M, "matrix"), M).withColumn(
+    moved = attach(vertices, transforms.select(M, "matrix"), M).withColumn(
         "_p", L.mat4_apply("matrix", L.vec("x", "y", "z")))
     return moved.withColumns({a: F.col("_p")[a] for a in L.AXES}).drop("_p", "matrix")
 
@@ -57,7 +57,7 @@ def corners(faces: DataFrame) -> DataFrame:
 
 def corner_values(faces: DataFrame, vertices: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Corners with vertex columns. A vertex shared by very many faces is salted."""
-    return attach_unique(corners(faces), vertices.select(M, "vid", *columns), [M, "vid"])
+    return attach(corners(faces), vertices.select(M, "vid", *columns), [M, "vid"])
 
 
 def face_normals(faces: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def drop_sparse_vertices(vertices: DataFrame, faces: DataFrame, quantile: float,
     lim = order_stats(vertices, M, "density", {"_q": quantile}, mode="linear")
     kept = attach(vertices, lim, M).filter(F.col("density") >= F.col("_q") * tolerance) \
         .select(*vertices.columns)
-    c = attach_unique(corners(faces), kept.select(M, "vid", F.lit(1).alias("_in")), [M, "vid"],
+    c = attach(corners(faces), kept.select(M, "vid", F.lit(1).alias("_in")), [M, "vid"],
                       how="inner")
     whole = c.groupBy(M, "fid").agg(F.count(F.lit(1)).alias("_k")).filter("_k = 3")
     return kept, faces.join(whole, [M, "fid"], "left_semi")
@@ -131,7 +131,7 @@ def faces_in_box(faces: DataFrame, vertices: DataFrame, boxes: DataFrame) -> Dat
     for a in L.AXES:
         cond = cond & (F.col(f"min_{a}") > F.col(f"_min_{a}")) & \
             (F.col(f"max_{a}") < F.col(f"_max_{a}"))
-    return faces.join(attach_unique(b, lim, M).filter(cond), [M, "fid"], "left_semi")
+    return faces.join(attach(b, lim, M).filter(cond), [M, "fid"], "left_semi")
 
 
 def vertex_flat_faces(vertices: DataFrame, faces: DataFrame, wanted: DataFrame | None = None
@@ -159,7 +159,7 @@ def neighbour_counts(faces: DataFrame) -> DataFrame:
     """Neighbours of each face over shared edges, counted once per shared edge."""
     inc = face_edges(faces)
     per_edge = inc.groupBy(M, "ea", "eb").agg(F.count(F.lit(1)).alias("n_faces"))
-    return attach(inc, per_edge, [M, "ea", "eb"], rows="n_faces").groupBy(M, "fid").agg(
+    return attach(inc, per_edge, [M, "ea", "eb"]).groupBy(M, "fid").agg(
         F.sum(F.col("n_faces") - 1).alias("n_neighbours"))
 
 
@@ -180,12 +180,13 @@ def face_links(faces: DataFrame) -> DataFrame:
         M, F.col("fid").alias("u"), "v").distinct()
 
 
-def components(nodes: DataFrame, links: DataFrame, max_rounds: int = 200) -> DataFrame:
+def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """Smallest node id of each node's component: ``mesh_id, fid, component``.
 
     Alternating star contraction: every node links its larger neighbours to the smallest node it
     knows, then itself and its smaller neighbours. Neighbour minima are map-side aggregates; the
-    link list never grows and settles in a logarithmic number of rounds.
+    link list never grows and settles in a logarithmic number of rounds; the loop ends when a round
+    changes nothing.
     """
     def star(sym: DataFrame) -> tuple[DataFrame, DataFrame]:
         low = sym.groupBy(M, "u").agg(F.min("v").alias("_m"), F.count(F.lit(1)).alias("n")) \
@@ -194,7 +195,7 @@ def components(nodes: DataFrame, links: DataFrame, max_rounds: int = 200) -> Dat
 
     cur = checkpointed(links.select(M, "u", "v"))
     mark = None
-    for _ in range(max_rounds):
+    while True:
         both = cur.unionByName(cur.select(M, F.col("v").alias("u"), F.col("u").alias("v")))
         large, _ = star(both)
         large = large.filter("v > u").select(M, F.col("v").alias("u"), F.col("_m").alias("v")) \
@@ -263,8 +264,8 @@ def aligned_segments(summary: DataFrame, threshold: float,
     return summary.filter(-L.dot("normal_seed", L.vec(*axis)) > threshold)
 
 
-def grow_segments(faces: DataFrame, vertices: DataFrame, seeds: DataFrame, threshold: float,
-                  max_seeds: int = 1000) -> DataFrame:
+def grow_segments(faces: DataFrame, vertices: DataFrame, seeds: DataFrame, threshold: float
+                  ) -> DataFrame:
     """Planar segments grown from seed faces: ``mesh_id, fid, segment``.
 
     A face belongs to a seed when it is connected to it through faces whose three corner normals
@@ -278,8 +279,6 @@ def grow_segments(faces: DataFrame, vertices: DataFrame, seeds: DataFrame, thres
     turns = seeds.agg(F.max("seed_no")).first()[0]
     if turns is None:
         return faces.select(M, "fid", F.lit(None).cast("int").alias("segment")).limit(0)
-    if turns >= max_seeds:
-        raise ValueError(f"{turns + 1} seeds; raise max_seeds to allow that many turns")
     for turn in range(turns + 1):
         seed = start.filter(F.col("seed_no") == turn).select(
             M, F.col("fid").alias("_seed"), F.col("normal").alias("_n"))
@@ -288,7 +287,7 @@ def grow_segments(faces: DataFrame, vertices: DataFrame, seeds: DataFrame, thres
             seed = seed.join(owned.select(M, F.col("fid").alias("_seed")), [M, "_seed"],
                              "left_anti")
             free = normals.join(owned, [M, "fid"], "left_anti")
-        tested = attach_unique(free, seed, M)
+        tested = attach(free, seed, M)
         ok = (F.col("fid") == F.col("_seed"))
         passes = F.lit(True)
         for i in (1, 2, 3):
@@ -298,7 +297,7 @@ def grow_segments(faces: DataFrame, vertices: DataFrame, seeds: DataFrame, thres
         comp = checkpointed(components(member, inside))
         home = comp.join(member.filter("fid = _seed").select(M, "fid"), [M, "fid"], "left_semi") \
             .select(M, "component")
-        got = attach_unique(comp, home, [M, "component"]).select(
+        got = attach(comp, home, [M, "component"]).select(
             M, "fid", F.lit(turn).alias("segment"))
         owned = got if owned is None else owned.unionByName(got)
         owned = checkpointed(owned)
@@ -388,7 +387,7 @@ def ray_hits(rays: DataFrame, faces: DataFrame, vertices: DataFrame,
     helper = F.when(F.abs(F.col("_d")["x"]) < 0.9, L.vec(1, 0, 0)).otherwise(L.vec(0, 1, 0))
     d = d.withColumn("_u", L.unit(L.cross("_d", helper))).withColumn("_v", L.cross("_d", "_u"))
     tri = corner_values(faces, vertices, list(L.AXES))
-    tri = attach_unique(tri, d, M).withColumn("_p", L.vec("x", "y", "z")).withColumns({
+    tri = attach(tri, d, M).withColumn("_p", L.vec("x", "y", "z")).withColumns({
         "_a": L.dot("_p", "_u"), "_b": L.dot("_p", "_v")})
     at = lambda i: F.max(F.when(F.col("corner") == i, F.col("_p"))).alias(f"p{i}")
     tri = tri.groupBy(M, "fid").agg(at(0), at(1), at(2), F.min("_a").alias("a0"),
@@ -409,11 +408,11 @@ def ray_hits(rays: DataFrame, faces: DataFrame, vertices: DataFrame,
         .withColumn("cb", F.explode(span("b0", "b1", "gb"))) \
         .select(M, "ca", "cb", "fid", "p0", "p1", "p2")
     frame = checkpointed(d.join(grid.drop("n"), M))
-    r = attach_unique(rays, frame, M).withColumns({"_a": L.dot("origin", "_u"),
+    r = attach(rays, frame, M).withColumns({"_a": L.dot("origin", "_u"),
                                                    "_b": L.dot("origin", "_v")})
     r = r.withColumns({"ca": cell_no(F.col("_a"), "ga"), "cb": cell_no(F.col("_b"), "gb")})
     r = checkpointed(r.select(M, "ca", "cb", "ray_id", "origin", "_d"))
-    pair = attach_unique(r, checkpointed(tcell), [M, "ca", "cb"])
+    pair = attach(r, checkpointed(tcell), [M, "ca", "cb"])
     pair = pair.withColumns({"_e1": L.sub("p1", "p0"), "_e2": L.sub("p2", "p0"),
                              "_s": L.sub("origin", "p0")}) \
         .withColumn("_h", L.cross("_d", "_e2")).withColumn("_q", L.cross("_s", "_e1")) \

@@ -15,7 +15,8 @@ from posegrid.scale import attach, checkpointed, line, order_stats, ordered
 END_WEIGHT = 1e6
 SEARCH_EPS = 1e-4
 STOP_CHANGE = 1e-4
-GOLDEN = 0.61803399
+#: points tried within an interval in each round of a search
+PROBES = 7
 #: chi-square with three degrees of freedom: median and upper 2.5 % point (fixed values)
 CHI2_3_MEDIAN = 2.3659738843753377
 CHI2_3_UPPER = 9.348403604496148
@@ -141,7 +142,8 @@ def _curve_error(degree: int) -> Column:
 
 
 def _closest_parameter():
-    """Vectorised golden-section search for the curve point nearest to each row."""
+    """Curve point nearest to each row, between the parameters of its neighbours: in each round the interval
+    shrinks to the neighbours of its best probe."""
     @F.pandas_udf("double")
     def search(u: pd.Series, lo: pd.Series, hi: pd.Series, x: pd.Series, y: pd.Series,
                z: pd.Series, cx: pd.Series, cy: pd.Series, cz: pd.Series) -> pd.Series:
@@ -158,13 +160,11 @@ def _closest_parameter():
             basis = np.polynomial.legendre.legvander(2.0 * v - 1.0, coef[0].shape[0] - 1).T
             return sum(((c * basis).sum(0) - q) ** 2 for c, q in zip(coef, p))
 
-        rounds = np.ceil(np.log(SEARCH_EPS / np.abs(b - a)) / np.log(GOLDEN)).astype(int)
-        for i in range(max(int(rounds.max()), 0)):
-            live = rounds > i
-            c, d = b - (b - a) * GOLDEN, a + (b - a) * GOLDEN
-            left = gap(c) < gap(d)
-            b = np.where(live & left, d, b)
-            a = np.where(live & ~left, c, a)
+        share = np.arange(PROBES + 2) / (PROBES + 1)
+        while np.abs(b - a).max() > SEARCH_EPS:
+            tries = [a + (b - a) * f for f in share]
+            best = np.argmin([gap(v) for v in tries[1:-1]], axis=0) + 1
+            a, b = np.choose(best - 1, tries[:-2]), np.choose(best - 1, tries[2:])
         out[todo] = (a + b) / 2
         return pd.Series(out)
 
@@ -191,12 +191,12 @@ def curve_filter(points: DataFrame, degree: int = 5, max_iter: int = 10,
         if status is not None:
             near = ordered(rows, ln, prev={"_lo": "u"}, following={"_hi": "u"})
             near = attach(near, status.select(*ks, "done", "cx", "cy", "cz",
-                                              F.col("n").alias("_rows")), ks, rows="_rows")
+                                              F.col("n").alias("_rows")), ks)
             moved = search("u", F.when(F.col("done"), F.lit(None)).otherwise(F.col("_lo")), "_hi",
                            *L.AXES, "cx", "cy", "cz")
             rows = checkpointed(near.withColumn("u", moved).select(*rows.columns))
         fits = checkpointed(_fit_curve(rows, degree, keys))
-        score = attach(rows, fits.withColumnRenamed("n", "_rows"), ks, rows="_rows").groupBy(*ks) \
+        score = attach(rows, fits.withColumnRenamed("n", "_rows"), ks).groupBy(*ks) \
             .agg(F.sum(weight * _curve_error(degree)).alias("score"))
         now = fits.join(score, ks)
         if status is None:
@@ -208,7 +208,7 @@ def curve_filter(points: DataFrame, degree: int = 5, max_iter: int = 10,
         status = checkpointed(now)
         if status.filter(~F.col("done")).isEmpty():
             break
-    err = attach(rows, status.withColumnRenamed("n", "_rows"), ks, rows="_rows") \
+    err = attach(rows, status.withColumnRenamed("n", "_rows"), ks) \
         .withColumn("_e", _curve_error(degree)).select(*ks, order, "_e")
     lim = err.groupBy(*ks).agg(F.count(F.lit(1)).alias("n"),
                                (F.avg("_e") + num_sigma * F.stddev_pop("_e")).alias("_thr"))
@@ -249,12 +249,14 @@ def _covariance(df: DataFrame, keys: Sequence[str], keep: Column) -> DataFrame:
         *[F.covar_pop(k(a), k(b)).alias(f"v{a}{b}") for a, b in cells])
 
 
-def robust_covariance_filter(points: DataFrame, contamination: float, rounds: int = 8,
+def robust_covariance_filter(points: DataFrame, contamination: float,
                              keys: Sequence[str] = ("scene_id",)) -> DataFrame:
     """Drop the ``contamination`` share of points with the largest robust Mahalanobis distance.
 
     Minimum covariance determinant by concentration steps from the coordinate-wise median, then
-    one reweighting. Each step is one exact rank selection and one covariance aggregate.
+    one reweighting. Each step is one exact rank selection and one covariance aggregate; steps go on
+    until the half that is kept is the same again in every group (they never raise the determinant,
+    and there are finitely many halves).
     """
     ks = list(keys)
     start = None
@@ -273,11 +275,20 @@ def robust_covariance_filter(points: DataFrame, contamination: float, rounds: in
             .select(*points.columns, "_d2")
 
     half = lambda n: F.floor((n + 4) / 2) - 1
-    for _ in range(rounds):
+    moments = [f"m{a}" for a in L.AXES] + [f"v{p}" for p in ("xx", "yy", "zz", "xy", "xz", "yz")]
+    while True:
         s = scored(params)
         cut = order_stats(s, ks, "_d2", {"_cut": half})
-        params = checkpointed(_covariance(attach(s, cut, ks).drop("n"), ks,
-                                          F.col("_d2") <= F.col("_cut")))
+        now = checkpointed(_covariance(attach(s, cut, ks).drop("n"), ks,
+                                       F.col("_d2") <= F.col("_cut")))
+        # sums in another order differ in the last digits, another half differs by more
+        both = now.alias("now").join(params.alias("old"), ks)
+        moved = F.greatest(*[F.abs(F.col(f"now.{c}") - F.col(f"old.{c}"))
+                             - 1e-9 * F.greatest(F.abs(F.col(f"now.{c}")), F.lit(1.0)) for c in moments])
+        settled = both.where(moved > 0).isEmpty()
+        params = now
+        if settled:
+            break
     s = scored(params)
     med = order_stats(s, ks, "_d2", {"_med": 0.5}, mode="linear")
     inlier = F.col("_d2") / (F.col("_med") / CHI2_3_MEDIAN) < CHI2_3_UPPER

@@ -50,11 +50,13 @@ def _join_positions(wanted: DataFrame, p: DataFrame) -> DataFrame:
 
 
 def rig_ring_pairs(views: DataFrame, n_cams: int, order: str = "pos") -> DataFrame:
-    """Neighbouring cameras inside each rig frame, wrapping around."""
+    """Neighbouring cameras inside each rig frame, wrapping around; a last frame that lacks cameras
+    wraps around those it has."""
     p = rig_positions(views, n_cams, order)
-    wanted = p.select("scene_id", F.col("id_view").alias("view_b"),
-                      (F.col("frame") * n_cams + F.pmod(F.col("cam") - 1, F.lit(n_cams)))
-                      .alias("a_pos"))
+    held = F.least(F.lit(n_cams), F.col("n") - F.col("frame") * n_cams)
+    wanted = p.where(held > 1).select(
+        "scene_id", F.col("id_view").alias("view_b"),
+        (F.col("frame") * n_cams + F.pmod(F.col("cam") - 1, held)).alias("a_pos"))
     return _join_positions(wanted, p)
 
 

@@ -60,7 +60,7 @@ def drop_main_rows(expanded: DataFrame, main: DataFrame, n_main: DataFrame,
     """Rows of an expanded scene that are not in the main scene, keys re-based, prefix removed."""
     rest = expanded.join(main.select("scene_id", "view_key"), ["scene_id", "view_key"],
                          "left_anti")
-    return attach(rest, n_main, "scene_id", rows="n_main").withColumns({
+    return attach(rest, n_main, "scene_id").withColumns({
         "view_key": F.col("view_key") - F.col("n_main"),
         "filename": F.regexp_replace("filename", prefix, "")}).drop("n_main")
 
@@ -258,7 +258,7 @@ def _outward_choice(frames: DataFrame, run: DataFrame) -> DataFrame:
     inner = run.select("scene_id", (F.col("run_beg") - 1).alias("idx")).join(
         below, ["scene_id", "idx"]).select("scene_id", F.col("choice").alias("_inner"),
                                            F.lit(1).alias("_m"))
-    above = attach(above, inner, "scene_id", rows="_m", how="left").drop("_m").withColumn(
+    above = attach(above, inner, "scene_id", how="left").drop("_m").withColumn(
         "_start", F.when(F.col("run_beg") == F.col("run_end"), F.coalesce("_inner", F.lit(0)))
         .otherwise(F.lit(0)))
     above = steps(above, F.lit(True)).withColumn("_arm", F.col("idx") - F.col("run_end"))
@@ -331,8 +331,8 @@ def transform_poses(poses: DataFrame, transforms: DataFrame, keys: Sequence[str]
 
 
 def attach_matrix(poses: DataFrame, transforms: DataFrame, keys: Sequence[str]) -> DataFrame:
-    from posegrid.scale import attach_unique
-    return attach_unique(poses, transforms.select(*keys, "matrix"), keys)
+    from posegrid.scale import attach
+    return attach(poses, transforms.select(*keys, "matrix"), keys)
 
 
 def move_poses(df: DataFrame, matrix: str = "matrix") -> DataFrame:

@@ -20,7 +20,7 @@ def crop(targets: DataFrame, reference: DataFrame, time: str,
     span = reference.groupBy(*keys).agg(F.min(ref_time or time).alias("_lo"),
                                         F.max(ref_time or time).alias("_hi"))
     counts = targets.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return attach(targets, span.join(counts, list(keys)), keys, rows="_rows") \
+    return attach(targets, span.join(counts, list(keys)), keys) \
         .filter(F.col(time).between(F.col("_lo"), F.col("_hi"))).select(*targets.columns)
 
 
@@ -39,8 +39,8 @@ def interpolate(targets: DataFrame, knots: DataFrame, time: str, values: Sequenc
                 width: float = 3600.0) -> DataFrame:
     """Values (and a rotation, by slerp) of ``knots`` at the target times; held constant outside.
 
-    ``knots``: keys, ``time``, scalar ``values`` and optionally a 3x3 ``rotation``. Equal knot
-    times are reduced to one knot first.
+    ``knots``: keys, ``time``, scalar ``values`` and optionally a 3x3 ``rotation``. Of knots of equal
+    time one whole row counts, the smallest by its values in the order given.
     """
     cols = list(values)
     k = knots
@@ -48,7 +48,8 @@ def interpolate(targets: DataFrame, knots: DataFrame, time: str, values: Sequenc
         k = k.withColumn("_q", L.quaternion(rotation)) \
             .withColumns({q: F.col("_q")[q] for q in QUAT})
         cols += list(QUAT)
-    k = k.groupBy(*keys, time).agg(*[F.min(c).alias(c) for c in cols])
+    k = k.groupBy(*keys, time).agg(F.min(F.struct(*cols)).alias("_k")).select(
+        *keys, time, *[F.col(f"_k.{c}").alias(c) for c in cols])
     b = bracket(targets, k, keys, time, cols, width)
     t0, t1 = F.col(f"prev_{time}"), F.col(f"next_{time}")
     share = F.when(t1 > t0, (F.col(time) - t0) / (t1 - t0)).otherwise(F.lit(0.0))

@@ -6,6 +6,8 @@ which degrees, neighbours and trees follow without listing every pair of routes
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,6 @@ from posegrid.functions.names import slice_label
 from posegrid.operators.poses import move_poses
 from posegrid.scale import attach, checkpointed
 
-ORDER_DIGITS = 12
-
 
 def node_slices(markers: DataFrame, slice_seconds: float | Column) -> DataFrame:
     """Slice in which each route crosses each node: ``route_id, node_id, slice``.
@@ -37,7 +37,7 @@ def node_slices(markers: DataFrame, slice_seconds: float | Column) -> DataFrame:
 def incidence(crossings: DataFrame) -> DataFrame:
     """Crossings with the number of routes at each node."""
     degree = crossings.groupBy("node_id").agg(F.count(F.lit(1)).alias("n_routes"))
-    return attach(crossings, degree, "node_id", rows="n_routes")
+    return attach(crossings, degree, "node_id")
 
 
 def out_degree(crossings: DataFrame) -> DataFrame:
@@ -68,42 +68,43 @@ def edges_from(crossings: DataFrame, sources: DataFrame) -> DataFrame:
     return out.join(other, "node_id").filter(F.col("route_id") != F.col("other_id"))
 
 
-def bfs_tree(crossings: DataFrame, roots: DataFrame, max_depth: int = 1000) -> DataFrame:
+def bfs_tree(crossings: DataFrame, roots: DataFrame) -> DataFrame:
     """Breadth-first tree from each root with deterministic parents.
 
     A route's parent is the earliest route of the level before it in queue order; children queue
-    in route order. Queue order is carried as ``path``, the zero-padded route ranks from the root,
-    whose string order equals queue order within a level. Each round joins frontier to nodes and
-    nodes to routes and reduces on both sides, so a busy node costs one row per route.
+    in route order. Queue order is carried as ``path``, the array of route ranks from the root, whose
+    order equals queue order within a level. Each round joins frontier to nodes and nodes to routes
+    and reduces on both sides, so a busy node costs one row per route. Rounds go on until a level is
+    empty. What a level reaches lies in its own level, the one before or the next.
 
     ``crossings`` carries ``route_rank`` (order of the routes). ``roots``: ``root, route_id``.
     """
-    rank = F.lpad(F.col("route_rank").cast("string"), ORDER_DIGITS, "0")
+    rank = F.col("route_rank").cast("bigint")
     ranks = crossings.groupBy("route_id").agg(F.min("route_rank").alias("route_rank"))
     tree = checkpointed(
         roots.join(ranks, "route_id").select(
             "root", "route_id", F.lit(None).cast("string").alias("parent_id"),
-            F.lit(0).alias("depth"), rank.alias("path"),
+            F.lit(0).alias("depth"), F.array(rank).alias("path"),
             F.array("route_id").alias("ancestors")))
     frontier = tree
     inc = crossings.select("route_id", "node_id", "route_rank")
-    by_route = inc.groupBy("route_id").agg(F.count(F.lit(1)).alias("_nodes"))
-    by_node = checkpointed(inc.groupBy("node_id").agg(F.count(F.lit(1)).alias("_routes")))
-    by_route = checkpointed(by_route)
     inc = checkpointed(inc)
-    for depth in range(1, max_depth + 1):
-        out = frontier.select("root", "route_id", "path").join(by_route, "route_id")
-        at_node = attach(inc, out, "route_id", rows="_nodes").groupBy("root", "node_id").agg(
-            F.min("path").alias("_parent")).join(by_node, "node_id")
-        reached = attach(inc, at_node, "node_id", rows="_routes") \
+    last = frontier.select("root", "route_id")
+    for depth in count(1):
+        out = frontier.select("root", "route_id", "path")
+        at_node = attach(inc, out, "route_id").groupBy("root", "node_id").agg(
+            F.min("path").alias("_parent"))
+        reached = attach(inc, at_node, "node_id") \
             .groupBy("root", "route_id").agg(F.min("_parent").alias("_parent"),
                                              F.min("route_rank").alias("route_rank"))
-        fresh = reached.join(tree.select("root", "route_id"), ["root", "route_id"], "left_anti")
+        known = last.union(frontier.select("root", "route_id"))
+        fresh = reached.join(known, ["root", "route_id"], "left_anti")
         parents = frontier.select("root", F.col("path").alias("_parent"),
                                   F.col("route_id").alias("parent_id"), "ancestors")
+        last = frontier.select("root", "route_id")
         frontier = checkpointed(fresh.join(parents, ["root", "_parent"]).select(
             "root", "route_id", "parent_id", F.lit(depth).alias("depth"),
-            F.concat_ws("/", "_parent", rank).alias("path"),
+            F.array_append("_parent", rank).alias("path"),
             F.array_append("ancestors", F.col("route_id")).alias("ancestors")))
         if frontier.isEmpty():
             break
@@ -142,13 +143,17 @@ def surviving(tree: DataFrame, failed: DataFrame) -> DataFrame:
     return tree.join(descendants(tree, failed), ["root", "route_id"], "left_anti")
 
 
-def tree_from_parents(parents: DataFrame, max_depth: int = 1000) -> DataFrame:
-    """Depth and ancestor list of a ``route_id, parent_id`` table, level by level."""
+def tree_from_parents(parents: DataFrame) -> DataFrame:
+    """Depth and ancestor list of a ``route_id, parent_id`` table, level by level to the last.
+
+    Each route has one parent, so no route is met twice; routes on a cycle hang under no root and are
+    left out.
+    """
     level = checkpointed(parents.filter("parent_id IS NULL").select(
         F.col("route_id").alias("root"), "route_id", "parent_id", F.lit(0).alias("depth"),
         F.array("route_id").alias("ancestors")))
     tree = level
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
         up = level.select("root", F.col("route_id").alias("parent_id"), "ancestors")
         level = checkpointed(parents.join(up, "parent_id").select(
             "root", "route_id", "parent_id", F.lit(depth).alias("depth"),
@@ -184,8 +189,7 @@ def tree_lines(tree: DataFrame) -> DataFrame:
     return rows.select("root", "path", F.posexplode(lines).alias("line_no", "value"))
 
 
-def cascade(tree: DataFrame, edges: DataFrame, root_matrix: DataFrame, max_depth: int = 1000
-            ) -> DataFrame:
+def cascade(tree: DataFrame, edges: DataFrame, root_matrix: DataFrame) -> DataFrame:
     """Transform of every route into its root's frame.
 
     ``edges``: ``root, route_id, matrix`` moving a child into its parent; ``root_matrix``:
@@ -197,7 +201,7 @@ def cascade(tree: DataFrame, edges: DataFrame, root_matrix: DataFrame, max_depth
     children = tree.filter("depth > 0").select("root", "route_id", "parent_id").join(
         edges.withColumnRenamed("matrix", "_edge"), ["root", "route_id"])
     children = checkpointed(children)
-    for _ in range(max_depth):
+    while True:
         up = level.select("root", F.col("route_id").alias("parent_id"),
                           F.col("matrix").alias("_up"))
         level = checkpointed(children.join(up, ["root", "parent_id"]).select(
@@ -220,8 +224,7 @@ def rebase(main: DataFrame, local: DataFrame, own: DataFrame, keys: list[str]) -
 
 def apply_cascade(poses: DataFrame, matrices: DataFrame) -> DataFrame:
     """Move every slice of a route by the route's matrix."""
-    from posegrid.scale import attach_unique
-    return move_poses(attach_unique(poses, matrices.select("route_id", "matrix"), "route_id")) \
+    return move_poses(attach(poses, matrices.select("route_id", "matrix"), "route_id")) \
         .drop("matrix")
 
 

@@ -10,7 +10,7 @@ from posegrid.functions import linalg as L
 from posegrid.operators import anchor as A
 from posegrid.operators import fit
 from posegrid.operators.outliers import curve_filter
-from posegrid.scale import attach, attach_unique, checkpointed
+from posegrid.scale import attach, checkpointed
 
 ANCHORS_PER_END = 1000
 
@@ -50,7 +50,7 @@ def to_entries(moved: DataFrame) -> DataFrame:
 
 def apply_fit(frames: DataFrame, fits: DataFrame, keys: list[str]) -> DataFrame:
     """Move frames by ``scale, rotation, t`` of their group."""
-    rows = attach_unique(frames, fits.select(*keys, "scale", F.col("rotation").alias("_turn"), "t",
+    rows = attach(frames, fits.select(*keys, "scale", F.col("rotation").alias("_turn"), "t",
                                              "zone", "south"), keys)
     move = lambda c: L.similarity(c, "scale", "_turn", "t")
     return rows.withColumns({
@@ -109,9 +109,9 @@ def georeference_site(frames: DataFrame, fixes: DataFrame, *, site: str = "site_
     fr = checkpointed(clean_frames(frames) if clean else frames)
     fx = checkpointed(A.long_enough(fixes))
     matched = anchor_matches(fr.drop(site), fx, anchors, tolerance_ms)
-    xyz = A.match_xyz(A.match_points(matched, footprint))
-    homes = fr.groupBy("route_id").agg(F.min(site).alias(site), F.count(F.lit(1)).alias("n"))
-    xyz = attach(xyz, homes, "route_id").drop("n")
+    homes = fr.groupBy("route_id").agg(F.min(site).alias(site))
+    points = attach(A.match_points(matched, footprint), homes, "route_id")
+    xyz = A.match_xyz(points, ["route_id", site], [site])
     fits = _solve(xyz, [site], mode, False)
     return to_entries(apply_fit(fr, fits, [site]))
 

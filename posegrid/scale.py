@@ -7,7 +7,7 @@ over many tasks:
 * ``ordered``      ordered window results computed per *block* of the order column, stitched
                    together by one small row per block;
 * ``bracket``      last knot before / first knot after each target (as-of matching, interpolation);
-* ``attach``       join of one-row-per-key statistics back to the rows, hot keys salted;
+* ``attach``       join of one-row-per-key statistics back to the rows;
 * ``order_stats``  exact nearest-rank or linear percentiles by histogram cells;
 * ``smallest_sum`` exact sum of the k smallest values per key;
 * ``checkpointed`` lineage cut in the shared checkpoint folder.
@@ -19,15 +19,12 @@ import tempfile
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: rows per ordered block when the order column is a unique integer
 BLOCK = 1 << 20
-#: a key with more rows than this is salted when statistics are joined back
-HOT_ROWS = 1_000_000
-#: copies of a hot key's statistics row
-SALTS = 64
 #: histogram cells per factor of two in ``order_stats``
 CELLS_PER_OCTAVE = 1 << 16
 
@@ -103,13 +100,17 @@ def ordered(df: DataFrame, ln: Line, *,
 
     Windows run per (keys, block). What a block needs from its neighbours comes from one
     pre-aggregated row per block, so the only per-group task handles block rows, not data rows.
+    Rows with a NULL key are a group, rows with a NULL order come first in theirs, as in plain
+    windows.
     """
     prev, following, running = dict(prev or {}), dict(following or {}), dict(running or {})
     total, seen, ahead = dict(total or {}), dict(seen or {}), dict(ahead or {})
     keys, order = list(ln.keys), list(ln.order)
     names = [f"_b{i}" for i in range(len(ln.block_columns()))]
-    base = df.withColumns(dict(zip(names, ln.block_columns())))
-    part = keys + names
+    # structs equal each other where their fields are NULL, so no row is lost in the join
+    base = df.withColumn("_part", F.struct(F.struct(*keys).alias("keys"), *[
+        c.alias(n) for n, c in zip(names, ln.block_columns())]))
+    part = ["_part"]
 
     up = Window.partitionBy(*part).orderBy(*[F.col(c).asc() for c in order])
     down = Window.partitionBy(*part).orderBy(*[F.col(c).desc() for c in order])
@@ -133,7 +134,7 @@ def ordered(df: DataFrame, ln: Line, *,
         inner[f"_in_{out}"] = F.last(src, ignorenulls=True).over(from_here)
     rows = base.withColumns(inner) if inner else base
 
-    by = F.col(ln.carry_by or order[0]) if ln.carry_by or len(order) == 1 else F.struct(*order)
+    by = F.struct(ln.carry_by) if ln.carry_by else F.struct(*order)
     aggs: list[Column] = []
     if position or size:
         aggs.append(F.count(F.lit(1)).alias("_n"))
@@ -149,10 +150,10 @@ def ordered(df: DataFrame, ln: Line, *,
         aggs.append(F.min_by(src, F.when(F.col(src).isNotNull(), by)).alias(f"_s_{out}"))
     summary = base.groupBy(*part).agg(*aggs)
 
-    across = Window.partitionBy(*keys).orderBy(*names)
-    whole = Window.partitionBy(*keys)
+    whole = Window.partitionBy("_part.keys")
+    across = whole.orderBy(*[f"_part.{n}" for n in names])
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(*[F.col(n).desc() for n in names]) \
+    after = whole.orderBy(*[F.col(f"_part.{n}").desc() for n in names]) \
         .rowsBetween(Window.unboundedPreceding, -1)
     carry: dict[str, Column] = {}
     if position:
@@ -214,32 +215,13 @@ def bracket(targets: DataFrame, knots: DataFrame, keys: Sequence[str], time: str
 
 # ------------------------------------------------------------------ statistics back to rows
 
-def attach(fact: DataFrame, stats: DataFrame, keys: Sequence[str] | str, rows: str = "n",
-           how: str = "inner") -> DataFrame:
-    """Join per-key ``stats`` to ``fact``; ``rows`` is the number of fact rows of the key.
+def attach(fact: DataFrame, stats: DataFrame, keys: Sequence[str] | str, how: str = "inner") -> DataFrame:
+    """Join per-key ``stats`` (one row per key) to ``fact``.
 
-    Keys with more than ``HOT_ROWS`` rows number at most ``total / HOT_ROWS``; only that bounded
-    key list is broadcast. Their fact rows are spread over ``SALTS`` join partitions.
+    A plain equi-join: adaptive execution broadcasts a small side and splits the partitions of hot
+    keys, from the sizes that the shuffle has measured.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    hot = stats.filter(F.col(rows) > HOT_ROWS).select(*keys, F.lit(True).alias("_hot")).distinct()
-    spread = fact.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]),
-                                              F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
-    last = F.when(F.col(rows) > HOT_ROWS, F.lit(SALTS - 1)).otherwise(F.lit(0))
-    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
-    return spread.join(copies, [*keys, "_salt"], how).drop("_salt", "_hot")
-
-
-def attach_unique(fact: DataFrame, dim: DataFrame, keys: Sequence[str] | str,
-                  how: str = "inner") -> DataFrame:
-    """``attach`` for a dimension without counts: the fact side is counted first (narrow scan,
-    map-side combine)."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    sized = dim.join(counts, keys, "left" if how in ("left", "left_outer") else "inner") \
-        .withColumn("_rows", F.coalesce("_rows", F.lit(0)))
-    return attach(fact, sized, keys, rows="_rows", how=how).drop("_rows")
+    return fact.join(stats, [keys] if isinstance(keys, str) else list(keys), how)
 
 
 # ------------------------------------------------------------------ exact order statistics
@@ -326,6 +308,15 @@ def smallest_sum(df: DataFrame, keys: Sequence[str], value: str, k: str, out: st
 
 # ------------------------------------------------------------------ finite-state scan
 
+def _composed_prefixes(steps: np.ndarray) -> np.ndarray:
+    """Row i: the table of all steps up to i, by doubling (log rounds of whole-array operations)."""
+    done, reach = steps.copy(), 1
+    while reach < len(done):
+        done = np.concatenate((done[:reach], np.take_along_axis(done[reach:], done[:-reach], 1)))
+        reach *= 2
+    return done
+
+
 def state_scan(df: DataFrame, keys: Sequence[str], pos: str, steps: Sequence[str], start: str,
                out: str, width: int = 1 << 16) -> DataFrame:
     """State after each row of an ordered chain with a handful of states.
@@ -346,29 +337,26 @@ def state_scan(df: DataFrame, keys: Sequence[str], pos: str, steps: Sequence[str
     key_ddl = ", ".join(f"{k} {slim.schema[k].dataType.simpleString()}" for k in keys)
 
     def reduce_block(pdf: pd.DataFrame) -> pd.DataFrame:
+        # neighbouring step tables are composed pairwise until one is left
         pdf = pdf.sort_values("_p")
-        state = list(range(n_states))
-        for step in pdf[tables].to_numpy():
-            state = [int(step[s]) for s in state]
-        head = pdf.iloc[:1]
-        return head[[*keys, "_blk", "_start"]].assign(**{t: [state[i]] for i, t in
-                                                         enumerate(tables)})
+        steps_of = pdf[tables].to_numpy()
+        while len(steps_of) > 1:
+            odd = steps_of[len(steps_of) // 2 * 2:]
+            steps_of = np.concatenate((np.take_along_axis(
+                steps_of[1::2], steps_of[:len(steps_of) // 2 * 2:2], 1), odd))
+        return pdf.iloc[:1][[*keys, "_blk", "_start"]].assign(
+            **{t: steps_of[0, i] for i, t in enumerate(tables)})
 
     def chain_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_blk")
-        state, entry = int(pdf["_start"].iloc[0]), []
-        for step in pdf[tables].to_numpy():
-            entry.append(state)
-            state = int(step[state])
-        return pdf[[*keys, "_blk"]].assign(_entry=entry)
+        upto = _composed_prefixes(pdf[tables].to_numpy())
+        start = int(pdf["_start"].iloc[0])
+        return pdf[[*keys, "_blk"]].assign(_entry=np.concatenate(([start], upto[:-1, start])))
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_p")
-        state, states = int(pdf["_entry"].iloc[0]), []
-        for step in pdf[tables].to_numpy():
-            state = int(step[state])
-            states.append(state)
-        return pdf[[*keys, "_p"]].assign(_state=states)
+        upto = _composed_prefixes(pdf[tables].to_numpy())
+        return pdf[[*keys, "_p"]].assign(_state=upto[:, int(pdf["_entry"].iloc[0])])
 
     table_ddl = ", ".join(f"{t} int" for t in tables)
     composed = slim.groupBy(*keys, "_blk").applyInPandas(

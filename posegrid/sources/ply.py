@@ -36,23 +36,67 @@ def _header(raw: bytes):
     return fmt, elements, end
 
 
-def _fields(name: str, props: list, order: str) -> list[tuple]:
-    """Record fields of one element; index lists hold three entries, texture lists six."""
-    out = []
-    for p in props:
-        if p[0] != "list":
-            out.append((p[1], order + S.PLY_TYPES[p[0]]))
-            continue
-        index = p[3].startswith("vertex_ind")
-        label = "n_points" if index else "n_coords"
-        cells = ["v1", "v2", "v3"] if index else [f"uv{i}" for i in range(6)]
-        out.append((label, order + S.PLY_TYPES[p[1]]))
-        out += [(c, order + S.PLY_TYPES[p[2]]) for c in cells]
-    return out
+def _scalar(type_name: str, order: str):
+    import numpy as np
+    return np.dtype(order + S.PLY_TYPES[type_name])
 
 
-def _records(raw: bytes, want: str):
-    """Structured array of one element (``vertex`` or ``face``), or None."""
+def _is_list(prop: list) -> bool:
+    return prop[0] == "list"
+
+
+def _plain(props: list, order: str):
+    """Record type of an element without lists."""
+    import numpy as np
+    return np.dtype([(p[1], _scalar(p[0], order or "<")) for p in props])
+
+
+def _walk(raw: bytes, at: int, count: int, props: list, order: str) -> tuple[list[list], int]:
+    """Records of a binary element with lists, one list of property values each, and the offset after it."""
+    import numpy as np
+
+    types = [(_scalar(p[1], order), _scalar(p[2], order)) if _is_list(p) else (None, _scalar(p[0], order))
+             for p in props]
+    rows = []
+    for _ in range(count):
+        row = []
+        for counter, item in types:
+            n = 1
+            if counter is not None:
+                n = int(np.frombuffer(raw, counter, 1, at)[0])
+                at += counter.itemsize
+            values = np.frombuffer(raw, item, n, at)
+            at += n * item.itemsize
+            row.append(values if counter is not None else values[0])
+        rows.append(row)
+    return rows, at
+
+
+def _even(raw: bytes, at: int, count: int, props: list, order: str):
+    """The same for the common case that every record has lists as long as the first one's: one typed array,
+    or None if a record differs."""
+    import numpy as np
+
+    if not count:
+        return None
+    (first,), _ = _walk(raw, at, 1, props, order)
+    fields = []
+    for i, (p, v) in enumerate(zip(props, first)):
+        if _is_list(p):
+            fields += [(f"n{i}", _scalar(p[1], order)), (f"p{i}", _scalar(p[2], order), (len(v),))]
+        else:
+            fields.append((f"p{i}", _scalar(p[0], order)))
+    kind = np.dtype(fields)
+    if at + count * kind.itemsize > len(raw):
+        return None
+    rows = np.frombuffer(raw, kind, count, at)
+    lists = [i for i, p in enumerate(props) if _is_list(p)]
+    return rows if all((rows[f"n{i}"] == len(first[i])).all() for i in lists) else None
+
+
+def _element(raw: bytes, want: str):
+    """(properties, columns) of one element: a column is an array, or a list of arrays where lists differ in
+    length. None if the file lacks the element."""
     import numpy as np
 
     fmt, elements, at = _header(raw)
@@ -60,20 +104,101 @@ def _records(raw: bytes, want: str):
     text = io.BytesIO(raw[at:]).readlines() if fmt == "ascii" else None
     row = 0
     for name, count, props in elements:
-        dtype = np.dtype(_fields(name, props, order))
+        lists = any(map(_is_list, props))
         if fmt == "ascii":
             if name == want:
-                part = [tuple(ln.split()) for ln in text[row:row + count]]
-                return np.array([tuple(float(v) for v in r[:len(dtype)]) for r in part],
-                                dtype=np.dtype([(n, "f8") for n in dtype.names]))
+                rows = [_ascii_row(ln.split(), props) for ln in text[row:row + count]]
+                if len(rows) < count:
+                    raise ValueError(f"{count} records of {name} are declared, {len(rows)} are there")
+                return props, [[r[i] for r in rows] if _is_list(p) else np.array([r[i] for r in rows], float)
+                               for i, p in enumerate(props)]
             row += count
+        elif not lists:
+            kind = _plain(props, order)
+            if name == want:
+                rows = np.frombuffer(raw, kind, count, at)
+                return props, [rows[p[1]] for p in props]
+            at += count * kind.itemsize
         else:
+            rows = _even(raw, at, count, props, order)
+            if rows is not None:
+                columns, end = [rows[f"p{i}"] for i in range(len(props))], at + rows.nbytes
+            else:
+                found, end = _walk(raw, at, count, props, order)
+                columns = [[r[i] for r in found] if _is_list(p) else np.array([r[i] for r in found])
+                           for i, p in enumerate(props)]
             if name == want:
-                return np.frombuffer(raw, dtype=dtype, count=count, offset=at)
-            at += count * dtype.itemsize
+                return props, columns
+            at = end
     return None
 
 
+def _ascii_row(cells: list[bytes], props: list) -> list:
+    import numpy as np
+
+    row, at = [], 0
+    for p in props:
+        n = 1
+        if _is_list(p):
+            n, at = int(cells[at]), at + 1
+        values = np.array(cells[at:at + n], dtype=float)
+        if len(values) < n:
+            raise ValueError("a record ends within a list")
+        row.append(values if _is_list(p) else values[0])
+        at += n
+    return row
+
+
+def _records(raw: bytes, want: str):
+    """Vertices or triangles of a file as a structured array, or None."""
+    import numpy as np
+
+    found = _element(raw, want)
+    if found is None:
+        return None
+    props, columns = found
+    if want != "face":
+        out = np.empty(len(columns[0]) if columns else 0, [(p[1], "f8") for p in props if not _is_list(p)])
+        for p, c in zip(props, columns):
+            if not _is_list(p):
+                out[p[1]] = c
+        return out
+    corners = next(c for p, c in zip(props, columns) if _is_list(p) and p[3].startswith("vertex_ind"))
+    textures = next((c for p, c in zip(props, columns) if _is_list(p) and p[3].startswith("tex")), None)
+    return _triangles(corners, textures)
+
+
+def _triangles(corners, textures):
+    """Polygons as fans of triangles about their first corner; a polygon of fewer than three corners has none.
+    Texture coordinates (two per corner) follow their corners."""
+    import numpy as np
+
+    names = [("v1", "i8"), ("v2", "i8"), ("v3", "i8")] + [(f"uv{i}", "f8") for i in range(6)] * (textures is not None)
+    sizes = np.array([len(c) for c in corners]) if len(corners) else np.empty(0, int)
+    out = np.empty(int(np.maximum(sizes - 2, 0).sum()), names)
+    if len(out) == len(sizes) and (sizes == 3).all() and len(out):
+        flat = np.asarray(corners, "i8").reshape(-1, 3)
+        out["v1"], out["v2"], out["v3"] = flat.T
+        if textures is None:
+            return out
+        if all(len(t) == 6 for t in textures):
+            for i, column in enumerate(np.asarray(textures, float).reshape(-1, 6).T):
+                out[f"uv{i}"] = column
+            return out
+    at = 0
+    for k, polygon in enumerate(corners):
+        for i in range(1, len(polygon) - 1):
+            out["v1"][at], out["v2"][at], out["v3"][at] = polygon[0], polygon[i], polygon[i + 1]
+            if textures is not None:
+                own = np.asarray(textures[k], float)
+                full = len(own) == 2 * len(polygon)
+                for j, corner in enumerate((0, i, i + 1)):
+                    out[f"uv{2 * j}"][at] = own[2 * corner] if full else np.nan
+                    out[f"uv{2 * j + 1}"][at] = own[2 * corner + 1] if full else np.nan
+            at += 1
+    return out
+
+
 def _scan(spark: SparkSession, path: str, want: str, schema, shape) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ply") \
         .option("recursiveFileLookup", True).load(path) \
@@ -105,7 +230,8 @@ def read_vertices(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_faces(spark: SparkSession, path: str) -> DataFrame:
-    """Triangles of all PLY files, with texture coordinates where a file has them."""
+    """Triangles of all PLY files, with texture coordinates where a file has them; polygons of more corners
+    become fans of triangles, numbered in order."""
     def shape(mesh_id, lo, rec):
         import numpy as np
         import pandas as pd
@@ -119,10 +245,6 @@ def read_faces(spark: SparkSession, path: str) -> DataFrame:
     return _scan(spark, path, "face", S.PLY_FACES, shape)
 
 
-def curvature_columns(vertices: DataFrame) -> DataFrame:
-    return vertices.select("mesh_id", "vid", *POINT_COLUMNS)
-
-
 # ------------------------------------------------------------------ output
 
 def _counts(vertices: DataFrame, faces: DataFrame | None) -> DataFrame:

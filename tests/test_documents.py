@@ -257,3 +257,30 @@ def test_golden_route_tree(spark):
             got = {r.route_id: (r.parent_id, r.parent_slice, r.own_slice)
                    for r in RG.route_tree(c, roots).collect()}
             assert got == want
+
+
+def test_polygons_become_fans(spark, tmp_path):
+    import struct
+
+    from posegrid.sources import ply
+
+    head = "ply\nformat {} 1.0\nelement vertex 5\nproperty float x\nproperty float y\nproperty float z\n" \
+           "element face 3\nproperty list uchar int vertex_indices\nproperty list uchar float texcoord\nend_header\n"
+    faces = [[0, 1, 2, 3], [1, 2, 4], [0, 1, 2, 3, 4]]
+    uv = [[i / 8 for i in range(2 * len(f))] for f in faces]
+    text = head.format("ascii") + "0 0 0\n" * 5 + "".join(
+        " ".join(map(str, [len(f), *f, len(t), *t])) + "\n" for f, t in zip(faces, uv))
+    (tmp_path / "a.ply").write_text(text)
+    raw = head.format("binary_little_endian").encode() + struct.pack("<15f", *range(15))
+    for f, t in zip(faces, uv):
+        raw += struct.pack(f"<B{len(f)}iB{len(t)}f", len(f), *f, len(t), *t)
+    (tmp_path / "b.ply").write_bytes(raw)
+    got = {}
+    for r in ply.read_faces(spark, str(tmp_path)).collect():
+        got.setdefault(r.mesh_id, {})[r.fid] = ((r.v1, r.v2, r.v3), r.uv)
+    want = [(f, t, i) for f, t in zip(faces, uv) for i in range(1, len(f) - 1)]
+    for mesh in ("a", "b"):
+        assert [got[mesh][k][0] for k in range(6)] == [(f[0], f[i], f[i + 1]) for f, _, i in want]
+        assert [got[mesh][k][1] for k in range(6)] == [
+            [*t[:2], *t[2 * i:2 * i + 2], *t[2 * i + 2:2 * i + 4]] for _, t, i in want]
+    assert ply.read_vertices(spark, str(tmp_path)).count() == 10

@@ -38,7 +38,7 @@ def test_robust_covariance_drops_the_requested_share(spark):
     p[:12] += 40
     df = spark.createDataFrame([("a", i, *map(float, v)) for i, v in enumerate(p)],
                                "scene_id string, idx long, x double, y double, z double")
-    kept = {r.idx for r in outliers.robust_covariance_filter(df, 0.05, rounds=4).collect()}
+    kept = {r.idx for r in outliers.robust_covariance_filter(df, 0.05).collect()}
     assert len(kept) == 380 and not kept & set(range(12))
 
 
@@ -313,3 +313,49 @@ def test_cascade_multiplies_along_the_tree(spark):
         assert np.allclose(got[name], want)
     failed = spark.createDataFrame([("a", "b")], "root string, route_id string")
     assert {r.route_id for r in routegraph.surviving(tree, failed).collect()} == {"a", "d"}
+
+
+def test_ranks_beyond_twelve_digits(spark):
+    from posegrid.operators import routegraph as RG
+    big = 7 * 10**12
+    rows = [("r", "n1", big + 3), ("a", "n1", big + 2), ("b", "n1", big + 1), ("a", "n2", big + 2), ("b", "n2", big + 1),
+            ("c", "n2", 5)]
+    crossings = spark.createDataFrame([(r, n, 0, k) for r, n, k in rows],
+                                      "route_id string, node_id string, slice int, route_rank long")
+    roots = spark.createDataFrame([("r", "r")], "root string, route_id string")
+    tree = {r.route_id: (r.parent_id, r.depth, r.path) for r in RG.bfs_tree(crossings, roots).collect()}
+    assert tree == {"r": (None, 0, [big + 3]), "a": ("r", 1, [big + 3, big + 2]), "b": ("r", 1, [big + 3, big + 1]),
+                    "c": ("b", 2, [big + 3, big + 1, 5])}
+
+
+def test_a_chain_is_walked_to_its_end(spark):
+    from posegrid.operators import routegraph as RG
+    n = 30
+    parents = spark.createDataFrame([(str(i), str(i - 1) if i else None) for i in range(n)], "route_id string, parent_id string")
+    tree = RG.tree_from_parents(parents)
+    assert sorted(r.depth for r in tree.collect()) == list(range(n))
+
+
+def test_tracks_over_a_zone_border_and_the_equator(spark):
+    from posegrid.operators import anchor as A
+    fixes = [("zone", i, 120.0 + (i - 2) * 1e-4, 30.0) for i in range(5)] + [("equator", i, 10.0, (i - 2) * 1e-4) for i in range(5)]
+    track = spark.createDataFrame([(r, i, i * 1000, x, y, 0.0) for r, i, x, y in fixes],
+                                  "route_id string, seq long, ms long, lon double, lat double, elev double")
+    for r in A.track_steps(track).collect():
+        if r.seq:
+            assert (9.5 < r.step < 9.8) if r.route_id == "zone" else (11.0 < r.step < 11.1)
+
+
+def test_tied_knots_give_a_point_that_was_there(spark):
+    from posegrid.operators import resample as RS
+    knots = spark.createDataFrame([("r", 0.0, 1.0, 9.0), ("r", 0.0, 5.0, 2.0)], "route_id string, t double, x double, y double")
+    at = spark.createDataFrame([("r", 0.0)], "route_id string, t double")
+    r = RS.interpolate(at, knots, "t", ["x", "y"]).first()
+    assert (r.x, r.y) in {(1.0, 9.0), (5.0, 2.0)}
+
+
+def test_ring_pairs_of_a_frame_that_lacks_cameras(spark):
+    from posegrid.operators import pairs as PR
+    views = spark.createDataFrame([("s", i, i) for i in range(7)], "scene_id string, pos long, id_view long")
+    got = {(r.view_a, r.view_b) for r in PR.rig_ring_pairs(views, 4).collect()}
+    assert got == {(3, 0), (0, 1), (1, 2), (2, 3), (6, 4), (4, 5), (5, 6)}

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from posegrid import scale
 from posegrid.scale import attach, bracket, line, order_stats, ordered, smallest_sum, state_scan
 
 
@@ -34,6 +33,21 @@ def test_ordered_equals_plain_windows(rows, width):
     assert [r.asDict() for r in got] == [r.asDict() for r in want]
 
 
+@pytest.mark.parametrize("width", [1, 17])
+def test_rows_with_null_keys_or_order_stay(spark, width):
+    df = spark.createDataFrame([(1, 5, 10), (1, None, 20), (None, 3, 30), (None, 40, 50), (1, 90, 40), (2, None, 60)],
+                               "k int, o long, w int")
+    got = ordered(df, line("k", "o", width), position="p", size="n", prev={"pw": "w"}, following={"nw": "w"},
+                  running={"r": "w"}, seen={"s": "w"}).collect()
+    w = Window.partitionBy("k").orderBy("o")
+    past = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("*", (F.row_number().over(w) - 1).cast("bigint").alias("p"),
+                     F.count("*").over(Window.partitionBy("k")).alias("n"), F.lag("w").over(w).alias("pw"),
+                     F.lead("w").over(w).alias("nw"), F.sum("w").over(past).alias("r"),
+                     F.last("w", True).over(past).alias("s")).collect()
+    assert sorted(map(repr, (r.asDict() for r in got))) == sorted(map(repr, (r.asDict() for r in want)))
+
+
 def test_bracket_equals_brute_force(spark, rows):
     knots = rows.filter("o % 5 = 0").select("k", F.col("o").alias("t"), "w")
     targets = rows.select("k", F.col("o").alias("t"))
@@ -48,8 +62,7 @@ def test_bracket_equals_brute_force(spark, rows):
         assert (r.prev_t, r.prev_w) == before and (r.next_t, r.next_w) == after
 
 
-def test_attach_salts_hot_keys_and_keeps_every_row(rows, monkeypatch):
-    monkeypatch.setattr(scale, "HOT_ROWS", 50)
+def test_attach_keeps_every_row(rows):
     stats = rows.groupBy("k").agg(F.count("*").alias("n"), F.sum("w").alias("t"))
     got = attach(rows, stats, "k")
     assert got.count() == rows.count()
