@@ -35,8 +35,10 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 WORD = re.compile(" +[^ ]*")
 #: characters of text whose words are held at once, and words kept from block to block
-BLOCK_CHARS = 2_000_000
-KEPT_WORDS = 300_000
+BLOCK_CHARS = 1_000_000
+KEPT_WORDS = 150_000
+#: texts decoded at once
+DECODED_ROWS = 256
 
 
 def default_model() -> str:
@@ -164,15 +166,14 @@ def encoded(text: Column, model: str | None = None) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tool = pieces(path)
         for batch in batches:
-            parts, ends, gone = [], [0], []
+            # a result for each block: what is held does not grow with the batch
             for block in _blocks(batch, BLOCK_CHARS):
-                for x in tool.encode(block):
-                    parts.append(x or b"")
-                    gone.append(x is None)
-                    ends.append(ends[-1] + len(parts[-1]) // 4)
-            yield pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32(), mask=np.array([*gone, False]) if any(gone) else None),
-                pa.array(np.frombuffer(b"".join(parts), np.int32)))
+                ids = tool.encode(block)
+                gone = [x is None for x in ids]
+                ends = np.cumsum([0] + [len(x or b"") // 4 for x in ids])
+                yield pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32(), mask=np.array([*gone, False]) if any(gone) else None),
+                    pa.array(np.frombuffer(b"".join(x for x in ids if x), np.int32)))
 
     return encode(text)
 
@@ -185,10 +186,12 @@ def decoded(ids: Column, model: str | None = None) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tool = pieces(path)
         for batch in batches:
-            # one text's ids are Python numbers at a time, never a batch's
-            ends, values = batch.offsets.to_pylist(), batch.values.to_numpy(zero_copy_only=False)
-            yield pa.array([tool.decode(values[b:e].tolist()) if there else None for b, e, there in zip(
-                ends, ends[1:], batch.is_valid().to_pylist())], pa.string())
+            # one text's ids are Python numbers at a time, and a few texts are held
+            for at in range(0, len(batch), DECODED_ROWS):
+                part = batch.slice(at, DECODED_ROWS)
+                ends, values = part.offsets.to_pylist(), part.values.to_numpy(zero_copy_only=False)
+                yield pa.array([tool.decode(values[b:e].tolist()) if there else None for b, e, there in zip(
+                    ends, ends[1:], part.is_valid().to_pylist())], pa.string())
 
     return decode(ids)
 
