@@ -113,8 +113,9 @@ def dropped_lines(docs: DataFrame, text: str = "text", depth: int = DEPTH, field
         F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("lines"))
         .where((F.col("chars") > copy_share * F.col("text_chars"))
                | (F.col("lines") > copy_share * F.col("text_lines"))).select("text_key"))
-    final = (hits.join(copies, "text_key", "left_anti").groupBy("template").agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") >= min_texts).select("template"))
+    # a table of known size: its join broadcasts it while it is small, and splits hot templates when not
+    final = written(hits.join(copies, "text_key", "left_anti").groupBy("template")
+                    .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_texts).select("template"))
     return hits.join(final, "template").groupBy("text_key").agg(F.collect_set("line").alias("dropped"))
 
 
@@ -123,7 +124,8 @@ def drop_templates(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     lost = written(dropped_lines(docs, text, **options))
     kept = without(docs, "n_lines", "n_dropped", "__key")
     rows = (kept.withColumn("__key", F.xxhash64(text))
-            .join(lost.withColumnRenamed("text_key", "__key").withColumnRenamed("dropped", "__dropped"),
+            # one plan at every size: the lists grow with the texts
+            .join(lost.withColumnRenamed("text_key", "__key").withColumnRenamed("dropped", "__dropped").hint("merge"),
                   "__key", "left"))
     lines = F.split(F.col(text), "\n")
     stays = F.filter(lines, lambda x: ~visible(x) | ~F.array_contains(
