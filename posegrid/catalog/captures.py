@@ -321,8 +321,9 @@ def backbone_runs(spark, d):
 
 
 @query("j10_rig_ring_pairs", W(V.RIG, body="""
- SELECT b.scene_id, a.id_view AS view_a, b.id_view AS view_b FROM rigp b JOIN rigp a
- ON a.scene_id = b.scene_id AND a.p = (b.p // 4) * 4 + (b.p % 4 + 3) % 4"""))
+ SELECT b.scene_id, a.id_view AS view_a, b.id_view AS view_b
+ FROM (SELECT *, least(4, count(*) OVER (PARTITION BY scene_id) - (p // 4) * 4) AS held FROM rigp) b JOIN rigp a
+ ON a.scene_id = b.scene_id AND a.p = (b.p // 4) * 4 + (b.p % 4 + b.held - 1) % b.held WHERE b.held > 1"""))
 def rig_ring(spark, d):
     return PR.rig_ring_pairs(V.rig(spark, d), 4)
 

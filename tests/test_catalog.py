@@ -15,7 +15,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 PART = ["w10_slice_frames", "j15_dense_frames_to_slices", "j08_window_pairs", "j12_rig_far_runs",
         "j05_nearest_fix", "j06_one_to_one", "a01_rig_mean", "a06_planar_fit", "w01_step_length",
         "w05_interpolate", "f01_center_outliers", "a16_out_degree", "p12_p13_utm_round_trip",
-        "p15_viewer_angles", "j16_face_normals", "f18_count_mismatches"]
+        "p15_viewer_angles", "j16_face_normals", "f18_count_mismatches", "j10_rig_ring_pairs",
+        "g02_g03_route_tree", "g11_face_components", "w02_track_steps", "p37_match_xyz"]
 NAMES = sorted(entry_point.oracle_sql()) if os.environ.get("POSEGRID_FULL") else PART
 
 
