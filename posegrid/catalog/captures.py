@@ -162,6 +162,24 @@ def key_frame_slices(spark, d):
     return V.rounded(out, 9, "slice_beg", "slice_end")
 
 
+@query("w11_assign_by_fraction", W(V.SHOTS, V.KEY_FRAMES, SLICES, """
+ cnt AS (SELECT scene_id, count(*) AS n_dense FROM shots GROUP BY 1),
+ mids AS (SELECT s.scene_id, s.slice, (b.frame_idx + coalesce(b2.frame_idx, b.frame_idx)) / 2.0 / n_dense AS mid
+   FROM slices s JOIN cnt USING (scene_id)
+   JOIN key_frames b ON b.scene_id = s.scene_id AND b.p = s.slice * 25
+   LEFT JOIN key_frames b2 ON b2.scene_id = s.scene_id AND b2.p = s.slice * 25 + 1)""", body="""
+ SELECT f.scene_id, f.view_key, coalesce(max(m.slice), 0) AS slice FROM shots f JOIN cnt USING (scene_id)
+ LEFT JOIN mids m ON m.scene_id = f.scene_id AND m.slice > 0 AND f.frame_idx / CAST(n_dense AS DOUBLE) >= m.mid
+ WHERE f.scene_id IN (SELECT scene_id FROM slices) GROUP BY 1, 2"""))
+def frames_by_fraction(spark, d):
+    shots = V.shots(spark, d)
+    counts = shots.groupBy("scene_id").agg(F.count(F.lit(1)).alias("n_dense"))
+    bounds = FR.key_frame_bounds(V.key_frames(spark, d), counts, 25)
+    scenes = bounds.select("scene_id").distinct()
+    dense = shots.select("scene_id", "view_key", "frame_idx").join(scenes, "scene_id", "left_semi")
+    return FR.assign_by_fraction(dense, counts, bounds).select("scene_id", "view_key", "slice")
+
+
 @query("w13_rekey", W(V.SHOTS, body="""
   SELECT scene_id, pose_key, row_number() OVER (PARTITION BY scene_id ORDER BY pose_key) - 1 AS new_key
   FROM shot_poses"""))
@@ -292,6 +310,22 @@ def adjacent_slices(spark, d):
     return FR.adjacent_slice_pairs(s.withColumn("is_scene", F.col("slice") % 9 != 4))
 
 
+@query("f21_needs_matching", W(V.SHOTS, """
+ sl AS (SELECT DISTINCT scene_id AS video, frame_idx // 8 AS slice FROM shots)""", body="""
+ SELECT a.video, a.slice AS main_slice, b.slice AS sub_slice,
+  CASE WHEN a.slice % 9 <> 4 THEN NOT (b.slice % 9 <> 4 AND b.slice - a.slice = 1) END AS needs_matching
+ FROM sl a JOIN sl b ON a.video = b.video AND b.slice IN (a.slice + 1, a.slice + 2)"""))
+def needs_matching(spark, d):
+    s = V.shots(spark, d).select(F.col("scene_id").alias("video"), F.floor(F.col("frame_idx") / 8)
+                                 .alias("slice")).distinct()
+    steps = F.explode(F.array(F.lit(1), F.lit(2)))
+    pairs = s.withColumn("main_slice", F.col("slice")).withColumn("_step", steps).withColumn(
+        "slice", F.col("slice") + F.col("_step")).join(s, ["video", "slice"])
+    scene = lambda c: F.col(c) % 9 != 4
+    return pairs.select("video", "main_slice", F.col("slice").alias("sub_slice"), FR.needs_matching(
+        "video", "main_slice", scene("main_slice"), "video", "slice", scene("slice")).alias("needs_matching"))
+
+
 # ------------------------------------------------------------------ view pairs
 
 SHOTP = """shotp AS (

@@ -806,6 +806,28 @@ def georeference_planar(spark, d):
     return _geo_out(g)
 
 
+@query("g08_combined_track", W(V.POSES, V.ROTATED, V.FIXES, ANCHORS, MATCHES, utm_ctes("matches"), """
+ prs AS (SELECT route_id, gps_seq, zone, x AS fx, y AS fy, z AS fz, ue AS tx, -elev AS ty, un AS tz FROM utm
+   UNION ALL SELECT route_id, gps_seq, zone, x, y + 1.6, z, ue, -(elev - height), un FROM utm)""",
+ YAW.format(src="prs"), """
+ zones AS (SELECT route_id, min_by(zone, gps_seq) AS z0 FROM prs GROUP BY 1),
+ moved AS (SELECT r.*, z0, sc * (co * x - si * z) + mtx - sc * (co * mfx - si * mfz) AS px,
+   sc * y + mty - sc * mfy AS py, sc * (si * x + co * z) + mtz - sc * (si * mfx + co * mfz) AS pz
+   FROM rotated r JOIN yaw USING (route_id) JOIN zones USING (route_id) WHERE sc IS NOT NULL AND NOT isnan(sc))""",
+ geo_ctes("moved", "px", "pz", "z0"), """
+ span AS (SELECT route_id, min(gps_seq) AS head, max(gps_seq) AS tail FROM matches
+   WHERE route_id IN (SELECT route_id FROM geo) GROUP BY 1),
+ pieces AS (SELECT route_id, 1 AS part, pose_key AS s, glon AS lon, glat AS lat, -py AS elev, ms FROM geo
+   UNION ALL SELECT route_id, CASE WHEN seq < head THEN 0 ELSE 2 END, seq, lon, lat, elev, ms
+   FROM fixes JOIN span USING (route_id) WHERE seq < head OR seq > tail)""", body=f"""
+ SELECT route_id, row_number() OVER (PARTITION BY route_id ORDER BY part, s) - 1 AS seq, part, CAST(ms AS DOUBLE) AS ms,
+   {R(6, lon="lon", lat="lat")}, {R(4, elev="elev")} FROM pieces"""))
+def combined_track(spark, d):
+    g = GE.georeferenced_track(_geo_frames(spark, d), A.track_footprints(V.fixes(spark, d)), anchors=8,
+                               tolerance_ms=SIX_HOURS, clean=False, mode="planar")
+    return V.rounded(V.rounded(g, 6, "lon", "lat"), 4, "elev")
+
+
 @query("g08_georeference_full")
 def georeference_full(spark, d):
     g = GE.georeference_route(_geo_frames(spark, d), A.track_footprints(V.fixes(spark, d)), anchors=8,

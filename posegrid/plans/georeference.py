@@ -10,7 +10,7 @@ from posegrid.functions import linalg as L
 from posegrid.operators import anchor as A
 from posegrid.operators import fit
 from posegrid.operators.outliers import curve_filter
-from posegrid.scale import attach, checkpointed
+from posegrid.scale import BLOCK, attach, checkpointed, line, ordered
 
 ANCHORS_PER_END = 1000
 
@@ -26,7 +26,7 @@ def clean_frames(frames: DataFrame, degree: int = 5, max_iter: int = 10, num_sig
 def anchor_matches(frames: DataFrame, fixes: DataFrame, anchors: int = ANCHORS_PER_END,
                    tolerance_ms: float = A.TOLERANCE_MS, smooth: str | None = None) -> DataFrame:
     """One-to-one anchor matches with the coordinates of their fix."""
-    near = checkpointed(A.nearest_fix(A.anchor_frames(frames, anchors), fixes, tolerance_ms))
+    near = A.nearest_fix(A.anchor_frames(frames, anchors), fixes, tolerance_ms)
     matched = A.with_fix(A.one_to_one(near), fixes)
     if smooth is None:
         return matched
@@ -63,7 +63,6 @@ def _solve(xyz: DataFrame, keys: list[str], mode: str, refit_offset: bool) -> Da
     """Fit per group: ``full`` takes scale and offset from the 3-D fit and the rotation from the
     yaw fit; ``planar`` takes all three from the yaw fit. ``refit_offset`` re-centres the offset for
     the yaw rotation."""
-    xyz = checkpointed(xyz)
     zones = A.first_zone(xyz, keys)
     moments = checkpointed(fit.pair_moments(xyz, keys))
     yaw = fit.planar_solution(moments, keys)
@@ -94,20 +93,47 @@ def georeference_route(frames: DataFrame, fixes: DataFrame, *, anchors: int = AN
     seq, ms, lon, lat, elev, height, foot_elev``. Tracks with fewer than two fixes are left out,
     very short ones are densified.
     """
-    fr = checkpointed(clean_frames(frames) if clean else frames)
-    fx = checkpointed(A.long_enough(fixes))
+    return _fitted_route(frames, fixes, anchors, tolerance_ms, clean, footprint, smooth, mode, refit_offset)[0]
+
+
+def _fitted_route(frames, fixes, anchors, tolerance_ms, clean, footprint, smooth, mode, refit_offset
+                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entries of the frames, the usable fixes and the anchor matches."""
+    fr = clean_frames(frames) if clean else frames
+    fx = A.long_enough(fixes)
     matched = anchor_matches(fr, fx, anchors, tolerance_ms, smooth)
     xyz = A.match_xyz(A.match_points(matched, footprint))
     fits = _solve(xyz, ["route_id"], mode, refit_offset)
-    return to_entries(apply_fit(fr, fits, ["route_id"]))
+    return to_entries(apply_fit(fr, fits, ["route_id"])), fx, matched
+
+
+def georeferenced_track(frames: DataFrame, fixes: DataFrame, *, anchors: int = ANCHORS_PER_END,
+                        tolerance_ms: float = A.TOLERANCE_MS, clean: bool = True,
+                        footprint: bool = True, smooth: str | None = None, mode: str = "full",
+                        refit_offset: bool = False) -> DataFrame:
+    """One track per route that could be fitted: the fixes before its first anchor, its georeferenced frames,
+    the fixes after its last anchor. ``route_id, seq, part`` (0 head, 1 path, 2 tail), ``lon, lat, elev,
+    ms``."""
+    path, fx, matched = _fitted_route(frames, fixes, anchors, tolerance_ms, clean, footprint, smooth, mode,
+                                      refit_offset)
+    entry = lambda lon, lat, elev, ms: F.struct(
+        F.col(lon).alias("lon"), F.col(lat).alias("lat"), F.col(elev).alias("elev"),
+        F.col(ms).cast("double").alias("ms")).alias("entry")
+    own = path.select("route_id", F.col("pose_key").alias("seq"), entry("geo.lon", "geo.lat", "geo.elev", "ms"))
+    fitted = path.select("route_id").distinct()
+    around = fx.join(fitted, "route_id", "left_semi").select("route_id", "seq", entry("lon", "lat", "elev", "ms"))
+    joined = A.splice(own, around, matched)
+    numbered = ordered(joined, line("route_id", ("part", "seq"), blocks=(
+        F.col("part"), F.floor(F.col("seq") / BLOCK))), position="_no")
+    return numbered.select("route_id", F.col("_no").alias("seq"), "part", "entry.*")
 
 
 def georeference_site(frames: DataFrame, fixes: DataFrame, *, site: str = "site_id",
                       anchors: int = ANCHORS_PER_END, tolerance_ms: float = A.TOLERANCE_MS,
                       clean: bool = True, footprint: bool = True, mode: str = "full") -> DataFrame:
     """One fit per site on the pairs of all its anchored routes, applied to every route."""
-    fr = checkpointed(clean_frames(frames) if clean else frames)
-    fx = checkpointed(A.long_enough(fixes))
+    fr = clean_frames(frames) if clean else frames
+    fx = A.long_enough(fixes)
     matched = anchor_matches(fr.drop(site), fx, anchors, tolerance_ms)
     homes = fr.groupBy("route_id").agg(F.min(site).alias(site))
     points = attach(A.match_points(matched, footprint), homes, "route_id")
