@@ -157,6 +157,19 @@ def cascade(spark, d):
                                 L.mat4_offset("matrix")["x"].alias("off_x")), 5, "scale", "off_x")
 
 
+@query("g06_apply_cascade", W(V.POSES, body=f"""
+ SELECT route_id, pose_key, {V.sql_round(6, x="x * (1 + route_id % 3 / 10.0) + route_id % 5", y="y * (1 + route_id % 3 / 10.0)",
+   z="z * (1 + route_id % 3 / 10.0) + 1")} FROM poses"""))
+def apply_cascade(spark, d):
+    p = V.poses(spark, d)
+    k = F.col("route_id")
+    matrices = p.select("route_id").distinct().withColumn("matrix", L.to_mat4(
+        1 + k % 3 / 10.0, L.identity3(), L.vec(k % 5, 0, 1)))
+    held = p.select("route_id", "pose_key", L.vec("x", "y", "z").alias("center"), L.identity3().alias("rotation"))
+    out = RG.apply_cascade(held, matrices)
+    return V.rounded(out.select("route_id", "pose_key", *[F.col("center")[a].alias(a) for a in L.AXES]), 6, *L.AXES)
+
+
 @query("a10_concatenated", W(V.POSES, body=f"""
  SELECT route_id AS scene_id, {V.sql_round(4, scale="exp(sum(ln(1 + seq % 3 / 100.0)))")} FROM poses GROUP BY 1"""))
 def concatenated(spark, d):
@@ -294,3 +307,9 @@ def not_exactly_one(spark, d):
  WHERE k IS NOT NULL GROUP BY 1"""))
 def pick_by_pattern(spark, d):
     return Q.pick_by_pattern(_listing(spark, d), ["77$", "[05]1$"])
+
+
+@query("j21_labelled_file", W(LISTING, body="""
+ SELECT repository, min(path) AS path FROM listing WHERE list_contains(labels, 'marker') GROUP BY 1 HAVING count(*) = 1"""))
+def labelled_file(spark, d):
+    return Q.labelled_file(_listing(spark, d), "marker")

@@ -209,10 +209,6 @@ def mat4_inverse(m) -> Column:
                inv(2, 0), inv(2, 1), inv(2, 2), off[2], 0, 0, 0, 1)
 
 
-def transform_rotation(rotation, m) -> Column:
-    """World-to-camera rotation after the world has been moved by ``m``: ``R Q'``."""
-    return matmul(rotation, transpose(mat4_rotation(m)))
-
 
 # ------------------------------------------------------------------ axis / angle, quaternions
 
@@ -334,9 +330,6 @@ def rebase_transform(main, local, own) -> tuple[Column, Column]:
     return matmul(main, local, 4), mat4_inverse(own)
 
 
-def rows_to_flat(nested) -> Column:
-    return F.flatten(_c(nested))
-
 
 def flat_to_rows(m, n: int = 3) -> Column:
     return F.array(*[F.array(*[entry(m, i, j, n) for j in range(n)]) for i in range(n)])

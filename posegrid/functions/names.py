@@ -42,9 +42,6 @@ def frame_seconds(idx, fps, ss) -> Column:
     return _c(idx) / _c(fps) + _c(ss)
 
 
-def epoch_ms(start_ms, seconds) -> Column:
-    return _c(start_ms) + _c(seconds) * 1000.0
-
 
 def log_time(ts) -> Column:
     return F.date_format(F.from_utc_timestamp(_c(ts), LOG_ZONE), LOG_FORMAT)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from posegrid.operators import frames, outliers, pairs, poses
+from posegrid.operators import frames, outliers, pairs, poses, quality
 
 _KINDS: dict[str, dict[str, Callable]] = {"filter": {}, "pairing": {}, "refiner": {},
                                           "sampler": {}, "rule": {}}
@@ -38,3 +38,8 @@ register("refiner", "rig_center", poses.rig_center)
 register("sampler", "all", frames.all_frames)
 register("sampler", "uniform_video", frames.uniform_video_sample)
 register("sampler", "uniform_rig", frames.uniform_rig_sample)
+register("rule", "marker_span", quality.marker_span)
+register("rule", "count_mismatches", quality.count_mismatches)
+register("rule", "not_exactly_one", quality.not_exactly_one)
+register("rule", "capture_window", frames.window_violations)
+register("rule", "increasing_time", frames.timestamp_violations)

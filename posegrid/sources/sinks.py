@@ -127,12 +127,6 @@ def geojson_lines(entries: DataFrame, order: str = "seq", key: str = "route_id",
         _literal(docs, 2, F.concat(F.lit(']},"properties":'), props, F.lit("}")))])
 
 
-def splice_order(spliced: DataFrame, key: str = "route_id") -> DataFrame:
-    """Number spliced track pieces (``part, seq``) in one sequence for the GeoJSON sink."""
-    w = F.floor(F.col("seq") / F.lit(1 << 20))
-    out = ordered(spliced, line(key, ("part", "seq"), blocks=(F.col("part"), w)), position="_no")
-    return out.drop("seq", "part").withColumnRenamed("_no", "seq")
-
 
 # ------------------------------------------------------------------ coloured points
 
