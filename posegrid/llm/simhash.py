@@ -44,10 +44,14 @@ from posegrid.llm.components import components
 
 SEED = 42
 MAX_BITS = 3
-#: codes on the driver that shape the trees, homes expected in a shard, and homes from which it is split
+#: codes on the driver that shape the trees, and homes expected in a shard
 SAMPLE = 32_768
-PER_SHARD = 2048
-SPLIT_FROM = 8 * PER_SHARD
+PER_SHARD = 4096
+#: the same where many trees share the work already and rows are wide: fewer levels, fewer visits
+PER_WIDE_SHARD = 65_536
+#: times the expected homes from which a shard is split into blocks, and homes compared without a local tree
+SPLIT_FROM = 8
+BRUTE = 4096
 #: fingerprints of near copies, 64-bit words of sign bits that travel with them, and how far below the wanted
 #: similarity the estimate may lie (two and a half standard errors of 256 bits)
 VIEWS = 10
@@ -254,10 +258,10 @@ def link_shard(codes: np.ndarray, homes: np.ndarray, half: int, max_bits: int, w
     """Add to ``forest`` all linked pairs of a shard of which at least one lives there."""
     rows = np.arange(len(codes)) if rows is None else rows
     living = rows[homes[rows]]
-    if len(living) > 4 * PER_SHARD:
+    if len(living) > BRUTE:
         halves = (codes[rows] >> np.uint64(32 * half)).astype(np.uint32)
         own = halves[homes[rows]]
-        tree = build_tree(own[:: max(1, len(own) // SAMPLE)], shards_for(len(living), PER_SHARD), _reach(max_bits))
+        tree = build_tree(own[:: max(1, len(own) // SAMPLE)], shards_for(len(living), BRUTE // 2), _reach(max_bits))
         if tree.leaves > 1:
             at, leaf, home = route(halves, tree, _reach(max_bits), homes[rows])
             order = np.argsort(leaf, kind="stable")
@@ -296,7 +300,7 @@ def _reach(max_bits: int) -> int:
 # ------------------------------------------------------------------ links of all codes
 
 def forest_edges(codes: DataFrame, max_bits: int = MAX_BITS, sign_limit: int | None = None,
-                 near: int = 0) -> DataFrame:
+                 near: int = 0, per_shard: int | None = None) -> DataFrame:
     """``a, b``: links between rows of ``codes`` whose components are those of all links. Of the links of a
     shard those with the least differing bits are taken, and the ``near`` lightest of each row besides.
 
@@ -304,11 +308,12 @@ def forest_edges(codes: DataFrame, max_bits: int = MAX_BITS, sign_limit: int | N
     binary (compared if ``sign_limit`` is set: at most that many bits may differ).
     """
     reach = _reach(max_bits)
+    per_shard = per_shard or PER_SHARD
     size = codes.count()
     views = codes.select(F.size("codes").alias("n")).agg(F.max("n")).first()[0] or 0
     sample = np.array([r[0] for r in codes.orderBy(F.xxhash64("key", F.lit(3)), "key").limit(SAMPLE)
                        .select("codes").collect()], np.int64).view(np.uint64).reshape(-1, views) if views else None
-    leaves = min(shards_for(size, PER_SHARD), max(1, SAMPLE // 8))
+    leaves = min(shards_for(size, per_shard), max(1, SAMPLE // 8))
     trees = [build_tree((sample[:, v] >> np.uint64(32 * h)).astype(np.uint32), leaves, reach)
              for v in range(views) for h in (0, 1)]
 
@@ -329,11 +334,13 @@ def forest_edges(codes: DataFrame, max_bits: int = MAX_BITS, sign_limit: int | N
     dealt = codes.select("key", "codes", "signs").mapInArrow(
         deal, "shard long, key long, code long, home boolean, signs binary")
     # crowded shards: homes in blocks, everybody else passes all of them, a home those before its own
-    crowded = (dealt.where("home").groupBy("shard").agg(F.count(F.lit(1)).alias("homes"))
-               .where(F.col("homes") > SPLIT_FROM)
-               .select("shard", F.ceil(F.col("homes") / SPLIT_FROM).cast("int").alias("blocks")))
+    # (at most one row per leaf, as a table of known size)
+    most = SPLIT_FROM * per_shard
+    crowded = written(dealt.where("home").groupBy("shard").agg(F.count(F.lit(1)).alias("homes"))
+                      .where(F.col("homes") > most)
+                      .select("shard", F.ceil(F.col("homes") / most).cast("int").alias("blocks")))
     own_block = F.when(F.col("home"), F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).otherwise(F.col("blocks") - 1)
-    spread = (dealt.join(F.broadcast(crowded) if leaves == 1 else crowded, "shard", "left")
+    spread = (dealt.join(crowded, "shard", "left")
               .withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", own_block)
               .select("shard", "key", "code", "signs", "home", "own", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("block"))
               .select("shard", "block", "key", "code", "signs", (F.col("home") & (F.col("block") == F.col("own"))).alias("home")))
@@ -407,11 +414,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     full = F.coalesce(F.col(text), F.lit(""))
     hashed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(full).alias("key"), codes_of(full).alias("c"))
     reps = written(hashed.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("c").alias("c")))
-    edges = written(forest_edges(reps.select("key", "c.codes", "c.signs"), MAX_BITS, sign_limit(similarity), NEAR)
+    edges = written(forest_edges(reps.select("key", "c.codes", "c.signs"), MAX_BITS, sign_limit(similarity), NEAR,
+                                 PER_WIDE_SHARD)
                     .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     ends = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    # copies are merged in the maps, before texts are shuffled; one plan at every size
     texts = written(docs.select(F.xxhash64(full).alias("key"), full.alias("t")).groupBy("key").agg(F.min("t").alias("t"))
-                    .join(ends, "key", "left_semi"))
+                    .join(ends.hint("merge"), "key"))
     of = lambda end: texts.select(F.col("key").alias(end), F.col("t").alias(f"t{end}"))
     close = jaccard(F.col("ta"), F.col("tb"), width) >= similarity
     linked = edges.join(of("b"), "b").join(of("a"), "a").where(close).select("a", "b")
@@ -452,7 +461,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **opti
         F.col("__id").isNull().alias("none"), "__id", "__key", "__n")).alias("s")).select(
             "__root", F.col("s.__id").alias("__i"), F.col("s.__key").alias("__k"), F.col("s.__n").alias("__n"))
     chosen = written(chosen)
-    rows = rows.join(chosen, (F.col("__key") == F.col("__k")) & F.col(id_col).eqNullSafe(F.col("__i")))
+    rows = rows.join(chosen.hint("merge"), (F.col("__key") == F.col("__k")) & F.col(id_col).eqNullSafe(F.col("__i")))
     original = [F.col(f"`{c}`") for c in kept.columns]
     single = rows.where(F.col("__n") == 1).select(*original)
     return single.union(rows.where(F.col("__n") > 1).dropDuplicates(["__root"]).select(*original))
