@@ -47,10 +47,11 @@ def test_fingerprints_by_definition(spark):
         assert got[i] == f"{want:016x}"
 
 
-@pytest.mark.parametrize("per_shard,split_from", [(16, 30), (64, 100_000)])
-def test_links_of_codes_by_brute_force(spark, monkeypatch, per_shard, split_from):
+@pytest.mark.parametrize("per_shard,split_from,brute", [(16, 2, 4096), (64, 1000, 4096), (100_000, 8, 32)])
+def test_links_of_codes_by_brute_force(spark, monkeypatch, per_shard, split_from, brute):
     monkeypatch.setattr(simhash, "PER_SHARD", per_shard)
     monkeypatch.setattr(simhash, "SPLIT_FROM", split_from)
+    monkeypatch.setattr(simhash, "BRUTE", brute)
     rng = np.random.default_rng(1)
     codes = [int(x) for x in rng.integers(0, 2**64, 500, dtype=np.uint64)]
     for b in codes[:120]:
