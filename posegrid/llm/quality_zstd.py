@@ -5,15 +5,16 @@ chunks of fixed size (all of it, so a long text is judged like a short one) and
 three times: with either dictionary and with none. Two normalised sizes become a calibrated score by a
 logistic fit: the difference of the two dictionary sizes over the plain size, and the size with the good
 dictionary over the length, which tells texts that compress well under any dictionary, such as one word
-said a hundred times.
+said a hundred times. Sizes of a few dozen bytes say little, so both are drawn towards the mean of the
+labelled texts by the weight n / (n + ``SHRINK``) of a text of n bytes.
 
 The fit uses a bounded sample: of each class the ``sample`` labelled rows with the smallest hashes whose
 texts have at most ``longest`` characters. The calibration is fitted on texts that the dictionaries in
 use have not seen (two halves, each scored with the dictionaries of the other). Scoring is one map over
-all whole texts; the model (two dictionaries and five numbers) has a fixed size.
+all whole texts; the model (two dictionaries and seven numbers) has a fixed size.
 
-Results for odd inputs: a null or empty text gets the score of the sizes 0 and 0 (the calibration's
-constant, which depends on the labels only); repeated rows give repeated results; repeated or
+Results for odd inputs: a null or empty text has the weight 0 and so the score of a mean text (the
+calibration's constant); repeated rows give repeated results; repeated or
 contradicting labels of one document count by their smallest value; null labels and labels of unknown
 documents do not count; without labelled rows of both classes the fit raises ``ValueError``; an empty
 table of documents gives an empty table; a column called like a result column is replaced.
@@ -37,6 +38,7 @@ LONGEST = 20_000
 CHUNK = 512
 DICTIONARY = 32_768
 LEVEL = 3
+SHRINK = 256
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,7 @@ class Model:
 
     good: bytes
     bad: bytes
+    mean: tuple[float, float]
     weights: tuple[float, float, float]
     chunk: int = CHUNK
     level: int = LEVEL
@@ -67,13 +70,14 @@ class Sizes:
         prepared.precompute_compress(level=level)
         return zstandard.ZstdCompressor(dict_data=prepared, **plain)
 
-    def features(self, text: str | None) -> tuple[float, float]:
+    def features(self, text: str | None) -> tuple[float, float, float]:
+        """The two normalised sizes and the weight of the text."""
         if not text:
-            return 0.0, 0.0
+            return 0.0, 0.0, 0.0
         raw = text.encode("utf-8", "surrogatepass")
         parts = [raw[i:i + self.chunk] for i in range(0, len(raw), self.chunk)]
         good, bad, plain = (sum([len(t.compress(p)) for p in parts]) for t in self.tools)
-        return (bad - good) / plain, good / len(raw)
+        return (bad - good) / plain, good / len(raw), len(raw) / (len(raw) + SHRINK)
 
 
 def _dictionary(texts: Sequence[str], chunk: int, size: int) -> bytes:
@@ -121,7 +125,10 @@ def fit_rows(texts: Sequence[str], quality: Sequence[int], chunk: int = CHUNK,
             x += [sizes.features(t) for t in rows]
             y += [k] * len(rows)
     good, bad = (_dictionary(by_class[k], chunk, size) for k in (1, 0))
-    return Model(good, bad, _logistic(np.array(x, float), np.array(y, float)), chunk, level)
+    x = np.array(x, float)
+    mean = x[:, :2].mean(0)
+    weights = _logistic((x[:, :2] - mean) * x[:, 2:], np.array(y, float))
+    return Model(good, bad, (float(mean[0]), float(mean[1])), weights, chunk, level)
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample: int = SAMPLE,
@@ -152,14 +159,14 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with ``out``: from 0 to 1, higher for texts that resemble the good ones."""
     sizes_of = (model.good, model.bad, model.chunk, model.level)
-    a, b, c = model.weights
+    mean, slope, constant = np.array(model.mean), np.array(model.weights[:2]), model.weights[2]
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         sizes = Sizes(*sizes_of)
         for texts in batches:
-            x = np.array([sizes.features(t) for t in texts], float).reshape(-1, 2)
-            at = np.where(x[:, 1] > 0, a * x[:, 0] + b * x[:, 1] + c, c)
+            x = np.array([sizes.features(t) for t in texts], float).reshape(-1, 3)
+            at = (x[:, :2] - mean) @ slope * x[:, 2] + constant
             yield pd.Series(1 / (1 + np.exp(-np.clip(at, -35, 35))))
 
     return without(docs, out).withColumn(out, scores(F.col(text)))
