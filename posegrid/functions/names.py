@@ -33,9 +33,14 @@ def is_mask(filename) -> Column:
     return _c(filename).contains("_mask")
 
 
-def stem_prefix_blocks(column, digits: int = 3) -> tuple[Column, ...]:
-    """Order-preserving block of zero-padded file stems."""
-    return (F.substring(_c(column), 1, digits),)
+def shared_prefix(low, high) -> Column:
+    """Length of the common beginning of two names; of a group's first and last name in order, it is what
+    all names of the group begin with."""
+    low, high = _c(low), _c(high)
+    least = F.least(F.length(low), F.length(high))
+    return F.when(least > 0, F.size(F.filter(
+        F.sequence(F.lit(1), least), lambda i: F.substring(low, F.lit(1), i) == F.substring(high, F.lit(1), i)))
+    ).otherwise(0)
 
 
 def frame_seconds(idx, fps, ss) -> Column:

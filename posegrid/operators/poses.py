@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from posegrid.functions import linalg as L
 from posegrid.functions import names as N
-from posegrid.scale import attach, checkpointed, line, order_stats, ordered, state_scan
+from posegrid.scale import attach, checkpointed, line, name_blocks, order_stats, ordered, state_scan
 
 STEP_FACTOR = 4.0
 
@@ -23,9 +23,9 @@ def views_with_poses(views: DataFrame, poses: DataFrame) -> DataFrame:
 
 def reorder(views: DataFrame, poses: DataFrame, digits: int = 3) -> DataFrame:
     """New keys in file-stem order over all views, then only views with a pose."""
-    ranked = ordered(views.withColumn("stem", N.stem("filename")),
-                     line("scene_id", ("stem", "view_key"),
-                          blocks=N.stem_prefix_blocks("stem", digits)), position="new_key")
+    named = name_blocks(views.withColumn("stem", N.stem("filename")), ["scene_id"], "stem", digits)
+    ranked = ordered(named, line("scene_id", ("stem", "view_key"), blocks=(F.col("_block"),)),
+                     position="new_key").drop("_block")
     return views_with_poses(ranked, poses)
 
 

@@ -23,6 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from posegrid.functions.names import shared_prefix
+
 #: rows per ordered block when the order column is a unique integer
 BLOCK = 1 << 20
 #: histogram cells per factor of two in ``order_stats``
@@ -213,6 +215,16 @@ def bracket(targets: DataFrame, knots: DataFrame, keys: Sequence[str], time: str
     return out.filter("_kind = 1").drop("_kind", *[f"_k_{c}" for c in cols])
 
 
+def name_blocks(df: DataFrame, keys: Sequence[str], name: str, digits: int = 3) -> DataFrame:
+    """``df`` with ``_block``: the ``digits`` characters of a name after what all names of its group share,
+    so that names with a long common beginning still fall into many blocks, in name order."""
+    ends = df.groupBy(*keys).agg(F.min(name).alias("_low"), F.max(name).alias("_high"))
+    shared = ends.select(*keys, shared_prefix("_low", "_high").alias("_shared"))
+    at = F.coalesce("_shared", F.lit(0)) + 1
+    return attach(df, shared, keys, "left").withColumn(
+        "_block", F.substring(F.col(name), at, F.lit(digits))).select(*df.columns, "_block")
+
+
 # ------------------------------------------------------------------ statistics back to rows
 
 def attach(fact: DataFrame, stats: DataFrame, keys: Sequence[str] | str, how: str = "inner") -> DataFrame:

@@ -105,3 +105,13 @@ def test_state_scan_equals_sequential(spark):
     for r in df.orderBy("id").collect():
         state = r[f"s{state}"]
         assert got[r.id] == state
+
+
+def test_name_blocks_keep_the_order_and_split_long_prefixes(spark):
+    from posegrid.scale import name_blocks
+    names = [f"GX01_IMG_{i:06d}.jpg" for i in range(0, 9000, 7)] + ["GX01_IMG_"]
+    df = spark.createDataFrame([("a", n) for n in names] + [("b", "x"), ("b", ""), (None, "zzzz")], "k string, f string")
+    got = name_blocks(df, ["k"], "f", 5).collect()
+    assert len(got) == len(names) + 3
+    own = sorted((r.f, r._block) for r in got if r.k == "a")
+    assert [b for _, b in own] == sorted(b for _, b in own) and len({b for _, b in own}) > 80
