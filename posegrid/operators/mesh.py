@@ -304,41 +304,61 @@ def grow_segments(faces: DataFrame, vertices: DataFrame, seeds: DataFrame, thres
     return owned
 
 
-def cluster_flat_vertices(vertices: DataFrame, k: int, seed: int = 7):
-    """k-means of flat vertices on (theta, phi, x, y, z): labelled vertices and centres.
+FEATURES = ("theta", "phi", "x", "y", "z")
+#: k-means ends when no centre moves farther than this
+SETTLED = 1e-6
 
-    Returns ``(labelled, centres)``; the centre table has ``k`` rows.
+
+def cluster_flat_vertices(vertices: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """k-means of each mesh's flat vertices on (theta, phi, x, y, z): labelled vertices and centres.
+
+    Lloyd's rounds for all meshes at once, from the ``k`` vertices that come first by one hash each
+    (fewer where a mesh has fewer places), until the centres stand still. A round is one join with a
+    row of centres per mesh and one partial aggregation. ``mesh_id, cluster`` is unique in the centres.
     """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
+    flat = curvature_features(vertices).filter("is_flat").withColumn(
+        "_f", F.array(*[F.col(c).cast("double") for c in FEATURES]))
+    first = flat.groupBy(M).agg(*[F.min_by("_f", F.struct(F.xxhash64("vid", F.lit(i)), "vid")).alias(f"s{i}")
+                                  for i in range(k)])
+    centres = checkpointed(first.select(M, F.array_sort(F.array_distinct(
+        F.array(*[f"s{i}" for i in range(k)]))).alias("centres")))
+
+    def nearest(rows: DataFrame, table: DataFrame) -> DataFrame:
+        away = F.transform("centres", lambda c: F.aggregate(
+            F.zip_with(c, F.col("_f"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, x: t + x))
+        return attach(rows, table, M).withColumn("_away", away).withColumn(
+            "cluster", (F.array_position("_away", F.array_min("_away")) - 1).cast("int")).drop("_away")
 
-    feats = ["theta", "phi", "x", "y", "z"]
-    flat = curvature_features(vertices).filter("is_flat")
-    data = VectorAssembler(inputCols=feats, outputCol="features").transform(flat)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(data)
-    centres = flat.sparkSession.createDataFrame(
-        [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())],
-        "cluster int, centre array<double>")
-    labelled = model.transform(data).withColumn("_f", vector_to_array("features"))
-    return labelled.drop("features"), centres
+    while True:
+        means = nearest(flat, centres).groupBy(M, "cluster").agg(
+            F.array(*[F.avg(F.col("_f")[i]) for i in range(len(FEATURES))]).alias("mean"))
+        by_mesh = means.groupBy(M).agg(F.map_from_entries(F.collect_list(F.struct("cluster", "mean"))).alias("means"))
+        moved = checkpointed(attach(centres, by_mesh, M).withColumn("now", F.transform(
+            "centres", lambda c, i: F.coalesce(F.try_element_at("means", i), c))).drop("means"))
+        step = F.array_max(F.transform(F.arrays_zip("centres", "now"), lambda z: F.array_max(
+            F.zip_with(z["centres"], z["now"], lambda a, b: F.abs(a - b)))))
+        going = not moved.where(step > SETTLED).isEmpty()
+        centres = moved.select(M, F.col("now").alias("centres"))
+        if not going:
+            break
+    labelled = nearest(flat, centres).drop("centres")
+    return labelled, centres.select(M, F.posexplode("centres").alias("cluster", "centre"))
 
 
 def cluster_seed_vertices(labelled: DataFrame, centres: DataFrame) -> DataFrame:
-    """Vertex nearest to its cluster's centre: ``cluster, mesh_id, vid``."""
-    c = labelled.join(F.broadcast(centres), "cluster")  # k rows
-    d = sum((F.pow(F.col("_f")[i] - F.col("centre")[i], 2) for i in range(1, 5)),
+    """Vertex nearest to its cluster's centre: ``mesh_id, cluster, vid``."""
+    c = attach(labelled, centres, [M, "cluster"])
+    d = sum((F.pow(F.col("_f")[i] - F.col("centre")[i], 2) for i in range(1, len(FEATURES))),
             F.pow(F.col("_f")[0] - F.col("centre")[0], 2))
-    return c.withColumn("_d", d).groupBy("cluster").agg(
-        F.min(F.struct("_d", M, "vid")).alias("_m")).select(
-        "cluster", F.col(f"_m.{M}").alias(M), F.col("_m.vid").alias("vid"))
+    return c.withColumn("_d", d).groupBy(M, "cluster").agg(
+        F.min(F.struct("_d", "vid")).alias("_m")).select(M, "cluster", F.col("_m.vid").alias("vid"))
 
 
 def level_rotation(faces: DataFrame, vertices: DataFrame) -> DataFrame:
     """4x4 that turns the best-fit plane of the given floor faces onto the xz plane.
 
     The plane normal is the smallest principal axis of the corner coordinates (one covariance
-    aggregate per mesh); an upside-down result gets another half turn about z.
+    aggregate per mesh), taken upwards.
     """
     import numpy as np
     import pandas as pd
@@ -360,8 +380,6 @@ def level_rotation(faces: DataFrame, vertices: DataFrame) -> DataFrame:
                 k = axis / s if s > 1e-12 else np.zeros(3)
                 w = np.array([[0, -k[2], k[1]], [k[2], 0, -k[0]], [-k[1], k[0], 0]])
                 rot = np.eye(3) + s * w + (1 - c) * (w @ w)
-                if np.degrees(np.arccos(np.clip((np.trace(rot) - 1) / 2, -1, 1))) > 90:
-                    rot = np.diag([-1.0, -1.0, 1.0]) @ rot
                 full = np.eye(4)
                 full[:3, :3] = rot
                 out.append(full.ravel().tolist())

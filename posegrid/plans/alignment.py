@@ -47,10 +47,10 @@ def align_sub_to_main(main_views: DataFrame, main_poses: DataFrame, sub_views: D
 
 def level_by_floor(vertices: DataFrame, faces: DataFrame, clusters: int = 50,
                    normal_threshold: float = 0.9, min_segment: int = 0,
-                   floor_threshold: float = 0.9, seed: int = 7) -> DataFrame:
-    """4x4 per mesh that levels it: cluster flat vertices, grow a planar segment from each cluster
+                   floor_threshold: float = 0.9) -> DataFrame:
+    """4x4 per mesh that levels it: cluster its flat vertices, grow a planar segment from each cluster
     seed, keep segments facing the floor, fit their plane."""
-    labelled, centres = mesh.cluster_flat_vertices(vertices, clusters, seed)
+    labelled, centres = mesh.cluster_flat_vertices(vertices, clusters)
     seed_v = mesh.cluster_seed_vertices(labelled, centres)
     seed_f = mesh.vertex_flat_faces(vertices, faces, seed_v)
     seeds = seed_v.join(seed_f, ["mesh_id", "vid"]).select(

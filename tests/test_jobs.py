@@ -359,3 +359,29 @@ def test_ring_pairs_of_a_frame_that_lacks_cameras(spark):
     views = spark.createDataFrame([("s", i, i) for i in range(7)], "scene_id string, pos long, id_view long")
     got = {(r.view_a, r.view_b) for r in PR.rig_ring_pairs(views, 4).collect()}
     assert got == {(3, 0), (0, 1), (1, 2), (2, 3), (6, 4), (4, 5), (5, 6)}
+
+
+def test_clusters_of_each_mesh(spark, monkeypatch):
+    from posegrid.operators import mesh as ME
+    rng = np.random.default_rng(4)
+    rows = []
+    for m, spots in (("a", [(0, 0, 0), (50, 0, 0), (0, 0, 50)]), ("b", [(7, 7, 7), (90, 0, 7)])):
+        for s in spots:
+            rows += [(m, len(rows) + i, *map(float, p)) for i, p in enumerate(rng.normal(s, 0.5, (40, 3)))]
+    v = spark.createDataFrame(rows, "mesh_id string, vid long, x double, y double, z double")
+    monkeypatch.setattr(ME, "curvature_features", lambda d: d.withColumns(
+        {"theta": F.lit(0.0), "phi": F.lit(0.0), "is_flat": F.lit(True)}))
+    labelled, centres = ME.cluster_flat_vertices(v, 6)
+    points = {(r.mesh_id, r.vid): np.array(r._f) for r in labelled.collect()}
+    own = {}
+    for r in centres.collect():
+        own.setdefault(r.mesh_id, []).append((r.cluster, np.array(r.centre)))
+    of = {(r.mesh_id, r.vid): r.cluster for r in labelled.collect()}
+    for (m, vid), p in points.items():
+        assert of[m, vid] == min(own[m], key=lambda c: ((c[1] - p) ** 2).sum())[0]
+    for m, cs in own.items():
+        for c, centre in cs:
+            held = [p for k, p in points.items() if k[0] == m and of[k] == c]
+            assert not held or np.allclose(np.mean(held, 0), centre, atol=1e-4)
+    seeds = ME.cluster_seed_vertices(labelled, centres).collect()
+    assert {r.mesh_id for r in seeds} == {"a", "b"}
