@@ -77,6 +77,15 @@ def neighbour_counts(spark, d):
     return ME.neighbour_counts(V.faces(spark, d))
 
 
+@query("j17_neighbours_of_first_faces", W(V.MESH, body="""
+ SELECT a.mesh_id, a.fid, b.fid AS nbr, a.ea, a.eb FROM edges a JOIN edges b USING (mesh_id, ea, eb)
+ JOIN (SELECT mesh_id, min(fid) AS fid FROM edges GROUP BY 1) w ON w.mesh_id = a.mesh_id AND w.fid = a.fid
+ WHERE b.fid <> a.fid"""))
+def neighbours_of_first_faces(spark, d):
+    faces = V.faces(spark, d)
+    return ME.neighbours_of(faces, faces.groupBy("mesh_id").agg(F.min("fid").alias("fid")))
+
+
 @query("j17_face_links", W(V.MESH, body="""
  SELECT DISTINCT mesh_id, fid AS u, v FROM edges JOIN (SELECT mesh_id, ea, eb, min(fid) AS v FROM edges GROUP BY ALL)
  USING (mesh_id, ea, eb) WHERE fid > v"""))

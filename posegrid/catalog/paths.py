@@ -699,9 +699,10 @@ def match_xyz(spark, d):
 
 @query("f26_track_lengths", W(V.FIXES, body="""
  SELECT route_id, n, CASE WHEN n < 2 THEN 'reject' WHEN n <= 3 THEN 'densify' ELSE 'keep' END AS verdict
- FROM (SELECT route_id, count(*) AS n FROM (SELECT * FROM fixes WHERE seq % 11 = 3) GROUP BY 1)"""))
+ FROM (SELECT route_id * 100000 + ms // 86400000 AS route_id, count(*) AS n FROM fixes GROUP BY 1)"""))
 def track_lengths(spark, d):
-    f = V.fixes(spark, d).filter("seq % 11 = 3")
+    # a track is what a route recorded in one day
+    f = V.fixes(spark, d).withColumn("route_id", F.col("route_id") * 100000 + F.floor(F.col("ms") / 86400000))
     n = f.groupBy("route_id").agg(F.count(F.lit(1)).alias("n"))
     usable = A.long_enough(f).groupBy("route_id").agg(F.count(F.lit(1)).alias("m"))
     out = n.join(usable, "route_id", "left")
