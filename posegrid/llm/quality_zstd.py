@@ -80,6 +80,16 @@ class Sizes:
         return (bad - good) / plain, good / len(raw), len(raw) / (len(raw) + SHRINK)
 
 
+def _dictionaries(by_class: dict[int, list[str]], chunk: int, size: int) -> tuple[bytes, bytes]:
+    """The good and the bad dictionary. Lines that texts of both classes have tell nothing and are left out;
+    else the dictionary of the shorter texts would know them better."""
+    lines = {k: {x for t in texts for x in t.split("\n")} for k, texts in by_class.items()}
+    shared = lines[1] & lines[0]
+    own = {k: ["\n".join(x for x in t.split("\n") if x not in shared) for t in texts]
+           for k, texts in by_class.items()}
+    return _dictionary(own[1], chunk, size), _dictionary(own[0], chunk, size)
+
+
 def _dictionary(texts: Sequence[str], chunk: int, size: int) -> bytes:
     parts = [raw[i:i + chunk] for raw in (t.encode("utf-8", "surrogatepass") for t in texts)
              for i in range(0, len(raw), chunk)]
@@ -120,11 +130,11 @@ def fit_rows(texts: Sequence[str], quality: Sequence[int], chunk: int = CHUNK,
     halves = [{k: v[h::2] for k, v in by_class.items()} for h in (0, 1)]
     x, y = [], []
     for learn, judge in (halves, halves[::-1]):
-        sizes = Sizes(_dictionary(learn[1], chunk, size), _dictionary(learn[0], chunk, size), chunk, level)
+        sizes = Sizes(*_dictionaries(learn, chunk, size), chunk, level)
         for k, rows in judge.items():
             x += [sizes.features(t) for t in rows]
             y += [k] * len(rows)
-    good, bad = (_dictionary(by_class[k], chunk, size) for k in (1, 0))
+    good, bad = _dictionaries(by_class, chunk, size)
     x = np.array(x, float)
     mean = x[:, :2].mean(0)
     weights = _logistic((x[:, :2] - mean) * x[:, 2:], np.array(y, float))
