@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posegrid.llm import html_cut, itq, line_templates, packing, pieces, quality_zstd, risk_rules, secrets, simhash, urls
+from posegrid.llm import (html_cut, itq, line_templates, packing, pieces, quality_zstd, risk_rules, secrets,
+                          simhash, sql_twins, urls)
 from posegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,7 +68,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-@query("op1_quality_rules")
+@query("op1_quality_rules", sql_twins.quality_rules())
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = risk_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
