@@ -14,12 +14,13 @@ that all visitors pass, and within a task a large shard is searched by a tree of
 not all its links but a lightest spanning forest of them, so a dense group gives fewer rows than it has
 codes. Distinct codes are compared, never rows; copies share a code.
 
-For documents with five-word shingle similarity of at least 0.8 (``near_copies``) one fingerprint with 3 bits
-misses too much. There each text has several fingerprints, of its set of words, independent of each other; a
-pair is a candidate if any of them links and 256 sign bits of the five-word shingles, which travel with the
-codes, do not speak against it. The forest that is lightest by these bits and the few lightest links of each
-text (all links, except within dense groups) are then confirmed by the exact similarity of the shingle sets of
-the two whole texts.
+For documents with five-word shingle similarity of at least 0.8 (``near_copies``) fingerprints miss too much.
+That join is exact: the shingles of a text are put in one order that all texts share (those frequent in a sample
+last, else by hash), and two sets this similar share a shingle of the first fifth of each. Texts that meet in
+such a shingle are candidates; sizes and places rule out some, the exact similarity of the two whole texts
+decides the others. Classes need not every pair of a dense group: at first each text is compared with its
+neighbours under the shingles, then every pair of texts that meet and are of different classes. A pair that
+could be similar goes unread only when links join it already.
 
 Results for odd inputs: a null, empty or blank text has the fingerprint zero, and all such texts are linked; a
 text with fewer words than a shingle is one shingle; texts of any length are hashed whole; repeated rows
@@ -36,7 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from posegrid.llm.common import cut, shards_for, without, written
@@ -47,18 +48,13 @@ MAX_BITS = 3
 #: codes on the driver that shape the trees, and homes expected in a shard
 SAMPLE = 32_768
 PER_SHARD = 4096
-#: the same where many trees share the work already and rows are wide: fewer levels, fewer visits
-PER_WIDE_SHARD = 65_536
 #: times the expected homes from which a shard is split into blocks, and homes compared without a local tree
 SPLIT_FROM = 8
 BRUTE = 4096
-#: fingerprints of near copies, 64-bit words of sign bits that travel with them, and how far below the wanted
-#: similarity the estimate may lie (two and a half standard errors of 256 bits)
-VIEWS = 10
-SIGN_WORDS = 4
-MARGIN = 0.12
-#: links of each text that are confirmed beside the forest
-NEAR = 4
+#: texts whose shingles are counted to order them, and how many of the frequent ones are known to every task; the
+#: order decides how many candidates there are, not which pairs are linked
+ORDER_TEXTS = 4096
+FREQUENT = 65_536
 _SLICE = 1 << 15
 
 
@@ -102,23 +98,6 @@ def fingerprint(text: Column, width: int = 3) -> Column:
     return prints(F.coalesce(text, F.lit("")))
 
 
-def _mixed(hashes: np.ndarray, salt: int) -> np.ndarray:
-    """Other hashes of the same things (the finaliser of splitmix64 over hash and salt)."""
-    z = hashes + np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
-def copy_codes(text: str | None, width: int, views: int) -> tuple[list[int], bytes]:
-    """Fingerprints of the set of words, and the sign bits of the set of shingles."""
-    words = words_of(text)
-    single = np.unique(shingle_hashes(words, 1)) if len(words) > 1 else shingle_hashes(words, 1)
-    shingles = np.unique(shingle_hashes(words, width))
-    signs = np.array([majority_bits(_mixed(shingles, 1000 + k)) for k in range(SIGN_WORDS)], "<u8")
-    return [majority_bits(_mixed(single, 1 + k)) for k in range(views)], signs.tobytes()
-
-
 # ------------------------------------------------------------------ vantage-point trees
 
 @dataclass
@@ -388,43 +367,129 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
 
 # ------------------------------------------------------------------ near copies
 
-def sign_limit(similarity: float, margin: float = MARGIN, bits: int = 64 * SIGN_WORDS) -> int:
-    """Sign bits in which sets of this Jaccard similarity (less the margin) are expected to differ.
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    return np.unique(shingle_hashes(words_of(text), width))
+
+
+def first_shingles(own: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The beginning of a set of shingles (sorted) in the common order: any two sets of this similarity share a
+    member of their beginnings. ``frequent`` (sorted) go last, by ``counts``."""
+    if len(frequent) and len(own):
+        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+        own = own[np.argsort(np.where(frequent[at] == own, counts[at], 0), kind="stable")]
+    return own[:len(own) - math.ceil(similarity * len(own) - 1e-9) + 1]
+
+
+def _frequent(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that stand in several texts of a sample, sorted, and in how many."""
+    @F.arrow_udf("array<long>")
+    def sets(batch: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t.as_py(), width).view(np.int64) for t in batch], pa.list_(pa.int64()))
 
-    Sets of equal size with similarity j share 2j/(1+j) of their members, the cosine of the angle whose
-    share of a half turn is the probability that a sign bit differs.
+    every = max(1, texts.count() // ORDER_TEXTS)
+    rows = (texts.where(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(every)) == 0)
+            .select(F.explode(sets("t")).alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 2).orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect())
+    known = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(known)
+    return known[order], np.array([r[1] for r in rows], np.int64)[order]
+
+
+def postings(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``shingle, key, at, size`` of the first shingles of each text (``key, t``) that others have too, with the
+    neighbour under that shingle (``key2, at2, size2``; null for the first). ``at`` is the shingle's place."""
+    frequent, counts = _frequent(texts, width)
+    names = ["shingle", "key", "at", "size"]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()  # copies within a task
+        for batch in batches:
+            keys, firsts, sizes = [], [], []
+            for key, t in zip(batch["key"].to_pylist(), batch["t"]):
+                if key in met:
+                    continue
+                met.add(key)
+                own = shingle_set(t.as_py(), width)
+                # all texts without words meet in one row
+                keys.append(key)
+                firsts.append(first_shingles(own, frequent, counts, similarity) if len(own) else np.zeros(1, np.uint64))
+                sizes.append(len(own))
+            if keys:
+                n = [len(f) for f in firsts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(firsts).view(np.int64)), pa.array(np.repeat(np.array(keys, np.int64), n)),
+                     pa.array(np.concatenate([np.arange(x, dtype=np.int32) for x in n])),
+                     pa.array(np.repeat(np.array(sizes, np.int32), n))], names=names)
+
+    # some orders of the texts, so that a text of a dense group has different neighbours
+    group = Window.partitionBy("shingle").orderBy(F.xxhash64("key", F.pmod("shingle", F.lit(4))), "key")
+    found = (texts.select("key", "t").mapInArrow(rows, "shingle long, key long, at int, size int")
+             .withColumn("last", F.lag("key").over(group))
+             .where(F.col("last").isNull() | (F.col("last") != F.col("key"))).drop("last"))
+    found = found.select(*names, *[F.lag(c).over(group).alias(c + "2") for c in names[1:]],
+                         F.lead("key").over(group).alias("next"))
+    return written(found.where(F.col("key2").isNotNull() | F.col("next").isNotNull()).drop("next"))
+
+
+def _possible(similarity: float) -> Column:
+    """Whether sizes and places of a shared shingle leave room for the similarity."""
+    small, large = F.least("size", "size2"), F.greatest("size", "size2")
+    after = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))
+    shared = F.least("at", "at2") + after
+    return ((small >= similarity * large - 1e-6)
+            & (shared >= similarity / (1 + similarity) * (small + large) - 1e-6))
+
+
+def _pairs(rows: DataFrame, similarity: float, every: float = 1.0) -> DataFrame:
+    """Pairs that the shingles counted in ``rows``, the ``every``-th part of all that they share, do not rule out.
+
+    Of two beginnings in one order, that which ends first holds all shared shingles up to its end, so the
+    shared shingles are those of the beginnings and at most the rest of one text.
     """
-    j = similarity - margin
-    return int(bits * math.acos(2 * j / (1 + j)) / math.pi)
+    pairs = (rows.where(_possible(similarity)).where("key <> key2")
+             .select(F.greatest("key", "key2").alias("a"), F.least("key", "key2").alias("b"),
+                     F.least("size", "size2").alias("small"), F.greatest("size", "size2").alias("large"))
+             .groupBy("a", "b").agg(F.min("small").alias("small"), F.min("large").alias("large"), F.count(F.lit(1)).alias("n")))
+    wanted = similarity / (1 + similarity) * (F.col("small") + F.col("large")) - 1e-6
+    rest = F.ceil(similarity * F.col("large") - 1e-9) - 1
+    return pairs.where(F.col("n") >= (wanted - rest) * every).select("a", "b")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5,
-                similarity: float = 0.8, views: int = VIEWS) -> DataFrame:
+                similarity: float = 0.8) -> DataFrame:
     """key (xxhash64 of the text), root (smallest key) and component_id (smallest id) of its copies and near
     copies."""
-    @F.arrow_udf("struct<codes:array<long>,signs:binary>")
-    def codes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            found = [copy_codes(t.as_py(), width, views) for t in batch]
-            codes = np.array([c for c, _ in found], np.uint64).reshape(-1).view(np.int64)
-            yield pa.StructArray.from_arrays(
-                [pa.ListArray.from_arrays(pa.array(np.arange(0, len(codes) + 1, views), pa.int32()), pa.array(codes)),
-                 pa.array([s for _, s in found], pa.binary())], names=["codes", "signs"])
-
     full = F.coalesce(F.col(text), F.lit(""))
-    hashed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(full).alias("key"), codes_of(full).alias("c"))
-    reps = written(hashed.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("c").alias("c")))
-    edges = written(forest_edges(reps.select("key", "c.codes", "c.signs"), MAX_BITS, sign_limit(similarity), NEAR,
-                                 PER_WIDE_SHARD)
-                    .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    ends = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    # copies are merged in the maps, before texts are shuffled; one plan at every size
-    texts = written(docs.select(F.xxhash64(full).alias("key"), full.alias("t")).groupBy("key").agg(F.min("t").alias("t"))
-                    .join(ends.hint("merge"), "key"))
-    of = lambda end: texts.select(F.col("key").alias(end), F.col("t").alias(f"t{end}"))
-    close = jaccard(F.col("ta"), F.col("tb"), width) >= similarity
-    linked = edges.join(of("b"), "b").join(of("a"), "a").where(close).select("a", "b")
-    return _classes(reps.select("key", "first"), linked)
+    reps = written(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(full).alias("key"))
+                   .groupBy("key").agg(F.min("doc_id").alias("first")))
+    texts = docs.select(F.xxhash64(full).alias("key"), full.alias("t"))
+    met = postings(texts, width, similarity)
+
+    def decided(edges: DataFrame) -> DataFrame:
+        """``edges`` with whether the exact similarity links them."""
+        ends = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        # other texts stay out of the shuffle while the ends are few
+        whole = written(texts.join(ends, "key", "left_semi").groupBy("key").agg(F.min("t").alias("t")))
+        of = lambda end: whole.select(F.col("key").alias(end), F.col("t").alias(f"t{end}"))
+        return written(edges.join(of("b"), "b").join(of("a"), "a").select(
+            "a", "b", (jaccard(F.col("ta"), F.col("tb"), width) >= similarity).alias("linked")))
+
+    # neighbours first, which joins most of a dense group; which of them are tried decides no result
+    done = decided(written(_pairs(met.where("key2 is not null"), similarity, 1 / 8)))
+    roots = cut(components(done.where("linked").select("a", "b"))).withColumnRenamed("node", "key")
+    rooted = met.select("shingle", "key", "at", "size").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    # then every pair of different classes that meet, found by the classes, so that none pairs its own members
+    open_ = (rooted.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+             .where("x <> y").select("shingle"))
+    rooted = written(rooted.join(open_, "shingle"))
+    classes = rooted.select("shingle", "root").distinct()
+    meeting = classes.join(classes.withColumnRenamed("root", "root2"), "shingle").where("root < root2")
+    other = rooted.select("shingle", *[F.col(c).alias(c + "2") for c in ("root", "key", "at", "size")])
+    pairs = _pairs(meeting.join(rooted, ["shingle", "root"]).join(other, ["shingle", "root2"]), similarity)
+    pairs = written(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"))
+    if not pairs.isEmpty():
+        done = done.union(decided(pairs))
+    return _classes(reps, done.where("linked").select("a", "b"))
 
 
 def jaccard(a: Column, b: Column, width: int) -> Column:

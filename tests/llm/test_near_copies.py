@@ -217,3 +217,26 @@ def test_table_plan():
         width, each, rotations = itq.plan_tables(vectors, 64, 0.93)
         agree = (1 - np.arccos(0.93) / np.pi) ** width
         assert width * each <= 64 and (1 - agree) ** (each * rotations) <= itq.MISS
+
+
+def classes_by_brute_force(texts):
+    sets = [shingles(t) for t in texts]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a)
+             if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    return groups(pairs, range(len(texts)))
+
+
+def test_dense_groups_of_near_copies_by_brute_force(spark):
+    random.seed(8)
+    vocabulary = [f"v{i}" for i in range(4000)]
+    texts = []
+    for length, copies in ((200, 300), (192, 300), (150, 150)):
+        words = random.choices(vocabulary, k=length)
+        for _ in range(copies):
+            copy = list(words)
+            for i in random.sample(range(length), 3):
+                copy[i] = random.choice(vocabulary)
+            texts.append(" ".join(copy))
+    got = simhash.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert got.select("component_id").distinct().count() == len(set(classes_by_brute_force(texts).values()))
+    assert {r[0] for r in got.select("component_id").collect()} == set(classes_by_brute_force(texts).values())
