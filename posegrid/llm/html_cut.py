@@ -67,9 +67,12 @@ UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|di
 @dataclass(slots=True)
 class Element:
     name: str
-    #: the strongest weights of the element and its ancestors
+    #: the strongest weights of the element and its ancestors; ``firm`` is the part of ``boiler`` that comes from
+    #: names of elements and hidden ones, ``own`` the element's own part
     boiler: float
     content: float
+    firm: float
+    own: float
     depth: int
     number: int
     link: bool
@@ -84,7 +87,8 @@ class Block:
     linked: int
 
 
-def _named_weight(rest: str) -> tuple[float, float]:
+def _named_weight(rest: str) -> tuple[float, float, bool]:
+    """Weights of the words in an element's attributes, and whether it is hidden."""
     boiler = content = 0.0
     for m in NAMED.finditer(rest):
         words = {w.lower() for w in NAME_WORD.findall(m.group(1) or m.group(2) or m.group(3) or "")}
@@ -95,14 +99,15 @@ def _named_weight(rest: str) -> tuple[float, float]:
             boiler = min(boiler, HEADER_WORD_WEIGHT)
         elif words & CONTENT_WORDS:
             content = max(content, CONTENT_WORD_WEIGHT)
-    if UNSEEN.search(rest):
+    unseen = UNSEEN.search(rest) is not None
+    if unseen:
         boiler = BOILER_WORD_WEIGHT
-    return boiler, content
+    return boiler, content, unseen
 
 
 def read_blocks(page: str) -> list[Block]:
     """The blocks of visible text of a page in order."""
-    root = Element("", 0.0, 0.0, 0, 0, False)
+    root = Element("", 0.0, 0.0, 0.0, 0.0, 0, 0, False)
     stack, blocks, parts = [root], [], []
     linked = made = 0
 
@@ -170,13 +175,18 @@ def read_blocks(page: str) -> list[Block]:
                     break
         if rest.endswith("/") and name not in BLOCKS:
             continue
-        boiler, content = _named_weight(rest) if "=" in rest or "hidden" in rest else (0.0, 0.0)
+        # words on html and body tell of the page's layout, not of its text
+        boiler, content, unseen = (_named_weight(rest) if ("=" in rest or "hidden" in rest)
+                                   and name not in ("html", "body") else (0.0, 0.0, False))
         own = ELEMENT_WEIGHT.get(name, 0.0)
         up = stack[-1]
         if name == "header" and up.content >= 5.0:
             own = 0.0  # the head of an article holds its title
+        # an article begins anew, unless it is a child of a boilerplate box
+        inherited = up.firm if name in ("article", "main") and not up.own < 0 else up.boiler
         made += 1
-        stack.append(Element(name, min(up.boiler, boiler, own), max(up.content, content, own), up.depth + 1,
+        stack.append(Element(name, min(inherited, boiler, own), max(up.content, content, own),
+                             min(up.firm, own, boiler if unseen else 0.0), min(boiler, own), up.depth + 1,
                              made, up.link or name == "a"))
     flush()
     return blocks

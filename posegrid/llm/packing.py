@@ -7,7 +7,8 @@ takes a remainder in log(bins) steps. The emptiest bins are then cut up to fill
 the last bin of a group is split into sequences whose lengths are powers of two, so nothing is padded.
 
 Tokens are those of the byte-level BPE of ``tokenizers``; the ids come from the same vocabulary given as
-ranks, which a test holds against the library's own.
+ranks, which a test holds against the library's own. A text is split at the added tokens of the JSON, which
+have their own ids.
 
 Results for odd inputs: a null or empty text is a document of the end token alone; rows with a null or
 repeated id are documents of their own; an empty table gives an empty table; columns beside id and text
@@ -17,6 +18,7 @@ are not read. A document of any length is cut into as many pieces as it needs.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import struct
 from array import array
@@ -34,6 +36,7 @@ SEQUENCE = 2048
 END_ID = 1
 GROUP_ROWS = 1024
 RANKS = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 #: a space before white space or at the end of the text
 SPACE_RUN = re.compile(r" (?:\s|\Z)")
 
@@ -60,6 +63,8 @@ class WordIds(dict):
         self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
                                           mergeable_ranks=ranks, special_tokens={})
         self.most = most
+        self.added = added_ids()
+        self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.encoding.encode_to_numpy(text, disallowed_special=()), "<u4").tobytes()
@@ -79,6 +84,25 @@ class WordIds(dict):
         first, *words = text.split(" ")
         return (self.whole(first) if first else b"") + b"".join(map(self.__getitem__, words))
 
+    def of_document(self, text: str) -> bytes:
+        """The ids of a text whose added tokens are tokens."""
+        if not any(a in text for a in self.added):
+            return self.of(text)
+        parts = self.at_added.split(text)
+        return b"".join(struct.pack("<I", self.added[p]) if i % 2 else self.of(p)
+                        for i, p in enumerate(parts) if p)
+
+
+def added_ids() -> dict[str, int]:
+    """The added tokens of the JSON and their ids; none of them may take in what stands around it."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+        raise ValueError("added tokens that depend on their surroundings are not supported")
+    return {t["content"]: t["id"] for t in tokens}
+
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
@@ -92,10 +116,16 @@ def default_ranks() -> str:
 
 
 def token_ids(texts: Sequence[str | None], path: str, end_id: int | None = END_ID) -> list[bytes]:
-    """Little-endian unsigned 32-bit ids of each text, followed by ``end_id``."""
+    """Little-endian unsigned 32-bit ids of each text, followed by ``end_id``.
+
+    With ``end_id`` the texts are documents, as the library encodes them by default. Without it they are plain
+    strings, in which nothing is a token of its own (the library's ``encode_special_tokens``).
+    """
     words = word_ids(path)
-    last = b"" if end_id is None else struct.pack("<I", end_id)
-    return [(words.of(t) if t else b"") + last for t in texts]
+    if end_id is None:
+        return [words.of(t) if t else b"" for t in texts]
+    last = struct.pack("<I", end_id)
+    return [(words.of_document(t) if t else b"") + last for t in texts]
 
 
 # ------------------------------------------------------------------ packing one group

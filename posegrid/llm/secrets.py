@@ -127,7 +127,7 @@ class Scanner:
         return found + [(m.start(), 2, m.end()) for m in self.hex.finditer(text)]
 
     def entropy(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Spans by entropy that touch no base span, widest first where two classes overlap."""
+        """Spans by entropy, less what base spans and wider spans of another class cover."""
         found: list[tuple[int, int, int]] = []
         for m in self.candidate.finditer(text):
             string, shift = m.group(), m.start()
@@ -139,9 +139,15 @@ class Scanner:
                      for b, e in window_spans(r.group(), c.window, c.bits, c.mixed)]
             taken = [(b, e) for b, _, e in base if b < m.end() and e > m.start()]
             for b, e in sorted(spans, key=lambda s: (s[0] - s[1], s[0])):
-                if all(e <= x or b >= y for x, y in taken):
-                    taken.append((b, e))
-                    found.append((b, 3, e))
+                rest = []
+                for x, y in sorted(taken):
+                    if b < x and b < e:
+                        rest.append((b, min(x, e)))
+                    b = max(b, y)
+                if b < e:
+                    rest.append((b, e))
+                taken += rest
+                found += [(x, 3, y) for x, y in rest]
         return found
 
     def __call__(self, text: str | None) -> list[str]:

@@ -240,3 +240,18 @@ def test_dense_groups_of_near_copies_by_brute_force(spark):
     got = simhash.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert got.select("component_id").distinct().count() == len(set(classes_by_brute_force(texts).values()))
     assert {r[0] for r in got.select("component_id").collect()} == set(classes_by_brute_force(texts).values())
+
+
+def test_cut_and_extended_copies_by_brute_force(spark):
+    random.seed(9)
+    vocabulary = [f"v{i}" for i in range(4000)]
+    texts = []
+    for i in range(120):
+        words = random.choices(vocabulary, k=random.choice([50, 100, 200, 800]))
+        n, share = len(words), random.uniform(0.79, 0.91)
+        more = random.choices(vocabulary, k=n)
+        texts += [" ".join(words), " ".join(words[:int(share * n)] if i % 2 else words + more[:int((1 / share - 1) * n)])]
+    want = classes_by_brute_force(texts)
+    assert len(texts) * 0.52 < len(set(want.values())) < len(texts) * 0.95
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r[0] for r in simhash.near_copies(rows).select("component_id").collect()} == set(want.values())

@@ -112,3 +112,16 @@ def test_pieces_don_t_depend_on_the_word_table():
     small, large = pieces.Pieces(pieces.default_model(), most=2), pieces.Pieces(pieces.default_model())
     assert [small.encode([t])[0] for t in texts] == large.encode(texts)
     assert len(small.words) <= 2
+
+
+def test_documents_have_the_ids_of_the_library_by_default(spark):
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    random.seed(6)
+    parts = [" ", "\n", "a", "word", "é", "'s", "1", "!", "<|endoftext|>", "<|endoftext|", "|>", "<", "\t", "　"]
+    texts = ["a <|endoftext|> b"] + ["".join(random.choices(parts, k=random.randint(0, 12))) for _ in range(3000)]
+    for text, ids in zip(texts, packing.token_ids(texts, packing.default_ranks())):
+        want = library.encode(text, add_special_tokens=False).ids + [packing.END_ID]
+        assert np.frombuffer(ids, "<u4").tolist() == want, text
+    rows = packing.pack_documents(spark.createDataFrame([(1, texts[0])], "doc_id long, text string")).orderBy("start").collect()
+    assert np.frombuffer(b"".join(r["ids"] for r in rows), "<u4").tolist() == [64, 220, 50256, 275, packing.END_ID]
