@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posegrid.llm import (html_cut, itq, line_templates, packing, pieces, quality_zstd, risk_rules, secrets,
-                          simhash, sql_twins, urls)
+from posegrid.llm import (html_cut, itq, line_templates, merkle, packing, pieces, quality_zstd, risk_rules,
+                          secrets, simhash, sql_twins, urls)
 from posegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_embedding_itq")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_merkle_manifest", sql_twins.merkle_manifest())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.verify(docs, ["doc_id", "source", "lang", "n_chars", "text"], {"text": text})

@@ -49,3 +49,33 @@ WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(lang, '') AS strat
  bad AS (SELECT DISTINCT n FROM v JOIN chosen USING (strat, rule) WHERE v >= cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND n NOT IN (SELECT n FROM bad) AS kept FROM b"""
+
+
+def merkle_manifest() -> str:
+    """Levels, proofs and folded roots of operator 11, with CRC-32 by its bits, for DuckDB."""
+    leaf = lambda text: "sha256(" + " || ".join(
+        f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    parent = "sha256(string_agg(h, '' ORDER BY p))"
+    step = """sha256(array_to_string(list_concat(hs[:p % 3], [f], hs[p % 3 + 2:]), '')),
+   s || array_to_string(list_concat(hs[:p % 3], hs[p % 3 + 2:]), '')"""
+    return f"""
+WITH RECURSIVE bits AS (SELECT *, list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(
+   string_split(doc_id::VARCHAR, ''), lambda c: [ord(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+   lambda a, e: xor(xor(a, e) >> 1, (xor(a, e) & 1) * 3988292384)) AS crc FROM documents),
+ c AS (SELECT *, CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed FROM bits),
+ o AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) AS t, count(*) OVER (PARTITION BY source) AS n,
+   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM (
+   SELECT row_number() OVER () AS rid, doc_id, source, {leaf('text')} AS leaf, {leaf('changed')} AS tested FROM c)),
+ lv(t, l, p, n, h) AS (SELECT t, 0, p, n, leaf FROM o UNION ALL
+   SELECT t, l + 1, p // 3, (any_value(n) + 2) // 3, {parent} FROM lv WHERE n > 1 GROUP BY t, l, p // 3),
+ tv(t, l, p, n, h) AS (SELECT 0::BIGINT, 0, t - 1, (SELECT max(t) FROM o), h FROM lv WHERE n = 1 UNION ALL
+   SELECT t, l + 1, p // 3, (any_value(n) + 2) // 3, {parent} FROM tv WHERE n > 1 GROUP BY t, l, p // 3),
+ runs AS (SELECT t, l, p // 3 AS q, list(h ORDER BY p) AS hs FROM (FROM lv UNION ALL FROM tv) WHERE n > 1 GROUP BY ALL),
+ low(rid, t, l, p, f, s) AS (SELECT rid, t, 0, p, tested, '' FROM o UNION ALL
+   SELECT rid, t, l + 1, p // 3, {step} FROM low JOIN runs USING (t, l) WHERE p // 3 = q),
+ top(rid, t, l, p, f, s) AS (SELECT rid, 0::BIGINT, 0, t - 1, f, s FROM low
+   WHERE (t, l) IN (SELECT (t, l) FROM lv WHERE n = 1) UNION ALL
+   SELECT rid, t, l + 1, p // 3, {step} FROM top JOIN runs USING (t, l) WHERE p // 3 = q),
+ root AS (SELECT l, h FROM tv WHERE n = 1)
+SELECT doc_id, leaf, sub.h AS subroot, root.h AS root, sha256(s) AS proof_sha256, f AS folded_root, f = root.h AS verified
+FROM o JOIN (SELECT t, h FROM lv WHERE n = 1) sub USING (t) JOIN top USING (rid) JOIN root ON top.l = root.l"""
