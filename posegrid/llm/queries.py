@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posegrid.llm import (html_cut, itq, line_templates, merkle, packing, pieces, quality_zstd, risk_rules,
-                          secrets, simhash, sql_twins, urls)
+from posegrid.llm import (html_cut, itq, licenses, line_templates, merkle, packing, pieces, quality_zstd,
+                          risk_rules, secrets, simhash, sql_twins, urls, whitening)
 from posegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,13 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     text = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     return merkle.verify(docs, ["doc_id", "source", "lang", "n_chars", "text"], {"text": text})
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_license_scan")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("places")
