@@ -108,7 +108,7 @@ def _heap(spark, d):
     u = V.table(spark, d, "events").select("user_id").distinct()
     parent = F.when(F.col("user_id") > 0, F.floor((F.col("user_id") - 1) / 3).cast("string"))
     return RG.tree_from_parents(u.select(F.col("user_id").cast("string").alias("route_id"),
-                                         parent.alias("parent_id")))
+                                         parent.alias("parent_id"), F.col("user_id").alias("route_rank")))
 
 
 HEAP = """users AS (SELECT DISTINCT user_id AS u FROM events),
@@ -136,38 +136,75 @@ def surviving(spark, d):
     return RG.surviving(t, _failed(t)).select("route_id")
 
 
-@query("k10_tree_lines", W(HEAP, recursive=True, body="""
- SELECT CAST(u AS VARCHAR) AS route_id, 3 AS n_lines FROM down WHERE top = 0"""))
+WALK = """walk AS (SELECT u, 0 AS depth, [u] AS path FROM users WHERE u = 0 UNION ALL
+   SELECT c.u, depth + 1, list_append(path, c.u) FROM walk d JOIN users c ON c.u > 0 AND (c.u - 1) // 3 = d.u)"""
+
+
+@query("g04_tree_intervals", W(HEAP, WALK, recursive=True, body="""
+ SELECT CAST(u AS VARCHAR) AS route_id, '0' AS root, depth, row_number() OVER (ORDER BY path) - 1 AS enter, n AS size
+ FROM walk JOIN (SELECT top AS u, count(*) AS n FROM down GROUP BY 1) USING (u)"""))
+def tree_intervals(spark, d):
+    return _heap(spark, d).select("route_id", "root", "depth", "enter", "size")
+
+
+@query("k10_tree_lines", W(HEAP, WALK, """
+ numbered AS (SELECT *, row_number() OVER (ORDER BY path) - 1 AS enter, repeat('    ', depth) AS pad, chr(39) AS q,
+   EXISTS (SELECT 1 FROM users c WHERE c.u > 0 AND (c.u - 1) // 3 = walk.u) AS inner_node FROM walk)""", recursive=True, body="""
+ SELECT '0' AS root, enter * 3 AS ord, CASE WHEN depth > 0 THEN substr(pad, 3) || '- ' ELSE '' END || u || ':' AS value FROM numbered
+ UNION ALL SELECT '0', enter * 3 + 1, pad || '  parent_to_own_slice: [' || CASE WHEN u = 0 THEN 'null'
+   ELSE q || printf('%03d', u % 7) || q END || ', ' || q || printf('%03d', u % 11) || q || ']' FROM numbered
+ UNION ALL SELECT '0', enter * 3 + 2, pad || '  child_node:' || CASE WHEN inner_node THEN '' ELSE ' null' END FROM numbered"""))
 def tree_lines(spark, d):
-    t = _heap(spark, d).withColumns({"path": F.concat_ws("/", "ancestors"),
-                                     "parent_slice": F.lit(1), "own_slice": F.lit(2)})
-    lines = RG.tree_lines(t).withColumn("route_id", F.element_at(F.split("path", "/"), -1))
-    return lines.groupBy("route_id").agg(F.count(F.lit(1)).cast("int").alias("n_lines"))
+    u = F.col("route_id").cast("int")
+    t = _heap(spark, d).withColumns({"parent_slice": F.when(u > 0, u % 7), "own_slice": u % 11})
+    return RG.tree_lines(t)
+
+
+#: turn by ``k`` degrees about (0.6, 0, 0.8), scaled by 1 + k % 3 / 10, as cells of SQL row by row; then the offset
+_S, _C = "sin(radians(k % 360))", "cos(radians(k % 360))"
+_TURN = [f"1 - (1 - {_C}) * 0.64", f"-0.8 * {_S}", f"(1 - {_C}) * 0.48", f"0.8 * {_S}", _C, f"-0.6 * {_S}",
+         f"(1 - {_C}) * 0.48", f"0.6 * {_S}", f"1 - (1 - {_C}) * 0.36"]
+_STEP = [*[c for i in range(3) for c in (*[f"(1 + k % 3 / 10.0) * ({t})" for t in _TURN[3 * i:3 * i + 3]],
+                                         ("CAST(k % 5 AS DOUBLE)", "0.0", "1.0")[i])], "0.0", "0.0", "0.0", "1.0"]
+CELLS = [f"{i}{j}" for i in range(4) for j in range(4)]
+
+
+def _step(k):
+    return L.compose(1 + k % 3 / 10.0, (k % 360).cast("double"), L.vec(0.6, 0, 0.8), L.vec(k % 5, 0, 1))
+
+
+STEP = "steps AS (SELECT u, " + ", ".join(f"{e} AS e{c}" for c, e in zip(CELLS, _STEP)) + \
+    " FROM (SELECT u, u AS k FROM users))"
+CASCADE = "turned AS (SELECT 0::BIGINT AS u, " + ", ".join(
+    f"{float(c[0] == c[1])}::DOUBLE AS m{c}" for c in CELLS) + " UNION ALL SELECT s.u, " + ", ".join(
+    " + ".join(f"m{c[0]}{k} * e{k}{c[1]}" for k in range(4)) for c in CELLS) + \
+    " FROM turned t JOIN steps s ON s.u > 0 AND (s.u - 1) // 3 = t.u)"
 
 
-@query("g06_cascade")
+@query("g06_cascade", W(HEAP, STEP, CASCADE, recursive=True, body="SELECT CAST(u AS VARCHAR) AS route_id, " + V.sql_round(
+    5, **{f"m{c}": f"m{c}" for c in CELLS}) + " FROM turned"))
 def cascade(spark, d):
     t = _heap(spark, d)
-    k = F.col("route_id").cast("bigint")
-    edge = t.filter("depth > 0").select("root", "route_id", L.compose(
-        1 + k % 3 / 10.0, (k % 360).cast("double"), L.vec(0, 1, 0), L.vec(k % 5, 0, 1)).alias("matrix"))
+    edge = t.filter("depth > 0").select("root", "route_id", _step(F.col("route_rank")).alias("matrix"))
     start = t.filter("depth = 0").select("root", L.to_mat4(1.0, L.identity3(), L.vec(0, 0, 0)).alias("matrix"))
     out = RG.cascade(t, edge, start)
-    return V.rounded(out.select("route_id", L.mat4_scale("matrix").alias("scale"),
-                                L.mat4_offset("matrix")["x"].alias("off_x")), 5, "scale", "off_x")
+    return V.rounded(out.select("route_id", *[L.entry("matrix", int(c[0]), int(c[1]), 4).alias(f"m{c}") for c in CELLS]),
+                     5, *[f"m{c}" for c in CELLS])
 
 
-@query("g06_apply_cascade", W(V.POSES, body=f"""
- SELECT route_id, pose_key, {V.sql_round(6, x="x * (1 + route_id % 3 / 10.0) + route_id % 5", y="y * (1 + route_id % 3 / 10.0)",
-   z="z * (1 + route_id % 3 / 10.0) + 1")} FROM poses"""))
+@query("g06_apply_cascade", W(V.POSES, "steps AS (SELECT k, " + ", ".join(
+    f"{e} AS e{c}" for c, e in zip(CELLS[:12], _STEP)) + " FROM (SELECT DISTINCT route_id AS k FROM poses))", body=f"""
+ SELECT route_id, pose_key, {V.sql_round(6, **{a: f"e{i}0 * x + e{i}1 * y + e{i}2 * z + e{i}3" for i, a in enumerate("xyz")},
+   **{f"r{i}{j}": f"e{j}{i} / (1 + k % 3 / 10.0)" for i in range(3) for j in range(3)})}
+ FROM poses JOIN steps ON k = route_id"""))
 def apply_cascade(spark, d):
     p = V.poses(spark, d)
-    k = F.col("route_id")
-    matrices = p.select("route_id").distinct().withColumn("matrix", L.to_mat4(
-        1 + k % 3 / 10.0, L.identity3(), L.vec(k % 5, 0, 1)))
+    matrices = p.select("route_id").distinct().withColumn("matrix", _step(F.col("route_id")))
     held = p.select("route_id", "pose_key", L.vec("x", "y", "z").alias("center"), L.identity3().alias("rotation"))
     out = RG.apply_cascade(held, matrices)
-    return V.rounded(out.select("route_id", "pose_key", *[F.col("center")[a].alias(a) for a in L.AXES]), 6, *L.AXES)
+    cells = [f"r{i}{j}" for i in range(3) for j in range(3)]
+    return V.rounded(out.select("route_id", "pose_key", *[F.col("center")[a].alias(a) for a in L.AXES], *[
+        L.entry("rotation", i, j).alias(f"r{i}{j}") for i in range(3) for j in range(3)]), 6, *L.AXES, *cells)
 
 
 @query("a10_concatenated", W(V.POSES, body=f"""

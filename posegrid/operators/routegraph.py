@@ -2,6 +2,7 @@
 
 Routes meet at nodes. The graph is kept as its incidence table (one row per route and node), from
 which degrees, neighbours and trees follow without listing every pair of routes at a busy node.
+Subtrees are intervals of a depth-first numbering, and cascades are products along the paths (``trees``).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from posegrid.functions import linalg as L
 from posegrid.functions.names import slice_label
+from posegrid.operators import trees
 from posegrid.operators.poses import move_poses
 from posegrid.scale import attach, checkpointed
 
@@ -84,8 +86,7 @@ def bfs_tree(crossings: DataFrame, roots: DataFrame) -> DataFrame:
     tree = checkpointed(
         roots.join(ranks, "route_id").select(
             "root", "route_id", F.lit(None).cast("string").alias("parent_id"),
-            F.lit(0).alias("depth"), F.array(rank).alias("path"),
-            F.array("route_id").alias("ancestors")))
+            rank.alias("route_rank"), F.lit(0).alias("depth"), F.array(rank).alias("path")))
     frontier = tree
     inc = crossings.select("route_id", "node_id", "route_rank")
     inc = checkpointed(inc)
@@ -100,12 +101,11 @@ def bfs_tree(crossings: DataFrame, roots: DataFrame) -> DataFrame:
         known = last.union(frontier.select("root", "route_id"))
         fresh = reached.join(known, ["root", "route_id"], "left_anti")
         parents = frontier.select("root", F.col("path").alias("_parent"),
-                                  F.col("route_id").alias("parent_id"), "ancestors")
+                                  F.col("route_id").alias("parent_id"))
         last = frontier.select("root", "route_id")
         frontier = checkpointed(fresh.join(parents, ["root", "_parent"]).select(
-            "root", "route_id", "parent_id", F.lit(depth).alias("depth"),
-            F.array_append("_parent", rank).alias("path"),
-            F.array_append("ancestors", F.col("route_id")).alias("ancestors")))
+            "root", "route_id", "parent_id", rank.alias("route_rank"), F.lit(depth).alias("depth"),
+            F.array_append("_parent", rank).alias("path")))
         if frontier.isEmpty():
             break
         tree = tree.unionByName(frontier)
@@ -131,11 +131,17 @@ def route_tree(crossings: DataFrame, roots: DataFrame) -> DataFrame:
     return tree_slices(bfs_tree(crossings, roots), crossings)
 
 
+def number_routes(tree: DataFrame) -> DataFrame:
+    """A tree with ``enter`` and ``size``; children queue by ``route_rank`` where the tree has it. Trees that were
+    numbered before stay as they are."""
+    if {"enter", "size"} <= set(tree.columns):
+        return tree
+    return trees.number_tree(tree, "route_rank" if "route_rank" in tree.columns else None, ["root"])
+
+
 def descendants(tree: DataFrame, starts: DataFrame) -> DataFrame:
-    """All routes at or below the given routes, from the stored ancestor lists."""
-    rows = tree.select("root", "route_id", F.explode("ancestors").alias("_above"))
-    return rows.join(starts.select("root", F.col("route_id").alias("_above")).distinct(),
-                     ["root", "_above"], "left_semi").select("root", "route_id").distinct()
+    """All routes at or below the given routes: those whose number lies in a start's interval."""
+    return trees.below(number_routes(tree), starts).select("root", "route_id")
 
 
 def surviving(tree: DataFrame, failed: DataFrame) -> DataFrame:
@@ -144,24 +150,12 @@ def surviving(tree: DataFrame, failed: DataFrame) -> DataFrame:
 
 
 def tree_from_parents(parents: DataFrame) -> DataFrame:
-    """Depth and ancestor list of a ``route_id, parent_id`` table, level by level to the last.
+    """Root, depth and subtree interval of a ``route_id, parent_id`` table (with ``route_rank``, the order of children).
 
-    Each route has one parent, so no route is met twice; routes on a cycle hang under no root and are
+    Each route has one parent. Routes on a cycle, or below a parent that is missing, hang under no root and are
     left out.
     """
-    level = checkpointed(parents.filter("parent_id IS NULL").select(
-        F.col("route_id").alias("root"), "route_id", "parent_id", F.lit(0).alias("depth"),
-        F.array("route_id").alias("ancestors")))
-    tree = level
-    for depth in count(1):
-        up = level.select("root", F.col("route_id").alias("parent_id"), "ancestors")
-        level = checkpointed(parents.join(up, "parent_id").select(
-            "root", "route_id", "parent_id", F.lit(depth).alias("depth"),
-            F.array_append("ancestors", F.col("route_id")).alias("ancestors")))
-        if level.isEmpty():
-            break
-        tree = tree.unionByName(level)
-    return tree
+    return trees.number_tree(parents, "route_rank" if "route_rank" in parents.columns else None)
 
 
 # ------------------------------------------------------------------ tree document and cascade
@@ -169,13 +163,11 @@ def tree_from_parents(parents: DataFrame) -> DataFrame:
 def tree_lines(tree: DataFrame) -> DataFrame:
     """Text lines of the nested tree document, one route per block, in depth-first order.
 
-    Indentation carries the nesting, so the document is written by a distributed sort on ``path``
-    instead of nesting children inside one row. Columns ``root, path, line_no, value``.
+    Indentation carries the nesting, so the document is written by a distributed sort on the routes' numbers
+    instead of nesting children inside one row. Columns ``root, ord, value``.
     """
     pad = F.repeat(F.lit("  "), F.col("depth") * 2)
-    kids = tree.filter("parent_id IS NOT NULL").groupBy("root", F.col("parent_id").alias(
-        "route_id")).agg(F.count(F.lit(1)).alias("_kids"))
-    rows = tree.join(kids, ["root", "route_id"], "left")
+    rows = number_routes(tree)
     dash = F.when(F.col("depth") > 0, F.concat(F.expr("substr(repeat('  ', depth * 2), 3)"),
                                                F.lit("- "))).otherwise(F.lit(""))
     label = lambda c: F.coalesce(F.concat(F.lit("'"), slice_label(c), F.lit("'")),
@@ -184,32 +176,23 @@ def tree_lines(tree: DataFrame) -> DataFrame:
         F.concat(dash, "route_id", F.lit(":")),
         F.concat(pad, F.lit("  parent_to_own_slice: ["), label("parent_slice"), F.lit(", "),
                  label("own_slice"), F.lit("]")),
-        F.concat(pad, F.lit("  child_node:"), F.when(F.col("_kids").isNull(), F.lit(" null"))
-                 .otherwise(F.lit(""))))
-    return rows.select("root", "path", F.posexplode(lines).alias("line_no", "value"))
+        # a route without children is its whole subtree
+        F.concat(pad, F.lit("  child_node:"), F.when(F.col("size") == 1, F.lit(" null")).otherwise(F.lit(""))))
+    return rows.select("root", "enter", F.posexplode(lines).alias("_no", "value")).select(
+        "root", (F.col("enter") * 3 + F.col("_no")).alias("ord"), "value")
 
 
 def cascade(tree: DataFrame, edges: DataFrame, root_matrix: DataFrame) -> DataFrame:
-    """Transform of every route into its root's frame.
+    """Transform of every route into its root's frame: the product of the matrices on its path.
 
-    ``edges``: ``root, route_id, matrix`` moving a child into its parent; ``root_matrix``:
-    ``root, matrix``. Level by level, a route's matrix is its parent's times its edge.
+    ``edges``: ``root, route_id, matrix`` moving a child into its parent; ``root_matrix``: ``root, matrix``. Routes
+    below one without a matrix are left out.
     """
-    level = checkpointed(tree.filter("depth = 0").join(root_matrix, "root")
-                         .select("root", "route_id", "matrix"))
-    done = level
-    children = tree.filter("depth > 0").select("root", "route_id", "parent_id").join(
-        edges.withColumnRenamed("matrix", "_edge"), ["root", "route_id"])
-    children = checkpointed(children)
-    while True:
-        up = level.select("root", F.col("route_id").alias("parent_id"),
-                          F.col("matrix").alias("_up"))
-        level = checkpointed(children.join(up, ["root", "parent_id"]).select(
-            "root", "route_id", L.matmul("_up", "_edge", 4).alias("matrix")))
-        if level.isEmpty():
-            break
-        done = done.unionByName(level)
-    return done
+    tops = tree.filter("depth = 0").join(root_matrix, "root").select("root", "route_id", "parent_id", "matrix")
+    steps = tree.filter("depth > 0").join(edges.select("root", "route_id", "matrix"), ["root", "route_id"]).select(
+        "root", "route_id", "parent_id", "matrix")
+    return trees.along_paths(tops.unionByName(steps), ["root"],
+                             {"matrix": lambda above, own: L.matmul(above, own, 4)})
 
 
 def rebase(main: DataFrame, local: DataFrame, own: DataFrame, keys: list[str]) -> DataFrame:

@@ -170,7 +170,8 @@ def trajectory_lines(trajectory: DataFrame) -> DataFrame:
 
 
 def tree_documents(tree_lines: DataFrame) -> DataFrame:
-    return tree_lines.withColumnRenamed("root", "doc_id")
+    """Lines of nested trees as documents, one per root."""
+    return tree_lines.select(F.col("root").cast("string").alias("doc_id"), F.lit(0).alias("section"), "ord", "value")
 
 
 def transform_log_lines(log: DataFrame, products: DataFrame) -> DataFrame:

@@ -138,7 +138,7 @@ def test_route_tree_matches_plain_search(spark):
         if p is not None:
             assert row.node_id == min(str(n) for n in set(visits[r]) & set(visits[p]))
     yaml = pytest.importorskip("yaml")
-    lines = routegraph.tree_lines(routegraph.route_tree(c, roots)).orderBy("path", "line_no").collect()
+    lines = routegraph.tree_lines(routegraph.route_tree(c, roots)).orderBy("ord").collect()
     doc = yaml.safe_load("\n".join(x.value for x in lines))
 
     def flatten(node, above=None):
@@ -333,7 +333,49 @@ def test_a_chain_is_walked_to_its_end(spark):
     n = 30
     parents = spark.createDataFrame([(str(i), str(i - 1) if i else None) for i in range(n)], "route_id string, parent_id string")
     tree = RG.tree_from_parents(parents)
-    assert sorted(r.depth for r in tree.collect()) == list(range(n))
+    assert sorted((r.depth, r.enter, r["size"]) for r in tree.collect()) == [(i, i, n - i) for i in range(n)]
+
+
+def test_numbers_of_a_random_forest(spark):
+    from posegrid.operators import trees
+    rng = np.random.default_rng(12)
+    parent = {i: (None if i % 40 == 0 else int(rng.integers(i // 40 * 40, i))) for i in range(200)}
+    parent |= {500: 501, 501: 502, 502: 500, 503: 500, 600: 999, 601: 600}  # a cycle, what hangs on it, and orphans
+    rows = [(str(k), None if p is None else str(p), (k * 7) % 211) for k, p in parent.items()]
+    nodes = spark.createDataFrame(rows, "route_id string, parent_id string, route_rank long").repartition(4)
+    kids, want = {}, {}
+    for k in sorted(range(200), key=lambda i: (i * 7) % 211):
+        kids.setdefault(parent[k], []).append(k)
+
+    def walk(node, root, depth, enter):
+        size = 1
+        for child in kids.get(node, []):
+            size += walk(child, root, depth + 1, enter + size)
+        want[str(node)] = (str(root), depth, enter, size)
+        return size
+
+    for top in kids[None]:
+        walk(top, top, 0, 0)
+    tree = trees.number_tree(nodes, "route_rank").cache()
+    assert {r.route_id: (r.root, r.depth, r.enter, r["size"]) for r in tree.collect()} == want
+    by_hash = trees.number_tree(nodes).collect()
+    assert {(r.route_id, r.root, r.depth, r["size"]) for r in by_hash} == {(k, w[0], w[1], w[3]) for k, w in want.items()}
+    spans = {r.route_id: (r.root, r.enter, r.enter + r["size"]) for r in by_hash}
+    for k, p in parent.items():
+        if p is not None and str(k) in spans:
+            root, begin, end = spans[str(p)]
+            assert spans[str(k)][0] == root and begin < spans[str(k)][1] and spans[str(k)][2] <= end
+    starts = spark.createDataFrame([(want[str(i)][0], str(i)) for i in (3, 41, 43, 43, 80, 199)], "root string, route_id string")
+
+    def inside(i):
+        while i is not None:
+            if i in (3, 41, 43, 80, 199):
+                return True
+            i = parent[i]
+        return False
+
+    assert sorted(r.route_id for r in trees.below(tree, starts).collect()) == sorted(str(i) for i in range(200) if inside(i))
+    assert trees.number_tree(nodes.limit(0)).count() == 0
 
 
 def test_tracks_over_a_zone_border_and_the_equator(spark):
