@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from posegrid.catalog import views as V
@@ -180,12 +181,35 @@ def drop_small_components(spark, d):
     return ME.drop_small_components(V.faces(spark, d), 15).select("mesh_id", "fid")
 
 
-@query("g12_grow_segments")
+#: two seeds on each strip of 15 faces, whose numbers don't rise along the mesh
+SEEDS = f"""seeds AS (SELECT mesh_id, fid, row_number() OVER (PARTITION BY mesh_id ORDER BY fid * 37 % {V.MESH_SPAN}, fid) - 1 AS seed_no
+   FROM faces WHERE fid % 8 = 3),
+ units AS (SELECT * FROM unit_corners JOIN normals USING (mesh_id, fid)),
+ may AS (SELECT s.mesh_id, s.seed_no, u.fid FROM seeds s JOIN normals n USING (mesh_id, fid) JOIN units u ON u.mesh_id = s.mesh_id
+   GROUP BY s.mesh_id, s.seed_no, u.fid, s.fid HAVING min(u.ux * n.fnx + u.uy * n.fny + u.uz * n.fnz) > -0.6 OR u.fid = s.fid),
+ next_to AS (SELECT DISTINCT a.mesh_id, a.fid, b.fid AS nbr FROM edges a JOIN edges b USING (mesh_id, ea, eb) WHERE a.fid <> b.fid)"""
+
+
+def _turns(n):
+    """One growth after the other; each looks at all faces that the earlier ones took."""
+    taken = "SELECT 0 AS mesh_id, 0::BIGINT AS fid, 0::BIGINT AS seed_no WHERE false"
+    ctes = []
+    for k in range(n):
+        ctes.append(f"""t{k} AS ({taken}),
+ g{k} AS (SELECT mesh_id, fid FROM seeds WHERE seed_no = {k} AND (mesh_id, fid) NOT IN (SELECT (mesh_id, fid) FROM t{k})
+   UNION SELECT m.mesh_id, m.fid FROM g{k} g JOIN next_to x USING (mesh_id, fid) JOIN may m ON m.mesh_id = x.mesh_id
+   AND m.fid = x.nbr AND m.seed_no = {k} WHERE (m.mesh_id, m.fid) NOT IN (SELECT (mesh_id, fid) FROM t{k}))""")
+        taken = f"SELECT * FROM t{k} UNION ALL SELECT mesh_id, fid, {k} FROM g{k}"
+    return ctes, taken
+
+
+@query("g12_grow_segments", W(V.MESH, V.NORMALS, SEEDS, *_turns(16)[0], recursive=True, body=f"""
+ SELECT mesh_id, fid, seed_no AS segment FROM ({_turns(16)[1]})"""))
 def grow_segments(spark, d):
     f, v = V.faces(spark, d), V.vertices(spark, d)
-    seeds = f.groupBy("mesh_id").agg(F.min("fid").alias("a"), F.max("fid").alias("b"))
-    seeds = seeds.select("mesh_id", F.posexplode(F.array("a", "b")).alias("seed_no", "fid"))
-    return ME.grow_segments(f, v, seeds, 0.0)
+    w = Window.partitionBy("mesh_id").orderBy(F.col("fid") * 37 % V.MESH_SPAN, "fid")
+    seeds = f.filter("fid % 8 = 3").select("mesh_id", "fid", (F.row_number().over(w) - 1).alias("seed_no"))
+    return ME.grow_segments(f, v, seeds, -0.6)
 
 
 @query("a24_j20_cluster_seeds")
@@ -194,7 +218,21 @@ def cluster_seeds(spark, d):
     return ME.cluster_seed_vertices(labelled, centres)
 
 
-@query("j19_ray_hits")
+# every ray of a mesh against each of its triangles
+@query("j19_ray_hits", W(V.MESH, """
+ tri AS (SELECT f.mesh_id, f.fid, a.x AS ax, a.y AS ay, a.z AS az, b.x - a.x AS e1x, b.y - a.y AS e1y, b.z - a.z AS e1z,
+   c.x - a.x AS e2x, c.y - a.y AS e2y, c.z - a.z AS e2z FROM faces f JOIN vertices a ON a.vid = f.v1 JOIN vertices b ON b.vid = f.v2
+   JOIN vertices c ON c.vid = f.v3),
+ dir AS (SELECT 0.02 / sqrt(1.0005) AS dx, 1 / sqrt(1.0005) AS dy, 0.01 / sqrt(1.0005) AS dz),
+ meet AS (SELECT v.mesh_id, v.vid AS ray_id, *, v.x * 0.5 - ax AS sx, v.y - 5 - ay AS sy, v.z * 0.5 - az AS sz,
+   dy * e2z - dz * e2y AS hx, dz * e2x - dx * e2z AS hy, dx * e2y - dy * e2x AS hz
+   FROM vertices v JOIN tri t ON t.mesh_id = v.mesh_id, dir),
+ crossed AS (SELECT *, e1x * hx + e1y * hy + e1z * hz AS det, sx * hx + sy * hy + sz * hz AS bu,
+   sy * e1z - sz * e1y AS qx, sz * e1x - sx * e1z AS qy, sx * e1y - sy * e1x AS qz FROM meet),
+ hits AS (SELECT mesh_id, ray_id, bu / det AS bu, (dx * qx + dy * qy + dz * qz) / det AS bv,
+   (e2x * qx + e2y * qy + e2z * qz) / det AS t FROM crossed WHERE abs(det) > 1e-15)""", body="""
+ SELECT mesh_id, ray_id, round(min(t), 6) + 0.0 AS t FROM hits WHERE bu >= -1e-9 AND bv >= -1e-9 AND bu + bv <= 1 + 1e-9 AND t >= 0
+ GROUP BY 1, 2"""))
 def ray_hits(spark, d):
     v = V.vertices(spark, d)
     rays = v.select("mesh_id", F.col("vid").alias("ray_id"),

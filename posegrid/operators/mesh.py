@@ -147,11 +147,11 @@ def vertex_flat_faces(vertices: DataFrame, faces: DataFrame, wanted: DataFrame |
 
 # ------------------------------------------------------------------ adjacency
 
-def face_edges(faces: DataFrame) -> DataFrame:
-    """Incidence of faces and undirected edges: ``mesh_id, fid, ea, eb`` with ``ea <= eb``."""
+def face_edges(faces: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Incidence of faces and undirected edges: ``mesh_id, *also, fid, ea, eb`` with ``ea <= eb``."""
     e = lambda p, q: F.struct(F.least(p, q).alias("a"), F.greatest(p, q).alias("b"))
-    return faces.select(M, "fid", F.explode(F.array(e("v1", "v2"), e("v2", "v3"), e("v1", "v3")))
-                        .alias("_e")).select(M, "fid", F.col("_e.a").alias("ea"),
+    return faces.select(M, *also, "fid", F.explode(F.array(e("v1", "v2"), e("v2", "v3"), e("v1", "v3")))
+                        .alias("_e")).select(M, *also, "fid", F.col("_e.a").alias("ea"),
                                              F.col("_e.b").alias("eb"))
 
 
@@ -171,48 +171,51 @@ def neighbours_of(faces: DataFrame, wanted: DataFrame) -> DataFrame:
     return mine.join(other, [M, "ea", "eb"]).filter("fid <> nbr")
 
 
-def face_links(faces: DataFrame) -> DataFrame:
+def face_links(faces: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Links ``u > v`` that connect the faces of each edge to its smallest face; linear in size and
-    with the same components as full adjacency."""
-    inc = face_edges(faces)
-    low = inc.groupBy(M, "ea", "eb").agg(F.min("fid").alias("v"), F.count(F.lit(1)).alias("n"))
-    return attach(inc, low, [M, "ea", "eb"]).filter("fid > v").select(
-        M, F.col("fid").alias("u"), "v").distinct()
+    with the same components as full adjacency. Columns of ``also`` keep several face sets apart."""
+    keys = [M, *also]
+    inc = face_edges(faces, also)
+    low = inc.groupBy(*keys, "ea", "eb").agg(F.min("fid").alias("v"), F.count(F.lit(1)).alias("n"))
+    return attach(inc, low, [*keys, "ea", "eb"]).filter("fid > v").select(
+        *keys, F.col("fid").alias("u"), "v").distinct()
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """Smallest node id of each node's component: ``mesh_id, fid, component``.
+def components(nodes: DataFrame, links: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Smallest node id of each node's component: ``mesh_id, *also, fid, component``.
 
     Alternating star contraction: every node links its larger neighbours to the smallest node it
     knows, then itself and its smaller neighbours. Neighbour minima are map-side aggregates; the
     link list never grows and settles in a logarithmic number of rounds; the loop ends when a round
     changes nothing.
     """
+    keys = [M, *also]
+
     def star(sym: DataFrame) -> tuple[DataFrame, DataFrame]:
-        low = sym.groupBy(M, "u").agg(F.min("v").alias("_m"), F.count(F.lit(1)).alias("n")) \
+        low = sym.groupBy(*keys, "u").agg(F.min("v").alias("_m"), F.count(F.lit(1)).alias("n")) \
             .withColumn("_m", F.least("_m", "u"))
-        return attach(sym, low, [M, "u"]), low
+        return attach(sym, low, [*keys, "u"]), low
 
-    cur = checkpointed(links.select(M, "u", "v"))
+    cur = checkpointed(links.select(*keys, "u", "v"))
     mark = None
     while True:
-        both = cur.unionByName(cur.select(M, F.col("v").alias("u"), F.col("u").alias("v")))
+        both = cur.unionByName(cur.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         large, _ = star(both)
-        large = large.filter("v > u").select(M, F.col("v").alias("u"), F.col("_m").alias("v")) \
+        large = large.filter("v > u").select(*keys, F.col("v").alias("u"), F.col("_m").alias("v")) \
             .filter("u <> v").distinct()
         small, low = star(large)
-        small = small.filter("v <> _m").select(M, F.col("v").alias("u"), F.col("_m").alias("v")) \
-            .unionByName(low.select(M, "u", F.col("_m").alias("v"))) \
+        small = small.filter("v <> _m").select(*keys, F.col("v").alias("u"), F.col("_m").alias("v")) \
+            .unionByName(low.select(*keys, "u", F.col("_m").alias("v"))) \
             .filter("u <> v").distinct()
         cur = checkpointed(small)
-        now = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64(M, "u", "v").cast("decimal(38,0)"))) \
+        now = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*keys, "u", "v").cast("decimal(38,0)"))) \
             .first()
         if now == mark:
             break
         mark = now
-    label = cur.groupBy(M, "u").agg(F.min("v").alias("_c")).withColumnRenamed("u", "fid")
-    return nodes.select(M, "fid").join(label, [M, "fid"], "left").select(
-        M, "fid", F.coalesce("_c", "fid").alias("component"))
+    label = cur.groupBy(*keys, "u").agg(F.min("v").alias("_c")).withColumnRenamed("u", "fid")
+    return nodes.select(*keys, "fid").join(label, [*keys, "fid"], "left").select(
+        *keys, "fid", F.coalesce("_c", "fid").alias("component"))
 
 
 def face_components(faces: DataFrame) -> DataFrame:
@@ -264,6 +267,15 @@ def aligned_segments(summary: DataFrame, threshold: float,
     return summary.filter(-L.dot("normal_seed", L.vec(*axis)) > threshold)
 
 
+def _reached(member: DataFrame, faces: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Rows of ``member`` (``mesh_id, seed_no, fid``) that are connected to their own seed face by members."""
+    keys = [M, "seed_no"]
+    links = face_links(faces.join(member, [M, "fid"]), ["seed_no"])
+    comp = checkpointed(components(member, links, ["seed_no"]))
+    home = comp.join(seeds.select(*keys, "fid"), [*keys, "fid"], "left_semi").select(*keys, "component")
+    return comp.join(home, [*keys, "component"], "left_semi").select(*keys, "fid")
+
+
 def grow_segments(faces: DataFrame, vertices: DataFrame, seeds: DataFrame, threshold: float
                   ) -> DataFrame:
     """Planar segments grown from seed faces: ``mesh_id, fid, segment``.
@@ -271,37 +283,31 @@ def grow_segments(faces: DataFrame, vertices: DataFrame, seeds: DataFrame, thres
     A face belongs to a seed when it is connected to it through faces whose three corner normals
     all have a dot product above ``threshold`` with the seed's normal. Seeds take turns in order;
     a face stays with the first seed that reaches it, and a seed already taken is skipped.
-    ``seeds``: ``mesh_id, seed_no, fid``; turns of different meshes run together.
+    ``seeds``: ``mesh_id, seed_no, fid``, one face per number.
+
+    All seeds grow at once, over (seed, face) rows, as if there were no others. A seed whose faces no
+    earlier seed reached as well is settled; its faces leave the others, whose rest grows anew from the
+    seed. So the rounds follow the longest chain of seeds that are in each other's way, not their number.
     """
-    normals = checkpointed(face_normals(faces, vertices))
-    owned = None
-    start = normals.select(M, "fid", "normal").join(seeds, [M, "fid"])
-    turns = seeds.agg(F.max("seed_no")).first()[0]
-    if turns is None:
-        return faces.select(M, "fid", F.lit(None).cast("int").alias("segment")).limit(0)
-    for turn in range(turns + 1):
-        seed = start.filter(F.col("seed_no") == turn).select(
-            M, F.col("fid").alias("_seed"), F.col("normal").alias("_n"))
-        free = normals
-        if owned is not None:
-            seed = seed.join(owned.select(M, F.col("fid").alias("_seed")), [M, "_seed"],
-                             "left_anti")
-            free = normals.join(owned, [M, "fid"], "left_anti")
-        tested = attach(free, seed, M)
-        ok = (F.col("fid") == F.col("_seed"))
-        passes = F.lit(True)
-        for i in (1, 2, 3):
-            passes = passes & (L.dot(f"n{i}", "_n") > threshold)
-        member = checkpointed(tested.filter(ok | passes).select(M, "fid", "_seed"))
-        inside = face_links(faces.join(member, [M, "fid"], "left_semi"))
-        comp = checkpointed(components(member, inside))
-        home = comp.join(member.filter("fid = _seed").select(M, "fid"), [M, "fid"], "left_semi") \
-            .select(M, "component")
-        got = attach(comp, home, [M, "component"]).select(
-            M, "fid", F.lit(turn).alias("segment"))
-        owned = got if owned is None else owned.unionByName(got)
-        owned = checkpointed(owned)
-    return owned
+    normals = face_normals(faces, vertices)
+    start = seeds.join(normals.select(M, "fid", "normal"), [M, "fid"])
+    start = checkpointed(start.select(M, "seed_no", "fid", F.col("normal").alias("_n")))
+    passes = F.col("fid") == F.col("_seed")
+    near = F.lit(True)
+    for i in (1, 2, 3):
+        near = near & (L.dot(f"n{i}", "_n") > threshold)
+    tested = attach(normals.drop("normal"), start.withColumnRenamed("fid", "_seed"), M).filter(passes | near)
+    open_ = checkpointed(_reached(checkpointed(tested.select(M, "seed_no", "fid")), faces, start))
+    done = open_.limit(0)
+    while True:
+        first = open_.groupBy(M, "fid").agg(F.min("seed_no").alias("_first"))
+        waiting = checkpointed(attach(open_, first, [M, "fid"]).filter("seed_no > _first").select(M, "seed_no").distinct())
+        settled = checkpointed(open_.join(waiting, [M, "seed_no"], "left_anti"))
+        done = done.unionByName(settled)
+        rest = checkpointed(open_.join(waiting, [M, "seed_no"], "left_semi").join(settled, [M, "fid"], "left_anti"))
+        if rest.isEmpty():
+            return done.select(M, "fid", F.col("seed_no").alias("segment"))
+        open_ = checkpointed(_reached(rest, faces, start))
 
 
 FEATURES = ("theta", "phi", "x", "y", "z")
@@ -392,45 +398,56 @@ def level_rotation(faces: DataFrame, vertices: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ rays
 
+#: levels of the grid below that of a mesh's largest triangle; smaller triangles live on the lowest
+LEVELS = 20
+
+
+def flat_triangles(faces: DataFrame, vertices: DataFrame, directions: DataFrame) -> DataFrame:
+    """Triangles with corners ``p0..p2`` and their box ``a0..b1`` on the plane across their mesh's direction."""
+    tri = attach(corner_values(faces, vertices, list(L.AXES)), directions, M).withColumn("_p", L.vec("x", "y", "z"))
+    tri = tri.withColumns({"_a": L.dot("_p", "_u"), "_b": L.dot("_p", "_v")})
+    at = lambda i: F.max(F.when(F.col("corner") == i, F.col("_p"))).alias(f"p{i}")
+    return tri.groupBy(M, "fid").agg(at(0), at(1), at(2), F.min("_a").alias("a0"), F.max("_a").alias("a1"),
+                                     F.min("_b").alias("b0"), F.max("_b").alias("b1"))
+
+
+def _cell(value: Column, level: Column) -> Column:
+    return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
+
+
+def triangle_cells(tri: DataFrame) -> DataFrame:
+    """Cells that a triangle's box touches, on the level whose cells (2^level wide) are as wide as the box: at most
+    two a side, so a triangle has at most four rows, however large it is."""
+    size = F.greatest(F.col("a1") - F.col("a0"), F.col("b1") - F.col("b0"))
+    own = F.when(size > 0, F.ceil(F.log2(size))).cast("int")
+    top = tri.groupBy(M).agg(F.max(own).alias("_top"))
+    placed = attach(tri, top, M).withColumn(
+        "level", F.coalesce(F.greatest(own, F.col("_top") - LEVELS), F.lit(0)))
+    for axis in ("a", "b"):
+        placed = placed.withColumn(f"c{axis}", F.explode(F.sequence(
+            _cell(F.col(f"{axis}0"), F.col("level")), _cell(F.col(f"{axis}1"), F.col("level")))))
+    return placed.select(M, "level", "ca", "cb", "fid", "p0", "p1", "p2")
+
+
 def ray_hits(rays: DataFrame, faces: DataFrame, vertices: DataFrame,
-             directions: DataFrame, max_cells_per_axis: int = 2048) -> DataFrame:
+             directions: DataFrame) -> DataFrame:
     """First hit of each ray with its mesh, all rays of a mesh sharing one direction.
 
     ``rays``: ``mesh_id, ray_id, origin``; ``directions``: ``mesh_id, direction``. Rays become
-    points and triangles become boxes on the plane across the direction, so candidates come from
-    an equi-join on grid cells. Cells with very many triangles are salted on the ray side.
-    Result: ``mesh_id, ray_id, t, hit``.
+    points and triangles become boxes on the plane across the direction, in a grid of several levels:
+    a triangle lives on the level of its size, a ray asks one cell of each level that its mesh uses, so
+    candidates come from an equi-join on cells. Result: ``mesh_id, ray_id, t, hit``.
     """
     d = directions.withColumn("_d", L.unit("direction"))
     helper = F.when(F.abs(F.col("_d")["x"]) < 0.9, L.vec(1, 0, 0)).otherwise(L.vec(0, 1, 0))
     d = d.withColumn("_u", L.unit(L.cross("_d", helper))).withColumn("_v", L.cross("_d", "_u"))
-    tri = corner_values(faces, vertices, list(L.AXES))
-    tri = attach(tri, d, M).withColumn("_p", L.vec("x", "y", "z")).withColumns({
-        "_a": L.dot("_p", "_u"), "_b": L.dot("_p", "_v")})
-    at = lambda i: F.max(F.when(F.col("corner") == i, F.col("_p"))).alias(f"p{i}")
-    tri = tri.groupBy(M, "fid").agg(at(0), at(1), at(2), F.min("_a").alias("a0"),
-                                    F.max("_a").alias("a1"), F.min("_b").alias("b0"),
-                                    F.max("_b").alias("b1"))
-    tri = checkpointed(tri)
-    grid = tri.groupBy(M).agg(F.min("a0").alias("ga"), F.min("b0").alias("gb"),
-                              F.count(F.lit(1)).alias("n"),
-                              (F.greatest(F.max("a1") - F.min("a0"), F.max("b1") - F.min("b0"))
-                               / F.least(F.sqrt(F.count(F.lit(1))), F.lit(max_cells_per_axis)))
-                              .alias("_w"),
-                              F.avg(F.greatest(F.col("a1") - F.col("a0"),
-                                               F.col("b1") - F.col("b0"))).alias("_s"))
-    grid = grid.withColumn("cell", F.greatest("_w", "_s", F.lit(1e-9))).drop("_w", "_s")
-    cell_no = lambda v, g: F.floor((v - F.col(g)) / F.col("cell"))
-    span = lambda lo, hi, g: F.sequence(cell_no(F.col(lo), g), cell_no(F.col(hi), g))
-    tcell = attach(tri, grid, M).withColumn("ca", F.explode(span("a0", "a1", "ga"))) \
-        .withColumn("cb", F.explode(span("b0", "b1", "gb"))) \
-        .select(M, "ca", "cb", "fid", "p0", "p1", "p2")
-    frame = checkpointed(d.join(grid.drop("n"), M))
-    r = attach(rays, frame, M).withColumns({"_a": L.dot("origin", "_u"),
-                                                   "_b": L.dot("origin", "_v")})
-    r = r.withColumns({"ca": cell_no(F.col("_a"), "ga"), "cb": cell_no(F.col("_b"), "gb")})
-    r = checkpointed(r.select(M, "ca", "cb", "ray_id", "origin", "_d"))
-    pair = attach(r, checkpointed(tcell), [M, "ca", "cb"])
+    cells = triangle_cells(flat_triangles(faces, vertices, d))
+    # a mesh has at most LEVELS + 1 of them
+    used = cells.groupBy(M).agg(F.collect_set("level").alias("_levels"))
+    r = attach(attach(rays, d, M), used, M).withColumns({"_a": L.dot("origin", "_u"), "_b": L.dot("origin", "_v")})
+    asked = r.select(M, "ray_id", "origin", "_d", "_a", "_b", F.explode("_levels").alias("level")).withColumns({
+        "ca": _cell(F.col("_a"), F.col("level")), "cb": _cell(F.col("_b"), F.col("level"))})
+    pair = attach(asked.drop("_a", "_b"), cells, [M, "level", "ca", "cb"])
     pair = pair.withColumns({"_e1": L.sub("p1", "p0"), "_e2": L.sub("p2", "p0"),
                              "_s": L.sub("origin", "p0")}) \
         .withColumn("_h", L.cross("_d", "_e2")).withColumn("_q", L.cross("_s", "_e1")) \
@@ -441,6 +458,6 @@ def ray_hits(rays: DataFrame, faces: DataFrame, vertices: DataFrame,
     eps = 1e-9
     hit = pair.filter((F.col("_bu") >= -eps) & (F.col("_bv") >= -eps)
                       & (F.col("_bu") + F.col("_bv") <= 1 + eps) & (F.col("_t") >= 0))
-    first = hit.groupBy(M, "ray_id").agg(F.min("_t").alias("t"))
-    return r.join(first, [M, "ray_id"]).select(
-        M, "ray_id", "t", L.add("origin", L.times("_d", "t")).alias("hit"))
+    first = hit.groupBy(M, "ray_id").agg(F.min_by(F.struct("origin", "_d", F.col("_t").alias("t")), "_t").alias("_f"))
+    return first.select(M, "ray_id", F.col("_f.t").alias("t"),
+                        L.add("_f.origin", L.times("_f._d", F.col("_f.t"))).alias("hit"))

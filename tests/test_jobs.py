@@ -176,6 +176,44 @@ def test_components_and_growth_on_a_box(spark):
     assert np.allclose(up, np.eye(4), atol=1e-9)
 
 
+def test_growth_of_many_seeds_against_turns(spark):
+    """Seeds on a strip of faces with normals that turn, in each other's way, against turn after turn."""
+    rng = np.random.default_rng(21)
+    n = 300
+    angle = np.cumsum(rng.normal(0, 0.35, n + 2))
+    verts = [("m", i, float(i), 0.0, 0.0, float(np.sin(a)), float(np.cos(a)), 0.0) for i, a in enumerate(angle)]
+    v = spark.createDataFrame(verts, "mesh_id string, vid long, x double, y double, z double, nx double, ny double, nz double")
+    f = spark.createDataFrame([("m", i, i, i + 1, i + 2) for i in range(n)], "mesh_id string, fid long, v1 long, v2 long, v3 long")
+    picked = [int(i) for i in rng.permutation(n)[:60]]
+    seeds = spark.createDataFrame([("m", k, i) for k, i in enumerate(picked)], "mesh_id string, seed_no int, fid long")
+    normal = np.stack([np.sin(angle), np.cos(angle)], 1)
+    face = np.stack([normal[i:i + 3].sum(0) / np.linalg.norm(normal[i:i + 3].sum(0)) for i in range(n)])
+    want = {}
+    for k, s in enumerate(picked):
+        if s in want:
+            continue
+        open_, want[s] = [s], k
+        while open_:
+            i = open_.pop()
+            for j in (i - 1, i + 1):
+                if 0 <= j < n and j not in want and (normal[j:j + 3] @ face[s] > 0.6).all():
+                    want[j] = k
+                    open_.append(j)
+    assert len(set(want.values())) > 15
+    assert {r.fid: r.segment for r in mesh.grow_segments(f, v, seeds, 0.6).collect()} == want
+    assert mesh.grow_segments(f, v, seeds.limit(0), 0.6).count() == 0
+
+
+def test_a_large_triangle_has_few_cells(spark):
+    rows = [("m", i, (0.0, 0.0, 0.0), x, x + s, y, y + s) for i, (x, y, s) in enumerate(
+        [(-500.0, -500.0, 1000.0)] + [(k * 0.37, -k * 0.11, 0.001) for k in range(200)] + [(3.0, 4.0, 0.0)])]
+    tri = spark.createDataFrame([(m, i, p, p, p, a0, a1, b0, b1) for m, i, p, a0, a1, b0, b1 in rows],
+                                "mesh_id string, fid long, " + ", ".join(f"p{k} struct<x:double,y:double,z:double>" for k in range(3))
+                                + ", a0 double, a1 double, b0 double, b1 double")
+    per_face = mesh.triangle_cells(tri).groupBy("fid").count().collect()
+    assert len(per_face) == 202 and max(r["count"] for r in per_face) <= 4
+
+
 def test_components_of_a_long_chain(spark):
     nodes = spark.range(300).select(F.lit("m").alias("mesh_id"), F.col("id").alias("fid"))
     links = spark.range(1, 300).filter("id % 100 <> 0").select(
