@@ -1,25 +1,47 @@
-"""PLY files: ASCII and binary ingest of many files, ASCII and binary output."""
+"""PLY files: ASCII and binary ingest of many files, ASCII and binary output.
+
+A file is read in byte ranges (``PIECE``), each by a task of its own. Where the ranges begin follows from the header
+for records of one size; for lists of differing lengths and for ASCII a first pass, one task per file, streams over
+the file and notes offsets, record numbers and triangle numbers. No task holds more than a range and a buffer.
+Files smaller than a range are read by Spark itself, so these may be in any store it knows; ranges are read
+through Arrow's file systems.
+"""
 
 from __future__ import annotations
 
-import io
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posegrid import schemas as S
+from posegrid.sources.pieces import save_pieces, store_of
 from posegrid.sources.sinks import text_documents
 
 BYTE_ORDER = {"ascii": "", "binary_little_endian": "<", "binary_big_endian": ">"}
 CHUNK = 100_000
+#: bytes of a file that one task reads, and that the first pass has in hand
+PIECE, BUFFER = 32 << 20, 4 << 20
 POINT_COLUMNS = ["x", "y", "z", "nx", "ny", "nz", "red", "green", "blue"]
+#: bytes of a file: (offset, length) to what is there
+Read = Callable[[int, int], bytes]
+#: begin, end, first record, records, first triangle
+Mark = tuple[int, int, int, int, int]
 
 
-def _header(raw: bytes):
+def _header(read: Read):
     """Format, element list and data offset of a PLY file."""
-    end = raw.index(b"end_header")
-    end = raw.index(b"\n", end) + 1
+    raw, size = b"", 1 << 14
+    while True:
+        raw = read(0, size)
+        end = raw.find(b"end_header")
+        if end >= 0 and (b"\n" in raw[end:] or len(raw) < size):
+            break
+        if len(raw) < size:
+            raise ValueError("not a PLY file")
+        size *= 4
+    end = raw.find(b"\n", end) + 1 or len(raw)
     lines = [ln.split() for ln in raw[:end].decode("ascii").splitlines()]
     if not lines or lines[0] != ["ply"]:
         raise ValueError("not a PLY file")
@@ -94,45 +116,6 @@ def _even(raw: bytes, at: int, count: int, props: list, order: str):
     return rows if all((rows[f"n{i}"] == len(first[i])).all() for i in lists) else None
 
 
-def _element(raw: bytes, want: str):
-    """(properties, columns) of one element: a column is an array, or a list of arrays where lists differ in
-    length. None if the file lacks the element."""
-    import numpy as np
-
-    fmt, elements, at = _header(raw)
-    order = BYTE_ORDER[fmt]
-    text = io.BytesIO(raw[at:]).readlines() if fmt == "ascii" else None
-    row = 0
-    for name, count, props in elements:
-        lists = any(map(_is_list, props))
-        if fmt == "ascii":
-            if name == want:
-                rows = [_ascii_row(ln.split(), props) for ln in text[row:row + count]]
-                if len(rows) < count:
-                    raise ValueError(f"{count} records of {name} are declared, {len(rows)} are there")
-                return props, [[r[i] for r in rows] if _is_list(p) else np.array([r[i] for r in rows], float)
-                               for i, p in enumerate(props)]
-            row += count
-        elif not lists:
-            kind = _plain(props, order)
-            if name == want:
-                rows = np.frombuffer(raw, kind, count, at)
-                return props, [rows[p[1]] for p in props]
-            at += count * kind.itemsize
-        else:
-            rows = _even(raw, at, count, props, order)
-            if rows is not None:
-                columns, end = [rows[f"p{i}"] for i in range(len(props))], at + rows.nbytes
-            else:
-                found, end = _walk(raw, at, count, props, order)
-                columns = [[r[i] for r in found] if _is_list(p) else np.array([r[i] for r in found])
-                           for i, p in enumerate(props)]
-            if name == want:
-                return props, columns
-            at = end
-    return None
-
-
 def _ascii_row(cells: list[bytes], props: list) -> list:
     import numpy as np
 
@@ -149,23 +132,150 @@ def _ascii_row(cells: list[bytes], props: list) -> list:
     return row
 
 
-def _records(raw: bytes, want: str):
-    """Vertices or triangles of a file as a structured array, or None."""
+# ------------------------------------------------------------------ where records lie
+
+def _corner_place(props: list) -> int | None:
+    return next((i for i, p in enumerate(props) if _is_list(p) and p[3].startswith("vertex_ind")), None)
+
+
+def _plain_marks(at: int, count: int, width: int, piece: int) -> Iterator[Mark]:
+    """Ranges of records of one size."""
+    step = max(1, piece // max(1, width))
+    for first in range(0, count, step):
+        n = min(step, count - first)
+        yield at + first * width, at + (first + n) * width, first, n, first
+
+
+def _list_marks(read: Read, at: int, count: int, props: list, order: str, piece: int, buffer: int) -> Iterator[Mark]:
+    """Ranges of binary records with lists, by a walk over their counters. Runs of records whose lists are as long as
+    the first one's are taken at once."""
     import numpy as np
 
-    found = _element(raw, want)
-    if found is None:
-        return None
-    props, columns = found
+    types = [(_scalar(p[1], order), _scalar(p[2], order).itemsize) if _is_list(p) else (None, _scalar(p[0], order).itemsize)
+             for p in props]
+    corners = _corner_place(props)
+    held, base, pos, done = b"", at, 0, 0
+    begin = (at, 0, 0)
+    triangles = 0
+
+    def shape() -> tuple[int, list[tuple[int, int]], int] | None:
+        """Bytes of the record at ``pos``, its counters (offset, bytes) and its triangles; None if more is needed."""
+        here, counters, fans = pos, [], 0
+        for i, (counter, width) in enumerate(types):
+            n = 1
+            if counter is not None:
+                if here + counter.itemsize > len(held):
+                    return None
+                n = int(np.frombuffer(held, counter, 1, here)[0])
+                counters.append((here - pos, counter.itemsize))
+                here += counter.itemsize
+                if i == corners:
+                    fans = max(0, n - 2)
+            here += n * width
+        return (here - pos, counters, fans) if here <= len(held) else None
+
+    while done < count:
+        found = shape()
+        if found is None:
+            more = read(base + len(held), buffer)
+            if not more:
+                raise ValueError(f"{count} records are declared, {done} are there")
+            held, base, pos = held[pos:] + more, base + pos, 0
+            continue
+        width, counters, fans = found
+        n = max(1, min((len(held) - pos) // max(1, width), count - done, max(1, buffer // max(1, width))))
+        rows = np.frombuffer(held, np.uint8, n * width, pos).reshape(n, width)
+        alike = np.ones(n, bool)
+        for offset, size in counters:
+            alike &= (rows[:, offset:offset + size] == rows[0, offset:offset + size]).all(axis=1)
+        run = n if alike.all() else int(np.argmin(alike))
+        pos, done, triangles = pos + run * width, done + run, triangles + run * fans
+        if base + pos - begin[0] >= piece or done == count:
+            yield begin[0], base + pos, begin[1], done - begin[1], begin[2]
+            begin = (base + pos, done, triangles)
+
+
+def _line_marks(read: Read, at: int, count: int, props: list, piece: int, buffer: int) -> Iterator[Mark]:
+    """Ranges of ASCII records, one per line."""
+    import numpy as np
+
+    corners = _corner_place(props)
+    held, base, done, triangles = b"", at, 0, 0
+    begin = (at, 0, 0)
+    while done < count:
+        more = read(base + len(held), buffer)
+        held += more
+        cut = held.rfind(b"\n") + 1 if more else len(held)
+        if not more and not held:
+            raise ValueError(f"{count} records are declared, {done} are there")
+        if not cut:
+            continue
+        lines = held[:cut]
+        ends = np.flatnonzero(np.frombuffer(lines, np.uint8) == 10) + 1
+        if not lines.endswith(b"\n"):
+            ends = np.append(ends, len(lines))
+        n = min(len(ends), count - done)
+        cut = int(ends[n - 1])
+        lines = lines[:cut]
+        if corners is not None:
+            rows = lines.splitlines()
+            if corners == 0:
+                triangles += sum(max(0, int(row.split(None, 1)[0]) - 2) for row in rows)
+            else:
+                triangles += sum(max(0, len(_ascii_row(row.split(), props)[corners]) - 2) for row in rows)
+        held, base, done = held[cut:], base + cut, done + n
+        if base - begin[0] >= piece or done == count:
+            yield begin[0], base, begin[1], done - begin[1], begin[2]
+            begin = (base, done, triangles)
+
+
+def _marks(read: Read, want: str, piece: int, buffer: int) -> tuple[str, list, Iterator[Mark]] | None:
+    """Format, properties and ranges of one element; None if the file lacks it."""
+    fmt, elements, at = _header(read)
+    order = BYTE_ORDER[fmt]
+    for name, count, props in elements:
+        if fmt == "ascii":
+            marks = _line_marks(read, at, count, props, piece, buffer)
+        elif any(map(_is_list, props)):
+            marks = _list_marks(read, at, count, props, order, piece, buffer)
+        else:
+            marks = _plain_marks(at, count, _plain(props, order).itemsize, piece)
+        if name == want:
+            return fmt, props, marks
+        for _, at, *_ in marks:  # on to its end
+            pass
+    return None
+
+
+def _records(raw: bytes, fmt: str, props: list, count: int, want: str):
+    """Vertices or triangles of a range as a structured array."""
+    import numpy as np
+
+    order = BYTE_ORDER[fmt]
+    if fmt == "ascii":
+        rows = [_ascii_row(ln.split(), props) for ln in raw.splitlines()[:count]]
+        if len(rows) < count:
+            raise ValueError(f"{count} records are declared, {len(rows)} are there")
+        columns = [[r[i] for r in rows] if _is_list(p) else np.array([r[i] for r in rows], float)
+                   for i, p in enumerate(props)]
+    elif not any(map(_is_list, props)):
+        rows = np.frombuffer(raw, _plain(props, order), count)
+        columns = [rows[p[1]] for p in props]
+    else:
+        rows = _even(raw, 0, count, props, order)
+        if rows is not None:
+            columns = [rows[f"p{i}"] for i in range(len(props))]
+        else:
+            found, _ = _walk(raw, 0, count, props, order)
+            columns = [[r[i] for r in found] if _is_list(p) else np.array([r[i] for r in found]) for i, p in enumerate(props)]
     if want != "face":
-        out = np.empty(len(columns[0]) if columns else 0, [(p[1], "f8") for p in props if not _is_list(p)])
+        out = np.empty(count, [(p[1], "f8") for p in props if not _is_list(p)])
         for p, c in zip(props, columns):
             if not _is_list(p):
                 out[p[1]] = c
         return out
-    corners = next(c for p, c in zip(props, columns) if _is_list(p) and p[3].startswith("vertex_ind"))
     textures = next((c for p, c in zip(props, columns) if _is_list(p) and p[3].startswith("tex")), None)
-    return _triangles(corners, textures)
+    return _triangles(columns[_corner_place(props)], textures)
 
 
 def _triangles(corners, textures):
@@ -199,23 +309,54 @@ def _triangles(corners, textures):
     return out
 
 
-def _scan(spark: SparkSession, path: str, want: str, schema, shape) -> DataFrame:
+def _scan(spark: SparkSession, path: str, want: str, schema, shape, piece: int, buffer: int) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ply") \
         .option("recursiveFileLookup", True).load(path) \
-        .select(F.regexp_extract("path", r"([^/]+)\.ply$", 1).alias("mesh_id"), "content")
+        .withColumn("mesh_id", F.regexp_extract("path", r"([^/]+)\.ply$", 1))
+
+    def rows(mesh_id: str, raw: bytes, fmt: str, props: list, mark: Mark):
+        rec = _records(raw, fmt, props, mark[3], want)
+        for lo in range(0, len(rec), CHUNK):
+            yield shape(mesh_id, mark[4 if want == "face" else 2] + lo, rec[lo:lo + CHUNK])
 
-    def run(batches: Iterator) -> Iterator:
+    def whole(batches: Iterator) -> Iterator:
         for pdf in batches:
             for mesh_id, raw in zip(pdf["mesh_id"], pdf["content"]):
-                rec = _records(bytes(raw), want)
-                for lo in range(0, 0 if rec is None else len(rec), CHUNK):
-                    yield shape(mesh_id, lo, rec[lo:lo + CHUNK])
+                raw = bytes(raw)
+                found = _marks(lambda at, n: raw[at:at + n], want, piece, buffer)  # noqa: B023
+                for mark in found[2] if found else ():
+                    yield from rows(mesh_id, raw[mark[0]:mark[1]], *found[:2], mark)
 
-    return files.mapInPandas(run, schema)
+    def index(batches: Iterator) -> Iterator:
+        import pandas as pd
 
+        for pdf in batches:
+            for name, mesh_id in zip(pdf["path"], pdf["mesh_id"]):
+                with store_of(name) as f:
+                    found = _marks(lambda at, n: f.read_at(min(n, max(0, f.size() - at)), at), want, piece, buffer)  # noqa: B023
+                    for mark in found[2] if found else ():
+                        yield pd.DataFrame([(name, mesh_id, found[0], json.dumps(found[1]), *mark)])
 
-def read_vertices(spark: SparkSession, path: str) -> DataFrame:
-    """Vertices of all PLY files below ``path``; a file is the unit of work."""
+    def ranged(batches: Iterator) -> Iterator:
+        for pdf in batches:
+            for name, mesh_id, fmt, props, *mark in pdf.itertuples(index=False, name=None):
+                with store_of(name) as f:
+                    raw = f.read_at(mark[1] - mark[0], mark[0])
+                yield from rows(mesh_id, raw, fmt, json.loads(props), mark)
+
+    small = files.where(F.col("length") <= piece).select("mesh_id", "content").mapInPandas(whole, schema)
+    large = files.where(F.col("length") > piece).select("path", "mesh_id", "length")
+    size = large.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    if not size:
+        return small
+    marks = large.drop("length").mapInPandas(
+        index, "path string, mesh_id string, fmt string, props string, begin long, end long, first long, n long, triangle long")
+    # ranges are a few bytes each, so they are dealt by number and not by size
+    return small.unionByName(marks.repartition(min(100_000, size // piece + 1)).mapInPandas(ranged, schema))
+
+
+def read_vertices(spark: SparkSession, path: str, piece: int = PIECE, buffer: int = BUFFER) -> DataFrame:
+    """Vertices of all PLY files below ``path``; a range of ``piece`` bytes is the unit of work."""
     def shape(mesh_id, lo, rec):
         import numpy as np
         import pandas as pd
@@ -226,10 +367,10 @@ def read_vertices(spark: SparkSession, path: str) -> DataFrame:
             out[c] = pd.Series(rec[c].astype("f8") if c in rec.dtype.names else [None] * n) \
                 .astype(kind)
         return pd.DataFrame(out)
-    return _scan(spark, path, "vertex", S.PLY_VERTICES, shape)
+    return _scan(spark, path, "vertex", S.PLY_VERTICES, shape, piece, buffer)
 
 
-def read_faces(spark: SparkSession, path: str) -> DataFrame:
+def read_faces(spark: SparkSession, path: str, piece: int = PIECE, buffer: int = BUFFER) -> DataFrame:
     """Triangles of all PLY files, with texture coordinates where a file has them; polygons of more corners
     become fans of triangles, numbered in order."""
     def shape(mesh_id, lo, rec):
@@ -242,7 +383,7 @@ def read_faces(spark: SparkSession, path: str) -> DataFrame:
         return pd.DataFrame({"mesh_id": mesh_id, "fid": np.arange(lo, lo + n, dtype="int64"),
                              **{c: rec[c].astype("int64") for c in ("v1", "v2", "v3")},
                              "uv": tex})
-    return _scan(spark, path, "face", S.PLY_FACES, shape)
+    return _scan(spark, path, "face", S.PLY_FACES, shape, piece, buffer)
 
 
 # ------------------------------------------------------------------ output
@@ -298,8 +439,8 @@ def write_ply_binary(path: str, vertices: DataFrame, faces: DataFrame | None = N
     """Little-endian PLY in pieces: ``mesh_id=<id>/part-<n>.bin`` in name order.
 
     Records are range-partitioned by mesh and row, and each task writes its own pieces, so a large
-    mesh is never held by one task. Pieces are named by partition, so a repeated task replaces its
-    own files.
+    mesh is never held by one task. Pieces appear when all tasks have ended well; a mesh that is there
+    already is replaced then.
     """
     cols = _columns(vertices)
     head = _counts(vertices, faces).select(
@@ -316,35 +457,25 @@ def write_ply_binary(path: str, vertices: DataFrame, faces: DataFrame | None = N
     vt = [(c, "u1" if t == "uchar" else "<f8") for c, t in cols]
     ft = [("n", "u1"), ("v1", "<i4"), ("v2", "<i4"), ("v3", "<i4")]
 
-    def write(batches):
+    def packed(batches):
         import numpy as np
         import pandas as pd
-        from pyarrow import fs
-        from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
-        store, root = fs.FileSystem.from_uri(path)
-        sinks: dict = {}
         for pdf in batches:
+            out = []
             for mesh_id, part in pdf.groupby("mesh_id", sort=False):
-                if mesh_id not in sinks:
-                    folder = f"{root}/mesh_id={mesh_id}"
-                    store.create_dir(folder, recursive=True)
-                    sinks[mesh_id] = store.open_output_stream(f"{folder}/part-{pid:05d}.bin")
                 for section, chunk in part.groupby("section", sort=True):
                     if section == 0:
-                        sinks[mesh_id].write("".join(h + "\n" for h in chunk["head"]).encode())
+                        out.append((str(mesh_id), "".join(h + "\n" for h in chunk["head"]).encode()))
                         continue
                     rec = np.zeros(len(chunk), dtype=vt if section == 1 else ft)
                     for c in names if section == 1 else ("v1", "v2", "v3"):
                         rec[c] = chunk[c].to_numpy()
                     if section == 2:
                         rec["n"] = 3
-                    sinks[mesh_id].write(rec.tobytes())
-        for s in sinks.values():
-            s.close()
-        yield pd.DataFrame({"pieces": [len(sinks)]})
+                    out.append((str(mesh_id), rec.tobytes()))
+            yield pd.DataFrame(out, columns=["document", "data"])
 
     ordered = rows.repartitionByRange("mesh_id", "section", "ord") \
         .sortWithinPartitions("mesh_id", "section", "ord")
-    ordered.mapInPandas(write, "pieces int").agg(F.sum("pieces")).first()
+    save_pieces(ordered.mapInPandas(packed, "document string, data binary"), path, "mesh_id")

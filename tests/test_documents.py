@@ -284,3 +284,91 @@ def test_polygons_become_fans(spark, tmp_path):
         assert [got[mesh][k][1] for k in range(6)] == [
             [*t[:2], *t[2 * i:2 * i + 2], *t[2 * i + 2:2 * i + 4]] for _, t, i in want]
     assert ply.read_vertices(spark, str(tmp_path)).count() == 10
+
+
+def _uneven_ply(fmt, folder, name):
+    """A PLY with an element before the vertices, and polygons of 0 to 6 corners in runs and alone."""
+    import struct
+
+    rng = np.random.default_rng(6)
+    sizes = [3] * 150 + [int(n) for n in rng.integers(0, 7, 60)] + [4] * 90 + [3] * 40 + [300]
+    faces = [[int(v) for v in rng.integers(0, 400, n)] for n in sizes]
+    points = np.round(rng.normal(size=(400, 3)), 3).astype("f4")
+    end = ">" if "big" in fmt else "<"
+    head = (f"ply\nformat {fmt} 1.0\nelement camera 3\nproperty list uchar short tags\nproperty int no\nelement vertex 400\n"
+            "property float x\nproperty float y\nproperty float z\nelement face 341\nproperty uchar flag\n"
+            "property list ushort int vertex_indices\nend_header\n").encode()
+    tags = [[7], [], [1, 2, 3]]
+    if fmt == "ascii":
+        lines = [" ".join(map(str, [len(t), *t, i])) for i, t in enumerate(tags)]
+        lines += [" ".join(map(str, p)) for p in points] + [" ".join(map(str, [1, len(f), *f])) for f in faces]
+        body = "\n".join(lines).encode()  # no line end at the end
+    else:
+        body = b"".join(struct.pack(f"{end}B{len(t)}hi", len(t), *t, i) for i, t in enumerate(tags))
+        body += points.astype(end + "f4").tobytes()
+        body += b"".join(struct.pack(f"{end}BH{len(f)}i", 1, len(f), *f) for f in faces)
+    (folder / name).write_bytes(head + body)
+    return points, [(f[0], f[i], f[i + 1]) for f in faces for i in range(1, len(f) - 1)]
+
+
+@pytest.mark.parametrize("fmt", ["ascii", "binary_little_endian", "binary_big_endian"])
+def test_a_file_is_read_in_ranges(spark, tmp_path, fmt):
+    points, triangles = _uneven_ply(fmt, tmp_path, "with space é.ply")
+    for piece, buffer in ((1 << 20, 1 << 20), (900, 64), (2000, 5000)):
+        vs = ply.read_vertices(spark, str(tmp_path), piece, buffer)
+        fs = ply.read_faces(spark, str(tmp_path), piece, buffer)
+        if piece == 900:
+            tasks = fs.select(F.spark_partition_id().alias("p")).distinct().count()
+            assert tasks > 3 and vs.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+        got = {r.vid: (r.x, r.y, r.z) for r in vs.collect()}
+        assert np.allclose([got[i] for i in range(400)], points, atol=1e-6) and len(got) == 400
+        found = {r.fid: (r.mesh_id, r.v1, r.v2, r.v3) for r in fs.collect()}
+        assert [found[i] for i in range(len(triangles))] == [("with space é", *t) for t in triangles]
+        assert len(found) == len(triangles)
+
+
+def test_a_cut_file_is_an_error(spark, tmp_path):
+    _uneven_ply("binary_little_endian", tmp_path, "a.ply")
+    raw = (tmp_path / "a.ply").read_bytes()
+    (tmp_path / "a.ply").write_bytes(raw[:-7])
+    for piece in (1 << 20, 900):
+        with pytest.raises(Exception, match="are declared"):
+            ply.read_faces(spark, str(tmp_path), piece, 512).count()
+
+
+def test_a_failed_write_leaves_the_old_document(spark, tmp_path):
+    """A task fails on purpose after others have written: nothing of the job is left, the mesh is as it was."""
+    v = spark.range(0, 3000, numPartitions=6).select(
+        F.lit("m/1").alias("mesh_id"), F.col("id").alias("vid"),
+        *[(F.col("id") * k).cast("double").alias(a) for k, a in enumerate("xyz", 1)])
+    ply.write_ply_binary(str(tmp_path), v)
+    whole_before = {p.name: p.read_bytes() for p in (tmp_path / "mesh_id=m%2F1").glob("part-*")}
+    assert len(b"".join(whole_before[n] for n in sorted(whole_before)).split(b"end_header\n", 1)[1]) == 3000 * 24
+
+    @F.udf("double")
+    def broken(x):
+        if x == 2999.0:
+            raise RuntimeError("lost on purpose")
+        return x + 1
+
+    with pytest.raises(Exception, match="lost on purpose"):
+        ply.write_ply_binary(str(tmp_path), v.withColumn("x", broken("x")))
+    assert {p.name: p.read_bytes() for p in (tmp_path / "mesh_id=m%2F1").glob("part-*")} == whole_before
+    assert [p.name for p in tmp_path.iterdir()] == ["mesh_id=m%2F1"]
+    ply.write_ply_binary(str(tmp_path), v.limit(5))  # replaced as a whole
+    left = b"".join(p.read_bytes() for p in sorted((tmp_path / "mesh_id=m%2F1").glob("part-*")))
+    assert b"element vertex 5\n" in left and len(left.split(b"end_header\n", 1)[1]) == 5 * 24
+
+
+def test_pieces_that_no_task_names_are_not_committed(tmp_path):
+    """A repeated task leaves files of its first attempt; only those of its message become the document."""
+    from posegrid.sources.pieces import PieceWriter, Written
+
+    writer = PieceWriter(str(tmp_path), "doc_id", True)
+    for attempt, data in ((1, b"stale"), (2, b"good")):
+        folder = tmp_path / writer.job / str(attempt)
+        folder.mkdir(parents=True)
+        (folder / "00000000.bin").write_bytes(data)
+    writer.commit([None, Written(0, [("d", str(tmp_path / writer.job / "2" / "00000000.bin"))])])
+    assert [p.name for p in tmp_path.iterdir()] == ["doc_id=d"]
+    assert (tmp_path / "doc_id=d" / "part-00000.bin").read_bytes() == b"good"
