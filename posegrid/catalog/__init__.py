@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("captures", "paths", "graphs", "meshes", "outputs")
+MODULES = ("captures", "paths", "graphs", "meshes", "outputs", "documents")
 
 
 def load_catalog():

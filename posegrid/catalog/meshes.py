@@ -242,7 +242,18 @@ def ray_hits(spark, d):
     return V.rounded(out.select("mesh_id", "ray_id", "t"), 6, "t")
 
 
-@query("a22_level_rotation")
+#: the floor's plane is y = 0.3 x + 0.1 z; its normal goes to the y axis by the smallest turn
+_N = "sqrt(1.1)"
+_LEVEL = {"m00": f"1 - 0.09 / (1.1 + {_N})", "m01": f"0.3 / {_N}", "m02": f"-0.03 / (1.1 + {_N})", "m10": f"-0.3 / {_N}",
+          "m11": f"1 / {_N}", "m12": f"-0.1 / {_N}", "m20": f"-0.03 / (1.1 + {_N})", "m21": f"0.1 / {_N}",
+          "m22": f"1 - 0.01 / (1.1 + {_N})", "m33": "1.0::DOUBLE"}
+
+
+@query("a22_level_rotation", W(V.MESH, body=f"""
+ SELECT DISTINCT mesh_id, {R(6, **_LEVEL)} FROM faces GROUP BY mesh_id HAVING count(*) > 2"""))
 def level_rotation(spark, d):
-    out = ME.level_rotation(V.faces(spark, d), V.vertices(spark, d))
-    return V.rounded(out.select("mesh_id", L.entry("matrix", 1, 1, 4).alias("up")), 6, "up")
+    v = V.vertices(spark, d).withColumn("y", 0.3 * F.col("x") + 0.1 * F.col("z"))
+    f = V.faces(spark, d)
+    floors = f.groupBy("mesh_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 2")
+    out = ME.level_rotation(f.join(floors, "mesh_id", "left_semi"), v)
+    return V.rounded(out.select("mesh_id", *[L.entry("matrix", int(c[1]), int(c[2]), 4).alias(c) for c in _LEVEL]), 6, *_LEVEL)

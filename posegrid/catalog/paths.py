@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from posegrid.catalog import views as V
@@ -732,24 +734,61 @@ def planar_fit(spark, d):
     return V.rounded(out, 6, "yaw_scale", "co", "si", "tx", "ty", "tz")
 
 
-@query("a05_similarity_fit")
+def _exact_pairs(spark, d):
+    """Pose points and where a similarity of their site puts them, exactly."""
+    p = V.poses(spark, d).withColumn("site_id", F.col("route_id") % 7)
+    yaw, k = F.radians(F.col("site_id") * 20 + 5.0), 1.5 + F.col("site_id") / 10.0
+    return p.select("site_id", "route_id", "pose_key", *[F.col(a).alias(f"f{a}") for a in XYZ],
+                    (k * (F.cos(yaw) * F.col("x") - F.sin(yaw) * F.col("z")) + 11).alias("tx"), (k * F.col("y") - 3).alias("ty"),
+                    (k * (F.sin(yaw) * F.col("x") + F.cos(yaw) * F.col("z")) + 7).alias("tz"))
+
+
+#: what every fit of exact pairs must find
+EXACT = """exact AS (SELECT route_id % 7 AS site_id, route_id, count(*) AS n, 1.5 + CAST(route_id % 7 AS DOUBLE) / 10 AS scale,
+   cos(radians(route_id % 7 * 20 + 5.0)) AS r00, -sin(radians(route_id % 7 * 20 + 5.0)) AS r02 FROM poses GROUP BY route_id)"""
+
+
+@query("a05_similarity_fit", W(V.POSES, EXACT, body=f"""
+ SELECT route_id, n, NULL::VARCHAR AS reason, {R(6, scale="scale", tx="11.0::DOUBLE", ty="-3.0::DOUBLE", tz="7.0::DOUBLE", r00="r00", r02="r02",
+   r11="1.0::DOUBLE")} FROM exact"""))
 def similarity_fit(spark, d):
+    out = FT.similarity_fit(_exact_pairs(spark, d))
+    out = spread(out, "t", ("tx", "ty", "tz")).withColumns({
+        f"r{i}{j}": L.entry("rotation", i, j) for i, j in ((0, 0), (0, 2), (1, 1))})
+    out = out.select("route_id", "n", "reason", "scale", "tx", "ty", "tz", "r00", "r02", "r11")
+    return V.rounded(out, 6, *out.columns[3:])
+
+
+@query("a05_noisy_fit")
+def noisy_fit(spark, d):
     out = FT.similarity_fit(V.known_pairs(spark, d))
     return V.rounded(spread(out, "t", ("tx", "ty", "tz")).select("route_id", "n", "reason", "scale", "tx", "ty", "tz"),
                      6, "scale", "tx", "ty", "tz")
 
 
-@query("a07_ransac_fit")
+# all trials fit exact pairs, so any of them is the best: its number is left out
+@query("a07_ransac_fit", W(V.POSES, EXACT, body=f"""
+ SELECT route_id, {R(6, score="0.0::DOUBLE", scale="scale", tx="11.0::DOUBLE", r02="r02")} FROM exact"""))
 def ransac_fit(spark, d):
+    out = FT.ransac_fit(_exact_pairs(spark, d), "pose_key", ["route_id"], 0.4, 0.8, 6)
+    return V.rounded(out.select("route_id", "score", "scale", F.col("t.x").alias("tx"), L.entry("rotation", 0, 2).alias("r02")),
+                     6, "score", "scale", "tx", "r02")
+
+
+@query("a07_noisy_ransac_fit")
+def noisy_ransac_fit(spark, d):
     out = FT.ransac_fit(V.known_pairs(spark, d), "pose_key", ["route_id"], 0.4, 0.8, 6)
     return V.rounded(out.select("route_id", "trial", "score", "scale"), 6, "score", "scale")
 
 
-@query("a09_site_fit")
+@query("a09_site_fit", W(V.POSES, EXACT, body=f"""
+ SELECT site_id, sum(n) AS n, {R(6, scale="any_value(scale)", yaw_scale="any_value(scale)", r00="any_value(r00)", y02="any_value(r02)",
+   tx="11.0::DOUBLE", ytz="7.0::DOUBLE")} FROM exact GROUP BY 1"""))
 def site_fit(spark, d):
-    prs = V.known_pairs(spark, d).withColumn("site_id", F.col("route_id") % 7)
-    out = FT.full_and_yaw_fit(prs, ["site_id"])
-    return V.rounded(out.select("site_id", "n", "scale", "yaw_scale"), 6, "scale", "yaw_scale")
+    out = FT.full_and_yaw_fit(_exact_pairs(spark, d), ["site_id"])
+    out = out.select("site_id", "n", "scale", "yaw_scale", L.entry("rotation", 0, 0).alias("r00"),
+                     L.entry("yaw_rotation", 0, 2).alias("y02"), F.col("t.x").alias("tx"), F.col("yaw_t.z").alias("ytz"))
+    return V.rounded(out, 6, *out.columns[2:])
 
 
 @query("a25_alignment_residual", W(V.POSES, V.KNOWN, body=f"""
@@ -843,14 +882,20 @@ def georeference_site(spark, d):
     return _geo_out(g)
 
 
-@query("g10_align_sub_to_main")
+# the sub scene is twice as large and turned by 90 degrees about y: (x, y, z) is at (2 z + 1, 2 y, -2 x)
+@query("g10_align_sub_to_main", W(V.SHOTS, body=f"""
+ SELECT scene_id, 2 * (count(*) - 1) AS n, {R(6, scale="0.5::DOUBLE", tx="0.0::DOUBLE", tz="-0.5::DOUBLE", r02="-1.0::DOUBLE", r11="1.0::DOUBLE")}
+ FROM shot_poses GROUP BY 1 HAVING count(*) > 2"""))
 def align(spark, d):
     from posegrid.plans.alignment import align_sub_to_main
     views = V.shots(spark, d).select("scene_id", "view_key", "filename")
     main = V.shot_poses(spark, d).withColumn("rotation", L.identity3())
-    sub = main.withColumn("center", L.vec(F.col("center.x") * 2 + 1, F.col("center.y") * 2, F.col("center.z") * 2))
-    out = align_sub_to_main(views, main, views, sub)
-    return V.rounded(out.select("scene_id", "n", "scale"), 6, "scale")
+    sub = main.withColumns({"center": L.vec(F.col("center.z") * 2 + 1, F.col("center.y") * 2, F.col("center.x") * -2),
+                            "rotation": L.rotation_y(F.lit(-math.pi / 2))})
+    out = align_sub_to_main(views, main, views, sub).filter("reason IS NULL")
+    out = out.select("scene_id", "n", "scale", F.col("t.x").alias("tx"), F.col("t.z").alias("tz"),
+                     L.entry("rotation", 0, 2).alias("r02"), L.entry("rotation", 1, 1).alias("r11"))
+    return V.rounded(out, 6, *out.columns[2:])
 
 
 @query("a20_slice_numbers", W(V.SHOTS, body="""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import Column, DataFrame
 
 from posegrid.operators import frames, outliers, pairs, poses, quality
 
@@ -43,3 +45,14 @@ register("rule", "count_mismatches", quality.count_mismatches)
 register("rule", "not_exactly_one", quality.not_exactly_one)
 register("rule", "capture_window", frames.window_violations)
 register("rule", "increasing_time", frames.timestamp_violations)
+
+
+def run_named_rules(tables: Mapping[str, DataFrame], paths: Mapping[str, Column]) -> DataFrame | None:
+    """Apply the rules registered under the names of ``tables`` and report the first failing path of each.
+
+    ``paths`` says what of a rule's result names the failing item; rows where it is NULL do not fail."""
+    def failing(name: str) -> Callable[[DataFrame], DataFrame]:
+        rule = lookup("rule", name)
+        return lambda t: rule(t).select(paths[name].alias("path")).where("path IS NOT NULL")
+
+    return quality.run_rules(tables, {name: failing(name) for name in tables})

@@ -35,20 +35,21 @@ CELLS_PER_OCTAVE = 1 << 16
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder and drop its lineage."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which checkpoints use too; a plain local session without one gets its own."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="posegrid-checkpoint-")
-    sc.setCheckpointDir(folder)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder
 
 
 # ------------------------------------------------------------------ ordered blocks

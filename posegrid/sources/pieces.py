@@ -3,6 +3,8 @@
 A task writes its pieces into a folder of the job that no reader looks at, and names them in its message. Only when
 all tasks have ended well, ``commit`` moves the named pieces to ``<key>=<document>/part-<task>.bin``; what a lost or
 repeated task left is not named and goes with the job's folder. A job that fails leaves documents as they were.
+
+Documents that one task holds from end to end may become a file each, ``<document><suffix>``, without a folder.
 """
 
 from __future__ import annotations
@@ -43,8 +45,8 @@ class Written(WriterCommitMessage):
 
 
 class PieceWriter(DataSourceWriter):
-    def __init__(self, path: str, key: str, overwrite: bool):
-        self.store_path, self.key, self.overwrite = path, key, overwrite
+    def __init__(self, path: str, key: str, overwrite: bool, suffix: str = ""):
+        self.store_path, self.key, self.overwrite, self.suffix = path, key, overwrite, suffix
         self.job = f"_pending-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[Row]) -> Written:
@@ -72,6 +74,14 @@ class PieceWriter(DataSourceWriter):
         store, root = file_system(self.store_path)
         from pyarrow import fs
 
+        if self.suffix:
+            named = [p for m in messages if m for p in m.pieces]
+            if len({document for document, _ in named}) < len(named):
+                raise ValueError("a document in several pieces can't be one file")
+            for document, name in named:
+                store.move(name, f"{root}/{quote(document, safe=' ')}{self.suffix}")
+            self._clear()
+            return
         cleared = set()
         for message in sorted((m for m in messages if m), key=lambda m: m.task):
             for document, name in message.pieces:
@@ -102,11 +112,11 @@ class BinaryPieces(DataSource):
         return "binary_pieces"
 
     def writer(self, schema: StructType, overwrite: bool) -> PieceWriter:
-        return PieceWriter(self.options["path"], self.options.get("key", "doc_id"), overwrite)
+        return PieceWriter(self.options["path"], self.options.get("key", "doc_id"), overwrite, self.options.get("suffix", ""))
 
 
-def save_pieces(data: DataFrame, path: str, key: str) -> None:
+def save_pieces(data: DataFrame, path: str, key: str, suffix: str = "") -> None:
     """Write ``document string, data binary`` rows, in order within and between partitions; documents that are there
-    already are replaced."""
+    already are replaced. With ``suffix`` the rows of a document follow each other in one partition, and it is a file."""
     data.sparkSession.dataSource.register(BinaryPieces)
-    data.write.format("binary_pieces").option("key", key).mode("overwrite").save(path)
+    data.write.format("binary_pieces").option("key", key).option("suffix", suffix).mode("overwrite").save(path)

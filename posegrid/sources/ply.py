@@ -435,13 +435,8 @@ def write_ply(path: str, vertices: DataFrame, faces: DataFrame | None = None) ->
     text_documents(ply_lines(vertices, faces), path)
 
 
-def write_ply_binary(path: str, vertices: DataFrame, faces: DataFrame | None = None) -> None:
-    """Little-endian PLY in pieces: ``mesh_id=<id>/part-<n>.bin`` in name order.
-
-    Records are range-partitioned by mesh and row, and each task writes its own pieces, so a large
-    mesh is never held by one task. Pieces appear when all tasks have ended well; a mesh that is there
-    already is replaced then.
-    """
+def _binary_rows(vertices: DataFrame, faces: DataFrame | None, order: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``document, data``: headers and records as bytes, in the order that ``order`` gives the rows."""
     cols = _columns(vertices)
     head = _counts(vertices, faces).select(
         "mesh_id", F.lit(0).alias("section"), F.lit(0).cast("bigint").alias("ord"),
@@ -476,6 +471,22 @@ def write_ply_binary(path: str, vertices: DataFrame, faces: DataFrame | None = N
                     out.append((str(mesh_id), rec.tobytes()))
             yield pd.DataFrame(out, columns=["document", "data"])
 
-    ordered = rows.repartitionByRange("mesh_id", "section", "ord") \
-        .sortWithinPartitions("mesh_id", "section", "ord")
-    save_pieces(ordered.mapInPandas(packed, "document string, data binary"), path, "mesh_id")
+    return order(rows).sortWithinPartitions("mesh_id", "section", "ord").mapInPandas(packed, "document string, data binary")
+
+
+def write_ply_binary(path: str, vertices: DataFrame, faces: DataFrame | None = None) -> None:
+    """Little-endian PLY in pieces: ``mesh_id=<id>/part-<n>.bin`` in name order.
+
+    Records are range-partitioned by mesh and row, and each task writes its own pieces, so a large
+    mesh is never held by one task. Pieces appear when all tasks have ended well; a mesh that is there
+    already is replaced then.
+    """
+    save_pieces(_binary_rows(vertices, faces, lambda rows: rows.repartitionByRange("mesh_id", "section", "ord")),
+                path, "mesh_id")
+
+
+def write_ply_files(path: str, vertices: DataFrame, faces: DataFrame | None = None) -> None:
+    """Little-endian PLY, one file ``<id>.ply`` per mesh, for many meshes that a task each can write.
+
+    A mesh's rows go to one task, which sorts (and spills) them and streams them into the file."""
+    save_pieces(_binary_rows(vertices, faces, lambda rows: rows.repartition("mesh_id")), path, "mesh_id", ".ply")

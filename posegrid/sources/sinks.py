@@ -169,6 +169,22 @@ def trajectory_lines(trajectory: DataFrame) -> DataFrame:
                    _literal(docs, 2, F.lit("]"))])
 
 
+def marker_lines(markers: DataFrame) -> DataFrame:
+    """Marker documents of ``route_id, pos, name, begin_ms, end_ms``."""
+    rows = markers.withColumn("doc_id", F.col("route_id").cast("string"))
+    docs = rows.select("doc_id").distinct()
+    value = F.to_json(F.struct("name", F.col("begin_ms").alias("begin"), F.col("end_ms").alias("end")),
+                      {"ignoreNullFields": "false"})
+    return _union([_literal(docs, 0, F.lit("[")), _elements(rows, 1, "pos", value), _literal(docs, 2, F.lit("]"))])
+
+
+def object_route_lines(routes: DataFrame) -> DataFrame:
+    """Object route documents of ``route_id, dir, position, rotation``, a line each."""
+    value = F.to_json(F.struct(F.lit(False).alias("is_scene"), "dir", L.point_to_array("position").alias("position"),
+                               L.flat_to_rows("rotation").alias("rotation")))
+    return _literal(routes.withColumn("doc_id", F.col("route_id").cast("string")).withColumn("_v", value), 0, F.col("_v"))
+
+
 def tree_documents(tree_lines: DataFrame) -> DataFrame:
     """Lines of nested trees as documents, one per root."""
     return tree_lines.select(F.col("root").cast("string").alias("doc_id"), F.lit(0).alias("section"), "ord", "value")
