@@ -101,7 +101,8 @@ def _fitted_route(frames, fixes, anchors, tolerance_ms, clean, footprint, smooth
     """Entries of the frames, the usable fixes and the anchor matches."""
     fr = clean_frames(frames) if clean else frames
     fx = A.long_enough(fixes)
-    matched = anchor_matches(fr, fx, anchors, tolerance_ms, smooth)
+    # points, zones, moments and the splice read the matches: at most two ends of anchors a route, written once
+    matched = checkpointed(anchor_matches(fr, fx, anchors, tolerance_ms, smooth))
     xyz = A.match_xyz(A.match_points(matched, footprint))
     fits = _solve(xyz, ["route_id"], mode, refit_offset)
     return to_entries(apply_fit(fr, fits, ["route_id"])), fx, matched
@@ -134,7 +135,7 @@ def georeference_site(frames: DataFrame, fixes: DataFrame, *, site: str = "site_
     """One fit per site on the pairs of all its anchored routes, applied to every route."""
     fr = clean_frames(frames) if clean else frames
     fx = A.long_enough(fixes)
-    matched = anchor_matches(fr.drop(site), fx, anchors, tolerance_ms)
+    matched = checkpointed(anchor_matches(fr.drop(site), fx, anchors, tolerance_ms))
     homes = fr.groupBy("route_id").agg(F.min(site).alias(site))
     points = attach(A.match_points(matched, footprint), homes, "route_id")
     xyz = A.match_xyz(points, ["route_id", site], [site])
