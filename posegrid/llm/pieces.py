@@ -88,10 +88,11 @@ class Pieces:
         self.words: dict[str, bytes] = {}
 
     def forward(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
-        """Words in sorted order, each with its ids. ``best`` and ``ids`` are the path from the trie's root to
-        the current node: the forward score of the first j characters and the ids that reach it."""
+        """Words in sorted order, each with its ids. ``best``, ``begin`` and ``piece`` are the path from the trie's root
+        to the current node: the forward score of the first j characters, where the last piece before j begins, and
+        its ids. A word's ids are put together once, from its end back."""
         endings, infinity = self.endings.get, -math.inf
-        best, ids, before = [0.0], [b""], ""
+        best, begin, piece, before = [0.0], [0], [b""], ""
         for word in words:
             shared = 0
             if word.startswith(before):
@@ -101,7 +102,7 @@ class Pieces:
                     if a != b:
                         break
                     shared += 1
-                del best[shared + 1:], ids[shared + 1:]
+                del best[shared + 1:], begin[shared + 1:], piece[shared + 1:]
             for j in range(shared + 1, len(word) + 1):
                 top, start, last = infinity, j - 1, b""
                 i = j - 1
@@ -118,9 +119,14 @@ class Pieces:
                     start, last = j - 1, b"".join(
                         self.ids[self.byte[x]] for x in word[j - 1].encode("utf-8", "surrogatepass"))
                 best.append(top)
-                ids.append(ids[start] + last)
+                begin.append(start)
+                piece.append(last)
             before = word
-            yield word, ids[-1]
+            parts, j = [], len(word)
+            while j:
+                parts.append(piece[j])
+                j = begin[j]
+            yield word, b"".join(reversed(parts))
 
     def encode(self, texts: list[str | None]) -> list[bytes | None]:
         """Native 32-bit ids of each text."""

@@ -125,3 +125,20 @@ def test_documents_have_the_ids_of_the_library_by_default(spark):
         assert np.frombuffer(ids, "<u4").tolist() == want, text
     rows = packing.pack_documents(spark.createDataFrame([(1, texts[0])], "doc_id long, text string")).orderBy("start").collect()
     assert np.frombuffer(b"".join(r["ids"] for r in rows), "<u4").tolist() == [64, 220, 50256, 275, packing.END_ID]
+
+
+def test_one_word_of_a_million_characters():
+    import tracemalloc
+
+    tool = pieces.Pieces(pieces.default_model())
+    random.seed(9)
+    word = "".join(random.choices("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/é", k=1_000_000))
+    tracemalloc.start()
+    ids = np.frombuffer(tool.encode([word])[0], np.int32)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500_000_000
+    assert tool.decode(ids.tolist()) == word
+    # the best path to a place within a long word is the same as in the word alone
+    short = np.frombuffer(tool.encode([word[:5000]])[0], np.int32)
+    assert (ids[:len(short) - 20] == short[:-20]).all()
