@@ -150,3 +150,13 @@ def test_layout_words_of_a_page_do_not_empty_it():
     for box in ('<div class="related">{}</div>', '<aside><div>{}</div></aside>', '<div hidden><div>{}</div></div>'):
         page = "<body>" + box.format(f"<article><p>{' '.join(words.split()[:20])}</p></article>") + "</body>"
         assert html_cut.main_text(page) == ""
+
+
+def test_a_sample_word_in_a_path_does_not_hide_a_key():
+    scanner = secrets.Scanner(secrets.CLASSES, secrets.ALLOW, frozenset(), secrets.CANDIDATE)
+    key = "wJ4lrXUt9nFEMIK7MDENGbPxRfiCYq2zT8vLs0Ha"
+    for before in ("/example/cb/", "docs/0123456789/", ""):
+        found = scanner(before + key)
+        assert found and int(found[-1].split(":")[2]) == len(before + key)
+    for sample in ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "AKIDEXAMPLE" + key, "https/example/path/words/only/here"):
+        assert not [f for f in scanner(sample) if f.startswith("entropy")]
