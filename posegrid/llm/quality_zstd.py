@@ -16,7 +16,8 @@ all whole texts; the model (two dictionaries and seven numbers) has a fixed size
 Results for odd inputs: a null or empty text has the weight 0 and so the score of a mean text (the
 calibration's constant); repeated rows give repeated results; repeated or
 contradicting labels of one document count by their smallest value; null labels and labels of unknown
-documents do not count; without labelled rows of both classes the fit raises ``ValueError``; an empty
+documents do not count; without labelled rows of both classes nothing can be learned: ``fit`` raises
+``ValueError``, the query and the stage give every text the score one half and reject none; an empty
 table of documents gives an empty table; a column called like a result column is replaced.
 """
 
@@ -141,12 +142,12 @@ def fit_rows(texts: Sequence[str], quality: Sequence[int], chunk: int = CHUNK,
     return Model(good, bad, (float(mean[0]), float(mean[1])), weights, chunk, level)
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample: int = SAMPLE,
-        longest: int = LONGEST, **options) -> Model:
-    """Fit on the labelled rows of ``docs`` (doc_id, text) for which ``usable`` holds.
+#: the score of every text where nothing can be learned: one half
+FLAT = Model(b"", b"", (0.0, 0.0), (0.0, 0.0, 0.0))
 
-    At most ``sample`` rows of each class reach the driver, each of at most ``longest`` characters.
-    """
+
+def _labelled(docs: DataFrame, labels: DataFrame, usable: Column | None, sample: int, longest: int) -> list[tuple[int, int, str]]:
+    """Hash, quality and text of at most ``sample`` rows of each class, each of at most ``longest`` characters."""
     marks = (labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id")
              .agg(F.min("quality").alias("quality")))
     if usable is not None:
@@ -158,11 +159,30 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample
     chosen = [(r["h"], k) for k in (1, 0) for r in
               marked.where(F.col("quality") == k).orderBy("h").limit(sample).select("h").collect()]
     if not chosen:
-        raise ValueError("the fit needs labelled texts of both classes")
+        return []
     # at most twice ``sample`` rows of two numbers
     wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "h long, quality int"))
     picked = texts.select("h", "text").join(wanted, "h").groupBy("h", "quality").agg(F.min("text").alias("text"))
-    rows = sorted((r["h"], r["quality"], r["text"]) for r in picked.collect())
+    return sorted((r["h"], r["quality"], r["text"]) for r in picked.collect())
+
+
+def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample: int = SAMPLE,
+        longest: int = LONGEST, **options) -> Model:
+    """Fit on the labelled rows of ``docs`` (doc_id, text) for which ``usable`` holds.
+
+    At most ``sample`` rows of each class reach the driver, each of at most ``longest`` characters. Without texts of
+    both classes there is no fit, which is an error here.
+    """
+    rows = _labelled(docs, labels, usable, sample, longest)
+    return fit_rows([t for _, _, t in rows], [q for _, q, _ in rows], **options)
+
+
+def fit_if_possible(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample: int = SAMPLE,
+                    longest: int = LONGEST, **options) -> Model:
+    """As ``fit``, but ``FLAT`` where one class has no labelled text: nothing is known then that would reject any."""
+    rows = _labelled(docs, labels, usable, sample, longest)
+    if {q for _, q, _ in rows} != {0, 1}:
+        return FLAT
     return fit_rows([t for _, _, t in rows], [q for _, q, _ in rows], **options)
 
 
@@ -191,6 +211,6 @@ def fold(doc_id: Column | str = "doc_id", folds: int = 3) -> Column:
 def keep_good(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
               threshold: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, with the columns of ``docs``."""
-    model = fit(docs, labels, usable, **options)
+    model = fit_if_possible(docs, labels, usable, **options)
     return (score(docs, model, out="__score").where(F.col("__score") >= threshold)
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -116,5 +116,22 @@ def test_pipeline_on_odd_rows(spark, odd, tmp_path):
 
 
 def test_queries_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
+
+
+def test_nothing_to_learn_from(spark, odd, nothing, labels):
+    """No documents, no labels, or labels of one class: the score is one half and no document goes."""
+    for docs, marks in ((odd, labels.where("quality = 1")), (odd, labels.limit(0)), (nothing, labels)):
+        model = quality_zstd.fit_if_possible(docs, marks)
+        assert model == quality_zstd.FLAT
+        assert {r["score"] for r in quality_zstd.score(docs, model).collect()} <= {0.5}
+        kept = quality_zstd.keep_good(docs, marks)
+        assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
