@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +38,35 @@ def written(df: DataFrame) -> DataFrame:
     Unlike ``checkpoint()``, which runs the last stage a second time to write it, this runs it once.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    if _NOTED:
+        _NOTED[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: lists that take the paths of ``written``, the innermost last
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def noting(paths: list[str]) -> Iterator[None]:
+    """Within the block ``written`` adds the paths of its tables to ``paths``."""
+    _NOTED.append(paths)
+    try:
+        yield
+    finally:
+        _NOTED.pop()
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of ``written`` that nothing reads any more, and empty the list."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for name in paths:
+        path = hadoop.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    paths.clear()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a reliable checkpoint (small frames inside loops)."""
     shared_folder(df.sparkSession)
