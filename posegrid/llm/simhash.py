@@ -15,8 +15,8 @@ not all its links but a lightest spanning forest of them, so a dense group gives
 codes. Distinct codes are compared, never rows; copies share a code.
 
 For documents with five-word shingle similarity of at least 0.8 (``near_copies``) fingerprints miss too much.
-That join is exact: the shingles of a text are put in one order that all texts share (those frequent in a sample
-last, else by hash), and two sets this similar share a shingle of the first fifth of each. Texts that meet in
+That join is exact: the shingles of a text are put in one order that all texts share (rare ones
+first, as a table of fixed size counts them over all texts; then by hash), and two sets this similar share a shingle of the first fifth of each. Texts that meet in
 such a shingle are candidates; sizes and places rule out some, the exact similarity of the two whole texts
 decides the others. Classes need not every pair of a dense group: at first each text is compared with its
 neighbours under the shingles, then every pair of texts that meet and are of different classes. A pair that
@@ -51,10 +51,11 @@ PER_SHARD = 4096
 #: times the expected homes from which a shard is split into blocks, and homes compared without a local tree
 SPLIT_FROM = 8
 BRUTE = 4096
-#: texts whose shingles are counted to order them, and how many of the frequent ones are known to every task; the
-#: order decides how many candidates there are, not which pairs are linked
-ORDER_TEXTS = 4096
-FREQUENT = 65_536
+#: counters that order the shingles of a corpus of any size, how many are added at once, and into how many parts tasks
+#: are dealt to add them; the order decides how many candidates there are, not which pairs are linked
+COUNTERS = 1 << 22
+PIECE = 1 << 16
+PARTS = 64
 _SLICE = 1 << 15
 
 
@@ -371,34 +372,68 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(shingle_hashes(words_of(text), width))
 
 
-def first_shingles(own: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
-    """The beginning of a set of shingles (sorted) in the common order: any two sets of this similarity share a
-    member of their beginnings. ``frequent`` (sorted) go last, by ``counts``."""
-    if len(frequent) and len(own):
-        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
-        own = own[np.argsort(np.where(frequent[at] == own, counts[at], 0), kind="stable")]
+def first_shingles(own: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The beginning of a set of shingles (sorted) in the common order, by ``counts`` and then by hash: any two
+    sets of this similarity share a member of their beginnings."""
+    own = own[np.argsort(counts[own % np.uint64(len(counts))], kind="stable")]
     return own[:len(own) - math.ceil(similarity * len(own) - 1e-9) + 1]
 
 
-def _frequent(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that stand in several texts of a sample, sorted, and in how many."""
-    @F.arrow_udf("array<long>")
-    def sets(batch: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t.as_py(), width).view(np.int64) for t in batch], pa.list_(pa.int64()))
+def shingle_counts(texts: DataFrame, width: int) -> np.ndarray:
+    """How common the shingles of each counter are among ``texts`` (t), as steps of a logarithm.
 
-    every = max(1, texts.count() // ORDER_TEXTS)
-    rows = (texts.where(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(every)) == 0)
-            .select(F.explode(sets("t")).alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > 2).orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect())
-    known = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(known)
-    return known[order], np.array([r[1] for r in rows], np.int64)[order]
+    Every task counts the shingles of all its texts in one table of ``COUNTERS`` numbers; pieces of the tables are
+    added in two rounds, so that nothing grows with the corpus but the number of pieces.
+    """
+    pieces = COUNTERS // PIECE
+    schema = "piece int, part int, counts binary"
+
+    def packed(piece: int, part: int, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([piece], pa.int32()), pa.array([part], pa.int32()),
+             pa.array([pa.compress(counts.tobytes(), codec="zstd", asbytes=True)], pa.binary())],
+            names=["piece", "part", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, met = np.zeros(COUNTERS, np.int64), set()
+        for batch in batches:
+            for key, t in zip(batch["key"].to_pylist(), batch["t"]):
+                if key not in met:  # copies within a task
+                    met.add(key)
+                    np.add.at(sums, shingle_set(t.as_py(), width) % np.uint64(COUNTERS), 1)
+        if met:
+            part = min(met) % PARTS
+            for piece, counts in enumerate(sums.reshape(pieces, PIECE)):
+                yield packed(piece, part, counts)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, counts in zip(batch["piece"].to_pylist(), batch["counts"]):
+                more = np.frombuffer(pa.decompress(counts.as_py(), PIECE * 8, codec="zstd"), np.int64)
+                sums[piece] = sums[piece] + more if piece in sums else more
+        for piece, counts in sums.items():
+            yield packed(piece, 0, counts)
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in add(batches):
+            counts = np.frombuffer(pa.decompress(batch["counts"][0].as_py(), PIECE * 8, codec="zstd"), np.int64)
+            scale = np.minimum(np.log2(counts + 1.0) * 2048, 65535).astype(np.uint16)
+            yield packed(batch["piece"][0].as_py(), 0, scale)
+
+    found = (texts.select("key", "t").mapInArrow(count, schema)
+             .repartition("piece", "part").mapInArrow(add, schema)
+             .repartition("piece").mapInArrow(steps, schema).collect())
+    out = np.zeros(COUNTERS, np.uint16)
+    for piece, _, counts in found:
+        out[piece * PIECE:(piece + 1) * PIECE] = np.frombuffer(pa.decompress(bytes(counts), PIECE * 2, codec="zstd"), np.uint16)
+    return out
 
 
 def postings(texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """``shingle, key, at, size`` of the first shingles of each text (``key, t``) that others have too, with the
     neighbour under that shingle (``key2, at2, size2``; null for the first). ``at`` is the shingle's place."""
-    frequent, counts = _frequent(texts, width)
+    counts = shingle_counts(texts, width)
     names = ["shingle", "key", "at", "size"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,7 +447,7 @@ def postings(texts: DataFrame, width: int, similarity: float) -> DataFrame:
                 own = shingle_set(t.as_py(), width)
                 # all texts without words meet in one row
                 keys.append(key)
-                firsts.append(first_shingles(own, frequent, counts, similarity) if len(own) else np.zeros(1, np.uint64))
+                firsts.append(first_shingles(own, counts, similarity) if len(own) else np.zeros(1, np.uint64))
                 sizes.append(len(own))
             if keys:
                 n = [len(f) for f in firsts]
