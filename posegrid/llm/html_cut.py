@@ -1,18 +1,22 @@
 """Operator 8: HTML extraction by minimum cut.
 
 A page is read into blocks of text (a tolerant tokeniser; unclosed and stray tags are fine). A linear
-classifier gives each block a cost of being called content or boilerplate from its ancestors (elements,
-class and id words), its length and its share of links; the costs are its capacities to the two
-terminals. Neighbouring blocks, and blocks that follow each other under one parent, are joined by
-smoothness edges, weaker the farther apart they are in the DOM. The minimum cut labels all blocks of the
-page at once: a short line within an article stays with it, a long advert between menus goes with them.
+classifier gives each block a cost of being called content or boilerplate from its own element, its length and
+its share of links, and each box around blocks one from its element and the words in its class and id; the
+costs are their capacities to the two terminals. Edges of DOM proximity join a block to the box that
+speaks strongest for content and to that which speaks strongest for boilerplate; neighbouring blocks, and
+blocks that follow each other under one parent, are joined by edges that are weaker the farther apart they
+are in the DOM. The minimum cut labels all blocks and boxes of the page at once: a short line within an
+article stays with it, a long advert goes with its box, and a box whose name only partly sounds like
+boilerplate (``related-work``) is outvoted by its text.
 
 A block whose own capacity outweighs all its edges has its label in every minimum cut; such blocks are
 fixed first and their edges become capacities of their neighbours. A max-flow labels what remains. Each
 page is one row and needs no other, so the work is one map over the pages.
 
 Results for odd inputs: a null or empty html, or one without content, gives an empty text; pages of any
-length are read whole; repeated rows give repeated results; an empty table gives an empty table; a column
+length are read whole, a quote or tag that never ends costs only its tag (after ``BROKEN_TAGS`` of them tags end at
+the next angle bracket, quoted or not); repeated rows give repeated results; an empty table gives an empty table; a column
 called like the result is replaced.
 """
 
@@ -20,7 +24,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -52,13 +56,22 @@ BOILER_WORDS = frozenset(
     "social breadcrumb breadcrumbs menu nav navbar navigation topbar masthead footer copyright disclaimer legal comment "
     "comments commentlist reply replies respond disqus login signin signup register search toolbar pagination "
     "pager skip hidden form".split())
+#: words that say nothing beside a boilerplate word
+LAYOUT_WORDS = frozenset(
+    "area bar block box button buttons col column container footer global group header inner item items layout left "
+    "links list menu outer page panel policy post posts right row section site slot top bottom unit wrap wrapper".split())
 CONTENT_WORDS = frozenset("article post entry content main story body text prose".split())
 BOILER_WORD_WEIGHT, CONTENT_WORD_WEIGHT, HEADER_WORD_WEIGHT = -9.0, 3.0, -3.0
+#: a boilerplate word among others in one name: the box is joined by edges of this weight and can be outvoted
+MIXED_NAME_WEIGHT = -2.5
+#: capacity of a box that is not outvoted
+FIRM = 1e6
+BROKEN_TAGS = 16
 SMOOTH_NEXT, SMOOTH_SIBLING = 1.0, 0.8
 
-TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+ASIDE = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+TAG = re.compile(r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+BROKEN_TAG = re.compile(r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/<>]*)(?P<rest>[^<>]*)>?")
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_WORD = re.compile(r"[A-Za-z][a-z]*")
 UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -67,15 +80,17 @@ UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|di
 @dataclass(slots=True)
 class Element:
     name: str
-    #: the strongest weights of the element and its ancestors; ``firm`` is the part of ``boiler`` that comes from
-    #: names of elements and hidden ones, ``own`` the element's own part
-    boiler: float
-    content: float
-    firm: float
+    #: the strongest weights of the element and its ancestors, each with the number of the box that has it; ``firm`` is
+    #: the part of ``boiler`` that comes from names of elements and hidden ones, ``own`` the element's own part
+    boiler: tuple[float, int]
+    content: tuple[float, int]
+    firm: tuple[float, int]
     own: float
     depth: int
     number: int
     link: bool
+    #: place in the stack of the innermost block element
+    holder: int
 
 
 @dataclass(slots=True)
@@ -91,14 +106,16 @@ def _named_weight(rest: str) -> tuple[float, float, bool]:
     """Weights of the words in an element's attributes, and whether it is hidden."""
     boiler = content = 0.0
     for m in NAMED.finditer(rest):
-        words = {w.lower() for w in NAME_WORD.findall(m.group(1) or m.group(2) or m.group(3) or "")}
-        words |= {w.lower() for w in re.split(r"[\s_\-]+", m.group(1) or m.group(2) or m.group(3) or "")}
-        if words & BOILER_WORDS:
-            boiler = min(boiler, BOILER_WORD_WEIGHT)
-        elif "header" in words:
-            boiler = min(boiler, HEADER_WORD_WEIGHT)
-        elif words & CONTENT_WORDS:
-            content = max(content, CONTENT_WORD_WEIGHT)
+        for name in (m.group(1) or m.group(2) or m.group(3) or "").split():
+            words = {w.lower() for w in NAME_WORD.findall(name)}
+            whole = {w for w in re.split(r"[\d_\-]+", name.lower()) if w}
+            if (words | whole) & BOILER_WORDS:
+                known = BOILER_WORDS | CONTENT_WORDS | LAYOUT_WORDS
+                boiler = min(boiler, BOILER_WORD_WEIGHT if words <= known or whole <= known else MIXED_NAME_WEIGHT)
+            elif "header" in words | whole:
+                boiler = min(boiler, HEADER_WORD_WEIGHT)
+            elif (words | whole) & CONTENT_WORDS:
+                content = max(content, CONTENT_WORD_WEIGHT)
     unseen = UNSEEN.search(rest) is not None
     if unseen:
         boiler = BOILER_WORD_WEIGHT
@@ -107,18 +124,22 @@ def _named_weight(rest: str) -> tuple[float, float, bool]:
 
 def read_blocks(page: str) -> list[Block]:
     """The blocks of visible text of a page in order."""
-    root = Element("", 0.0, 0.0, 0.0, 0.0, 0, 0, False)
+    root = Element("", (0.0, 0), (0.0, 0), (0.0, 0), 0.0, 0, 0, False, 0)
     stack, blocks, parts = [root], [], []
-    linked = made = 0
+    linked = made = broken = 0
+    opened: Counter[str] = Counter()
+
+    def close_from(i: int) -> None:
+        opened.subtract(e.name for e in stack[i:])
+        del stack[i:]
 
     def flush() -> None:
         nonlocal parts, linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                holder = next(e for e in reversed(stack) if e.name in BLOCKS or e is root)
-                at = stack.index(holder) if holder is not root else 0
-                blocks.append(Block(text, holder, stack[max(0, at - 1)].number, linked))
+                at = stack[-1].holder
+                blocks.append(Block(text, stack[at], stack[max(0, at - 1)].number, linked))
             parts, linked = [], 0
 
     def text(piece: str) -> None:
@@ -129,25 +150,30 @@ def read_blocks(page: str) -> list[Block]:
 
     at, size = 0, len(page)
     while at < size:
-        m = TOKEN.search(page, at)
-        if m is None:
-            if not page[at:].startswith("<!"):
-                text(page[at:])
+        begin = page.find("<", at)
+        if begin != at:
+            text(page[at:begin] if begin > 0 else page[at:])
+        if begin < 0:
             break
-        if m.start() > at:
-            text(page[at:m.start()])
-        at = m.end()
-        name = m.group("name")
-        if name is None:
+        if aside := ASIDE.match(page, begin):
+            at = aside.end()
             continue
+        m = TAG.match(page, begin) if broken < BROKEN_TAGS else None
+        if m is None:
+            m = BROKEN_TAG.match(page, begin)
+            if m is None:
+                text("<")
+                at = begin + 1
+                continue
+            broken += 1
+        at, name = m.end(), m.group("name")
         name = name.lower()
         if m.group("close"):
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name == name:
-                    if any(e.name in BLOCKS for e in stack[i:]):
-                        flush()
-                    del stack[i:]
-                    break
+            if opened[name] > 0:
+                i = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name)
+                if any(e.name in BLOCKS for e in stack[i:]):
+                    flush()
+                close_from(i)
             continue
         rest = m.group("rest") or ""
         if name in SKIPPED:
@@ -166,10 +192,10 @@ def read_blocks(page: str) -> list[Block]:
             flush()
         if name in VOID:
             continue
-        if name in CLOSES:
+        if any(opened[x] > 0 for x in CLOSES.get(name, ())):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].name in CLOSES[name]:
-                    del stack[i:]
+                    close_from(i)
                     break
                 if stack[i].name in FENCES[name]:
                     break
@@ -180,23 +206,25 @@ def read_blocks(page: str) -> list[Block]:
                                    and name not in ("html", "body") else (0.0, 0.0, False))
         own = ELEMENT_WEIGHT.get(name, 0.0)
         up = stack[-1]
-        if name == "header" and up.content >= 5.0:
+        if name == "header" and up.content[0] >= 5.0:
             own = 0.0  # the head of an article holds its title
         # an article begins anew, unless it is a child of a boilerplate box
         inherited = up.firm if name in ("article", "main") and not up.own < 0 else up.boiler
         made += 1
-        stack.append(Element(name, min(inherited, boiler, own), max(up.content, content, own),
-                             min(up.firm, own, boiler if unseen else 0.0), min(boiler, own), up.depth + 1,
-                             made, up.link or name == "a"))
+        stack.append(Element(
+            name, min(inherited, (min(boiler, own), made)), max(up.content, (max(content, own), made), key=lambda x: x[0]),
+            min(up.firm, (min(own, boiler if unseen else 0.0), made)), min(boiler, own), up.depth + 1, made,
+            up.link or name == "a", len(stack) if name in BLOCKS else up.holder))
+        opened[name] += 1
     flush()
     return blocks
 
 
 def log_odds(block: Block) -> float:
-    """The classifier: over 0 for content."""
+    """The classifier of a block by itself: over 0 for content."""
     words = block.text.count(" ") + 1
     density = min(1.0, block.linked / len(block.text))
-    at = -0.8 + min(words, 40) * 0.06 - 3.0 * density + block.parent.content + block.parent.boiler
+    at = -0.8 + min(words, 40) * 0.06 - 3.0 * density
     name = block.parent.name
     if name in ("p", "blockquote", "pre"):
         at += 0.8
@@ -226,6 +254,26 @@ def smoothness(blocks: Sequence[Block]) -> list[tuple[int, int, float]]:
     return edges
 
 
+def boxes(blocks: Sequence[Block]) -> tuple[list[float], list[tuple[int, int, float]]]:
+    """Costs of the boxes that speak for content or boilerplate, as nodes after the blocks, and their edges."""
+    place: dict[tuple[int, bool], int] = {}
+    odds, edges = [], []
+    for i, b in enumerate(blocks):
+        for weight, number in (b.parent.content, b.parent.boiler):
+            if weight:
+                at = place.setdefault((number, weight > 0), len(blocks) + len(odds))
+                if at == len(blocks) + len(odds):
+                    odds.append(weight if weight == MIXED_NAME_WEIGHT else FIRM if weight > 0 else -FIRM)
+                edges.append((i, at, abs(weight)))
+    return odds, edges
+
+
+def labels_of(blocks: Sequence[Block]) -> list[bool]:
+    """Which blocks are content, by the minimum cut over blocks and boxes."""
+    named, near = boxes(blocks)
+    return min_cut([log_odds(b) for b in blocks] + named, smoothness(blocks) + near)[:len(blocks)]
+
+
 def min_cut(odds: Sequence[float], edges: Sequence[tuple[int, int, float]]) -> list[bool]:
     """Labels (true: content) of least cost: capacity of wrong terminals plus that of edges cut."""
     n = len(odds)
@@ -321,8 +369,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     blocks = read_blocks(page)
-    keep = min_cut([log_odds(b) for b in blocks], smoothness(blocks))
-    return "\n".join(b.text for b, k in zip(blocks, keep) if k)
+    return "\n".join(b.text for b, k in zip(blocks, labels_of(blocks)) if k)
 
 
 def extract(pages: DataFrame, source: str = "html", out: str = "text") -> DataFrame:

@@ -2,8 +2,11 @@ import itertools
 import math
 import random
 import re
+import time
 from collections import Counter
 
+import pytest
+
 from posegrid.llm import html_cut, secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -160,3 +163,48 @@ def test_a_sample_word_in_a_path_does_not_hide_a_key():
         assert found and int(found[-1].split(":")[2]) == len(before + key)
     for sample in ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "AKIDEXAMPLE" + key, "https/example/path/words/only/here"):
         assert not [f for f in scanner(sample) if f.startswith("entropy")]
+
+
+SENTENCE = "The old mill stood by the river for many long years, and nobody went there. "
+
+
+@pytest.mark.parametrize("name", ["related-work", "legal-analysis", "share_of_votes"])
+def test_a_box_whose_name_only_partly_sounds_like_boilerplate_is_outvoted(name):
+    paragraphs = f"<p>{SENTENCE}</p>" * 5
+    text = "\n".join([SENTENCE.strip()] * 5)
+    for start, end in (("<article>", "</article>"), ('<div class="entry-content">', "</div>")):
+        page = f'<nav><a href="/">Home</a></nav>{start}<h2>Heading</h2><div class="{name}">{paragraphs}</div>{end}'
+        assert html_cut.main_text(page) == "Heading\n" + text
+    for whole in ("related-posts", "site-footer", "sidebarWidget", "ad-slot-3"):
+        assert html_cut.main_text(f'<article><p>{SENTENCE}</p><div class="{whole}">{paragraphs}</div></article>') == SENTENCE.strip()
+
+
+def test_extraction_by_brute_force():
+    pages = [
+        f'<nav><ul><li><a href="/">Home</a><li><a>News</a></ul></nav><article><h1>T</h1><p>{SENTENCE}<td>x</article>',
+        f'<div class="related-work">x<p>{SENTENCE}</p></div><div class="ad">{SENTENCE}</div><p>Well.',
+        f'<div><a>Home</a></div><div><p>{SENTENCE}</p><ul><li>One<li>Two</ul><p>{SENTENCE}</div><footer>{SENTENCE}</footer>',
+        '<header><h1>Site</h1></header><main><h2>A</h2><div class="legal-analysis">B</div></main><form>C</form>']
+    changed = 0
+    for page in pages:
+        blocks = html_cut.read_blocks(page)
+        named, near = html_cut.boxes(blocks)
+        odds = [html_cut.log_odds(b) for b in blocks]
+        edges = html_cut.smoothness(blocks) + near
+
+        def cost(labels):
+            return (sum(abs(o) for o, x in zip(odds + named, labels) if (o > 0) != x)
+                    + sum(w for a, b, w in edges if labels[a] != labels[b]))
+
+        best = min(itertools.product([False, True], repeat=len(blocks) + len(named)), key=cost)
+        assert html_cut.main_text(page) == "\n".join(b.text for b, x in zip(blocks, best) if x)
+        changed += sum(x != (o > 0) for x, o in zip(best, odds))
+    assert changed > 0
+
+
+def test_time_of_unclosed_tags_and_quotes_is_linear():
+    start = time.monotonic()
+    for page in ("<div>x" * 20_000, '<a "' * 40_000, "<b>" * 20_000 + "</i>" * 20_000, "a < b " * 40_000):
+        html_cut.main_text(page)
+    assert time.monotonic() - start < 10
+    assert html_cut.main_text(f'<article><p>{SENTENCE}<a "x>y</a></article>').startswith(SENTENCE.strip())
