@@ -56,6 +56,10 @@ BRUTE = 4096
 COUNTERS = 1 << 22
 PIECE = 1 << 16
 PARTS = 64
+#: pairs of different classes for each text under a key from which its texts meet under longer keys, and shingles in the
+#: longest ones; what is crowded under those is compared all the same
+CROWD = 4
+LEVELS = 4
 _SLICE = 1 << 15
 
 
@@ -372,11 +376,16 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(shingle_hashes(words_of(text), width))
 
 
-def first_shingles(own: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+def least_shared(size: int, similarity: float) -> int:
+    """Members that a set of this size shares with any set of this similarity."""
+    return math.ceil(similarity * size - 1e-9)
+
+
+def first_shingles(own: np.ndarray, counts: np.ndarray, similarity: float, level: int = 1) -> np.ndarray:
     """The beginning of a set of shingles (sorted) in the common order, by ``counts`` and then by hash: any two
-    sets of this similarity share a member of their beginnings."""
+    sets of this similarity share ``level`` members of their beginnings, or all that they share."""
     own = own[np.argsort(counts[own % np.uint64(len(counts))], kind="stable")]
-    return own[:len(own) - math.ceil(similarity * len(own) - 1e-9) + 1]
+    return own[:len(own) - least_shared(len(own), similarity) + level]
 
 
 def shingle_counts(texts: DataFrame, width: int) -> np.ndarray:
@@ -431,8 +440,9 @@ def shingle_counts(texts: DataFrame, width: int) -> np.ndarray:
 
 
 def postings(texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """``shingle, key, at, size`` of the first shingles of each text (``key, t``) that others have too, with the
-    neighbour under that shingle (``key2, at2, size2``; null for the first). ``at`` is the shingle's place."""
+    """``shingle, key, at, size, level`` of the first shingles of each text (``key, t``) that others have too, with the
+    neighbour under that shingle (``key2, at2, size2``; null for the first). ``at`` is the shingle's place, ``level``
+    the least one whose beginning reaches it; neighbours are of level 1."""
     counts = shingle_counts(texts, width)
     names = ["shingle", "key", "at", "size"]
 
@@ -447,7 +457,7 @@ def postings(texts: DataFrame, width: int, similarity: float) -> DataFrame:
                 own = shingle_set(t.as_py(), width)
                 # all texts without words meet in one row
                 keys.append(key)
-                firsts.append(first_shingles(own, counts, similarity) if len(own) else np.zeros(1, np.uint64))
+                firsts.append(first_shingles(own, counts, similarity, LEVELS) if len(own) else np.zeros(1, np.uint64))
                 sizes.append(len(own))
             if keys:
                 n = [len(f) for f in firsts]
@@ -457,13 +467,19 @@ def postings(texts: DataFrame, width: int, similarity: float) -> DataFrame:
                      pa.array(np.repeat(np.array(sizes, np.int32), n))], names=names)
 
     # some orders of the texts, so that a text of a dense group has different neighbours
-    group = Window.partitionBy("shingle").orderBy(F.xxhash64("key", F.pmod("shingle", F.lit(4))), "key")
+    first = F.col("level") == 1
+    group = Window.partitionBy("shingle").orderBy(~first, F.xxhash64("key", F.pmod("shingle", F.lit(4))), "key")
     found = (texts.select("key", "t").mapInArrow(rows, "shingle long, key long, at int, size int")
+             .withColumn("level", F.greatest(F.lit(1), F.col("at") + 1 + _least_shared(similarity) - F.col("size")).cast("int"))
              .withColumn("last", F.lag("key").over(group))
              .where(F.col("last").isNull() | (F.col("last") != F.col("key"))).drop("last"))
-    found = found.select(*names, *[F.lag(c).over(group).alias(c + "2") for c in names[1:]],
-                         F.lead("key").over(group).alias("next"))
-    return written(found.where(F.col("key2").isNotNull() | F.col("next").isNotNull()).drop("next"))
+    found = found.select(*names, "level", *[F.when(first, F.lag(c).over(group)).alias(c + "2") for c in names[1:]],
+                         F.lag("key").over(group).alias("before"), F.lead("key").over(group).alias("next"))
+    return written(found.where(F.col("before").isNotNull() | F.col("next").isNotNull()).drop("before", "next"))
+
+
+def _least_shared(similarity: float) -> Column:
+    return F.ceil(similarity * F.col("size") - 1e-9)
 
 
 def _possible(similarity: float) -> Column:
@@ -479,15 +495,62 @@ def _pairs(rows: DataFrame, similarity: float, every: float = 1.0) -> DataFrame:
     """Pairs that the shingles counted in ``rows``, the ``every``-th part of all that they share, do not rule out.
 
     Of two beginnings in one order, that which ends first holds all shared shingles up to its end, so the
-    shared shingles are those of the beginnings and at most the rest of one text.
+    shared shingles are those of the beginnings and at most the rest of one text. Rows count if they ``counts``;
+    ``crowded`` and ``crowded2`` are shingles of the beginnings that no such row tells of.
     """
+    unseen = F.least("crowded", "crowded2")
     pairs = (rows.where(_possible(similarity)).where("key <> key2")
              .select(F.greatest("key", "key2").alias("a"), F.least("key", "key2").alias("b"),
-                     F.least("size", "size2").alias("small"), F.greatest("size", "size2").alias("large"))
-             .groupBy("a", "b").agg(F.min("small").alias("small"), F.min("large").alias("large"), F.count(F.lit(1)).alias("n")))
+                     F.least("size", "size2").alias("small"), F.greatest("size", "size2").alias("large"), "counts",
+                     unseen.alias("unseen"))
+             .groupBy("a", "b").agg(F.min("small").alias("small"), F.min("large").alias("large"),
+                                    F.min("unseen").alias("unseen"), F.count_if("counts").alias("n")))
     wanted = similarity / (1 + similarity) * (F.col("small") + F.col("large")) - 1e-6
     rest = F.ceil(similarity * F.col("large") - 1e-9) - 1
-    return pairs.where(F.col("n") >= (wanted - rest) * every).select("a", "b")
+    return pairs.where(F.col("n") + F.col("unseen") >= (wanted - rest) * every).select("a", "b")
+
+
+def _meetings(rooted: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of texts of different classes that meet under a key, as rows for ``_pairs``.
+
+    ``rooted``: postings with the ``root`` of the text's class. A key is a shingle of the beginnings at first. Where the
+    pairs of different classes under a key are more than ``CROWD`` times its texts, its texts meet under longer keys
+    instead: the shingle and one that follows it in the text's beginning of the next level, and so on. The first
+    shingles that two similar texts share make such a key for both, so no pair is lost, and the pairs of a key stay
+    in proportion to its texts. Texts too small to share one more shingle meet at once.
+    """
+    rows = rooted.where("level = 1").select(F.col("shingle").alias("meet"), "root", "key", "at", "size")
+    later = rooted.select("key", "shingle", F.col("at").alias("then"), "level")
+    found, crowded = None, None
+    for level in range(1, LEVELS + 1):
+        texts = F.sum("k")
+        between = (texts * texts - F.sum(F.col("k") * F.col("k"))) / 2
+        held = (rows.groupBy("meet", "root").agg(F.count(F.lit(1)).alias("k"))
+                .groupBy("meet").agg(between.alias("pairs"), texts.alias("texts")).where("pairs > 0")
+                .select("meet", ((F.col("pairs") > CROWD * F.col("texts")) & F.lit(level < LEVELS)).alias("many")))
+        rows = written(rows.join(held, "meet"))
+        here = rows.where(~F.col("many") | (_least_shared(similarity) <= level)).drop("many")
+        if level == 1:
+            crowded = written(rows.where("many").groupBy("key").agg(F.count(F.lit(1)).alias("crowded")))
+        classes = here.select("meet", "root").distinct()
+        meeting = classes.join(classes.withColumnRenamed("root", "root2"), "meet").where("root < root2")
+        other = here.select("meet", *[F.col(c).alias(c + "2") for c in ("root", "key", "at", "size")])
+        pairs = meeting.join(here, ["meet", "root"]).join(other, ["meet", "root2"])
+        if level > 1:
+            # only the first shared shingles need to meet here
+            after = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))
+            pairs = pairs.where(after + (level - 1) >= similarity / (1 + similarity) * (F.col("size") + F.col("size2")) - 1e-6)
+        pairs = pairs.select("key", "key2", "at", "at2", "size", "size2", F.lit(level == 1).alias("counts"))
+        found = pairs if found is None else found.union(pairs)
+        rows = rows.where("many")
+        if level == LEVELS or rows.isEmpty():
+            break
+        rows = rows.join(later, "key").where((F.col("then") > F.col("at")) & (F.col("level") <= level + 1)).select(
+            F.xxhash64("meet", "shingle").alias("meet"), "root", "key", F.col("then").alias("at"), "size")
+    for end in ("", "2"):
+        found = found.join(crowded.select(F.col("key").alias("key" + end), F.col("crowded").alias("crowded" + end)),
+                           "key" + end, "left").fillna(0, ["crowded" + end])
+    return found
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5,
@@ -510,17 +573,17 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
             "a", "b", (jaccard(F.col("ta"), F.col("tb"), width) >= similarity).alias("linked")))
 
     # neighbours first, which joins most of a dense group; which of them are tried decides no result
-    done = decided(written(_pairs(met.where("key2 is not null"), similarity, 1 / 8)))
+    near = met.where("key2 is not null").select(
+        "*", F.lit(True).alias("counts"), F.lit(0).alias("crowded"), F.lit(0).alias("crowded2"))
+    done = decided(written(_pairs(near, similarity, 1 / 8)))
     roots = cut(components(done.where("linked").select("a", "b"))).withColumnRenamed("node", "key")
-    rooted = met.select("shingle", "key", "at", "size").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rooted = met.select("shingle", "key", "at", "size", "level").join(roots, "key", "left").withColumn(
+        "root", F.coalesce("root", "key"))
     # then every pair of different classes that meet, found by the classes, so that none pairs its own members
     open_ = (rooted.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"))
              .where("x <> y").select("shingle"))
     rooted = written(rooted.join(open_, "shingle"))
-    classes = rooted.select("shingle", "root").distinct()
-    meeting = classes.join(classes.withColumnRenamed("root", "root2"), "shingle").where("root < root2")
-    other = rooted.select("shingle", *[F.col(c).alias(c + "2") for c in ("root", "key", "at", "size")])
-    pairs = _pairs(meeting.join(rooted, ["shingle", "root"]).join(other, ["shingle", "root2"]), similarity)
+    pairs = _pairs(_meetings(rooted, similarity), similarity)
     pairs = written(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"))
     if not pairs.isEmpty():
         done = done.union(decided(pairs))

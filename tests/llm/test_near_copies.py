@@ -255,3 +255,21 @@ def test_cut_and_extended_copies_by_brute_force(spark):
     assert len(texts) * 0.52 < len(set(want.values())) < len(texts) * 0.95
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r[0] for r in simhash.near_copies(rows).select("component_id").collect()} == set(want.values())
+
+
+@pytest.mark.parametrize("crowd", [0, 1, simhash.CROWD])
+def test_texts_of_shared_passages_by_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    random.seed(10)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    passages = [" ".join(random.choices(vocabulary, k=random.choice([6, 30, 60]))) for _ in range(12)]
+    texts = ["one", "one ", "one two", "a b c d e f", "a b c d e  f", "a b c d e f g", "a b c d e f g h i", "b c d e f g h i", "", " "]
+    for i in range(300):
+        own = " ".join(random.choices(vocabulary, k=random.choice([0, 5, 10, 40, 80])))
+        texts.append(" ".join([*random.sample(passages, random.choice([1, 2, 3, 4])), own]))
+    texts = list(dict.fromkeys(texts))
+    want = classes_by_brute_force(texts)
+    assert 1 < len(texts) - len(set(want.values()))
+    got = simhash.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r[0] for r in got.select("component_id").collect()} == set(want.values())
+    assert got.select("component_id").distinct().count() == len(set(want.values()))
