@@ -56,9 +56,9 @@ BRUTE = 4096
 COUNTERS = 1 << 22
 PIECE = 1 << 16
 PARTS = 64
-#: pairs of different classes for each text under a key from which its texts meet under longer keys, and shingles in the
-#: longest ones; what is crowded under those is compared all the same
-CROWD = 4
+#: a key whose pairs of different classes are more than so many times the longer keys of its texts is replaced by these,
+#: and shingles in the longest ones; what is crowded under those is compared all the same
+CROWD = 2
 LEVELS = 4
 _SLICE = 1 << 15
 
@@ -513,21 +513,24 @@ def _pairs(rows: DataFrame, similarity: float, every: float = 1.0) -> DataFrame:
 def _meetings(rooted: DataFrame, similarity: float) -> DataFrame:
     """Pairs of texts of different classes that meet under a key, as rows for ``_pairs``.
 
-    ``rooted``: postings with the ``root`` of the text's class. A key is a shingle of the beginnings at first. Where the
-    pairs of different classes under a key are more than ``CROWD`` times its texts, its texts meet under longer keys
-    instead: the shingle and one that follows it in the text's beginning of the next level, and so on. The first
-    shingles that two similar texts share make such a key for both, so no pair is lost, and the pairs of a key stay
-    in proportion to its texts. Texts too small to share one more shingle meet at once.
+    ``rooted``: postings with the ``root`` of the text's class. A key is a shingle of the beginnings at first. A crowded
+    key gives way to longer ones: the shingle and one that follows it in the text's beginning of the next level, and
+    so on. The first shingles that two similar texts share make such a key for both, so no pair is lost. A key is
+    crowded if its pairs of different classes outnumber its texts and their longer keys ``CROWD`` times; so longer keys
+    are never more than the pairs they save, and the pairs of a key are in proportion to its texts, times what
+    a text has of shared shingles. Texts too small to share one more shingle meet at once.
     """
-    rows = rooted.where("level = 1").select(F.col("shingle").alias("meet"), "root", "key", "at", "size")
-    later = rooted.select("key", "shingle", F.col("at").alias("then"), "level")
+    after = Window.partitionBy("key").orderBy(F.desc("at"))
+    ranked = written(rooted.withColumn("left", F.row_number().over(after) - 1))
+    rows = ranked.where("level = 1").select(F.col("shingle").alias("meet"), "root", "key", "at", "size", "left")
+    later = ranked.select("key", "shingle", F.col("at").alias("then"), F.col("left").alias("beyond"), "level")
     found, crowded = None, None
     for level in range(1, LEVELS + 1):
         texts = F.sum("k")
         between = (texts * texts - F.sum(F.col("k") * F.col("k"))) / 2
-        held = (rows.groupBy("meet", "root").agg(F.count(F.lit(1)).alias("k"))
-                .groupBy("meet").agg(between.alias("pairs"), texts.alias("texts")).where("pairs > 0")
-                .select("meet", ((F.col("pairs") > CROWD * F.col("texts")) & F.lit(level < LEVELS)).alias("many")))
+        held = (rows.groupBy("meet", "root").agg(F.count(F.lit(1)).alias("k"), F.sum("left").alias("longer"))
+                .groupBy("meet").agg(between.alias("pairs"), (texts + F.sum("longer")).alias("rows")).where("pairs > 0")
+                .select("meet", ((F.col("pairs") > CROWD * F.col("rows")) & F.lit(level < LEVELS)).alias("many")))
         rows = written(rows.join(held, "meet"))
         here = rows.where(~F.col("many") | (_least_shared(similarity) <= level)).drop("many")
         if level == 1:
@@ -538,15 +541,16 @@ def _meetings(rooted: DataFrame, similarity: float) -> DataFrame:
         pairs = meeting.join(here, ["meet", "root"]).join(other, ["meet", "root2"])
         if level > 1:
             # only the first shared shingles need to meet here
-            after = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))
-            pairs = pairs.where(after + (level - 1) >= similarity / (1 + similarity) * (F.col("size") + F.col("size2")) - 1e-6)
+            rest = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))
+            pairs = pairs.where(rest + (level - 1) >= similarity / (1 + similarity) * (F.col("size") + F.col("size2")) - 1e-6)
         pairs = pairs.select("key", "key2", "at", "at2", "size", "size2", F.lit(level == 1).alias("counts"))
         found = pairs if found is None else found.union(pairs)
         rows = rows.where("many")
         if level == LEVELS or rows.isEmpty():
             break
         rows = rows.join(later, "key").where((F.col("then") > F.col("at")) & (F.col("level") <= level + 1)).select(
-            F.xxhash64("meet", "shingle").alias("meet"), "root", "key", F.col("then").alias("at"), "size")
+            F.xxhash64("meet", "shingle").alias("meet"), "root", "key", F.col("then").alias("at"), "size",
+            F.col("beyond").alias("left"))
     for end in ("", "2"):
         found = found.join(crowded.select(F.col("key").alias("key" + end), F.col("crowded").alias("crowded" + end)),
                            "key" + end, "left").fillna(0, ["crowded" + end])
