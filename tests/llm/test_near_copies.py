@@ -257,9 +257,7 @@ def test_cut_and_extended_copies_by_brute_force(spark):
     assert {r[0] for r in simhash.near_copies(rows).select("component_id").collect()} == set(want.values())
 
 
-@pytest.mark.parametrize("crowd", [0, simhash.CROWD])
-def test_texts_of_shared_passages_by_brute_force(spark, monkeypatch, crowd):
-    monkeypatch.setattr(simhash, "CROWD", crowd)
+def test_texts_of_shared_passages_by_brute_force(spark):
     random.seed(10)
     vocabulary = [f"v{i}" for i in range(3000)]
     passages = [" ".join(random.choices(vocabulary, k=random.choice([6, 30, 60]))) for _ in range(12)]
