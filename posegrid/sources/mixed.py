@@ -3,7 +3,8 @@
 Every document becomes a VARIANT value, and its format is told from what it holds, not from its name. Typed views of
 one format then have the columns that the readers of ``documents`` give, so all flattening functions apply.
 Documents that were written as text lines (``sinks.text_documents``) are several part files in a folder of their own;
-their texts are put together in name order. A document is one value, of at most 128 MB (Spark's limit of
+their texts are put together in name order. Small documents lie many to a file, as JSON text sequences
+(``sinks.json_sequences``), each read as a row of its own. A document is one value, of at most 128 MB (Spark's limit of
 a VARIANT; larger ones end the job and are read with the readers of ``documents``).
 
 Results for odd inputs: a text that is no JSON, or has no known format, keeps its row with kind NULL; an empty
@@ -14,8 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from posegrid import schemas as S
+from posegrid.sources import sinks
 from posegrid.sources.documents import MARKER_NAME
 
 
@@ -33,6 +36,21 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("name", "value"))).alias("parts"))
     docs = whole.select("doc_id", "file", F.try_parse_json(
         F.array_join(F.transform("parts", lambda p: p["value"]), "")).alias("doc"))
+    return _told(docs)
+
+
+def read_sequences(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of all bundles below ``path``, as ``read_any`` gives them (``file`` is NULL)."""
+    records = spark.read.option("recursiveFileLookup", True).text(path, lineSep=sinks.RECORD).where("value <> ''")
+    # explode keeps filters on the parsed value from parsing the text again
+    doc = F.explode(F.array(F.try_parse_json(F.substr("value", F.instr("value", "\n") + 1))))
+    docs = records.select(F.get_json_object(F.substring_index("value", "\n", 1), "$.doc_id").alias("doc_id"),
+                          F.lit(None).cast("string").alias("file"), doc.alias("doc"))
+    return _told(docs)
+
+
+def _told(docs: DataFrame) -> DataFrame:
+    """``docs`` with the kind that their values tell."""
     has = lambda field: F.try_variant_get("doc", f"$.{field}", "variant").isNotNull()
     scene = F.try_variant_get("doc", "$.is_scene", "boolean")
     kind = (F.when(has("views"), "scene").when(scene, "route").when(~scene, "object").when(has("geometry"), "track")
@@ -41,8 +59,9 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _typed(docs: DataFrame, kinds: tuple[str, ...], ddl: str, key: str) -> DataFrame:
-    of = docs.where(F.col("kind").isin(*kinds))
-    return of.select(F.col("doc_id").alias(key), F.variant_get("doc", "$", f"struct<{ddl}>").alias("_d")).select("_d.*", key)
+    # field by field, so that fields which nothing reads are not converted
+    fields = [F.variant_get("doc", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in StructType.fromDDL(ddl)]
+    return docs.where(F.col("kind").isin(*kinds)).select(*fields, F.col("doc_id").alias(key))
 
 
 def scenes(docs: DataFrame) -> DataFrame:

@@ -2,14 +2,15 @@
 
 A document (scene or route JSON, GeoJSON, PLY, tree) is written as text lines that are
 range-partitioned by document, section and row. Its folder holds part files whose contents in name
-order are the document, so a document of any size is written by many tasks.
+order are the document, so a document of any size is written by many tasks. Many small JSON documents
+are bundled instead: each task writes one file of JSON text sequences (``json_sequences``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from posegrid.functions import linalg as L
@@ -17,6 +18,9 @@ from posegrid.functions import names as N
 from posegrid.scale import attach, line, ordered
 
 ORDER = ("section", "ord")
+#: what begins a document in a bundle (RFC 7464), and the name of a folder without a document id
+RECORD = "\x1e"
+NO_ID = "__HIVE_DEFAULT_PARTITION__"
 
 
 def text_documents(lines: DataFrame, path: str, order: Sequence[str] = ORDER,
@@ -26,6 +30,20 @@ def text_documents(lines: DataFrame, path: str, order: Sequence[str] = ORDER,
         .select("doc_id", "value").write.mode(mode).partitionBy("doc_id").text(path)
 
 
+def json_sequences(lines: DataFrame, path: str, order: Sequence[str] = ORDER, mode: str = "overwrite") -> None:
+    """Write ``doc_id, *order, value`` lines as bundles: files of many JSON documents, each a record separator, the
+    id as a line of JSON and the document's lines. The number of files follows the size of the data, not the number
+    of documents. Documents are not cut between files, as a reader takes them whole."""
+    # in JSON a separator can stand in a string only, where its escape means the same
+    value = F.replace("value", F.lit(RECORD), F.lit("\\u001e"))
+    doc_id = F.col("doc_id").cast("string")
+    head = F.concat(F.lit(RECORD), F.to_json(F.struct(F.when(doc_id != "", doc_id).otherwise(NO_ID).alias("doc_id"))),
+                    F.lit("\n"))
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)) == 1
+    lines.select("doc_id", *order, value.alias("value"), first.alias("_first")).select(
+        F.concat(F.when(F.col("_first"), head).otherwise(""), "value").alias("value")).write.mode(mode).text(path)
+
+
 def _literal(docs: DataFrame, section: int, value: Column) -> DataFrame:
     return docs.select("doc_id", F.lit(section).alias("section"),
                        F.lit(0).cast("bigint").alias("ord"), value.alias("value"))

@@ -372,3 +372,28 @@ def test_pieces_that_no_task_names_are_not_committed(tmp_path):
     writer.commit([None, Written(0, [("d", str(tmp_path / writer.job / "2" / "00000000.bin"))])])
     assert [p.name for p in tmp_path.iterdir()] == ["doc_id=d"]
     assert (tmp_path / "doc_id=d" / "part-00000.bin").read_bytes() == b"good"
+
+
+def test_bundles_of_small_documents(spark, tmp_path):
+    """Files follow the size of the data, not the number of documents; ids, order and separators stay."""
+    from posegrid.sources import mixed
+
+    n = 500
+    rows = [(f"r{i}" if i else None if k else 'a"b\n', k, f"n{i}\x1e{k}", i, None) for i in range(n) for k in (2, 0, 1)]
+    m = spark.createDataFrame(rows, "route_id string, pos long, name string, begin_ms long, end_ms long")
+    sinks.json_sequences(sinks.marker_lines(m), str(tmp_path / "out" / "0"))
+    files = list((tmp_path / "out" / "0").rglob("part-*"))
+    assert len(files) <= 8 and not list((tmp_path / "out").rglob("doc_id=*"))
+    docs = mixed.read_sequences(spark, str(tmp_path / "out"))
+    assert docs.count() == n + 1 and docs.where("kind = 'markers'").count() == n + 1
+    got = {tuple(r) for r in mixed.markers(docs).collect()}
+    # elements without a document id belong to no document
+    assert got == {(f"r{i}", k, f"n{i}\x1e{k}", i, None) for i in range(1, n) for k in range(3)} | {('a"b\n', 0, "n0\x1e0", 0, None)}
+    assert mixed.scenes(docs).count() == 0
+    # splits of a file share no document
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4096)
+    try:
+        again = mixed.read_sequences(spark, str(tmp_path / "out"))
+        assert again.count() == n + 1 and {tuple(r) for r in mixed.markers(again).collect()} == got
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
