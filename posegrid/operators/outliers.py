@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posegrid.functions import linalg as L
-from posegrid.scale import attach, checkpointed, line, order_stats, ordered
+from posegrid.scale import attach, line, order_stats, ordered, stored
 
 END_WEIGHT = 1e6
 SEARCH_EPS = 1e-4
 STOP_CHANGE = 1e-4
 #: points tried within an interval in each round of a search
 PROBES = 7
+#: histogram cells per factor of two of squared distances
+DISTANCE_CELLS = 256
 #: chi-square with three degrees of freedom: median and upper 2.5 % point (fixed values)
 CHI2_3_MEDIAN = 2.3659738843753377
 CHI2_3_UPPER = 9.348403604496148
@@ -182,34 +184,44 @@ def curve_filter(points: DataFrame, degree: int = 5, max_iter: int = 10,
     """
     ks = list(keys)
     search = _closest_parameter()
-    rows = checkpointed(curve_parameter(points.select(*ks, order, *L.AXES), order, mode, keys))
+    rows = stored(curve_parameter(points.select(*ks, order, *L.AXES), order, mode, keys))
     ln = line(keys, order)
     weight = F.when((F.col("pos") == 0) | (F.col("pos") == F.col("n") - 1), END_WEIGHT) \
         .otherwise(1.0)
-    status = None
-    for round_no in range(max_iter):
-        if status is not None:
+    running, ended = None, []
+
+    def errors(of: DataFrame) -> DataFrame:
+        return attach(rows, of.withColumnRenamed("n", "_rows"), ks) \
+            .withColumn("_e", _curve_error(degree)).select(*ks, order, "_e")
+
+    for _ in range(max_iter):
+        if running is not None:
             near = ordered(rows, ln, prev={"_lo": "u"}, following={"_hi": "u"})
-            near = attach(near, status.select(*ks, "done", "cx", "cy", "cz",
-                                              F.col("n").alias("_rows")), ks)
-            moved = search("u", F.when(F.col("done"), F.lit(None)).otherwise(F.col("_lo")), "_hi",
-                           *L.AXES, "cx", "cy", "cz")
-            rows = checkpointed(near.withColumn("u", moved).select(*rows.columns))
-        fits = checkpointed(_fit_curve(rows, degree, keys))
+            near = attach(near, running.select(*ks, "cx", "cy", "cz"), ks)
+            moved = search("u", "_lo", "_hi", *L.AXES, "cx", "cy", "cz")
+            rows = stored(near.withColumn("u", moved).select(*rows.columns))
+        fits = stored(_fit_curve(rows, degree, keys))
         score = attach(rows, fits.withColumnRenamed("n", "_rows"), ks).groupBy(*ks) \
             .agg(F.sum(weight * _curve_error(degree)).alias("score"))
         now = fits.join(score, ks)
-        if status is None:
+        if running is None:
             now = now.withColumn("done", F.lit(False))
         else:
-            old = status.select(*ks, F.col("score").alias("_old"), F.col("done").alias("_was"))
             calm = (F.col("score") <= 0) | (F.try_divide("_old", "score") - 1 < STOP_CHANGE)
-            now = now.join(old, ks).withColumn("done", F.col("_was") | calm).drop("_old", "_was")
-        status = checkpointed(now)
-        if status.filter(~F.col("done")).isEmpty():
+            now = now.join(running.select(*ks, F.col("score").alias("_old")), ks) \
+                .withColumn("done", F.coalesce(calm, F.lit(True))).drop("_old")
+        status = stored(now)
+        # routes that have stopped leave the loop with their last curve
+        ended.append(errors(status.filter("done")))
+        running = status.filter("NOT done")
+        if running.isEmpty():
             break
-    err = attach(rows, status.withColumnRenamed("n", "_rows"), ks) \
-        .withColumn("_e", _curve_error(degree)).select(*ks, order, "_e")
+    else:
+        ended.append(errors(running))
+    err = ended[0]
+    for e in ended[1:]:
+        err = err.unionByName(e)
+    err = stored(err)
     lim = err.groupBy(*ks).agg(F.count(F.lit(1)).alias("n"),
                                (F.avg("_e") + num_sigma * F.stddev_pop("_e")).alias("_thr"))
     kept = attach(err, lim, ks).filter(F.col("_e") < F.col("_thr")).select(*ks, order)
@@ -259,16 +271,20 @@ def robust_covariance_filter(points: DataFrame, contamination: float,
     and there are finitely many halves).
     """
     ks = list(keys)
+    points = stored(points)
+    # one row per group and rank: the places of the ranks are tables, read by the next pass over the points
+    ranks = lambda df, value, wanted, mode="linear": order_stats(
+        df, ks, value, wanted, mode, DISTANCE_CELLS, stored)
     start = None
     for a in L.AXES:
-        med = order_stats(points, ks, a, {f"m{a}": 0.5}, mode="linear")
-        med = med if start is None else med.drop("n")
-        start = med if start is None else start.join(med, ks)
+        med = ranks(points, a, {f"m{a}": 0.5})
+        start = med if start is None else start.join(med.drop("n"), ks)
+    start = stored(start)
     mad = attach(points, start, ks)
     spread = mad.groupBy(*ks).agg(*[F.avg(F.pow(F.col(a) - F.col(f"m{a}"), 2)).alias(f"v{a}{a}")
                                     for a in L.AXES])
     zero = {f"v{p}": F.lit(0.0) for p in ("xy", "xz", "yz")}
-    params = checkpointed(start.join(spread, ks).withColumns(zero))
+    params = stored(start.join(spread, ks).withColumns(zero))
 
     def scored(p: DataFrame) -> DataFrame:
         return attach(points, p, ks).withColumn("_d2", _distance2()) \
@@ -278,21 +294,20 @@ def robust_covariance_filter(points: DataFrame, contamination: float,
     moments = [f"m{a}" for a in L.AXES] + [f"v{p}" for p in ("xx", "yy", "zz", "xy", "xz", "yz")]
     while True:
         s = scored(params)
-        cut = order_stats(s, ks, "_d2", {"_cut": half})
-        now = checkpointed(_covariance(attach(s, cut, ks).drop("n"), ks,
-                                       F.col("_d2") <= F.col("_cut")))
+        cut = stored(ranks(s, "_d2", {"_cut": half}, "nearest"))
+        now = stored(_covariance(attach(s, cut, ks).drop("n"), ks, F.col("_d2") <= F.col("_cut")))
         # sums in another order differ in the last digits, another half differs by more
         both = now.alias("now").join(params.alias("old"), ks)
         moved = F.greatest(*[F.abs(F.col(f"now.{c}") - F.col(f"old.{c}"))
                              - 1e-9 * F.greatest(F.abs(F.col(f"now.{c}")), F.lit(1.0)) for c in moments])
-        settled = both.where(moved > 0).isEmpty()
+        settled = both.where(F.nanvl(moved, F.lit(0.0)) > 0).isEmpty()
         params = now
         if settled:
             break
     s = scored(params)
-    med = order_stats(s, ks, "_d2", {"_med": 0.5}, mode="linear")
+    med = stored(ranks(s, "_d2", {"_med": 0.5}))
     inlier = F.col("_d2") / (F.col("_med") / CHI2_3_MEDIAN) < CHI2_3_UPPER
-    params = checkpointed(_covariance(attach(s, med, ks).drop("n"), ks, inlier))
+    params = stored(_covariance(attach(s, med, ks).drop("n"), ks, inlier))
     s = scored(params)
-    lim = order_stats(s, ks, "_d2", {"_lim": 1.0 - contamination}, mode="linear")
+    lim = stored(ranks(s, "_d2", {"_lim": 1.0 - contamination}))
     return attach(s, lim, ks).filter(F.col("_d2") <= F.col("_lim")).select(*points.columns)

@@ -10,12 +10,14 @@ over many tasks:
 * ``attach``       join of one-row-per-key statistics back to the rows;
 * ``order_stats``  exact nearest-rank or linear percentiles by histogram cells;
 * ``smallest_sum`` exact sum of the k smallest values per key;
-* ``checkpointed`` lineage cut in the shared checkpoint folder.
+* ``checkpointed`` lineage cut in the shared checkpoint folder;
+* ``stored``       the same as a table, for loops over many rows.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -39,6 +41,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder. Unlike a checkpoint it is computed once, readers take the columns they
+    need, and its size is known to joins, so that a small one is broadcast before the other side is shuffled."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which checkpoints use too; a plain local session without one gets its own."""
     sc = spark.sparkContext
@@ -239,24 +249,28 @@ def attach(fact: DataFrame, stats: DataFrame, keys: Sequence[str] | str, how: st
 
 # ------------------------------------------------------------------ exact order statistics
 
-def value_cell(v: Column) -> Column:
-    """Integer that never decreases as ``v`` grows; one octave has ``CELLS_PER_OCTAVE`` cells."""
-    mag = F.floor(F.log2(F.abs(v)) * CELLS_PER_OCTAVE) + F.lit(1200 * CELLS_PER_OCTAVE)
+def value_cell(v: Column, per_octave: int = CELLS_PER_OCTAVE) -> Column:
+    """Integer that never decreases as ``v`` grows; one octave has ``per_octave`` cells."""
+    mag = F.floor(F.log2(F.abs(v)) * per_octave) + F.lit(1200 * per_octave)
     return F.when(v == 0, F.lit(0)).when(v > 0, mag).otherwise(-mag).cast("bigint")
 
 
 def order_stats(df: DataFrame, keys: Sequence[str] | str, value: str,
                 wanted: Mapping[str, float | Callable[[Column], Column]],
-                mode: str = "nearest") -> DataFrame:
+                mode: str = "nearest", per_octave: int = CELLS_PER_OCTAVE,
+                keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Exact percentiles per key: one row per key with ``n`` and one column per wanted fraction.
 
     ``nearest`` takes the row at ``rint(q * (n - 1))`` (half to even); ``linear`` interpolates. A
     callable maps the row count of a key to a 0-based rank instead. A histogram over value cells locates the cell of each rank; only rows of those cells are
-    ordered. Equal values are merged before the shuffle, so ties cost nothing.
+    ordered. Equal values are merged before the shuffle, so ties cost nothing. Fewer cells ``per_octave`` make a
+    smaller histogram and more rows in the cells of the ranks; ``keep`` (``stored``) materialises these cells, one
+    row per key and rank, so that a small number of them is broadcast.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     slim = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v")) \
-        .withColumn("_cell", value_cell(F.col("_v")))
+        .withColumn("_cell", F.coalesce(value_cell(F.col("_v"), per_octave), F.lit(0).cast("bigint")))
+    # a cell that can't be NULL needs no filter in the join below, which would spell out the value several times
     hist = slim.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_cell")
     hist = hist.withColumns({
@@ -280,6 +294,7 @@ def order_stats(df: DataFrame, keys: Sequence[str] | str, value: str,
         .select(*keys, "_cell", F.col("_total").alias("n"), F.col("_w.what").alias("_what"),
                 F.col("_w.share").alias("_share"),
                 (F.col("_w.rank") - F.col("_before")).alias("_k"))
+    targets = keep(targets)
     cells = targets.select(*keys, "_cell").distinct()
     values = slim.join(cells, [*keys, "_cell"], "left_semi") \
         .groupBy(*keys, "_cell", "_v").agg(F.count(F.lit(1)).alias("_m"))

@@ -465,3 +465,53 @@ def test_clusters_of_each_mesh(spark, monkeypatch):
             assert not held or np.allclose(np.mean(held, 0), centre, atol=1e-4)
     seeds = ME.cluster_seed_vertices(labelled, centres).collect()
     assert {r.mesh_id for r in seeds} == {"a", "b"}
+
+
+def test_robust_covariance_ends_and_keeps_the_half_of_numpy(spark):
+    """Concentration steps by numpy give the same points; a group with NaN (which never settled) ends too."""
+    rng = np.random.default_rng(5)
+    rows, want = [], set()
+    for g in range(3):
+        p = rng.normal(size=(301, 3)) * [1, 3, 0.2 + g] + rng.exponential(2, size=(301, 1)) * g
+        rows += [(f"g{g}", i, *map(float, v)) for i, v in enumerate(p)]
+        m = np.median(p, 0)
+        v, last = np.diag(((p - m) ** 2).mean(0)), None
+        dist = lambda m, v: np.einsum("ij,jk,ik->i", p - m, np.linalg.inv(v), p - m)
+        while True:
+            d = dist(m, v)
+            keep = d <= np.sort(d)[(len(p) + 4) // 2 - 1]
+            if last is not None and (keep == last).all():
+                break
+            last, m, v = keep, p[keep].mean(0), np.cov(p[keep].T, bias=True)
+        d = dist(m, v)
+        keep = d / (np.median(d) / outliers.CHI2_3_MEDIAN) < outliers.CHI2_3_UPPER
+        d = dist(p[keep].mean(0), np.cov(p[keep].T, bias=True))
+        want |= {(f"g{g}", int(i)) for i in np.flatnonzero(d <= np.quantile(d, 0.95))}
+    rows += [("nan", i, float("nan"), float(i), 1.0) for i in range(5)]
+    df = spark.createDataFrame(rows, "scene_id string, idx long, x double, y double, z double")
+    got = outliers.robust_covariance_filter(df, 0.05)
+    assert {(r.scene_id, r.idx) for r in got.where("scene_id <> 'nan'").collect()} == want
+
+
+def test_curves_that_are_settled_leave_the_rounds(spark, monkeypatch):
+    """A route has the same result alone as among others; tables of the rounds get smaller as routes stop."""
+    t = np.linspace(0, 1, 40)
+    rng = np.random.default_rng(3)
+    routes = {"line": np.stack([t, 2 * t, -t], 1), "arc": np.stack([np.cos(3 * t), np.sin(3 * t), t * t], 1),
+              "rough": np.stack([9 * t, np.sin(20 * t), t], 1) + rng.normal(scale=0.3, size=(40, 3)),
+              "one": np.ones((1, 3))}
+    rows = [(k, i, *map(float, v)) for k, p in routes.items() for i, v in enumerate(p)]
+    df = spark.createDataFrame(rows, "route_id string, idx long, x double, y double, z double")
+    sizes, keep = [], outliers.stored
+
+    def noted(x):
+        out = keep(x)
+        if "pos" in out.columns:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(outliers, "stored", noted)
+    got = {(r.route_id, r.idx) for r in outliers.curve_filter(df, 5, 6).collect()}
+    assert sizes[0] == len(rows) and sizes == sorted(sizes, reverse=True) and sizes[-1] < sizes[0]
+    alone = {(r.route_id, r.idx) for k in routes for r in outliers.curve_filter(df.where(F.col("route_id") == k), 5, 6).collect()}
+    assert got == alone
