@@ -6,12 +6,14 @@ next one's ``docs``; all but the last return the columns of ``documents``.
 1. quality    documents that the compression classifier scores under one half go. The model is fitted on
               labelled documents outside the held-out third.
 2. lines      lines of recurring templates go; every document stays, some of them shorter.
-3. copies     one document of each group of copies and near copies stays, the one with the smallest id.
+3. copies     one document of each group of copies and near copies stays, the one with the smallest id: SimHash links
+               of the vantage-point trees, confirmed exactly, and what an exact join of shingles finds beside them.
 4. secrets    every secret is replaced by a mark; every document stays.
 5. packing    token ids in sequences of 2048, one row per piece.
 
 ``n_chars`` follows the text. A null text is scored like an empty one. The third stage takes near copies at a
-similarity of 0.8 on five words, where fingerprints alone miss too much: it joins the first shingles of a common order.
+similarity of 0.8 on five words. Fingerprints alone miss many of these, so the join of the first shingles of a common
+order completes their links.
 An empty table stays empty; without labels of both classes no document is rejected; repeated rows with one id keep one
 row; very long texts are treated whole; columns beside those of ``documents`` pass through all stages but the last.
 

@@ -18,8 +18,8 @@ For documents with five-word shingle similarity of at least 0.8 (``near_copies``
 That join is exact: the shingles of a text are put in one order that all texts share (rare ones
 first, as a table of fixed size counts them over all texts; then by hash), and two sets this similar share a shingle of the first fifth of each. Texts that meet in
 such a shingle are candidates; sizes and places rule out some, the exact similarity of the two whole texts
-decides the others. Classes need not every pair of a dense group: at first each text is compared with its
-neighbours under the shingles, then every pair of texts that meet and are of different classes. A pair that
+decides the others. Classes need not every pair of a dense group: at first the links of fingerprints, found in the
+trees as above, and each text's neighbours under the shingles are confirmed, then every pair of texts that meet and are of different classes. A pair that
 could be similar goes unread only when links join it already.
 
 Results for odd inputs: a null, empty or blank text has the fingerprint zero, and all such texts are linked; a
@@ -503,14 +503,18 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     def decided(edges: DataFrame) -> DataFrame:
         """``edges`` with whether the exact similarity links them."""
         ends = edges.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        # other texts stay out of the shuffle while the ends are few
-        whole = written(texts.join(ends, "key", "left_semi").groupBy("key").agg(F.min("t").alias("t")))
-        of = lambda end: whole.select(F.col("key").alias(end), F.col("t").alias(f"t{end}"))
+        # other texts stay out of the shuffle while the ends are few; pairs are compared as sets of hashes, row by
+        # row, so that no task holds a batch of pairs of texts
+        whole = texts.join(ends, "key", "left_semi").groupBy("key").agg(F.min("t").alias("t"))
+        whole = written(whole.select("key", shingles_of(F.col("t"), width).alias("s")))
+        of = lambda end: whole.select(F.col("key").alias(end), F.col("s").alias(f"s{end}"))
         return written(edges.join(of("b"), "b").join(of("a"), "a").select(
-            "a", "b", (jaccard(F.col("ta"), F.col("tb"), width) >= similarity).alias("linked")))
+            "a", "b", (set_similarity(F.col("sa"), F.col("sb")) >= similarity).alias("linked")))
 
-    # neighbours first, which joins most of a dense group; which of them are tried decides no result
-    done = decided(written(_pairs(met.where("key2 is not null"), similarity, 1 / 8)))
+    # texts that fingerprints link and neighbours under shingles first, which joins most of a dense group; the pairs
+    # below are all that are left, so which of them are tried here decides no result
+    first = fingerprint_links(texts).union(_pairs(met.where("key2 is not null"), similarity, 1 / 8)).distinct()
+    done = decided(written(first))
     roots = cut(components(done.where("linked").select("a", "b"))).withColumnRenamed("node", "key")
     rooted = met.select("shingle", "key", "at", "size").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     # then every pair of different classes that meet, found by the classes, so that none pairs its own members
@@ -527,22 +531,36 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     return _classes(reps, done.where("linked").select("a", "b"))
 
 
-def jaccard(a: Column, b: Column, width: int) -> Column:
-    """Shared part of the sets of shingles of two texts; 1 if both have no words."""
-    @F.arrow_udf("double")
-    def shared(lefts: pa.Array, rights: pa.Array) -> pa.Array:
-        out, last, own = [], None, np.empty(0)
-        for x, y in zip(lefts, rights):
-            y = y.as_py()
-            if y != last:  # the larger clusters share an end, and its rows come together
-                last, own = y, np.unique(shingle_hashes(words_of(y), width))
-            other = np.unique(shingle_hashes(words_of(x.as_py()), width))
-            both = len(np.intersect1d(own, other, assume_unique=True))
-            whole = len(own) + len(other) - both
-            out.append(both / whole if whole else 1.0)
-        return pa.array(out, pa.float64())
-
-    return shared(a, b)
+def fingerprint_links(texts: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``a, b`` (a > b): links of distinct ``texts`` (key, t) by fingerprints, as ``cluster`` finds them in the
+    vantage-point trees; texts of one fingerprint are linked to the one with the smallest key."""
+    prints = written(texts.select("key", fingerprint(F.col("t")).alias("code")).distinct())
+    reps = cut(prints.groupBy("code").agg(F.min("key").alias("rep")))
+    edges = forest_edges(reps.select(F.col("code").alias("key"), F.array("code").alias("codes"),
+                                     F.lit(None).cast("binary").alias("signs")), max_bits)
+    rep = lambda end: reps.select(F.col("code").alias(end), F.col("rep").alias(f"r{end}"))
+    apart = edges.join(rep("a"), "a").join(rep("b"), "b").select("ra", "rb")
+    same = prints.join(reps, "code").where("key <> rep").select("key", "rep")
+    return apart.union(same).select(F.greatest("ra", "rb").alias("a"), F.least("ra", "rb").alias("b"))
+
+
+def shingles_of(text: Column, width: int) -> Column:
+    """The set of shingle hashes of a text column, as an array of longs."""
+    @F.arrow_udf("array<long>")
+    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            own = [shingle_set(t.as_py(), width).view(np.int64) for t in batch]
+            ends = np.cumsum([0] + [len(s) for s in own]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *own])))
+
+    return sets(text)
+
+
+def set_similarity(a: Column, b: Column) -> Column:
+    """Shared part of two sets; 1 if both are empty."""
+    both = F.size(F.array_intersect(a, b))
+    whole = F.size(a) + F.size(b) - both
+    return F.when(whole == 0, 1.0).otherwise(both / F.greatest(whole, F.lit(1)))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:

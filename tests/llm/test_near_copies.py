@@ -271,3 +271,39 @@ def test_texts_of_shared_passages_by_brute_force(spark):
     got = simhash.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert {r[0] for r in got.select("component_id").collect()} == set(want.values())
     assert got.select("component_id").distinct().count() == len(set(want.values()))
+
+
+def test_near_copies_go_through_fingerprints(spark, monkeypatch):
+    """The trees' links of fingerprints are among the pairs that the exact similarity decides."""
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(500)]
+    texts = []
+    for _ in range(12):
+        own = rng.choice(words, 400).tolist()
+        texts.append(" ".join(own))
+        for _ in range(3):
+            other = list(own)
+            other[int(rng.integers(400))] = "other"
+            texts.append(" ".join(other))
+    texts += ["", "a b c"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, t string")
+    codes = [simhash.majority_bits(simhash.shingle_hashes(simhash.words_of(t), 3)) for t in texts]
+    links = {(r.a, r.b) for r in simhash.fingerprint_links(rows).collect()}
+    assert links and all(a > b and (codes[a] ^ codes[b]).bit_count() <= simhash.MAX_BITS for a, b in links)
+    up = list(range(len(texts)))
+    for _ in up:
+        for a, b in links:
+            up[a] = up[b] = min(up[a], up[b])
+    assert all(up[i] == up[j] for i in range(len(texts)) for j in range(i) if (codes[i] ^ codes[j]).bit_count() <= simhash.MAX_BITS)
+    asked, trees = [], simhash.forest_edges
+    monkeypatch.setattr(simhash, "forest_edges", lambda *a, **k: asked.append(1) or trees(*a, **k))
+    assert simhash.keep_one(rows.select(F.col("key").alias("doc_id"), F.col("t").alias("text"))).count() == 14
+    assert asked
+
+
+def test_similarity_of_sets(spark):
+    cases = [("", ""), ("a", ""), ("a b c d e f", "a b c d e f g"), ("x y", "x y"), ("a b c d e f", "f e d c b a")]
+    df = spark.createDataFrame(cases, "a string, b string")
+    got = [r[0] for r in df.select(simhash.set_similarity(simhash.shingles_of(F.col("a"), 5),
+                                                          simhash.shingles_of(F.col("b"), 5))).collect()]
+    assert got == [1.0, 0.0, 2 / 3, 1.0, 0.0]
