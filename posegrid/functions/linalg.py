@@ -132,6 +132,21 @@ def matmul(a, b, n: int = 3) -> Column:
     return mat(*cells)
 
 
+def matmul_loop(a, b, n: int = 4) -> Column:
+    """``matmul`` of columns as a loop over the cells. Written out, the cells of a 4x4 product make a method too long for
+    the JVM to compile, which costs more than the loop."""
+    a, b = _c(a), _c(b)
+
+    def cell(at: Column) -> Column:
+        j = at % n
+        out = a[at - j] * b[j]
+        for k in range(1, n):
+            out = out + a[at - j + k] * b[j + k * n]
+        return out
+
+    return F.transform(F.array(*[F.lit(i) for i in range(n * n)]), cell)
+
+
 def matvec(m, v) -> Column:
     x, y, z = xyz(v)
     return vec(*[entry(m, i, 0) * x + entry(m, i, 1) * y + entry(m, i, 2) * z for i in range(3)])

@@ -230,7 +230,7 @@ def concatenated(log: DataFrame) -> DataFrame:
         cur = checkpointed(even.join(odd, [*keys, "_pair"], "left").select(
             *keys, F.col("_pair").cast("bigint").alias("seq"),
             F.when(F.col("_later").isNull(), F.col("matrix"))
-            .otherwise(L.matmul("_later", "matrix", 4)).alias("matrix")))
+            .otherwise(L.matmul_loop("_later", "matrix")).alias("matrix")))
     return cur.drop("seq")
 
 

@@ -397,3 +397,22 @@ def test_bundles_of_small_documents(spark, tmp_path):
         assert again.count() == n + 1 and {tuple(r) for r in mixed.markers(again).collect()} == got
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_products_of_long_logs_are_looped(spark):
+    """Written out, the 4x4 product of two columns is longer than what the JVM compiles (8,000 bytes)."""
+    rng = np.random.default_rng(3)
+    m = rng.normal(size=(6, 2, 16))
+    m[5, 1, 7] = np.nan
+    rows = [(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(m)] + [(6, None, m[0, 0].tolist())]
+    df = spark.createDataFrame(rows, "i int, a array<double>, b array<double>")
+    got = df.select("i", L.matmul("a", "b", 4).alias("w"), L.matmul_loop("a", "b").alias("l")).orderBy("i").collect()
+    for r in got[:6]:
+        assert np.array_equal(r.w, r.l, equal_nan=True)
+        assert np.allclose(r.l, (m[r.i, 0].reshape(4, 4) @ m[r.i, 1].reshape(4, 4)).ravel(), equal_nan=True)
+    assert got[6].w == got[6].l == [None] * 16
+    log = spark.createDataFrame([("s", i, a.tolist()) for i, (a, _) in enumerate(m[:3])],
+                                "scene_id string, seq long, matrix array<double>")
+    product = RG.concatenated(log).first().matrix
+    x, y, z = (a.reshape(4, 4) for a in m[:3, 0])
+    assert np.allclose(product, (z @ (y @ x)).ravel())
