@@ -21,6 +21,12 @@ def _id(pattern: str) -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
 
 
+def _exploded(docs: DataFrame, elements: str, pos: str, value: str, *kept: str) -> DataFrame:
+    """``kept``, position and value of every element of an array column. For a plain explode Spark infers filters on the
+    array, and each of them converts it once more where it is a field of a VARIANT."""
+    return docs.select(*kept, F.posexplode_outer(elements).alias(pos, value)).where(F.col(pos).isNotNull())
+
+
 # ------------------------------------------------------------------ scenes
 
 def read_scenes(spark: SparkSession, paths, id_pattern: str = FOLDER) -> DataFrame:
@@ -31,7 +37,7 @@ def read_scenes(spark: SparkSession, paths, id_pattern: str = FOLDER) -> DataFra
 def scene_views(docs: DataFrame) -> DataFrame:
     """Views in document order, one row each."""
     data = F.col("_v.value.ptr_wrapper.data")
-    return docs.select("scene_id", F.posexplode("views").alias("pos", "_v")).select(
+    return _exploded(docs, "views", "pos", "_v", "scene_id").select(
         "scene_id", F.col("_v.key").alias("view_key"), "pos",
         *[data[c].alias(c) for c in ("filename", "width", "height", "id_view", "id_intrinsic",
                                      "id_pose")])
@@ -40,21 +46,21 @@ def scene_views(docs: DataFrame) -> DataFrame:
 def scene_poses(docs: DataFrame) -> DataFrame:
     """Poses with flat rotation and point centre; ``footprint`` is NULL where absent."""
     v = F.col("_e.value")
-    return docs.select("scene_id", F.explode("extrinsics").alias("_e")).select(
+    return _exploded(docs, "extrinsics", "_pos", "_e", "scene_id").select(
         "scene_id", F.col("_e.key").alias("pose_key"), F.flatten(v["rotation"]).alias("rotation"),
         L.from_array(v["center"]).alias("center"), L.from_array(v["footprint"]).alias("footprint"))
 
 
 def scene_points(docs: DataFrame) -> DataFrame:
     x = F.col("_s.value.X")
-    return docs.select("scene_id", F.explode("structure").alias("_s")).select(
+    return _exploded(docs, "structure", "_pos", "_s", "scene_id").select(
         "scene_id", F.col("_s.key").alias("point_id"), x[0].alias("x"), x[1].alias("y"),
         x[2].alias("z"))
 
 
 def scene_intrinsics(docs: DataFrame) -> DataFrame:
     size = F.col("_i.value.ptr_wrapper.data.value0")
-    return docs.select("scene_id", F.explode("intrinsics").alias("_i")).select(
+    return _exploded(docs, "intrinsics", "_pos", "_i", "scene_id").select(
         "scene_id", F.col("_i.key").alias("id_intrinsic"),
         F.col("_i.value.polymorphic_name").alias("camera"), size["width"].alias("width"),
         size["height"].alias("height"))
@@ -87,7 +93,7 @@ def object_routes(docs: DataFrame) -> DataFrame:
 def route_frames(docs: DataFrame) -> DataFrame:
     """One row per frame of all slices; sort by ``timestamp`` only where a sink needs it."""
     f = F.col("_f")
-    return docs.select("route_id", "video", F.explode("frames").alias("_f")).select(
+    return _exploded(docs, "frames", "_pos", "_f", "route_id", "video").select(
         "route_id", "video", *[f[c].alias(c) for c in ("dir", "slice", "frame_idx", "timestamp",
                                                       "filenames")],
         L.from_array(f["position"]).alias("position"), F.flatten(f["rotation"]).alias("rotation"),
@@ -99,7 +105,7 @@ def route_lenses(docs: DataFrame) -> DataFrame:
     f = F.col("_f")
     zipped = F.arrays_zip(f["filenames"].alias("filename"), f["lense_positions"].alias("p"),
                           f["lense_rotations"].alias("r"), f["lense_footprints"].alias("g"))
-    return docs.select("route_id", F.explode("frames").alias("_f")).select(
+    return _exploded(docs, "frames", "_pos", "_f", "route_id").select(
         "route_id", f["slice"].alias("slice"), f["frame_idx"].alias("frame_idx"),
         f["timestamp"].alias("timestamp"), F.posexplode(zipped).alias("lens", "_l")).select(
         "route_id", "slice", "frame_idx", "timestamp", "lens",
@@ -122,16 +128,19 @@ def track_points(docs: DataFrame) -> DataFrame:
     """
     coords = F.col("geometry.coordinates")
     times = F.col("properties.AbsoluteUtcMilliSec")
-    plain = F.size(coords[0]) < 4
-    rows = docs.withColumn("_plain", plain).withColumn("_n", F.when(
-        plain, F.least(F.size(coords), F.size(times))).otherwise(F.size(coords)))
-    rows = rows.select("route_id", "_plain", "_n", times.alias("_t"),
-                       F.posexplode(coords).alias("seq", "_c")).filter(F.col("seq") < F.col("_n"))
-    c = lambda i: F.try_element_at("_c", F.lit(i + 1))
+    plain = F.size(F.get(coords, F.lit(0))) < 4
+    rows = docs.withColumn("_plain", plain).withColumn("_n", F.coalesce(F.when(
+        plain, F.least(F.size(coords), F.size(times))).otherwise(F.size(coords)), F.lit(0)))
+    # a point takes its own time along, not the list of all; outer for the reason given at _exploded, and the filter drops
+    # what has no position
+    timed = F.arrays_zip(coords.alias("c"), F.coalesce(times, F.array().cast("array<bigint>")).alias("t"))
+    rows = rows.select("route_id", "_plain", "_n", F.posexplode_outer(timed).alias("seq", "_p")).filter(
+        F.col("seq") < F.col("_n"))
+    c = lambda i: F.try_element_at("_p.c", F.lit(i + 1))
     return rows.select(
         "route_id", F.col("seq").cast("bigint").alias("seq"), c(0).alias("lon"),
         c(1).alias("lat"), c(2).alias("elev"),
-        F.when(F.col("_plain"), F.try_element_at("_t", F.col("seq") + 1))
+        F.when(F.col("_plain"), F.col("_p.t"))
         .otherwise(c(3).cast("bigint")).alias("ms"),
         F.when(F.col("_plain"), F.lit(G.DEFAULT_HEIGHT)).otherwise(c(4)).alias("height"),
         c(5).alias("alpha"), c(6).alias("beta"), c(7).alias("gamma"))
@@ -155,7 +164,7 @@ def read_transform_logs(spark: SparkSession, paths, id_pattern: str = FOLDER) ->
 
 
 def transform_entries(docs: DataFrame) -> DataFrame:
-    return docs.select("scene_id", F.posexplode("list").alias("seq", "_t")).select(
+    return _exploded(docs, "list", "seq", "_t", "scene_id").select(
         "scene_id", "seq", F.flatten("_t.matrix").alias("matrix"),
         F.col("_t.timestamp").alias("ts"), F.col("_t.note").alias("note"))
 

@@ -51,7 +51,10 @@ def read_sequences(spark: SparkSession, path: str) -> DataFrame:
 
 def _told(docs: DataFrame) -> DataFrame:
     """``docs`` with the kind that their values tell."""
-    has = lambda field: F.try_variant_get("doc", f"$.{field}", "variant").isNotNull()
+    # a field taken as a variant is copied as a whole; arrays and objects show without that
+    as_type = lambda field, t: F.try_variant_get("doc", f"$.{field}", t).isNotNull()
+    has = lambda field: (as_type(field, "array<boolean>") | as_type(field, "map<string, boolean>")
+                         | as_type(field, "variant"))
     scene = F.try_variant_get("doc", "$.is_scene", "boolean")
     kind = (F.when(has("views"), "scene").when(scene, "route").when(~scene, "object").when(has("geometry"), "track")
             .when(has("concatenated"), "log").when(F.schema_of_variant("doc").startswith("ARRAY"), "markers"))

@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 from pathlib import Path
 
 import numpy as np
@@ -399,6 +400,49 @@ def test_bundles_of_small_documents(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_a_field_is_converted_once_and_no_field_copied_to_tell_its_kind(spark, tmp_path):
+    """Filters that Spark infers for an explode converted a document's arrays two times more."""
+    from posegrid.sources import mixed
+
+    texts = {"scene": json.dumps(scene()), "bare": '{"views": 3}', "null": '{"views": null, "structure": []}',
+             "named": '{"views": {"a": 1}}', "empty": '{"geometry": {"coordinates": []}}', "far": '{"geometry": "x"}',
+             "log": '{"concatenated": [[1.0]]}', "other": '{"a": [1]}', "none": "{"}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "part-0").write_text("".join(
+        f'{sinks.RECORD}{json.dumps({"doc_id": k})}\n{v}\n' for k, v in texts.items()))
+    docs = mixed.read_sequences(spark, str(tmp_path / "in"))
+    assert {r.doc_id: r.kind for r in docs.collect()} == {
+        "scene": "scene", "bare": "scene", "null": "scene", "named": "scene", "empty": "track", "far": "track", "log": "log",
+        "other": None, "none": None}
+    real = docs.where("doc_id IN ('scene', 'null')")
+    views, tracks = mixed.scenes(real), mixed.tracks(docs.where("doc_id = 'empty'"))
+    assert (D.scene_views(views).count(), D.scene_points(views).count(), D.scene_poses(views).count()) == (7, 1, 7)
+    assert D.track_points(tracks).count() == 0
+    every = mixed.scenes(docs)
+    for rows, field in ((D.scene_views(every), "views"), (D.view_ids(every), "views"), (D.scene_poses(every), "extrinsics"),
+                        (D.scene_points(every), "structure"), (D.scene_intrinsics(every), "intrinsics"),
+                        (D.route_frames(mixed.routes(docs)), "frames"), (D.route_lenses(mixed.routes(docs)), "frames"),
+                        (D.track_points(mixed.tracks(docs)), "geometry"),
+                        (D.transform_entries(mixed.transform_logs(docs)), "list")):
+        plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+        found = [line for line in plan if re.search(rf"(?<!try_)variant_get\(doc#\d+, \$\.{field},", line)]
+        assert len(found) == 1 and "Project" in found[0], field
+
+
+def test_times_of_a_track_stay_with_their_points(spark):
+    """Every point carried the list of all times of its track."""
+    point, s = [1.0, 2.0, 3.0], "route_id string, geometry struct<coordinates: array<array<double>>>, properties struct<AbsoluteUtcMilliSec: array<bigint>>"
+    rows = [("a", ([point] * 3,), ([7, 8],)), ("b", ([point] * 2,), ([7, None, 9],)), ("c", ([point] * 2,), (None,)),
+            ("d", ([[*point, 4.0, 1.5]] * 2,), ([7],)), ("e", ([],), ([7],)), ("f", (None,), ([7],)), ("g", None, None)]
+    tracks = D.track_points(spark.createDataFrame(rows, s))
+    assert sorted((r.route_id, r.seq, r.ms) for r in tracks.where("route_id <> 'c' AND ms IS NOT NULL").collect()) == [
+        ("a", 0, 7), ("a", 1, 8), ("b", 0, 7), ("d", 0, 4), ("d", 1, 4)]
+    assert sorted((r.route_id, r.seq) for r in tracks.where("ms IS NULL").collect()) == [("b", 1), ("c", 0), ("c", 1)]
+    plan = tracks._jdf.queryExecution().executedPlan().toString()
+    kept = re.search(r"posexplode\(.*?\), \[(.*?)\], true", plan).group(1)
+    assert "properties" not in kept and "_t#" not in kept
+
+
 def test_products_of_long_logs_are_looped(spark):
     """Written out, the 4x4 product of two columns is longer than what the JVM compiles (8,000 bytes)."""
     rng = np.random.default_rng(3)
