@@ -18,6 +18,8 @@ An empty table stays empty; without labels of both classes no document is reject
 row; very long texts are treated whole; columns beside those of ``documents`` pass through all stages but the last.
 
 A stage's result has been written when the next one begins; the tables that it wrote on its way are deleted then.
+Texts go to Python in batches of at most ``BATCH_BYTES``, unless the session has a limit of its own: a batch is held by
+the executor, by Arrow and as Python objects at the same time, in each worker, and workers keep what they once had.
 SQL can't express the first stage (zstandard) or the last (byte-pair tokens); tests compare the stages with
 brute force.
 """
@@ -35,6 +37,9 @@ from posegrid.llm.common import drop_tables, noting, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "4m"
+
 
 def _counted(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs``, the number of characters set anew."""
@@ -66,11 +71,18 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 _LEFT: list[str] = []
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Limit the batches of ``spark``, whose plans are made when a stage's result is read."""
+    if BATCH_LIMIT not in spark.conf.getAll:
+        spark.conf.set(BATCH_LIMIT, BATCH_BYTES)
+
+
 def _clearing(stage: Stage, last: bool = False) -> Stage:
-    """``stage`` that first deletes what the one before left. The tables of the last one stay, as its result is read
-    after it."""
+    """``stage`` with small batches that first deletes what the one before left. The tables of the last one stay, as its
+    result is read after it."""
     @wraps(stage)
     def cleared(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _small_batches(spark)
         drop_tables(spark, _LEFT)
         with noting([] if last else _LEFT):
             return stage(spark, docs, sf_dir)

@@ -50,10 +50,11 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 class WordIds(dict):
     """Bytes of the ids of words that follow a space; a word is encoded when it is first met.
 
-    Holds ``most`` words; later ones are encoded each time, so memory is bounded and results don't change.
+    Holds ``most`` words (25 MB); later ones are encoded each time, so memory is bounded and results don't change. The
+    table stays in a worker that goes on to other work.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 170_000):
         import public_tokenizers
         import tiktoken
 

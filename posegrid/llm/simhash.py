@@ -395,7 +395,8 @@ def shingle_counts(texts: DataFrame, width: int) -> np.ndarray:
             names=["piece", "part", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, met = np.zeros(COUNTERS, np.int64), set()
+        # a task has fewer texts than these numbers can count; sums over tasks are long
+        sums, met = np.zeros(COUNTERS, np.int32), set()
         for batch in batches:
             for key, t in zip(batch["key"].to_pylist(), batch["t"]):
                 if key not in met:  # copies within a task
@@ -404,7 +405,7 @@ def shingle_counts(texts: DataFrame, width: int) -> np.ndarray:
         if met:
             part = min(met) % PARTS
             for piece, counts in enumerate(sums.reshape(pieces, PIECE)):
-                yield packed(piece, part, counts)
+                yield packed(piece, part, counts.astype(np.int64))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,23 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_batches_of_texts_are_small(spark, tmp_path):
+    """What goes to Python at once is bounded in bytes, however long the texts; a limit of the session's own stays."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "bytes"])
+
+    for own in (None, "1m"):
+        session = spark.newSession()
+        if own:
+            session.conf.set(corpus_pipeline.BATCH_LIMIT, own)
+        docs = session.range(0, 3000, 1, 1).select(
+            F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 900).alias("text"), F.lit("en").alias("lang"),
+            F.lit("s").alias("source"), F.lit(9900).cast("long").alias("n_chars"))
+        marks = session.createDataFrame([(1, 1)], "doc_id long, quality int")
+        marks.write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+        kept = corpus_pipeline.STAGES[0][1](session, docs, str(tmp_path))
+        got = kept.mapInArrow(sizes, "n long, bytes long").agg(F.sum("n"), F.max("bytes")).first()
+        assert got[0] == 3000 and got[1] < (1_200_000 if own else 5_000_000)

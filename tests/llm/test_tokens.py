@@ -142,3 +142,20 @@ def test_one_word_of_a_million_characters():
     # the best path to a place within a long word is the same as in the word alone
     short = np.frombuffer(tool.encode([word[:5000]])[0], np.int32)
     assert (ids[:len(short) - 20] == short[:-20]).all()
+
+
+def test_the_word_table_is_small():
+    """A worker keeps it, so it counts in all later stages."""
+    import tracemalloc
+
+    words = packing.WordIds(packing.default_ranks())
+    texts = [" ".join(f"w{i:x}q{j}" for i in range(1000)) for j in range(250)]
+    first = [words.of(t) for t in texts[:2]]
+    tracemalloc.start()
+    for t in texts:
+        words.of(t)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 32_000_000
+    assert [words.of(t) for t in texts[:2]] == first == [words.whole(t) for t in texts[:2]]
+    assert words.of(texts[-1]) == words.whole(texts[-1])
