@@ -486,9 +486,51 @@ def _pairs(rows: DataFrame, similarity: float, every: float = 1.0) -> DataFrame:
              .select(F.greatest("key", "key2").alias("a"), F.least("key", "key2").alias("b"),
                      F.least("size", "size2").alias("small"), F.greatest("size", "size2").alias("large"))
              .groupBy("a", "b").agg(F.min("small").alias("small"), F.min("large").alias("large"), F.count(F.lit(1)).alias("n")))
-    wanted = similarity / (1 + similarity) * (F.col("small") + F.col("large")) - 1e-6
-    rest = F.ceil(similarity * F.col("large") - 1e-9) - 1
-    return pairs.where(F.col("n") >= (wanted - rest) * every).select("a", "b")
+    return pairs.where(F.col("n") >= _needed(F.col("small"), F.col("large"), similarity) * every).select("a", "b")
+
+
+def _needed(small: Column, large: Column, similarity: float) -> Column:
+    """How many shingles the beginnings of two sets of these sizes share at least if the sets are similar."""
+    rest = F.ceil(similarity * large - 1e-9) - 1
+    return similarity / (1 + similarity) * (small + large) - 1e-6 - rest
+
+
+def ranked(rooted: DataFrame) -> DataFrame:
+    """``rooted`` (shingle, key, at, size, root) with ``rank``: how many shingles of the text more classes share."""
+    crowd = rooted.select("shingle", "root").distinct().groupBy("shingle").agg(F.count(F.lit(1)).alias("crowd"))
+    place = Window.partitionBy("key").orderBy(F.desc("crowd"), "shingle")
+    return written(rooted.join(crowd, "shingle").withColumn("rank", F.row_number().over(place) - 1).drop("crowd"))
+
+
+def meeting(rows: DataFrame, similarity: float) -> DataFrame:
+    """``shingle, root, root2`` (root < root2): classes of ``rows`` (as ``ranked``) that may hold two similar texts.
+
+    Two similar texts share a number of shingles that their sizes tell. The least crowded of these comes after all
+    others in the ranks of both, so they are left out where the rank is too low, which is where most texts meet.
+    """
+    classes = rows.groupBy("shingle", "root").agg(
+        F.min("size").alias("low"), F.max("size").alias("high"), F.max("rank").alias("rank"))
+    other = classes.select("shingle", *[F.col(c).alias(c + "2") for c in ("root", "low", "high", "rank")])
+    rest = F.ceil(similarity * F.greatest("high", "high2") - 1e-9) - 1
+    least = similarity / (1 + similarity) * (F.col("low") + F.col("low2")) - 1e-6 - rest
+    return (classes.join(other, "shingle").where("root < root2").where(F.least("rank", "rank2") + 1 >= least)
+            .select("shingle", "root", "root2"))
+
+
+def _across(rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of different classes of ``rows`` (as ``ranked``) that the shingles of their beginnings do not rule out."""
+    other = rows.select("shingle", *[F.col(c).alias(c + "2") for c in ("root", "key", "at", "size", "rank")])
+    small, large = F.least("size", "size2"), F.greatest("size", "size2")
+    pairs = (meeting(rows, similarity).join(rows, ["shingle", "root"]).join(other, ["shingle", "root2"])
+             .where(_possible(similarity) & (F.least("rank", "rank2") + 1 >= _needed(small, large, similarity)))
+             .select(F.greatest("key", "key2").alias("a"), F.least("key", "key2").alias("b"),
+                     small.alias("small"), large.alias("large")).distinct())
+    # all that the beginnings share, also under shingles at which the pair was left out
+    begin = written(rows.groupBy("key").agg(F.collect_list("shingle").alias("s")))
+    of = lambda end: begin.select(F.col("key").alias(end), F.col("s").alias(f"s{end}"))
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return (pairs.join(of("b"), "b").join(of("a"), "a")
+            .where(shared >= _needed(F.col("small"), F.col("large"), similarity)).select("a", "b"))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5,
@@ -521,11 +563,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     # then every pair of different classes that meet, found by the classes, so that none pairs its own members
     open_ = (rooted.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"))
              .where("x <> y").select("shingle"))
-    rooted = written(rooted.join(open_, "shingle"))
-    classes = rooted.select("shingle", "root").distinct()
-    meeting = classes.join(classes.withColumnRenamed("root", "root2"), "shingle").where("root < root2")
-    other = rooted.select("shingle", *[F.col(c).alias(c + "2") for c in ("root", "key", "at", "size")])
-    pairs = _pairs(meeting.join(rooted, ["shingle", "root"]).join(other, ["shingle", "root2"]), similarity)
+    pairs = _across(ranked(rooted.join(open_, "shingle")), similarity)
     pairs = written(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"))
     if not pairs.isEmpty():
         done = done.union(decided(pairs))

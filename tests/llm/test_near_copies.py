@@ -307,3 +307,40 @@ def test_similarity_of_sets(spark):
     got = [r[0] for r in df.select(simhash.set_similarity(simhash.shingles_of(F.col("a"), 5),
                                                           simhash.shingles_of(F.col("b"), 5))).collect()]
     assert got == [1.0, 0.0, 2 / 3, 1.0, 0.0]
+
+
+def test_crowded_shingles_form_few_pairs(spark):
+    """300 texts share five shingles of the 20 that begin each; two and two share the other 15."""
+    rows = [(s if s < 5 else 1000 * (k // 2) + s, k, s, 100, k) for k in range(300) for s in range(20)]
+    rooted = spark.createDataFrame(rows, "shingle long, key long, at int, size int, root long")
+    ranked = simhash.ranked(rooted)
+    # not 5 * 300 * 299 / 2
+    assert simhash.meeting(ranked, 0.8).count() <= 150 * 15
+    assert sorted(map(tuple, simhash._across(ranked, 0.8).collect())) == [(2 * i + 1, 2 * i) for i in range(150)]
+
+
+def test_pairs_of_texts_with_a_common_passage(spark):
+    """Every pair at 0.8 or more is linked, with sizes on both sides of the bound and beginnings that all share."""
+    r = random.Random(12)
+    passage = [f"p{i}" for i in range(30)]
+    texts = []
+    for g in range(25):
+        own = [f"g{g}w{i}" for i in range(r.randint(10, 120))]
+        for _ in range(6):
+            at, cut = r.randint(0, len(own)), r.randint(0, len(own) // 4)
+            body = own[:len(own) - cut]
+            if r.random() < 0.5:
+                body = body[:at] + [f"x{r.random()}"] + body[at:]
+            texts.append(" ".join(passage + body if r.random() < 0.7 else body + passage))
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for t in texts]
+    up = list(range(len(texts)))
+    for _ in texts:
+        for i in range(len(texts)):
+            for j in range(i):
+                if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                    up[i] = up[j] = min(up[i], up[j])
+        if all(up[i] == up[j] for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
+            break
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {x["doc_id"] for x in simhash.keep_one(docs).collect()}
+    assert kept == set(up) and 25 < len(kept) < len(texts)
